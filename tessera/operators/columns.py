@@ -107,6 +107,17 @@ def constant_filter_fit(df: DataFrame, cols: list[str], threshold: int = 1) -> d
     return {"_rows": r["_rows"], **{c: r[f"d{i}"] for i, c in enumerate(cols)}}
 
 
+def constant_filter_report(df: DataFrame, cols: list[str], threshold: int = 1) -> DataFrame:
+    """Lazy form: one row per column (feature, n_distinct, keep)."""
+    n = F.count(F.lit(1))
+    rows = [F.struct(F.lit(c).alias("feature"),
+                     (F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("bigint").alias("n_distinct"))
+            for c in cols]
+    g = df.agg(n.alias("_rows"), F.array(*rows).alias("_r"))
+    return g.select("_rows", F.inline("_r")).select(
+        "feature", "n_distinct", ((F.col("n_distinct") > threshold) | (F.col("_rows") <= threshold)).alias("keep"))
+
+
 def constant_filter_keep(stats: dict[str, int], cols: list[str], threshold: int = 1) -> list[str]:
     if stats["_rows"] <= threshold:
         return list(cols)
