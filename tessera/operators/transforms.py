@@ -192,12 +192,12 @@ class OutlierHardClip:
             s2 += [(m2 - sd2 * t).alias(f"_lo{i}"), (m2 + sd2 * t).alias(f"_hi{i}")]
         p2 = j.groupBy(*self.by).agg(*s2)
         out = df.join(p2, self.by, "left") if self.by else df.join(p2)
+        # least/greatest skip nulls; a missing input must stay missing
         out = out.withColumns({
-            c: F.least(F.greatest(F.col(c), F.coalesce(F.col(f"_lo{i}"), F.lit(float("-inf")))),
-                       F.coalesce(F.col(f"_hi{i}"), F.lit(float("inf"))))
+            c: F.when(F.col(c).isNull(), None).otherwise(
+                F.least(F.greatest(F.col(c), F.coalesce(F.col(f"_lo{i}"), F.lit(float("-inf")))),
+                        F.coalesce(F.col(f"_hi{i}"), F.lit(float("inf")))))
             for i, c in enumerate(self.cols)})
-        # least/greatest skip nulls; a missing input must stay missing
-        out = out.withColumns({c: F.when(F.col(c).isNull(), None).otherwise(F.col(c)) for c in self.cols})
         return out.drop(*[f"_{k}{i}" for i in range(len(self.cols)) for k in ("lo", "hi")])
 
 
@@ -321,34 +321,34 @@ class YeoJohnson:
             for c in self.cols})
 
 
-def _interp(x: Column, xp: list[float], fp: list[float]) -> Column:
-    """np.interp with ties averaged from both directions (QuantileTransformer)."""
-    q = F.array(*[F.lit(float(v)) for v in xp])
-    r = F.array(*[F.lit(float(v)) for v in fp])
-    n = len(xp)
-
-    def at(a, i):
-        return F.element_at(a, i + 1)
-
-    # forward: right-most j with q[j] <= x
-    j = F.size(F.filter(q, lambda e: e <= x)) - 1
-    jj = F.least(F.greatest(j, F.lit(0)), F.lit(n - 2))
-    fwd_raw = at(r, jj) + (x - at(q, jj)) * (at(r, jj + 1) - at(r, jj)) / (at(q, jj + 1) - at(q, jj))
-    fwd = F.when(j < 0, F.lit(fp[0])).when(j >= n - 1, F.lit(fp[-1])).otherwise(
-        F.when(at(q, jj + 1) == at(q, jj), at(r, jj + 1)).otherwise(fwd_raw))
-    # backward: left-most k with q[k] >= x, interpolating on [k-1, k]
-    k = F.size(F.filter(q, lambda e: e < x))
-    kk = F.least(F.greatest(k, F.lit(1)), F.lit(n - 1))
-    bwd_raw = at(r, kk) - (at(q, kk) - x) * (at(r, kk) - at(r, kk - 1)) / (at(q, kk) - at(q, kk - 1))
-    bwd = F.when(k <= 0, F.lit(fp[0])).when(k >= n, F.lit(fp[-1])).otherwise(
-        F.when(at(q, kk) == at(q, kk - 1), at(r, kk - 1)).otherwise(bwd_raw))
-    return (fwd + bwd) * 0.5
+def _segments(q: list[float], refs: list[float]) -> list[tuple]:
+    """Per distinct quantile value u_k: (k, u_k, u_{k+1}, r_first_k, r_last_k, r_first_{k+1}).
+
+    np.interp from both directions, averaged: strictly between u_k and
+    u_{k+1} both give the same line from (u_k, r_last_k) to (u_{k+1},
+    r_first_{k+1}); exactly at u_k they give r_first_k and r_last_k."""
+    vals, first, last = [], {}, {}
+    for i, v in enumerate(q):
+        if v not in first:
+            first[v] = refs[i]
+            vals.append(v)
+        last[v] = refs[i]
+    out = []
+    for k, v in enumerate(vals):
+        nxt = vals[k + 1] if k + 1 < len(vals) else None
+        out.append((k, float(v), None if nxt is None else float(nxt), float(first[v]), float(last[v]),
+                    None if nxt is None else float(first[nxt])))
+    return out
 
 
 @dataclass
 class QuantileNormal:
     """Empirical CDF from n_quantiles exact quantiles, then the normal quantile
-    function, output clipped at probit(1e-7) / probit(1 - 1e-7)."""
+    function, output clipped at probit(1e-7) / probit(1 - 1e-7).
+
+    The segment of each value is found by binary search (ML ``Bucketizer``
+    over the distinct quantiles, JVM-side) and its interpolation line comes
+    from a broadcast equi-join with the segment table (<= n_quantiles rows)."""
     cols: list[str]
     n_quantiles: int = 1000
     quantiles: dict = field(default_factory=dict)
@@ -365,17 +365,31 @@ class QuantileNormal:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = {}
+        from pyspark.ml.feature import Bucketizer
+        spark = df.sparkSession
         lo_cap = probit(F.lit(QUANTILE_BOUND - 2.220446049250313e-16))
         hi_cap = probit(F.lit(1 - (QUANTILE_BOUND - 2.220446049250313e-16)))
-        for c in self.cols:
+        x = df
+        for i, c in enumerate(self.cols):
             q = self.quantiles[c]
-            x = F.col(c)
-            p = _interp(x, q, self.refs)
-            p = F.when(x - QUANTILE_BOUND < F.lit(q[0]), 0.0).when(x + QUANTILE_BOUND > F.lit(q[-1]), 1.0).otherwise(p)
-            z = probit(F.least(F.greatest(p, F.lit(QUANTILE_BOUND)), F.lit(1 - QUANTILE_BOUND)))
-            out[c] = F.when(x.isNull(), None).otherwise(F.least(F.greatest(z, lo_cap), hi_cap))
-        return df.withColumns(out)
+            seg = _segments(q, self.refs)
+            splits = [float("-inf")] + [s[1] for s in seg] + [float("inf")]
+            b = f"_qb{i}"
+            x = Bucketizer(splits=splits, inputCol=c, outputCol=b, handleInvalid="keep").transform(x)
+            table = spark.createDataFrame(
+                [(float(s[0] + 1), s[1], s[2], s[3], s[4], s[5]) for s in seg],
+                f"{b} double, _u{i} double, _un{i} double, _rf{i} double, _rl{i} double, _rfn{i} double")
+            x = x.join(F.broadcast(table), b, "left")
+            v = F.col(c)
+            line = F.col(f"_rl{i}") + (v - F.col(f"_u{i}")) * (F.col(f"_rfn{i}") - F.col(f"_rl{i}")) \
+                / (F.col(f"_un{i}") - F.col(f"_u{i}"))
+            p = F.when(v == F.col(f"_u{i}"), (F.col(f"_rf{i}") + F.col(f"_rl{i}")) * 0.5).otherwise(line)
+            p = F.when(v - QUANTILE_BOUND < F.lit(q[0]), 0.0).when(v + QUANTILE_BOUND > F.lit(q[-1]), 1.0).otherwise(p)
+            x = x.withColumn(f"_p{i}", p)
+            z = probit(F.least(F.greatest(F.col(f"_p{i}"), F.lit(QUANTILE_BOUND)), F.lit(1 - QUANTILE_BOUND)))
+            x = x.withColumn(c, F.when(v.isNull(), None).otherwise(F.least(F.greatest(z, lo_cap), hi_cap)))
+            x = x.drop(b, f"_u{i}", f"_un{i}", f"_rf{i}", f"_rl{i}", f"_rfn{i}", f"_p{i}")
+        return x
 
 
 def normal_draw(seed, *key) -> Column:
@@ -573,4 +587,4 @@ def feature_prepare(df: DataFrame, cols: list[str], by: list[str], pattern: list
     if scale_share:
         arr = scale_by_feature_share(arr, F.lit(len(cols)), max_features)
     arr = F.concat(arr, F.array_repeat(F.lit(0.0), F.lit(max(0, max_features - len(cols)))))
-    return x.drop(*cols).withColumn("x", arr)
+    return x.withColumn("x", arr).drop(*cols)
