@@ -72,7 +72,8 @@ def chunk_by_weight_greedy(df: DataFrame, job: list[str], order: list[str], weig
     """Exact greedy: close a chunk once its cumulative weight reaches the
     limit (the crossing item stays in).  Sequential per job, so it runs in
     ``applyInPandas`` -- for jobs whose item lists fit one task."""
-    schema = df.schema.add("chunk", "bigint")
+    from pyspark.sql.types import LongType, StructField, StructType
+    schema = StructType(list(df.schema.fields) + [StructField("chunk", LongType())])
     cols = df.columns
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
