@@ -70,15 +70,16 @@ def class_mean_logits_array(x: Column, centres: list[list[float]]) -> Column:
     return F.array(*out)
 
 
-def with_member_logits(df: DataFrame, features: list[str], label: str, ctx_filter: Column,
-                       configs: list[ViewConfig], n_classes: int, out: str = "logits") -> DataFrame:
+def with_member_logits(df: DataFrame, features: list[str], label: str, ctx_filter: Column | None,
+                       configs: list[ViewConfig], n_classes: int, out: str = "logits",
+                       centres: dict | None = None) -> DataFrame:
     """Per-member class-mean logits in one projection per stage: member m
     sees features in pattern order and labels shifted by its offset; its
     logits are rotated back, then the members are averaged.  A permutation
     of the features does not move a centre distance, so members differ only
     by their shift -- but each is evaluated as declared.  Each stage is its
     own column so no expression subtree is duplicated."""
-    base = class_means(df.where(ctx_filter), features, label)
+    base = centres if centres is not None else class_means(df.where(ctx_filter), features, label)
     stage = {}
     for c in configs:
         feats = [F.col(features[i]) for i in c.pattern]
