@@ -277,20 +277,25 @@ class YeoJohnson:
     scale: dict = field(default_factory=dict)
 
     def _long(self, df: DataFrame) -> DataFrame:
+        """(feature, value, count): the likelihood only needs each distinct
+        value once with its multiplicity (partial aggregation map-side)."""
         pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("x"))
                           for i, c in enumerate(self.cols)])
-        return df.select(F.inline(pairs)).where(F.col("x").isNotNull())
+        long = df.select(F.inline(pairs)).where(F.col("x").isNotNull())
+        return long.groupBy("f", "x").agg(F.count(F.lit(1)).cast("double").alias("c"))
 
     def _search(self, long: DataFrame, grids: dict[int, list[float]]) -> dict[int, float]:
         g = F.create_map(*[v for f, lams in grids.items()
                            for v in (F.lit(f), F.array(*[F.lit(float(x)) for x in lams]))])
-        exp = long.select("f", "x", F.explode(F.element_at(g, F.col("f"))).alias("lam"))
+        exp = long.select("f", "x", "c", F.explode(F.element_at(g, F.col("f"))).alias("lam"))
         y = yeo_johnson(F.col("x"), F.col("lam"))
+        c = F.col("c")
         ll = exp.groupBy("f", "lam").agg(
-            F.count(F.lit(1)).alias("n"), F.var_pop(y).alias("v"),
-            F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("s"))
-        ll = ll.select("f", "lam", (F.col("n") * -0.5 * F.log(F.col("v")) + (F.col("lam") - 1.0) * F.col("s")).alias("ll"))
-        best = ll.where(F.col("ll").isNotNull()).groupBy("f").agg(
+            F.sum(c).alias("n"), F.sum(c * y).alias("s1"), F.sum(c * y * y).alias("s2"),
+            F.sum(c * F.signum("x") * F.log1p(F.abs("x"))).alias("s"))
+        var = F.col("s2") / F.col("n") - (F.col("s1") / F.col("n")) * (F.col("s1") / F.col("n"))
+        ll = ll.select("f", "lam", (F.col("n") * -0.5 * F.log(var) + (F.col("lam") - 1.0) * F.col("s")).alias("ll"))
+        best = ll.where(F.col("ll").isNotNull() & ~F.isnan("ll")).groupBy("f").agg(
             F.max_by("lam", F.struct(F.col("ll"), -F.col("lam"))).alias("lam")).collect()
         return {r["f"]: r["lam"] for r in best}
 
@@ -351,6 +356,8 @@ class QuantileNormal:
     from a broadcast equi-join with the segment table (<= n_quantiles rows)."""
     cols: list[str]
     n_quantiles: int = 1000
+    subsample: int = 10_000
+    seed: int = 0
     quantiles: dict = field(default_factory=dict)
     refs: list = field(default_factory=list)
 
@@ -359,8 +366,15 @@ class QuantileNormal:
         nq = max(1, min(self.n_quantiles, n))
         self.refs = [i / (nq - 1) for i in range(nq)] if nq > 1 else [0.0]
         probs = F.array(*[F.lit(p) for p in self.refs])
-        exprs = {f"q{i}": F.percentile((noisy or {}).get(c, F.col(c)), probs) for i, c in enumerate(self.cols)}
-        r = _agg_row(df, exprs)
+        src = df.select(*[(noisy or {}).get(c, F.col(c)).alias(c) for c in self.cols])
+        if n > self.subsample:
+            # quantiles are estimated on a bounded, seeded sample (as the reference's
+            # transformer does); a hash top-k, independent of partitioning
+            key = [F.col(c) for c in self.cols]
+            src = src.withColumn("_u", uniform(f"qs{self.seed}", *key)).orderBy("_u", *self.cols) \
+                     .limit(self.subsample).drop("_u")
+        exprs = {f"q{i}": F.percentile(c, probs) for i, c in enumerate(self.cols)}
+        r = _agg_row(src, exprs)
         self.quantiles = {c: sorted(r[f"q{i}"]) for i, c in enumerate(self.cols)}
         return self
 
@@ -421,7 +435,7 @@ class QuantileRtdl:
             for i, c in enumerate(self.cols):
                 sigma = self.noise / max(stds[f"s{i}"] or 0.0, self.noise)
                 noisy[c] = F.col(c) + F.lit(sigma) * normal_draw(f"{self.seed}:{c}", *self.key)
-        self.qn = QuantileNormal(self.cols, nq).fit(df, noisy)
+        self.qn = QuantileNormal(self.cols, nq, seed=self.seed).fit(df, noisy)
         t = self.qn.transform(df)
         exprs = {}
         for i, c in enumerate(self.cols):

@@ -27,17 +27,21 @@ N_ESTIMATORS = 8
 def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS):
     li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *LI_FEATURES, "l_returnflag", "role")
     ctx = F.col("role") == "context"
-    dictionary = TG.label_dictionary(li.where(ctx), "l_returnflag").cache()
+    # every fit reads only the context rows: keep them (a bounded sample in practice) persisted
+    context = li.where(ctx).persist()
+    dictionary = TG.label_dictionary(context, "l_returnflag").cache()
     n_classes = dictionary.count()
     TG.check_class_limit(n_classes)
-    x = TG.label_encode(li, "l_returnflag", dictionary, "y")
-    scaler = StandardScaleClip(LI_FEATURES).fit(x.where(ctx))
-    x = scaler.transform(x)
-    clipper = OutlierSoftClip(LI_FEATURES).fit(x.where(ctx))
-    x = clipper.transform(x)
+    cx = TG.label_encode(context, "l_returnflag", dictionary, "y")
+    scaler = StandardScaleClip(LI_FEATURES).fit(cx)
+    cx = scaler.transform(cx)
+    clipper = OutlierSoftClip(LI_FEATURES).fit(cx)
+    centres = S.class_means(clipper.transform(cx), LI_FEATURES, "y")
+    context.unpersist()
+    x = clipper.transform(scaler.transform(TG.label_encode(li.where(~ctx), "l_returnflag", dictionary, "y")))
     pats = feature_patterns(len(LI_FEATURES), n_estimators, "latin", seed=0)
     cfg = ensemble_configs(pats, n_classes, ["none"], n_estimators, class_shift=True, seed=0)
-    q = S.with_member_logits(x, LI_FEATURES, "y", ctx, cfg, n_classes, "logits").where(~ctx)
+    q = S.with_member_logits(x, LI_FEATURES, "y", None, cfg, n_classes, "logits", centres=centres)
     q = S.with_proba(q, "logits", "proba")
     q = q.withColumn("pred_idx", S.predict_index(F.col("proba")))
     q = TG.label_decode(q, "pred_idx", dictionary, "prediction")
