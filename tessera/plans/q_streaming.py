@@ -33,7 +33,7 @@ def _scored_stream(spark, sf_dir):
     centres = S.class_means(clipper.transform(scaler.transform(cx)), LI_FEATURES, "y")
     cfg = ensemble_configs(feature_patterns(4, 8, "latin", 0), n, ["none"], 8, True, 0)
     src = ST.land(li.where("role = 'query'").drop("role"), "stream-in", 8, "csv")
-    stream = ST.file_stream(spark, src, li.drop("role").schema, "csv", max_files=2)
+    stream = ST.file_stream(spark, src, li.drop("role").schema, "csv", max_files=4)
     x = clipper.transform(scaler.transform(stream))
     x = S.with_member_logits(x, LI_FEATURES, "y", None, cfg, n, "logits", centres=centres)
     x = S.with_proba(x, "logits", "proba")
