@@ -40,7 +40,7 @@ def binarize_median(df: DataFrame, y: str, by: list[str] | None = None, out: str
     """1 if y > the lower median (percentile_disc(0.5) = lower median)."""
     by = by or []
     med = df.groupBy(*by).agg(F.expr(f"percentile_disc(0.5) within group (order by `{y}`)").alias("_med"))
-    j = df.join(med, by, "left") if by else df.join(med)
+    j = df.join(med, by, "left") if by else df.withColumn("_med", F.lit(med.first()[0]))
     return j.withColumn(out, (F.col(y) > F.col("_med")).cast("int")).drop("_med")
 
 
@@ -50,16 +50,21 @@ def count_below(v: Column, edges: list[float] | Column, strict: bool = True) ->
     return F.size(F.filter(arr, (lambda e: v > e) if strict else (lambda e: v >= e)))
 
 
-def rank_boundaries(df: DataFrame, y: str, key: list[str], n_classes: int, seed, by: list[str] | None = None) -> DataFrame:
-    """C-1 boundaries drawn from the data with replacement, per dataset:
-    draw j picks the row whose rank (by key order) equals floor(u_j * n)."""
+def rank_boundaries(df: DataFrame, y: str, order: str, n_classes: int, seed, by: list[str] | None = None,
+                    bucket: Column | None = None) -> DataFrame:
+    """C-1 boundaries per dataset drawn from the data with replacement: draw
+    j takes the value at rank floor(u_j * n) + 1 in ``order``.  Ranks are
+    exact and skew-safe (``ordering.exact_rank``); one array per dataset of
+    C-1 values."""
+    from tessera.operators.ordering import exact_rank
     by = by or []
-    w = Window.partitionBy(*by).orderBy(*key)
-    x = df.withColumn("_r", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
-    draws = x.select(*by, "_n").distinct().select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 2))).alias("j"))
-    draws = draws.withColumn("_r", F.floor(uniform(seed, *by, F.col("j")) * F.col("_n")).cast("int"))
-    b = draws.join(x.select(*by, "_r", F.col(y).alias("b")), [*by, "_r"])
-    return b.groupBy(*by).agg(F.collect_list("b").alias("boundaries"))
+    b = bucket if bucket is not None else F.floor(F.col(order).cast("double") / 65536)
+    x = exact_rank(df, by, order, [], out="_r", total="_n", bucket=b)
+    n = x.select(*by, "_n").distinct()
+    draws = n.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 2))).alias("j"))
+    draws = draws.withColumn("_r", (F.floor(uniform(seed, *by, F.col("j")) * F.col("_n")) + 1).cast("bigint"))
+    bnd = draws.join(x.select(*by, "_r", F.col(y).alias("b")), [*by, "_r"])
+    return bnd.groupBy(*by).agg(F.collect_list("b").alias("boundaries"))
 
 
 def permutation_map(n: int, seed) -> list[int]:

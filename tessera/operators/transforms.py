@@ -43,6 +43,13 @@ def _lit(v) -> Column:
     return F.lit(None).cast("double") if v is None else F.lit(float(v))
 
 
+def _with_row(df: DataFrame, params: DataFrame) -> DataFrame:
+    """Attach a one-row parameter table as literal columns (collected: its
+    size is the number of parameters), instead of a condition-less join."""
+    row = params.first()
+    return df.withColumns({k: F.lit(v) for k, v in (row.asDict() if row else {}).items()})
+
+
 def nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """NaN is not missing in Spark aggregates; convert at ingest."""
     return df.withColumns({c: F.when(F.isnan(F.col(c)), None).otherwise(F.col(c)) for c in cols})
@@ -115,7 +122,7 @@ class StandardScaleNan:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        j = df.join(self.params, self.by, "left") if self.by else df.join(self.params)
+        j = df.join(self.params, self.by, "left") if self.by else _with_row(df, self.params)
         out = j.withColumns({
             c: clip((F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}"), -SCALE_CLIP, SCALE_CLIP)
             for i, c in enumerate(self.cols)})
@@ -181,7 +188,7 @@ class OutlierHardClip:
         for i, c in enumerate(self.cols):
             s1 += [F.avg(c).alias(f"_m{i}"), _floor(_std_missing_aware(c, n)).alias(f"_s{i}")]
         p1 = df.groupBy(*self.by).agg(*s1)
-        j = df.join(p1, self.by, "left") if self.by else df.join(p1)
+        j = df.join(p1, self.by, "left") if self.by else _with_row(df, p1)
         s2 = []
         for i, c in enumerate(self.cols):
             lo = F.col(f"_m{i}") - F.col(f"_s{i}") * t
@@ -191,7 +198,7 @@ class OutlierHardClip:
             sd2 = F.coalesce(_floor(F.when(n > 1, F.stddev_samp(kept)).otherwise(F.stddev_pop(kept))), F.lit(0.0))
             s2 += [(m2 - sd2 * t).alias(f"_lo{i}"), (m2 + sd2 * t).alias(f"_hi{i}")]
         p2 = j.groupBy(*self.by).agg(*s2)
-        out = df.join(p2, self.by, "left") if self.by else df.join(p2)
+        out = df.join(p2, self.by, "left") if self.by else _with_row(df, p2)
         # least/greatest skip nulls; a missing input must stay missing
         out = out.withColumns({
             c: F.when(F.col(c).isNull(), None).otherwise(

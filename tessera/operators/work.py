@@ -31,15 +31,18 @@ def items_normalise(df: DataFrame, candidates: list[str], weight: str | None, me
     return out.withColumn("checksum", F.sha2(F.concat_ws("|", "ref", F.col("weight").cast("string")), 256))
 
 
-def items_replicate(df: DataFrame, id_col: str, order: list[str], target: int) -> DataFrame:
+def items_replicate(df: DataFrame, id_col: str, order: list[str], target: int,
+                    bucket: Column | None = None) -> DataFrame:
     """Repeat items cyclically until ``target`` rows; copies get ``<id>_dup<n>``
-    and a ``duplicate_of`` link.  The copy count comes from one count()."""
+    and a ``duplicate_of`` link.  The copy count comes from one count(); the
+    item ordinal is an exact rank split over ``bucket`` (monotone in the
+    order, e.g. floor(key / width))."""
     n = df.count()
     if n == 0:
         return df
     copies = -(-target // n)
     x = exact_rank(df.withColumn("_g", F.lit(0)), ["_g"], order[0], order[1:], out="_ord",
-                   bucket=F.lit(0)).drop("_g")
+                   bucket=bucket if bucket is not None else F.floor(F.col(order[0]).cast("double") / 65536)).drop("_g")
     x = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy"))
     x = x.where((F.col("_copy") * n + F.col("_ord") - 1) < target)
     dup = F.col("_copy") > 0
@@ -48,21 +51,29 @@ def items_replicate(df: DataFrame, id_col: str, order: list[str], target: int) -
                         .otherwise(F.col(id_col))).drop("_copy", "_ord")
 
 
-def chunk_fixed(df: DataFrame, job: list[str], order: list[str], k: int) -> DataFrame:
-    """Consecutive chunks of at most k items per job, in ``order``."""
-    w = Window.partitionBy(*job).orderBy(*order)
-    x = df.withColumn("_rn", F.row_number().over(w))
+def chunk_fixed(df: DataFrame, job: list[str], order: list[str], k: int, bucket: Column | None = None) -> DataFrame:
+    """Consecutive chunks of at most k items per job, in ``order``.  With a
+    ``bucket`` (monotone in the order) the item rank is computed per
+    sub-bucket, so a job holding most items is not ranked in one task."""
+    if bucket is not None:
+        x = exact_rank(df, job, order[0], order[1:], out="_rn", bucket=bucket)
+    else:
+        x = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*job).orderBy(*order)))
     chunk = F.floor((F.col("_rn") - 1) / k).cast("bigint")
     return x.withColumn("chunk", chunk).withColumn(
         "task_id", F.concat_ws("#", *[F.col(j).cast("string") for j in job], F.col("chunk").cast("string"))).drop("_rn")
 
 
-def chunk_by_weight_bands(df: DataFrame, job: list[str], order: list[str], weight: str, limit: float) -> DataFrame:
+def chunk_by_weight_bands(df: DataFrame, job: list[str], order: list[str], weight: str, limit: float,
+                          bucket: Column | None = None) -> DataFrame:
     """Prefix-sum bands: chunk = floor(weight before this item / limit).  No
     chunk holds more than ``limit`` plus one item.  A single item above the
-    limit is an error."""
-    w = Window.partitionBy(*job).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    x = df.withColumn("_before", F.coalesce(F.sum(weight).over(w), F.lit(0.0)))
+    limit is an error.  The prefix sum runs per ``bucket`` chunk of the
+    order plus chunk offsets (skew-safe)."""
+    from tessera.operators.ordering import running_sum
+    b = bucket if bucket is not None else F.floor(F.col(order[0]).cast("double") / 65536)
+    x = running_sum(df, job, order, F.col(weight).cast("double"), b, "_incl")
+    x = x.withColumn("_before", F.col("_incl") - F.col(weight).cast("double")).drop("_incl")
     x = x.withColumn("chunk", F.when(F.col(weight) > limit, F.raise_error(F.lit("item heavier than the chunk limit")))
                      .otherwise(F.floor(F.col("_before") / limit)).cast("bigint"))
     return x.drop("_before")

@@ -31,13 +31,7 @@ _N_CLASSES = 4
 
 
 def _rank_boundaries(df, y, by, n_classes, seed):
-    """C-1 boundaries per dataset: the value at rank floor(u_j * n) (by key)."""
-    x = O.exact_rank(df, by, "o_orderkey", [], out="_r", total="_n", bucket=F.floor(F.col("o_orderkey") / 65536))
-    n = x.select(*by, "_n").distinct()
-    draws = n.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 2))).alias("j"))
-    draws = draws.withColumn("_r", (F.floor(uniform(seed, *by, F.col("j")) * F.col("_n")) + 1).cast("bigint"))
-    b = draws.join(x.select(*by, "_r", F.col(y).alias("b")), [*by, "_r"])
-    return b.groupBy(*by).agg(F.collect_list("b").alias("boundaries"))
+    return TG.rank_boundaries(df, y, "o_orderkey", n_classes, seed, by)
 
 
 _RB_SQL = f"""
@@ -148,12 +142,12 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 FROM x, e""")
 def _qbins_right(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    edges = TG.quantile_edges(li, "l_extendedprice", 5)
+    edges = TG.quantile_edges(li, "l_extendedprice", 5).first()["edges"]      # <= 6 fitted edges
     x = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                   F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice")).alias("v"))
     v = F.col("v")
-    b = TG.bins_right_closed(v, F.col("edges"))
-    return x.join(F.broadcast(edges), how="inner").select(
+    b = TG.bins_right_closed(v, F.array(*[F.lit(float(e)) for e in edges]))
+    return x.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.concat(F.lit("C"), F.pmod(b, F.lit(10)).cast("string")).alias("label"))
 

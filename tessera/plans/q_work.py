@@ -39,21 +39,24 @@ SELECT CASE WHEN copy > 0 THEN part_id || '_dup' || CAST(copy AS VARCHAR) ELSE p
        CASE WHEN copy > 0 THEN part_id END AS duplicate_of FROM c""")
 def _replicate(spark, sf_dir):
     i = _items(spark, sf_dir).select("part_id", "p_partkey")
-    return WK.items_replicate(i, "part_id", ["p_partkey"], _TARGET).select("part_id", "duplicate_of")
+    return WK.items_replicate(i, "part_id", ["p_partkey"], _TARGET, F.floor(F.col("p_partkey") / 1024)).select(
+        "part_id", "duplicate_of")
 
 
 @register("chunk_fixed", """
 SELECT p_partkey, p_brand || '#' || CAST((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 10 AS VARCHAR) AS task_id
 FROM part""")
 def _chunk_fixed(spark, sf_dir):
-    return WK.chunk_fixed(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], 10).select("p_partkey", "task_id")
+    c = WK.chunk_fixed(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], 10, F.floor(F.col("p_partkey") / 1024))
+    return c.select("p_partkey", "task_id")
 
 
 @register("chunk_by_weight", """
 SELECT p_partkey, CAST(floor(coalesce(sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100.0) AS BIGINT) AS chunk FROM part""")
 def _chunk_weight(spark, sf_dir):
-    c = WK.chunk_by_weight_bands(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], "weight", 100.0)
+    c = WK.chunk_by_weight_bands(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], "weight", 100.0,
+                                 F.floor(F.col("p_partkey") / 1024))
     return c.select("p_partkey", "chunk")
 
 
