@@ -144,21 +144,29 @@ def task_summary(df: DataFrame, task: str, weight: str) -> DataFrame:
     return per.unionByName(tot)
 
 
-FINGERPRINT_BUCKETS = 256
-
-
-def fingerprint(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Order-independent digest of a record set: sha256 per record of the
-    fields joined as text (null -> ''), then two levels of sorted digest
-    lists (256 prefix buckets) hashed again, plus the record count.  No step
-    sorts more than one bucket."""
-    rec = F.sha2(F.concat_ws("", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]), 256)
-    d = df.select(rec.alias("h"))
-    lvl1 = d.groupBy(F.substring("h", 1, 2).alias("b")).agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("hb"),
-        F.count(F.lit(1)).alias("n"))
-    return lvl1.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat("b", "hb"))), ""), 256).alias("digest"),
-                    F.sum("n").alias("n"))
+def record_digest(fields: list[str]) -> Column:
+    """sha256 of the fields joined as text (a missing value is '')."""
+    return F.sha2(F.concat_ws("", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]), 256)
+
+
+def fingerprint(df: DataFrame, fields: list[str], by: list[str] | None = None) -> DataFrame:
+    """Order-independent digest of a record set (and its count).
+
+    Each record's sha256 gives two 60-bit integers; the set digest is the
+    sha256 of (count, their decimal sums, their XORs).  Sums and XORs are
+    commutative and associative, so the aggregate is computed map-side in one
+    pass with no sort and no gathered list -- it holds at any row count
+    (sums of 10^12 60-bit values fit DECIMAL(38,0)) -- and duplicates still
+    change the digest."""
+    h = record_digest(fields)
+    a = F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
+    b = F.conv(F.substring(h, 16, 15), 16, 10).cast("bigint")
+    x = df.select(*(by or []), a.alias("a"), b.alias("b"))
+    g = x.groupBy(*(by or [])).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("a").cast("decimal(38,0)")).alias("sa"),
+        F.sum(F.col("b").cast("decimal(38,0)")).alias("sb"), F.bit_xor("a").alias("xa"), F.bit_xor("b").alias("xb"))
+    digest = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in ("n", "sa", "sb", "xa", "xb")]), 256)
+    return g.select(*(by or []), digest.alias("digest"), "n")
 
 
 def tick_sum(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

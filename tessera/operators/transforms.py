@@ -515,9 +515,13 @@ class OrdinalEncode:
     def fit(self, df: DataFrame) -> "OrdinalEncode":
         vals = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category"))
                                             for c in self.cols]))).where(F.col("category").isNotNull()).distinct()
-        from pyspark.sql import Window as W
-        self.dictionary = vals.withColumn(
-            "code", (F.dense_rank().over(W.partitionBy("column").orderBy("category")) - 1).cast("bigint"))
+        # rank of each distinct category in binary string order; the first
+        # character's code point is monotone in that order, so it buckets a
+        # high-cardinality column over many tasks
+        from tessera.operators.ordering import exact_rank
+        r = exact_rank(vals, ["column"], "category", [], out="_r",
+                       bucket=F.ascii(F.substring("category", 1, 1)))
+        self.dictionary = r.withColumn("code", (F.col("_r") - 1).cast("bigint")).drop("_r")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

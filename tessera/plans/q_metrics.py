@@ -143,11 +143,21 @@ def _task_summary(spark, sf_dir):
     return M.task_summary(p, "p_brand", "p_size")
 
 
-@register("stream_fingerprint", """
-WITH h AS (SELECT sha256(concat_ws('', coalesce(CAST(event_id AS VARCHAR), ''), coalesce(CAST(user_id AS VARCHAR), ''),
-                                   coalesce(event_type, ''), coalesce(props, ''))) AS h FROM events),
-b AS (SELECT substr(h, 1, 2) AS b, sha256(string_agg(h, '' ORDER BY h)) AS hb, count(*) AS n FROM h GROUP BY 1)
-SELECT sha256(string_agg(b || hb, '' ORDER BY b || hb)) AS digest, CAST(sum(n) AS BIGINT) AS n FROM b""")
+def fingerprint_sql(fields_sql: str, source: str, by: str | None = None) -> str:
+    """DuckDB twin of metrics.fingerprint."""
+    g = f"{by}, " if by else ""
+    grp = f" GROUP BY {by}" if by else ""
+    return f"""WITH h AS (SELECT {g}sha256(concat_ws('', {fields_sql})) AS h FROM {source}),
+v AS (SELECT {g}('0x' || substr(h, 1, 15))::BIGINT AS a, ('0x' || substr(h, 16, 15))::BIGINT AS b FROM h),
+s AS (SELECT {g}count(*) AS n, sum(CAST(a AS HUGEINT)) AS sa, sum(CAST(b AS HUGEINT)) AS sb, bit_xor(a) AS xa, bit_xor(b) AS xb
+      FROM v{grp})
+SELECT {g}sha256(concat_ws('|', CAST(n AS VARCHAR), CAST(sa AS VARCHAR), CAST(sb AS VARCHAR), CAST(xa AS VARCHAR),
+       CAST(xb AS VARCHAR))) AS digest, CAST(n AS BIGINT) AS n FROM s"""
+
+
+@register("stream_fingerprint", fingerprint_sql(
+    "coalesce(CAST(event_id AS VARCHAR), ''), coalesce(CAST(user_id AS VARCHAR), ''), coalesce(event_type, ''), "
+    "coalesce(props, '')", "events"))
 def _fingerprint(spark, sf_dir):
     return M.fingerprint(table(spark, sf_dir, "events"), ["event_id", "user_id", "event_type", "props"])
 

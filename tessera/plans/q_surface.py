@@ -97,21 +97,15 @@ def _udtf(spark, sf_dir):
                      "LATERAL tessera_split_lines(d.text) t")
 
 
-@register("udaf_fingerprint", """
-WITH h AS (SELECT lang, sha256(concat_ws('', CAST(doc_id AS VARCHAR), coalesce(source, ''))) AS h FROM documents),
-b AS (SELECT lang, substr(h, 1, 2) AS b, sha256(string_agg(h, '' ORDER BY h)) AS hb, count(*) AS n FROM h GROUP BY 1, 2)
-SELECT lang, sha256(string_agg(b || hb, '' ORDER BY b || hb)) AS digest, CAST(sum(n) AS BIGINT) AS n FROM b GROUP BY lang""")
+from tessera.plans.q_metrics import fingerprint_sql  # noqa: E402
+from tessera.operators import metrics as M  # noqa: E402
+
+
+@register("udaf_fingerprint", fingerprint_sql("CAST(doc_id AS VARCHAR), coalesce(source, '')", "documents", "lang"))
 def _udaf(spark, sf_dir):
-    """Order-independent digest per group as a composition of built-in
-    aggregates (two levels, so no group is sorted whole in one place)."""
-    d = table(spark, sf_dir, "documents")
-    rec = F.sha2(F.concat_ws("", F.col("doc_id").cast("string"), F.coalesce("source", F.lit(""))), 256)
-    h = d.select("lang", rec.alias("h"))
-    lvl1 = h.groupBy("lang", F.substring("h", 1, 2).alias("b")).agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("hb"), F.count(F.lit(1)).alias("n"))
-    return lvl1.groupBy("lang").agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat("b", "hb"))), ""), 256).alias("digest"),
-        F.sum("n").alias("n"))
+    """The fingerprint as a user aggregate per group: a composition of
+    built-in partial aggregates (no Python, no gathered lists)."""
+    return M.fingerprint(table(spark, sf_dir, "documents"), ["doc_id", "source"], by=["lang"])
 
 
 @register("hooks")
