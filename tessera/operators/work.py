@@ -173,12 +173,15 @@ def ledger_stats(state: DataFrame) -> DataFrame:
     return g.withColumn("drained", (F.col("acked") == F.col("total")))
 
 
-def retry_outcomes(log: DataFrame, task: str, order: str, ok: str, max_retries: int, base_s: float) -> DataFrame:
+def retry_outcomes(log: DataFrame, task: str, order: str, ok: str, max_retries: int, base_s: float,
+                   bucket: Column | None = None) -> DataFrame:
     """Attempts in order; the first success within 1 + max_retries attempts
     wins, else the task is dead.  Backoff before attempt a (a >= 2) is
-    base * 2^(a-2) (jitter 0); latency = sum of backoffs before the outcome."""
-    w = Window.partitionBy(task).orderBy(order)
-    x = log.withColumn("_a", F.row_number().over(w)).where(F.col("_a") <= max_retries + 1)
+    base * 2^(a-2) (jitter 0); latency = sum of backoffs before the outcome.
+    The attempt number is an exact rank split over ``bucket`` (monotone in
+    the order), so a task with a huge attempt log is not ranked in one task."""
+    b = bucket if bucket is not None else F.floor(F.col(order).cast("double") / 65536)
+    x = exact_rank(log, [task], order, [], out="_a", bucket=b).where(F.col("_a") <= max_retries + 1)
     g = x.groupBy(task).agg(F.min(F.when(F.col(ok), F.col("_a"))).alias("success_attempt"),
                             F.max("_a").alias("attempts_seen"))
     a = F.coalesce(F.col("success_attempt"), F.col("attempts_seen"))
