@@ -24,11 +24,18 @@ from tessera.plans.sqlbits import LI_KEY_SQL, digest_sql, soft_clip_sql, u_sql
 N_ESTIMATORS = 8
 
 
-def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS):
-    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *LI_FEATURES, "l_returnflag", "role")
-    ctx = F.col("role") == "context"
-    # every fit reads only the context rows: keep them (a bounded sample in practice) persisted
-    context = li.where(ctx).persist()
+class ClassifierModel:
+    """Everything fitted on the context: dictionary, scaler, clipper, class
+    centres and the member configurations (all bounded by classes x features)."""
+
+    def __init__(self, dictionary, n_classes, scaler, clipper, centres, configs):
+        self.dictionary, self.n_classes = dictionary, n_classes
+        self.scaler, self.clipper, self.centres, self.configs = scaler, clipper, centres, configs
+
+
+def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS) -> ClassifierModel:
+    """Fits read only the context rows, kept persisted while fitting."""
+    context = context.persist()
     dictionary = TG.label_dictionary(context, "l_returnflag").cache()
     n_classes = dictionary.count()
     TG.check_class_limit(n_classes)
@@ -38,14 +45,26 @@ def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS)
     clipper = OutlierSoftClip(LI_FEATURES).fit(cx)
     centres = S.class_means(clipper.transform(cx), LI_FEATURES, "y")
     context.unpersist()
-    x = clipper.transform(scaler.transform(TG.label_encode(li.where(~ctx), "l_returnflag", dictionary, "y")))
     pats = feature_patterns(len(LI_FEATURES), n_estimators, "latin", seed=0)
     cfg = ensemble_configs(pats, n_classes, ["none"], n_estimators, class_shift=True, seed=0)
-    q = S.with_member_logits(x, LI_FEATURES, "y", None, cfg, n_classes, "logits", centres=centres)
+    return ClassifierModel(dictionary, n_classes, scaler, clipper, centres, cfg)
+
+
+def apply_classifier(rows: DataFrame, m: ClassifierModel) -> DataFrame:
+    """Pure projections plus two broadcast joins with the C-row dictionary;
+    works on batch and streaming frames alike."""
+    x = m.clipper.transform(m.scaler.transform(TG.label_encode(rows, "l_returnflag", m.dictionary, "y")))
+    q = S.with_member_logits(x, LI_FEATURES, "y", None, m.configs, m.n_classes, "logits", centres=m.centres)
     q = S.with_proba(q, "logits", "proba")
     q = q.withColumn("pred_idx", S.predict_index(F.col("proba")))
-    q = TG.label_decode(q, "pred_idx", dictionary, "prediction")
-    return q, dictionary, n_classes
+    return TG.label_decode(q, "pred_idx", m.dictionary, "prediction")
+
+
+def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS):
+    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *LI_FEATURES, "l_returnflag", "role")
+    ctx = F.col("role") == "context"
+    m = fit_classifier(li.where(ctx), n_estimators)
+    return apply_classifier(li.where(~ctx), m), m.dictionary, m.n_classes
 
 
 _BASE_SQL = f"""

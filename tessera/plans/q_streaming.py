@@ -8,10 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import scoring as S
-from tessera.operators import targets as TG
-from tessera.operators.ensemble import ensemble_configs, feature_patterns
-from tessera.operators.transforms import OutlierSoftClip, StandardScaleClip
 from tessera.plans.classify import _BASE_SQL as _CLS_SQL
 from tessera.plans.common import LI_FEATURES, li_key, lineitem, r6, with_role
 from tessera.plans.registry import register
@@ -23,22 +19,12 @@ _EPOCH_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
 
 def _scored_stream(spark, sf_dir):
     """Fit once on the context (batch), score query files as they land."""
+    from tessera.plans.classify import apply_classifier, fit_classifier
     li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *LI_FEATURES, "l_returnflag", "role")
-    ctx = li.where("role = 'context'")
-    d = TG.label_dictionary(ctx, "l_returnflag").cache()
-    n = d.count()
-    cx = TG.label_encode(ctx, "l_returnflag", d, "y")
-    scaler = StandardScaleClip(LI_FEATURES).fit(cx)
-    clipper = OutlierSoftClip(LI_FEATURES).fit(scaler.transform(cx))
-    centres = S.class_means(clipper.transform(scaler.transform(cx)), LI_FEATURES, "y")
-    cfg = ensemble_configs(feature_patterns(4, 8, "latin", 0), n, ["none"], 8, True, 0)
+    model = fit_classifier(li.where("role = 'context'"))
     src = ST.land(li.where("role = 'query'").drop("role"), "stream-in", 8, "csv")
     stream = ST.file_stream(spark, src, li.drop("role").schema, "csv", max_files=4)
-    x = clipper.transform(scaler.transform(stream))
-    x = S.with_member_logits(x, LI_FEATURES, "y", None, cfg, n, "logits", centres=centres)
-    x = S.with_proba(x, "logits", "proba")
-    x = x.withColumn("pred_idx", S.predict_index(F.col("proba")))
-    x = TG.label_decode(x, "pred_idx", d, "prediction")
+    x = apply_classifier(stream, model)
     out = scratch_path(spark, "stream-scored")
     ST.to_files(x.select("row_id", "prediction", "l_returnflag"), out, scratch_path(spark, "ckpt-scored"))
     return out
