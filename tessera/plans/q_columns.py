@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import uniform
 from tessera.operators import columns as C
 from tessera.operators import metrics as M
 from tessera.plans.common import r6
 from tessera.plans.registry import register
-from tessera.plans.sqlbits import u_sql
 from tessera.session import table
 
 
@@ -161,5 +159,3 @@ def _label_norm(spark, sf_dir):
         res = res.unionByName(o)
     return res
 
-
-del uniform, u_sql

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import uniform
 from tessera.operators import ordering as O
 from tessera.plans.common import li_key, lineitem, r6
 from tessera.plans.registry import register
@@ -195,5 +194,3 @@ SELECT {digest_sql(*LI_KEY_SQL)} AS row_id, l_quantity FROM lineitem""")
 def _order_restore(spark, sf_dir):
     return lineitem(spark, sf_dir).select("row_id", "l_quantity").orderBy("row_id")
 
-
-del uniform

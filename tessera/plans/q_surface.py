@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import time
 
 import numpy as np
@@ -14,7 +13,6 @@ from tessera.functions.hashing import uniform
 from tessera.operators import scoring as S
 from tessera.operators import work as WK
 from tessera.operators.ordering import sample_k
-from tessera.plans.common import r6
 from tessera.plans.registry import register
 from tessera.session import scratch_path, table
 from tessera.streaming import operators as ST
@@ -139,5 +137,3 @@ def _sink_adapter(spark, sf_dir):
     ST.foreach_batch_sink(ST.file_stream(spark, src, e.schema, max_files=2), sink, scratch_path(spark, "ckpt-adapter"))
     return spark.read.schema("event_id bigint, event_type string").json(out).select("event_id", "event_type")
 
-
-del hashlib, r6

@@ -6,8 +6,6 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import uniform
-from tessera.operators import ordering as O
 from tessera.operators import targets as TG
 from tessera.operators.transforms import StandardScaleNan
 from tessera.plans.registry import register
