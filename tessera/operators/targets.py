@@ -38,9 +38,10 @@ def check_class_limit(n_classes: int, max_classes: int = MAX_CLASSES, grouping:
 
 def binarize_median(df: DataFrame, y: str, by: list[str] | None = None, out: str = "y_bin") -> DataFrame:
     """1 if y > the lower median (percentile_disc(0.5) = lower median)."""
+    from tessera.operators.ordering import exact_quantiles
     by = by or []
-    med = df.groupBy(*by).agg(F.expr(f"percentile_disc(0.5) within group (order by `{y}`)").alias("_med"))
-    j = df.join(med, by, "left") if by else df.withColumn("_med", F.lit(med.first()[0]))
+    med = exact_quantiles(df, y, [0.5], by, method="lower").select(*by, F.col("q")[0].alias("_med"))
+    j = df.join(med, by, "left") if by else df.withColumn("_med", F.lit(med.first()["_med"]))
     return j.withColumn(out, (F.col(y) > F.col("_med")).cast("int")).drop("_med")
 
 
@@ -90,8 +91,9 @@ def shift_classes(c: Column, k, n_classes) -> Column:
 
 def quantile_edges(df: DataFrame, v: str, k: int, by: list[str] | None = None) -> DataFrame:
     """k+1 quantile edges (linear interpolation), distinct and sorted."""
-    probs = F.array(*[F.lit(i / k) for i in range(k + 1)])
-    return df.groupBy(*(by or [])).agg(F.array_sort(F.array_distinct(F.percentile(v, probs))).alias("edges"))
+    from tessera.operators.ordering import exact_quantiles
+    q = exact_quantiles(df, v, [i / k for i in range(k + 1)], by)
+    return q.select(*(by or []), F.array_sort(F.array_distinct("q")).alias("edges"))
 
 
 def bins_right_closed(v: Column, edges: Column) -> Column:

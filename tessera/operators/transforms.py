@@ -247,13 +247,17 @@ class RobustScale:
     scale: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "RobustScale":
-        exprs = {}
-        for i, c in enumerate(self.cols):
+        from tessera.operators.ordering import exact_quantiles
+        qs = {}
+        if self.approx:
             arr = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-            exprs[f"q{i}"] = (F.percentile_approx(c, arr, 100000) if self.approx else F.percentile(c, arr))
-        r = _agg_row(df, exprs)
+            r = _agg_row(df, {f"q{i}": F.percentile_approx(c, arr, 100000) for i, c in enumerate(self.cols)})
+            qs = {c: r[f"q{i}"] for i, c in enumerate(self.cols)}
+        else:
+            # exact, without gathering a column in one aggregation buffer
+            qs = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75]).first()["q"] for c in self.cols}
         for i, c in enumerate(self.cols):
-            q25, q50, q75 = r[f"q{i}"]
+            q25, q50, q75 = qs[c]
             s = (q75 - q25) / IQR_NORMAL
             self.center[c], self.scale[c] = q50, (s if s != 0 else 1.0)
         return self

@@ -101,8 +101,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        CAST(len(list_filter(edges, lambda b: l_extendedprice > b)) AS INTEGER) AS bin FROM lineitem, e""")
 def _range_bins(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    probs = F.array(*[F.lit(i / 10) for i in range(1, 10)])
-    edges = li.agg(F.percentile("l_extendedprice", probs)).first()[0]   # 9 numbers: bounded
+    from tessera.operators.ordering import exact_quantiles
+    edges = exact_quantiles(li, "l_extendedprice", [i / 10 for i in range(1, 10)]).first()["q"]   # 9 numbers
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      TG.count_below(F.col("l_extendedprice"), edges).cast("int").alias("bin"))
 

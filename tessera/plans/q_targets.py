@@ -155,7 +155,8 @@ WITH e AS (SELECT quantile_cont(o_totalprice, [0.25, 0.5, 0.75]) AS edges FROM o
 SELECT o_orderkey, CAST(len(list_filter(edges, lambda e: e <= o_totalprice)) AS INTEGER) AS bin FROM orders, e""")
 def _qbins_left(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    inner = o.agg(F.percentile("o_totalprice", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
+    from tessera.operators.ordering import exact_quantiles
+    inner = exact_quantiles(o, "o_totalprice", [0.25, 0.5, 0.75]).first()["q"]
     edges = F.array(*[F.lit(float(e)) for e in inner])   # k-1 fitted edges: bounded, inlined
     return o.select("o_orderkey", TG.bins_left_closed(F.col("o_totalprice"), edges).cast("int").alias("bin"))
 
