@@ -113,7 +113,7 @@ def _repair(spark, sf_dir):
 
 
 def _ev_chunk():
-    return F.floor(F.col("event_id") / 1000)
+    return F.floor(F.col("event_id") / (1 << 20))
 
 
 @register("tick_counter", """

@@ -24,7 +24,7 @@ def _conv(spark, sf_dir):
 
 
 def _chunk():
-    return F.floor(F.col("turn") / 64)
+    return F.floor(F.col("turn") / (1 << 20))
 
 
 _PACK_SQL = f"""WITH c AS {_CONV_SQL},

@@ -24,7 +24,7 @@ def _ev(spark, sf_dir):
 
 
 def _chunk():
-    return F.floor(F.col("line_no") / 4096)
+    return F.floor(F.col("line_no") / (1 << 20))
 
 
 def _headers(e, header, every=1000, stride=2):
