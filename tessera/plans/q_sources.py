@@ -54,6 +54,7 @@ def _jsonl(spark, sf_dir):
     return FS.read_table(spark, path, "ndjson", schema=_EV_SCHEMA)
 
 
+_ITEMS_PER_FILE = 5000
 _ITEM_SCHEMA = T.StructType([
     T.StructField("part_id", T.StringType()), T.StructField("group", T.StringType()),
     T.StructField("weight", T.DoubleType()),
@@ -70,7 +71,8 @@ def _json_array(spark, sf_dir):
     item = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("part_id"), F.col("p_brand").alias("group"),
                               F.col("p_size").cast("double").alias("weight"),
                               F.struct(F.col("p_type").alias("category"), F.col("p_name").alias("description")).alias("metadata")))
-    files = p.select(F.pmod(F.col("p_partkey"), F.lit(8)).alias("bucket"), item.alias("j")) \
+    n_files = max(1, -(-p.count() // _ITEMS_PER_FILE))     # each array file holds a bounded number of items
+    files = p.select(F.pmod(F.col("p_partkey"), F.lit(n_files)).alias("bucket"), item.alias("j")) \
         .groupBy("bucket").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]")).alias("value"))
     files.write.partitionBy("bucket").text(path)
     items = FS.read_items(spark, path, _ITEM_SCHEMA)
