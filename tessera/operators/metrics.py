@@ -77,7 +77,8 @@ def f1_macro(df: DataFrame, pred: str, true: str) -> DataFrame:
 
 
 def classification_report(df: DataFrame, pred: str, true: str) -> DataFrame:
-    """precision / recall / f1 / support per class + 'macro avg' + 'weighted avg'."""
+    """precision / recall / f1 / support per class, then 'accuracy' (in the f1
+    column), 'macro avg' and 'weighted avg' rows."""
     c = _prf(per_class_counts(df, pred, true))
     per = c.select(F.col("label").cast("string").alias("label"), "precision", "recall", "f1",
                    F.col("support").cast("bigint").alias("support"))
@@ -88,7 +89,10 @@ def classification_report(df: DataFrame, pred: str, true: str) -> DataFrame:
                      (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
                      (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
                      (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"), tot.cast("bigint").alias("support"))
-    return per.unionByName(macro).unionByName(weighted)
+    acc = c.agg(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
+                F.lit(None).cast("double").alias("recall"), (F.sum("tp") / tot).alias("f1"),
+                tot.cast("bigint").alias("support"))
+    return per.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
 def log_loss(df: DataFrame, scores: str, y: str, microbatch: str) -> DataFrame:

@@ -71,6 +71,7 @@ def _f1(spark, sf_dir):
 @register("classification_report", "WITH " + _per_class_sql("pred_quality", "quality").strip() + """
 SELECT CAST(label AS VARCHAR) AS label, round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM prf2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM prf2
 UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
        CAST(sum(support) AS BIGINT) FROM prf2
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
