@@ -95,7 +95,7 @@ def _mb_assign(spark, sf_dir):
 
 
 _MB_SQL = f"""WITH o AS {_REBATCH_SQL},
-m AS (SELECT conv_id, (ordinal - 1) // 32 AS new_batch, ((ordinal - 1) % 32) // 5 AS mb FROM o),
+m AS (SELECT conv_id, (ordinal - 1) // 32 AS new_batch, CAST(((ordinal - 1) % 32) // 5 AS INTEGER) AS mb FROM o),
 s AS (SELECT conv_id, count(*) AS seq_len, count(*) // 2 AS train_size FROM conversations GROUP BY 1)"""
 
 
