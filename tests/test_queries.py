@@ -42,3 +42,11 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert rows and set(df.columns) == {"n", "correct", "accuracy"}
+
+
+def test_stream_equals_batch(spark):
+    """Scoring files as a stream (availableNow) gives the batch predictions."""
+    s = E.queries()["stream_score_files"](spark, SF001)
+    b = E.queries()["predict_labels"](spark, SF001)
+    assert s.count() == b.count()
+    assert s.exceptAll(b).count() == 0
