@@ -134,15 +134,19 @@ def group_of_rank(r: Column, n: Column, max_classes: int = MAX_CLASSES) -> Colum
 def class_tree(classes: DataFrame, label: str = "class_idx", max_classes: int = MAX_CLASSES,
                max_depth: int = 8) -> DataFrame:
     """Class -> group path down the tree: (class_idx, depth, node, group, n_at_node,
-    is_leaf).  One small DataFrame pass per depth (log_max(C) depth)."""
+    is_leaf).  At an inner node ``group`` is the class's group; at a leaf it is
+    the class's position among the leaf's classes.  One small DataFrame pass
+    per depth (log_max(C) depth)."""
     cur = classes.select(F.col(label).alias("class_idx")).distinct().withColumn("node", F.lit(""))
     levels = []
     for depth in range(max_depth):
         w = Window.partitionBy("node")
         x = cur.withColumn("n", F.count(F.lit(1)).over(w)).withColumn(
             "r", (F.row_number().over(w.orderBy("class_idx")) - 1))
-        x = x.withColumn("group", group_of_rank(F.col("r"), F.col("n"), max_classes)) \
-             .withColumn("is_leaf", F.col("n") <= max_classes).withColumn("depth", F.lit(depth))
+        # inside a node: groups of classes; at a leaf each class is its own outcome
+        x = x.withColumn("is_leaf", F.col("n") <= max_classes).withColumn(
+            "group", F.when(F.col("is_leaf"), F.col("r").cast("int")).otherwise(group_of_rank(F.col("r"), F.col("n"), max_classes))) \
+             .withColumn("depth", F.lit(depth))
         levels.append(x.select("class_idx", "depth", "node", "group", F.col("n").alias("n_at_node"), "is_leaf"))
         cur = x.where(~F.col("is_leaf")).select(
             "class_idx", F.concat(F.col("node"), F.lit("/"), F.col("group").cast("string")).alias("node"))

@@ -28,7 +28,7 @@ def test_class_tree_matches_greedy(spark):
         d = spark.range(n).select(F.col("id").cast("int").alias("class_idx"))
         tree = TG.class_tree(d)
         root = tree.where("depth = 0").groupBy("group").count().orderBy("group").collect()
-        assert [r["count"] for r in root] == (TG.group_sizes(n) if n > 10 else [n])
+        assert [r["count"] for r in root] == (TG.group_sizes(n) if n > 10 else [1] * n)
     t = TG.class_tree(spark.range(101).select(F.col("id").cast("int").alias("class_idx")))
     lvl1 = t.where("depth = 1 AND NOT is_leaf").groupBy("node", "group").count().collect()
     assert sorted(r["count"] for r in lvl1) == [5, 6]
@@ -192,3 +192,33 @@ def test_log_line_round_trip(spark):
     assert r == "2024-01-01T00:00:00+08:00|w.py:1|INFO|event=start|job_id=7"
     p = df.select(TL.parse_log_line(F.lit(r)).alias("p")).first()["p"]
     assert p["level"] == "INFO" and p["kv"] == {"event": "start", "job_id": "7"}
+
+
+def _yj_np(x, lam):
+    out = np.empty_like(x)
+    pos = x >= 0
+    out[pos] = np.log1p(x[pos]) if abs(lam) < 1e-12 else ((x[pos] + 1) ** lam - 1) / lam
+    out[~pos] = -np.log1p(-x[~pos]) if abs(lam - 2) < 1e-12 else -((-x[~pos] + 1) ** (2 - lam) - 1) / (2 - lam)
+    return out
+
+
+def test_yeo_johnson_lambda_is_the_likelihood_maximum(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.lognormal(0, 0.6, 300), -rng.lognormal(-1, 0.3, 50)])
+    yj = TR.YeoJohnson(["x"]).fit(spark.createDataFrame([(float(v),) for v in x], "x double"))
+
+    def ll(lam):
+        y = _yj_np(x, lam)
+        return -len(x) / 2 * np.log(y.var()) + (lam - 1) * (np.sign(x) * np.log1p(np.abs(x))).sum()
+
+    grid = np.arange(-4, 4.0005, 0.001)
+    best = grid[np.argmax([ll(l) for l in grid])]
+    assert abs(yj.lam["x"] - best) <= 0.006, (yj.lam["x"], best)
+
+
+def test_hierarchical_probabilities_sum_to_one(spark):
+    from tests.conftest import SF001
+    from tessera.plans.q_views import _hier
+    q, _ = _hier(spark, SF001)
+    sums = [sum(r["proba"]) for r in q.select("proba").limit(200).collect()]
+    assert sums and all(abs(s - 1.0) < 1e-9 for s in sums)
