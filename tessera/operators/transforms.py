@@ -32,6 +32,7 @@ OUTLIER_THRESHOLD = 4.0   # two-stage outlier bounds: mean +- 4 std
 IQR_NORMAL = 1.3489795003921634   # norm.ppf(0.75) - norm.ppf(0.25)
 QUANTILE_BOUND = 1e-7     # output clip of the normal quantile transform
 NORMALIZERS = ("none", "power", "quantile", "quantile_rtdl", "robust")
+PERSIST_FIT_ROWS = 5_000_000   # contexts up to this size are cached across fit passes
 
 
 def _agg_row(df: DataFrame, exprs: dict[str, Column]) -> dict:
@@ -254,8 +255,14 @@ class RobustScale:
             r = _agg_row(df, {f"q{i}": F.percentile_approx(c, arr, 100000) for i, c in enumerate(self.cols)})
             qs = {c: r[f"q{i}"] for i, c in enumerate(self.cols)}
         else:
-            # exact, without gathering a column in one aggregation buffer
-            qs = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75]).first()["q"] for c in self.cols}
+            # exact, without gathering a column in one aggregation buffer; all
+            # columns in one long-form pass keyed by feature
+            pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("x"))
+                              for i, c in enumerate(self.cols)])
+            long = df.select(F.inline(pairs))
+            rows = exact_quantiles(long, "x", [0.25, 0.5, 0.75], ["f"]).collect()
+            got = {r["f"]: r["q"] for r in rows}
+            qs = {c: got[i] for i, c in enumerate(self.cols)}
         for i, c in enumerate(self.cols):
             q25, q50, q75 = qs[c]
             s = (q75 - q25) / IQR_NORMAL
@@ -477,6 +484,17 @@ class Preprocess:
     def fit(self, df: DataFrame) -> "Preprocess":
         if self.method not in NORMALIZERS:
             raise ValueError(f"Unknown normalization method: {self.method}")
+        # several fit passes read the context: cache it when it is bounded
+        bounded = df.limit(PERSIST_FIT_ROWS + 1).count() <= PERSIST_FIT_ROWS
+        if bounded:
+            df = df.select(*dict.fromkeys([*self.cols, *self.key])).persist()
+        try:
+            return self._fit(df)
+        finally:
+            if bounded:
+                df.unpersist()
+
+    def _fit(self, df: DataFrame) -> "Preprocess":
         self.scaler = StandardScaleClip(self.cols).fit(df)
         x = self.scaler.transform(df)
         self.norm = None
