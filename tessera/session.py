@@ -48,6 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set one only when the session has none."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
         d = os.path.join(tempfile.gettempdir(), "tessera-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
