@@ -54,6 +54,8 @@ def added_tokens(spec: str) -> list[str]:
     return [t["content"] for t in json.loads(spec).get("added_tokens", [])]
 
 
-def needs_library(spec: str) -> re.Pattern:
-    """Finds what only the library may split: unknown characters, added tokens."""
-    return re.compile("|".join([rf"[^\x00-{chr(KNOWN - 1)}]", *map(re.escape, added_tokens(spec))]))
+def needs_library(spec: str, unsafe: str = "") -> re.Pattern:
+    """Finds what only the library may split: unknown characters, those in
+    ``unsafe``, added tokens."""
+    known = "".join(re.escape(chr(c)) for c in range(KNOWN) if chr(c) not in unsafe)
+    return re.compile("|".join([f"[^{known}]", *map(re.escape, added_tokens(spec))]))
