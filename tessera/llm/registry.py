@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ["token_counts", "near_dedup", "exact_dedup", "mixing", "decontaminate", "pii", "token_files", "quality"]
+MODULES = ["token_counts", "near_dedup", "exact_dedup", "toxicity", "mixing", "decontaminate", "pii", "token_files", "quality"]
 
 
 def register(key: str, sql: str | None = None):
