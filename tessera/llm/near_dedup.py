@@ -28,6 +28,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, flat_map_groups, map_rows, same, stored, text_of
@@ -133,7 +134,7 @@ def compare_blocks(key, rows) -> list[tuple[int, int]]:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id for every row."""
+    """doc_id, text_hash, n_shingles, component (null: no words), component_id for every row."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
                       text_of(text_col).alias("text"))
 
@@ -207,18 +208,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .select("doc_id", "text_hash", "n_shingles", F.coalesce("final", "label").alias("component")), "near-placed")
     smallest = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     return placed.join(smallest, "component", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
+        "doc_id", "text_hash", "n_shingles", "component", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near duplicates, with the rows' own columns only.
-    Where a doc_id repeats, its first row by text hash stays; rows with null
-    doc_id stay if no row with an id is in their group."""
+    """One row of each group of near duplicates, with the rows' own columns
+    only: that of the smallest doc_id (null last), of rows that repeat it the
+    first by text hash, of rows that repeat both any one.  Rows without words
+    stay, but for repeats of doc_id and text."""
     found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col("component_id").isNotNull() & ~same(F.col("doc_id"), F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")).distinct()
-    return docs.join(gone, same(F.col(id_col).cast("long"), F.col("__gone_id"))
-                     & (F.xxhash64(text_of(text_col)) == F.col("__gone_text")), "left_anti")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    stay = found.where("component is not null").groupBy("component").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash") \
+        .unionByName(found.where("component is null").select("doc_id", "text_hash").distinct())
+    key = ["__none", "__id", "__hash"]
+    stay = stay.select(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("text_hash").alias("__hash"))
+    keyed = docs.withColumns({"__none": F.col(id_col).isNull(), "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+                              "__hash": F.xxhash64(text_of(text_col))})
+    return keyed.join(stay, key, "left_semi").withColumn("__n", F.row_number().over(W.partitionBy(*key).orderBy(F.lit(0)))) \
+        .where("__n = 1").drop(*key, "__n")
 
 
 @register("op2_near_dedup")
