@@ -13,14 +13,16 @@ filter, the shorter set's still shorter indexing prefix and the positional
 bound on the overlap are applied while they meet.  A token so frequent that its list could
 be long is dealt to pairs of blocks.
 
-What meets is verified on the full sets in two steps: each set with the most
-promising earlier one of each list, and, for the sets that this hasn't settled,
-with all the others.  So groups of many similar lines never emit their pairs.
+What meets must also pass a bound on the overlap from two 128-bit bitmaps of the
+tokens, and is verified on the full sets in two steps.  First each set meets,
+of each list, the earlier one whose bitmap differs least.  Only the lists of
+sets that this hasn't settled are formed again, and those sets verified with
+all the others there.  So groups of many similar lines never emit their pairs.
 
 Null or empty texts have no lines with tokens; a line without tokens is never
-removed nor matched.  Among rows that repeat a doc_id, the order is by a hash
-of the text; rows that repeat both are the same document and share their
-result.  Null doc_ids come first.  An empty table gives no rows.  Only
+removed nor matched.  Lines at the same number of rows that repeat a doc_id with
+other texts come by the hash of their sets; rows that repeat both are the same
+document and share their result.  Null doc_ids come first.  An empty table gives no rows.  Only
 ``doc_id`` and ``text`` are read.
 """
 
@@ -52,6 +54,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def _by_line(line: np.ndarray, word: np.ndarray, lines: int) -> np.ndarray:
+    """Order by line, then word: one sort of packed keys unless these are ambiguous."""
+    if lines < 1 << 20:
+        key = (line.astype(U) << U(44)) | (word >> U(20))
+        order = np.argsort(key)
+        key, sorted_ = key[order], word[order]
+        if not np.any((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])):
+            return order
+    return np.lexsort((word, line))
+
+
 class Lines:
     """Token sets of the lines of some texts, in numpy: ``token`` by line and
     hash, ``line`` its line; by line: ``doc``, ``number``, ``size``, two
@@ -73,7 +86,7 @@ class Lines:
                    + (ends - starts).astype(U) * U(0xC2B2AE3D27D4EB4F))
         new_line = np.flatnonzero(buf == 10)
         line = np.searchsorted(new_line, starts)
-        order = np.lexsort((word, line))
+        order = _by_line(line, word, len(new_line))
         word, line = word[order], line[order]
         keep = np.ones(len(word), bool)
         keep[1:] = (word[1:] != word[:-1]) | (line[1:] != line[:-1])
@@ -91,6 +104,12 @@ class Lines:
         sum_by_line = lambda x: np.add.reduceat(x, self.start) if len(x) else x
         self.d1, self.d2 = sum_by_line(mix(word)), sum_by_line(mix(word ^ U(0x5851F42D4C957F2D)))
 
+    def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two words of a 128-bit bitmap of each line's tokens."""
+        bit, upper = U(1) << (self.token & U(63)), (self.token & U(64)) > 0
+        both = (np.where(upper, U(0), bit), np.where(upper, bit, U(0)))
+        return tuple(np.bitwise_or.reduceat(x, self.start) if len(x) else x for x in both)
+
     def take(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, index into ``lines``) of chosen lines."""
         which = np.full(len(self.size), -1)
@@ -162,7 +181,7 @@ def census(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
         def fn(ids, hashes, lines):
             if lines is None:
-                parts = [c.astype("<i8").tobytes() for c in counts.reshape(64, -1)]
+                parts = [c.astype("<i4").tobytes() for c in counts.reshape(64, -1)]
                 return [[None] * 64] * 3 + [[None] * 64] * 2 + [list(range(64)), parts]
             counts[:] += np.bincount((lines.token & U(CELLS - 1)).astype(np.int64), minlength=CELLS)
             n = len(lines.size)
@@ -177,7 +196,7 @@ def census(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         def fn(key, rows):
             total = np.zeros(CELLS // 64, np.int64)
             for _, c in rows:
-                total += np.frombuffer(c, "<i8")
+                total += np.frombuffer(c, "<i4")
             return [(key[0], total.tobytes())]
         return fn
 
@@ -189,127 +208,169 @@ def census(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return found.where("part is null").drop("part", "counts"), classes
 
 
-def prefix_entries(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """token, i, j (pair of blocks), block, d1, doc_id, text_hash, number, size, position."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+ENTRY = "token long, pair int, d1 long, doc_id long, number int, packed long, low long, high long"
+
+
+def bitmap_of(values: DataFrame, column: str) -> np.ndarray:
+    """Bitmap of ``BITS`` bits of the values (long) modulo ``BITS``."""
+    cells = values.select(F.pmod(column, F.lit(BITS)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()
+    bitmap = np.zeros(BITS >> 6, U)
+    for r in cells:
+        bitmap[r["cell"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    return bitmap
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & U(BITS - 1)
+    return (bitmap[at >> U(6)] >> (at & U(63))) & U(1) > 0
+
+
+def prefix_entries(docs: DataFrame, classes: np.ndarray, tokens: DataFrame | None = None) -> DataFrame:
+    """An entry for each token of each set's probing prefix: the pair of blocks
+    (0 for a list of one), the set, its place (doc_id, number), size, position
+    and whether it is of the pair's first block (packed), bitmap (low, high).
+    With ``tokens`` (a column token), only their entries."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((classes, None if tokens is None else bitmap_of(tokens, "token")))
     frequent = 4 * int(np.log2(BLOCK))
 
     def make():
-        rarity, seen = shared.value, {}
+        (rarity, only), seen = shared.value, {}
 
         def fn(ids, hashes, lines):
             if lines is None:
                 return None
             # of sets that this task has met at an earlier place, nothing more is sent
-            number = lines.number
-            place = [(-1 << 63 if ids[d] is None else ids[d], hashes[d], k) for d, k in zip(lines.doc.tolist(), number.tolist())]
+            place = zip([-1 << 63 if ids[d] is None else ids[d] for d in lines.doc.tolist()], lines.number.tolist())
             chosen = []
             if len(seen) > 1_000_000:
                 seen.clear()
-            for k, key in enumerate(zip(lines.d1.tolist(), lines.d2.tolist())):
-                if key not in seen or place[k] < seen[key]:
-                    seen[key] = place[k]
+            for k, (key, at) in enumerate(zip(zip(lines.d1.tolist(), lines.d2.tolist()), place)):
+                if (before := seen.get(key)) is None or at < before:
+                    seen[key] = at
                     chosen.append(k)
             chosen = np.array(chosen, np.int64)
             token, which = lines.take(chosen)
             level = rarity[(token & U(CELLS - 1)).astype(np.int64)]
-            order = np.lexsort((token, level, which))
+            order = np.argsort((which.astype(np.int64) << 8) | level, kind="stable")  # by token already
             token, which, level = token[order], which[order], level[order]
             size = lines.size[chosen]
             position = np.arange(len(token)) - np.r_[0, np.cumsum(size)[:-1]][which] if len(token) else np.zeros(0, np.int64)
             held = position < probing(size)[which]
+            if only is not None:
+                held &= in_bitmap(only, token)
             token, which, level, position = token[held], which[held], level[held], position[held]
             blocks = np.where(level < frequent, 1, 2 ** np.ceil(level / 4 - np.log2(BLOCK) + 1e-9)).astype(np.int64)
             block = (mix(lines.d1[chosen][which]) % blocks.astype(U)).astype(np.int64)
             times = np.repeat(np.arange(len(token)), blocks)
             other = np.arange(len(times)) - np.r_[0, np.cumsum(blocks)[:-1]][times] if len(times) else times
             at = chosen[which[times]]
-            i, j = np.minimum(block[times], other), np.maximum(block[times], other)
-            return [token[times].view(np.int64), i.astype(np.int32), j.astype(np.int32), block[times].astype(np.int32), lines.d1[at].view(np.int64),
-                    _by_doc(ids, lines.doc[at]), _by_doc(hashes, lines.doc[at]), number[at].astype(np.int32),
-                    lines.size[at].astype(np.int32), position[times].astype(np.int32)]
+            own = block[times]
+            i, j = np.minimum(own, other), np.maximum(own, other)
+            packed = (lines.size[at].astype(np.int64) << 32) | (position[times] << 1) | (own == i)
+            low, high = lines.bitmaps()
+            return [token[times].view(np.int64), ((i << 15) | j).astype(np.int32), lines.d1[at].view(np.int64), _by_doc(ids, lines.doc[at]),
+                    lines.number[at].astype(np.int32), packed, low[at].view(np.int64), high[at].view(np.int64)]
 
         return fn
 
-    return _pass(docs, make, "token long, i int, j int, block int, d1 long, doc_id long, text_hash long, number int, size int, position int")
+    entries = _pass(docs, make, ENTRY)
+    return entries if tokens is None else entries.join(tokens.select("token").distinct(), "token", "left_semi")
 
 
-def meet(list_of: np.ndarray, block_pair: np.ndarray, d1: np.ndarray, size: np.ndarray, position: np.ndarray) -> list[tuple[int, list[int]]]:
-    """(later set, earlier sets that pass the filters, the most promising first)
-    for entries sorted by list and, within it, by place; ``block_pair`` tells
-    the block of an entry in a list of two blocks, else 0."""
-    later, earlier, cost = [], [], []
-    i = np.arange(len(d1))
-    step = 0
+def meet(list_of, pair, d1, packed, low, high) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(later, earlier, differing bits): entries of one list that pass the
+    filters.  The entries are sorted by list and, within it, by place."""
+    size, position, first = packed >> 32, (packed & 0xFFFFFFFF) >> 1, packed & 1
+    two = (pair >> 15) != (pair & 0x7FFF)
+    out, i, step = [], np.arange(len(d1)), 0
     while len(i):
         step += 1
         i = i[i + step < len(d1)]
         i = i[list_of[i] == list_of[i + step]]
         j = i + step
         a, b, p, q = size[i], size[j], position[i], position[j]
-        a_is_shorter = a <= b
-        short, long_, at_short = np.where(a_is_shorter, a, b), np.where(a_is_shorter, b, a), np.where(a_is_shorter, p, q)
-        ok = (d1[i] != d1[j]) & (block_pair[i] <= 0) | (d1[i] != d1[j]) & (block_pair[i] != block_pair[j])
-        ok &= (4 * short >= 3 * long_) & (at_short < indexing(short))
-        ok &= 1 + np.minimum(a - p - 1, b - q - 1) >= least_overlap(a, b)
-        later.append(j[ok])
-        earlier.append(i[ok])
-        cost.append((np.abs(a - b) + np.abs(p - q))[ok])
-    if not later:
-        return []
-    later, earlier, cost = map(np.concatenate, (later, earlier, cost))
-    order = np.lexsort((earlier, cost, later))
-    later, earlier = later[order], earlier[order]
-    cuts = np.flatnonzero(np.diff(later, prepend=-1))
-    ids = d1.tolist()
-    return [(ids[later[a]], [ids[k] for k in earlier[a:b].tolist()]) for a, b in zip(cuts, np.r_[cuts[1:], len(later)])]
-
-
-def candidates(entries: DataFrame, together: int = 200_000) -> DataFrame:
-    """d1, best, others: earlier sets that share a prefix token and pass the filters."""
-    order = [F.col("doc_id").asc_nulls_first(), "text_hash", "number"]
-    dealt = entries.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", *order) \
-        .select("token", "i", "j", "block", "d1", "size", "position")
-    struct = T.StructType.fromDDL("d1 long, best long, others array<bigint>")
+        shorter = a <= b
+        short, long_ = np.where(shorter, a, b), np.where(shorter, b, a)
+        need = least_overlap(a, b)
+        ok = (4 * short >= 3 * long_) & (np.where(shorter, p, q) < indexing(short)) & (1 + np.minimum(a - p - 1, b - q - 1) >= need)
+        ok &= (d1[i] != d1[j]) & ~(two[i] & (first[i] == first[j]))
+        x, y, need = i[ok], j[ok], need[ok]
+        differing = np.bitwise_count(low[x] ^ low[y]).astype(np.int64) + np.bitwise_count(high[x] ^ high[y])
+        ok = differing <= size[x] + size[y] - 2 * need
+        out.append((y[ok], x[ok], differing[ok]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
+def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_000) -> DataFrame:
+    """``work(columns)`` over whole lists, sorted by place, many at a time."""
+    names = ["token", "pair", "d1", "packed", "low", "high", *(["open"] if "open" in entries.columns else [])]
+    dealt = entries.repartition("token", "pair").sortWithinPartitions("token", "pair", F.col("doc_id").asc_nulls_first(), "number", "d1") \
+        .select(*names)
+    struct = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = arrow_schema(struct)
 
-        def join(cols: list[np.ndarray]) -> pa.RecordBatch:
-            token, i, j, block, d1, size, position = cols
-            new = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-            which = np.cumsum(new)
+        def whole(cols: list[np.ndarray]) -> pa.RecordBatch:
+            token, pair, d1 = cols[:3]
+            which = np.cumsum(np.r_[True, (token[1:] != token[:-1]) | (pair[1:] != pair[:-1])])
             # of a set that several tasks have sent, the earliest entry
             o = np.lexsort((d1, which))
             k = np.sort(o[np.r_[True, (d1[o[1:]] != d1[o[:-1]]) | (which[o[1:]] != which[o[:-1]])]])
-            met = meet(which[k], np.where(i == j, 0, block + 1)[k], d1[k], size[k].astype(np.int64), position[k].astype(np.int64))
-            return _batch(out, [[m[0] for m in met], [m[1][0] for m in met], [m[1][1:] for m in met]])
+            return _batch(out, work(which[k], *(c[k] for c in cols)))
 
         held: list[list[np.ndarray]] = []
         n = 0
         for b in batches:
-            held.append([c.to_numpy() for c in b.columns])
+            held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
             n += b.num_rows
             if n >= together:
                 cols = [np.concatenate(c) for c in zip(*held)]
-                last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]) | (cols[2] != cols[2][-1]))
+                last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
                 cut = int(last[-1]) + 1 if len(last) else 0  # the last list may go on
                 if cut:
-                    yield join([c[:cut] for c in cols])
+                    yield whole([c[:cut] for c in cols])
                 held, n = [[c[cut:] for c in cols]], len(cols[0]) - cut
         if n:
-            yield join([np.concatenate(c) for c in zip(*held)])
+            yield whole([np.concatenate(c) for c in zip(*held)])
 
     return dealt.mapInArrow(run, struct)
 
 
+def closest(entries: DataFrame) -> DataFrame:
+    """token, d1, best, more: of each list, each set's earlier one with the
+    least differing bitmap, and whether there are others.  Sets that are only
+    an earlier one come with null best."""
+    def work(which, token, pair, d1, packed, low, high):
+        later, earlier, differing = meet(which, pair, d1, packed, low.view(U), high.view(U))
+        order = np.argsort((later << 8) | differing, kind="stable")
+        later, earlier = later[order], earlier[order]
+        first = np.flatnonzero(np.r_[True, later[1:] != later[:-1]]) if len(later) else np.zeros(0, np.int64)
+        more = np.diff(np.r_[first, len(later)]) > 1
+        others = np.setdiff1d(d1[earlier], d1[later[first]])
+        best = pa.concat_arrays([pa.array(d1[earlier[first]], pa.int64()), pa.nulls(len(others), pa.int64())])
+        return [np.r_[token[later[first]], np.zeros(len(others), np.int64)], np.r_[d1[later[first]], others], best,
+                np.r_[more, np.zeros(len(others), bool)]]
+
+    return _lists(entries, work, "token long, d1 long, best long, more boolean")
+
+
+def all_earlier(entries: DataFrame) -> DataFrame:
+    """d1, best: every earlier set that meets a set marked ``open``."""
+    def work(which, token, pair, d1, packed, low, high, open_):
+        later, earlier, _ = meet(which, pair, d1, packed, low.view(U), high.view(U))
+        held = open_[later].astype(bool)
+        both = np.unique(np.stack([d1[later[held]], d1[earlier[held]]]), axis=1)
+        return [both[0], both[1]]
+
+    return _lists(entries, work, "d1 long, best long")
+
+
 def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(d1, d2, tokens) of the sets whose d1 is in ``wanted``, one row each."""
-    cells = wanted.select(F.pmod("d1", F.lit(BITS)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()
-    bitmap = np.zeros(BITS >> 6, np.uint64)
-    for r in cells:
-        bitmap[r["cell"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    bitmap = bitmap_of(wanted, "d1")
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def make():
@@ -318,8 +379,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         def fn(ids, hashes, lines):
             if lines is None:
                 return None
-            at = lines.d1 & U(BITS - 1)
-            hit = np.flatnonzero((bits[at >> U(6)] >> (at & U(63))) & U(1))
+            hit = np.flatnonzero(in_bitmap(bits, lines.d1))
             rows = []
             if len(sent) > 1_000_000:
                 sent.clear()
@@ -357,15 +417,17 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tokens, and of those that go."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"), text_of(text_col).alias("text"))
     lines, classes = census(src)
-    met = stored(candidates(prefix_entries(src, classes)), "line-candidates")
-    sets = stored(token_sets(src, met.select("d1").unionByName(met.select(F.col("best").alias("d1")))
-                             .unionByName(met.select(F.explode("others").alias("d1")))), "line-sets")
-    first = stored(_settled(met.select("d1", "best").distinct(), sets), "line-settled")
-    open_ = met.where(F.size("others") > 0).join(first.select("d1").distinct(), "d1", "left_anti")
-    more = _settled(open_.select("d1", F.explode("others").alias("best")).distinct(), sets)
+    met = stored(closest(prefix_entries(src, classes)), "line-closest")
+    sets = stored(token_sets(src, met.select("d1")), "line-sets")
+    tried = met.where("best is not null").select("d1", "best").distinct()
+    first = stored(_settled(tried, sets), "line-settled")
+    undecided = stored(met.where("more").join(first.select("d1").distinct(), "d1", "left_anti").select("token", "d1"), "line-open")
+    entries = prefix_entries(src, classes, undecided).join(
+        undecided.select("d1", F.lit(True).alias("open")).distinct(), "d1", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    more = _settled(all_earlier(entries).distinct().join(tried, ["d1", "best"], "left_anti"), sets)
     gone = first.unionByName(more).distinct().withColumn("similar", F.lit(True))
 
-    place = F.struct("doc_id", "text_hash", "number")
+    place = F.struct("doc_id", "number")
     firsts = lines.groupBy("d1", "d2").agg(F.min(place).alias("first"))
     verdict = lines.join(firsts.join(gone, ["d1", "d2"], "left"), ["d1", "d2"])
     return lines, verdict.where(F.col("similar").isNotNull() | ~same(place, F.col("first"))).select("doc_id", "text_hash", "number").distinct()
