@@ -50,8 +50,8 @@ CHUNK = 1 << 21
 
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A-Z to a-z, and white space other than the line feed to a space.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c in (9, 11, 12, 13) else c for c in range(256))
 
 
 def _by_line(line: np.ndarray, word: np.ndarray, lines: int) -> np.ndarray:
@@ -68,7 +68,8 @@ def _by_line(line: np.ndarray, word: np.ndarray, lines: int) -> np.ndarray:
 class Lines:
     """Token sets of the lines of some texts, in numpy: ``token`` by line and
     hash, ``line`` its line; by line: ``doc``, ``number``, ``size``, two
-    64-bit sums ``d1`` and ``d2`` that identify the set, ``start`` of its tokens."""
+    64-bit sums ``d1`` and ``d2`` that identify the set, ``start`` of its tokens.
+    The texts come folded."""
 
     _power = _inverse = np.ones(1, U)
 
@@ -78,9 +79,9 @@ class Lines:
             n = max(len(buf), 2 * len(Lines._power))
             Lines._power = np.cumprod(np.r_[U(1), np.full(n - 1, _R, U)])
             Lines._inverse = np.cumprod(np.r_[U(1), np.full(n - 1, _R_INVERSE, U)])
-        space = _SPACE[buf]
-        starts = np.flatnonzero(~space & np.r_[True, space[:-1]])
-        ends = np.flatnonzero(space & np.r_[False, ~space[:-1]])
+        space = (buf == 32) | (buf == 10)
+        edges = np.flatnonzero(np.diff(space, prepend=True))  # starts and ends in turn
+        starts, ends = edges[::2], edges[1::2]
         sums = np.cumsum(buf.astype(U) * Lines._power[:len(buf)])
         word = mix(((sums[ends - 1] - np.where(starts > 0, sums[starts - 1], U(0))) * Lines._inverse[starts])
                    + (ends - starts).astype(U) * U(0xC2B2AE3D27D4EB4F))
@@ -123,7 +124,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, Line
     ids, hashes, texts, size = [], [], [], 0
     for b in batches:
         for i, h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            text = t.as_py().encode().lower()
+            text = t.as_py().encode().translate(_FOLD)
             if texts and size + len(text) > CHUNK:
                 yield ids, hashes, Lines(texts)
                 ids, hashes, texts, size = [], [], [], 0
@@ -208,7 +209,7 @@ def census(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return found.where("part is null").drop("part", "counts"), classes
 
 
-ENTRY = "token long, pair int, d1 long, doc_id long, number int, packed long, low long, high long"
+ENTRY = "list long, d1 long, doc_id long, number int, packed long, low long, high long"
 
 
 def bitmap_of(values: DataFrame, column: str) -> np.ndarray:
@@ -226,13 +227,14 @@ def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[at >> U(6)] >> (at & U(63))) & U(1) > 0
 
 
-def prefix_entries(docs: DataFrame, classes: np.ndarray, tokens: DataFrame | None = None) -> DataFrame:
-    """An entry for each token of each set's probing prefix: the pair of blocks
-    (0 for a list of one), the set, its place (doc_id, number), size, position
-    and whether it is of the pair's first block (packed), bitmap (low, high).
-    With ``tokens`` (a column token), only their entries."""
+def prefix_entries(docs: DataFrame, classes: np.ndarray, lists: DataFrame | None = None) -> DataFrame:
+    """An entry for each token of each set's probing prefix: the list (a token
+    and, if it is frequent, a pair of blocks), the set, its place (doc_id,
+    number), size, position and which of the blocks it is of (packed: size << 32,
+    position << 2, then 0 if the list is whole, else 1 or 2), bitmap (low, high).
+    With ``lists`` (a column list), only their entries."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((classes, None if tokens is None else bitmap_of(tokens, "token")))
+    shared = spark.sparkContext.broadcast((classes, None if lists is None else bitmap_of(lists, "list")))
     frequent = 4 * int(np.log2(BLOCK))
 
     def make():
@@ -242,7 +244,9 @@ def prefix_entries(docs: DataFrame, classes: np.ndarray, tokens: DataFrame | Non
             if lines is None:
                 return None
             # of sets that this task has met at an earlier place, nothing more is sent
-            place = zip([-1 << 63 if ids[d] is None else ids[d] for d in lines.doc.tolist()], lines.number.tolist())
+            number = lines.number
+            ids = [-1 << 63 if i is None else i for i in ids]
+            place = zip([ids[d] for d in lines.doc.tolist()], number.tolist())
             chosen = []
             if len(seen) > 1_000_000:
                 seen.clear()
@@ -258,8 +262,6 @@ def prefix_entries(docs: DataFrame, classes: np.ndarray, tokens: DataFrame | Non
             size = lines.size[chosen]
             position = np.arange(len(token)) - np.r_[0, np.cumsum(size)[:-1]][which] if len(token) else np.zeros(0, np.int64)
             held = position < probing(size)[which]
-            if only is not None:
-                held &= in_bitmap(only, token)
             token, which, level, position = token[held], which[held], level[held], position[held]
             blocks = np.where(level < frequent, 1, 2 ** np.ceil(level / 4 - np.log2(BLOCK) + 1e-9)).astype(np.int64)
             block = (mix(lines.d1[chosen][which]) % blocks.astype(U)).astype(np.int64)
@@ -268,58 +270,65 @@ def prefix_entries(docs: DataFrame, classes: np.ndarray, tokens: DataFrame | Non
             at = chosen[which[times]]
             own = block[times]
             i, j = np.minimum(own, other), np.maximum(own, other)
-            packed = (lines.size[at].astype(np.int64) << 32) | (position[times] << 1) | (own == i)
-            low, high = lines.bitmaps()
-            return [token[times].view(np.int64), ((i << 15) | j).astype(np.int32), lines.d1[at].view(np.int64), _by_doc(ids, lines.doc[at]),
-                    lines.number[at].astype(np.int32), packed, low[at].view(np.int64), high[at].view(np.int64)]
+            key = mix(token[times] + (i.astype(U) << U(32)) + j.astype(U))
+            side = np.where(i == j, 0, np.where(own == i, 1, 2))
+            packed = (lines.size[at].astype(np.int64) << 32) | (position[times] << 2) | side
+            sent = slice(None) if only is None else np.flatnonzero(in_bitmap(only, key))
+            at, low, high = at[sent], *lines.bitmaps()
+            return [key[sent].view(np.int64), lines.d1[at].view(np.int64), _by_doc(ids, lines.doc[at]), number[at].astype(np.int32),
+                    packed[sent], low[at].view(np.int64), high[at].view(np.int64)]
 
         return fn
 
     entries = _pass(docs, make, ENTRY)
-    return entries if tokens is None else entries.join(tokens.select("token").distinct(), "token", "left_semi")
+    return entries if lists is None else entries.join(lists.select("list").distinct(), "list", "left_semi")
 
 
-def meet(list_of, pair, d1, packed, low, high) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def meet(lists, d1, doc, number, packed, low, high) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(later, earlier, differing bits): entries of one list that pass the
-    filters.  The entries are sorted by list and, within it, by place."""
-    size, position, first = packed >> 32, (packed & 0xFFFFFFFF) >> 1, packed & 1
-    two = (pair >> 15) != (pair & 0x7FFF)
-    out, i, step = [], np.arange(len(d1)), 0
+    filters.  The entries are sorted by list and, within it, by size and set;
+    the first of a pair needs the token in its indexing prefix."""
+    low, high = low.view(U), high.view(U)
+    size, position, side = packed >> 32, (packed & 0xFFFFFFFF) >> 2, packed & 3
+    out, step = [], 0
+    i = np.flatnonzero(position < indexing(size))
     while len(i):
         step += 1
         i = i[i + step < len(d1)]
-        i = i[list_of[i] == list_of[i + step]]
+        i = i[(lists[i] == lists[i + step]) & (3 * size[i + step] <= 4 * size[i])]
         j = i + step
-        a, b, p, q = size[i], size[j], position[i], position[j]
-        shorter = a <= b
-        short, long_ = np.where(shorter, a, b), np.where(shorter, b, a)
+        a, b = size[i], size[j]
         need = least_overlap(a, b)
-        ok = (4 * short >= 3 * long_) & (np.where(shorter, p, q) < indexing(short)) & (1 + np.minimum(a - p - 1, b - q - 1) >= need)
-        ok &= (d1[i] != d1[j]) & ~(two[i] & (first[i] == first[j]))
+        ok = np.minimum(a - position[i], b - position[j]) >= need
+        ok &= (side[i] == 0) | (side[i] != side[j])
         x, y, need = i[ok], j[ok], need[ok]
         differing = np.bitwise_count(low[x] ^ low[y]).astype(np.int64) + np.bitwise_count(high[x] ^ high[y])
         ok = differing <= size[x] + size[y] - 2 * need
-        out.append((y[ok], x[ok], differing[ok]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        out.append((x[ok], y[ok], differing[ok]))
+    if not out:
+        return (np.zeros(0, np.int64),) * 3
+    x, y, differing = (np.concatenate(c) for c in zip(*out))
+    swap = (doc[x] > doc[y]) | (doc[x] == doc[y]) & ((number[x] > number[y]) | (number[x] == number[y]) & (d1[x] > d1[y]))
+    return np.where(swap, x, y), np.where(swap, y, x), differing
 
 
 def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_000) -> DataFrame:
-    """``work(columns)`` over whole lists, sorted by place, many at a time."""
-    names = ["token", "pair", "d1", "packed", "low", "high", *(["open"] if "open" in entries.columns else [])]
-    dealt = entries.repartition("token", "pair").sortWithinPartitions("token", "pair", F.col("doc_id").asc_nulls_first(), "number", "d1") \
-        .select(*names)
+    """``work(columns)`` over whole lists, sorted as ``meet`` wants them, many at a time."""
+    dealt = entries.repartition("list").sortWithinPartitions("list")
     struct = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = arrow_schema(struct)
 
         def whole(cols: list[np.ndarray]) -> pa.RecordBatch:
-            token, pair, d1 = cols[:3]
-            which = np.cumsum(np.r_[True, (token[1:] != token[:-1]) | (pair[1:] != pair[:-1])])
-            # of a set that several tasks have sent, the earliest entry
-            o = np.lexsort((d1, which))
-            k = np.sort(o[np.r_[True, (d1[o[1:]] != d1[o[:-1]]) | (which[o[1:]] != which[o[:-1]])]])
-            return _batch(out, work(which[k], *(c[k] for c in cols)))
+            key, d1, doc, number, packed = cols[:5]
+            which = np.cumsum(np.r_[True, key[1:] != key[:-1]])
+            o = np.lexsort((d1, packed >> 32, which))
+            repeated = (d1[o[1:]] == d1[o[:-1]]) & (which[o[1:]] == which[o[:-1]])
+            if repeated.any():  # of a set that several tasks have sent, the earliest entry
+                o = np.lexsort((number, doc, d1, packed >> 32, which))
+                o = o[np.r_[True, (d1[o[1:]] != d1[o[:-1]]) | (which[o[1:]] != which[o[:-1]])]]
+            return _batch(out, work(which[o], *(c[o] for c in cols)))
 
         held: list[list[np.ndarray]] = []
         n = 0
@@ -328,7 +337,7 @@ def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_
             n += b.num_rows
             if n >= together:
                 cols = [np.concatenate(c) for c in zip(*held)]
-                last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+                last = np.flatnonzero(cols[0] != cols[0][-1])
                 cut = int(last[-1]) + 1 if len(last) else 0  # the last list may go on
                 if cut:
                     yield whole([c[:cut] for c in cols])
@@ -340,27 +349,27 @@ def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_
 
 
 def closest(entries: DataFrame) -> DataFrame:
-    """token, d1, best, more: of each list, each set's earlier one with the
+    """list, d1, best, more: of each list, each set's earlier one with the
     least differing bitmap, and whether there are others.  Sets that are only
     an earlier one come with null best."""
-    def work(which, token, pair, d1, packed, low, high):
-        later, earlier, differing = meet(which, pair, d1, packed, low.view(U), high.view(U))
+    def work(which, key, d1, doc, number, packed, low, high):
+        later, earlier, differing = meet(which, d1, doc, number, packed, low, high)
         order = np.argsort((later << 8) | differing, kind="stable")
         later, earlier = later[order], earlier[order]
         first = np.flatnonzero(np.r_[True, later[1:] != later[:-1]]) if len(later) else np.zeros(0, np.int64)
         more = np.diff(np.r_[first, len(later)]) > 1
         others = np.setdiff1d(d1[earlier], d1[later[first]])
         best = pa.concat_arrays([pa.array(d1[earlier[first]], pa.int64()), pa.nulls(len(others), pa.int64())])
-        return [np.r_[token[later[first]], np.zeros(len(others), np.int64)], np.r_[d1[later[first]], others], best,
+        return [np.r_[key[later[first]], np.zeros(len(others), np.int64)], np.r_[d1[later[first]], others], best,
                 np.r_[more, np.zeros(len(others), bool)]]
 
-    return _lists(entries, work, "token long, d1 long, best long, more boolean")
+    return _lists(entries, work, "list long, d1 long, best long, more boolean")
 
 
 def all_earlier(entries: DataFrame) -> DataFrame:
     """d1, best: every earlier set that meets a set marked ``open``."""
-    def work(which, token, pair, d1, packed, low, high, open_):
-        later, earlier, _ = meet(which, pair, d1, packed, low.view(U), high.view(U))
+    def work(which, key, d1, doc, number, packed, low, high, open_):
+        later, earlier, _ = meet(which, d1, doc, number, packed, low, high)
         held = open_[later].astype(bool)
         both = np.unique(np.stack([d1[later[held]], d1[earlier[held]]]), axis=1)
         return [both[0], both[1]]
@@ -421,9 +430,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = stored(token_sets(src, met.select("d1")), "line-sets")
     tried = met.where("best is not null").select("d1", "best").distinct()
     first = stored(_settled(tried, sets), "line-settled")
-    undecided = stored(met.where("more").join(first.select("d1").distinct(), "d1", "left_anti").select("token", "d1"), "line-open")
+    undecided = stored(met.where("more").join(first.select("d1").distinct(), "d1", "left_anti").select("list", "d1"), "line-open")
     entries = prefix_entries(src, classes, undecided).join(
-        undecided.select("d1", F.lit(True).alias("open")).distinct(), "d1", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        undecided.select("d1", F.lit(True).alias("open")).distinct(), "d1", "left").select(
+        "list", "d1", "doc_id", "number", "packed", "low", "high", F.coalesce("open", F.lit(False)).alias("open"))
     more = _settled(all_earlier(entries).distinct().join(tried, ["d1", "best"], "left_anti"), sets)
     gone = first.unionByName(more).distinct().withColumn("similar", F.lit(True))
 
