@@ -8,16 +8,17 @@ chunk of lines so one huge file never collapses into one task.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import carry_forward, running_sum
+from tessera.functions.arrays import map_last_wins
+from tessera.operators.ordering import carry_forward, chunked_lag, running_sum
 
 # Service-log levels and their ranks.
 LEVELS = {"DEBUG": 10, "INFO": 20, "WARN": 30, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
 # Substrings that mark a secret key (matched on the lower-cased key).
 SECRET_PATTERNS = ("password", "secret", "token", "key", "credential", "pwd")
+# The mask of a secret, and the lengths that a summary keeps.
 MASK = "***"
 SUMMARY_MAX_TEXT = 16384
 SUMMARY_MAX_ITEMS = 16
@@ -26,7 +27,7 @@ UNIT_SCALE = {"b": 1, "kb": 1024, "mb": 1024 ** 2, "gb": 1024 ** 3, "bytes": 1}
 # Fixed value: "Tx: 123.4 MB" style counter pattern.
 TXRX_PATTERN = r"\b(Tx|TX|tx|Rx|RX|rx)\s*[:=]?\s*([0-9]+(?:\.[0-9]+)?)\s*([A-Za-z/]+)"
 # Gpu monitor column renames.
-DMON_RENAME = {"gpu": "gpu", "pwr": "pwr_W", "gtemp": "temp_C", "sm": "sm_pct", "mem": "mem_pct",
+DMON_RENAME = {"pwr": "pwr_W", "gtemp": "temp_C", "temp": "temp_C", "sm": "sm_pct", "mem": "mem_pct",
                "mclk": "mclk_MHz", "pclk": "pclk_MHz"}
 
 
@@ -35,34 +36,37 @@ def tokens(value: Column) -> Column:
 
 
 def parse_start_time(lines: DataFrame) -> DataFrame:
-    """Epoch seconds after 'Monitor started at'; 'Z' means +00:00; null on failure."""
-    raw = F.regexp_extract("value", r"Monitor started at\s+(\S+)", 1)
-    iso = F.regexp_replace(raw, "Z$", "+00:00")
-    ts = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    return lines.select("file", F.when(raw == "", None).otherwise(F.unix_timestamp(ts)).alias("start_epoch"))
-
-
-def parse_header_driven(lines: DataFrame, rename: dict[str, str], key: str, int_cols: tuple[str, ...],
-                        chunk: Column, header_marker: str = "gpu") -> DataFrame:
-    """Lines starting with '#' that mention ``header_marker`` name the columns
-    (the latest such header wins); data rows are whitespace tokens; rows
-    shorter than the header or with a non-integer key are skipped; cells
-    that do not parse are null; every renamed column is always present."""
-    is_header = F.col("value").startswith("#") & F.col("value").contains(header_marker)
-    hdr = F.when(is_header, tokens(F.regexp_replace("value", r"^#\s*", "")))
-    x = lines.withColumn("_hdr", hdr)
+    """Epoch seconds of the ISO time after 'Monitor started at', with or without
+    fraction and zone ('Z' and no zone: UTC); null if it doesn't parse."""
+    raw = F.regexp_extract("value", r"Monitor started at\s+([0-9T:\-.]+(?:Z|[+\-][0-9:]+)?)", 1)
+    iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(raw, F.lit("T00:00:00"))).otherwise(raw)
+    zoned = F.when(iso.rlike(r"T.*(Z|[+-][0-9:]+)$"), F.regexp_replace(iso, "Z$", "+00:00")).otherwise(F.concat(iso, F.lit("+00:00")))
+    return lines.select("file", F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}"), zoned.try_cast("timestamp").cast("double")).alias("start_epoch"))
+
+
+def parse_header_driven(lines: DataFrame, rename: dict[str, str], key: str, chunk: Column, need: tuple[str, ...] = ()) -> DataFrame:
+    """Lines whose first sign is '#' and that name ``key`` and ``need`` are
+    headers (lower-cased; the latest wins).  Data rows have at least as many
+    tokens as the header and an integer under the first ``key``; the others are
+    skipped.  Every renamed column is present: the last cell of its names that
+    parses as a number, or null."""
+    line = F.trim(F.regexp_replace("value", r"\s+", " "))
+    cols = F.filter(F.split(F.lower(F.regexp_replace(line, r"^[# ]+|[# ]+$", "")), " "), lambda c: c != "")
+    names = [key, *need]
+    x = lines.withColumn("_line", line).withColumn(
+        "_hdr", F.when(line.startswith("#") & F.forall(F.array(*map(F.lit, names)), lambda n: F.array_contains(cols, n)), cols))
     x = carry_forward(x, ["file"], "line_no", "_hdr", chunk, "_header")
-    data = x.where(~F.col("value").startswith("#") & (F.trim("value") != "") & F.col("_header").isNotNull())
-    data = data.withColumn("_tok", tokens(F.col("value")))
-    data = data.where(F.size("_tok") >= F.size("_header"))
-    data = data.withColumn("_m", F.map_from_arrays("_header", F.slice("_tok", F.lit(1), F.size("_header"))))
-    keyv = F.try_element_at("_m", F.lit(key))
-    data = data.where(keyv.rlike(r"^-?\d+$"))
-    out = [F.col("file"), F.col("line_no")]
-    for src, dst in rename.items():
-        v = F.try_element_at("_m", F.lit(src))
-        out.append(v.try_cast("bigint" if src in int_cols else "double").alias(dst))
-    return data.select(*out)
+    data = x.where(~F.col("_line").startswith("#") & (F.col("_line") != "") & F.col("_header").isNotNull())
+    data = data.withColumn("_tok", F.split("_line", " ")).where(F.size("_tok") >= F.size("_header"))
+    keyv = F.element_at("_tok", F.array_position("_header", key).cast("int"))
+    data = data.where(keyv.rlike(r"^[+-]?\d+$"))
+    to = F.create_map(*[F.lit(v) for pair in rename.items() for v in pair])
+    cells = F.transform(F.arrays_zip(F.col("_header").alias("h"), F.slice("_tok", F.lit(1), F.size("_header")).alias("t")),
+                        lambda c: F.struct(F.try_element_at(to, c["h"]).alias("key"), c["t"].try_cast("double").alias("value")))
+    row = map_last_wins(F.filter(cells, lambda c: c["key"].isNotNull() & c["value"].isNotNull()))
+    data = data.withColumn("_key", keyv.cast("bigint")).withColumn("_row", row)
+    return data.select("file", "line_no", F.col("_key").alias(key),
+                       *[F.try_element_at("_row", F.lit(c)).alias(c) for c in dict.fromkeys(rename.values())])
 
 
 def first_key_ticks(df: DataFrame, key: str, chunk: Column) -> DataFrame:
@@ -73,18 +77,34 @@ def first_key_ticks(df: DataFrame, key: str, chunk: Column) -> DataFrame:
     return x.withColumn("tick", (F.col("_seen") - 1).cast("bigint")).drop("_first", "_seen")
 
 
-def parse_numeric_table(lines: DataFrame, header_regex: str, chunk: Column) -> DataFrame:
-    """vmstat style: the first line matching ``header_regex`` is the header;
-    only rows whose tokens are all numeric and as many as the header count;
-    ``sample`` = index among the kept rows of the file."""
-    is_header = F.col("value").rlike(header_regex)
-    first = lines.where(is_header).groupBy("file").agg(F.min_by(tokens(F.col("value")), "line_no").alias("_header"))
+def parse_numeric_table(lines: DataFrame, header: Column, chunk: Column) -> DataFrame:
+    """vmstat style: the first line of a file for which ``header`` holds names
+    the columns, lower-cased; later rows count whose tokens are all numbers and
+    as many as the header's; ``sample`` = index among the kept rows of the file."""
+    names = F.transform(tokens(F.col("value")), lambda t: F.lower(t))
+    first = lines.where(header).groupBy("file").agg(F.min_by(F.struct(names.alias("h"), F.col("line_no").alias("at")), "line_no").alias("_first"))
     x = lines.join(first, "file").withColumn("_tok", tokens(F.col("value")))
-    ok = (F.size("_tok") == F.size("_header")) & F.forall("_tok", lambda t: t.rlike(r"^-?\d+(\.\d+)?$")) & ~is_header
-    x = x.where(ok)
-    x = running_sum(x, ["file"], ["line_no"], F.lit(1).cast("bigint"), chunk, "_n")
+    ok = (F.col("line_no") > F.col("_first.at")) & (F.size("_tok") == F.size("_first.h")) \
+        & F.forall("_tok", lambda t: t.try_cast("double").isNotNull())
+    x = running_sum(x.where(ok), ["file"], ["line_no"], F.lit(1).cast("bigint"), chunk, "_n")
     x = x.withColumn("sample", (F.col("_n") - 1).cast("bigint"))
-    return x.select("file", "line_no", "sample", F.map_from_arrays("_header", F.transform("_tok", lambda t: t.cast("double"))).alias("row"))
+    row = map_last_wins(F.transform(F.arrays_zip(F.col("_first.h").alias("h"), F.col("_tok").alias("t")),
+                                    lambda c: F.struct(c["h"].alias("key"), c["t"].cast("double").alias("value"))))
+    return x.select("file", "line_no", "sample", row.alias("row"))
+
+
+def vmstat_header() -> Column:
+    value = F.col("value")
+    return value.rlike(r"\br\b.*\bb\b") & (value.contains("si") | value.contains("swpd"))
+
+
+def parse_free_memory(lines: DataFrame, chunk: Column) -> DataFrame:
+    """The fallback without vmstat: a sample for each stamp line ('===== ')
+    that another line follows."""
+    stamp = F.col("value").startswith("===== ")
+    x = chunked_lag(lines.withColumn("_stamp", stamp), ["file"], "line_no", "_stamp", chunk, "_after")
+    x = running_sum(x.where(F.col("_after") & ~F.col("_stamp")), ["file"], ["line_no"], F.lit(1).cast("bigint"), chunk, "_n")
+    return x.select("file", (F.col("_n") - 1).cast("bigint").alias("time_s"), F.lit("free_mem").alias("note"))
 
 
 def cpu_usage(idle: Column) -> Column:
@@ -92,18 +112,22 @@ def cpu_usage(idle: Column) -> Column:
 
 
 def parse_iostat(lines: DataFrame, chunk: Column) -> DataFrame:
-    """Timestamp-like lines advance the tick; device rows under a
-    'Device ... %util' header give util and await; mean per tick."""
-    is_ts = F.col("value").rlike(r"^\d{4}-\d{2}-\d{2}T")
-    x = running_sum(lines, ["file"], ["line_no"], is_ts.cast("bigint"), chunk, "_ts")
-    x = x.withColumn("tick", F.col("_ts") - 1)
-    hdr = F.when(F.col("value").startswith("Device"), tokens(F.col("value")))
-    x = carry_forward(x.withColumn("_hdr", hdr), ["file"], "line_no", "_hdr", chunk, "_header")
-    dev = x.where(~is_ts & ~F.col("value").startswith("Device") & F.col("_header").isNotNull())
-    dev = dev.withColumn("_m", F.map_from_arrays("_header", F.slice(tokens(F.col("value")), F.lit(1), F.size("_header"))))
-    util = F.try_element_at("_m", F.lit("%util")).try_cast("double")
-    aw = F.try_element_at("_m", F.lit("r_await")).try_cast("double")
-    return dev.groupBy("file", "tick").agg(F.avg(util).alias("util_pct"), F.avg(aw).alias("await_ms"))
+    """Rows as long as the latest 'Device ... %util' header give util and
+    await; after a header, other lines that begin like a date ('Mon 1') or a
+    clock ('12:00:') start the next tick.  Mean of the numbers per tick."""
+    s = F.trim("value")
+    header = F.lower(s).startswith("device") & F.lower(s).contains("%util")
+    x = lines.where(s != "").withColumn("_hdr", F.when(header, tokens(F.lower(s))))
+    x = carry_forward(x, ["file"], "line_no", "_hdr", chunk, "_header").where(F.col("_header").isNotNull() & ~header)
+    x = x.withColumn("_tok", tokens(s)).withColumn("_data", F.size("_tok") == F.size("_header"))
+    stamp = ~F.col("_data") & s.rlike(r"^([A-Za-z]{3}\s+\d|\d{2}:\d{2}:)")
+    x = running_sum(x, ["file"], ["line_no"], stamp.cast("bigint"), chunk, "time_s").where("_data")
+    row = map_last_wins(F.transform(F.arrays_zip(F.col("_header").alias("h"), F.col("_tok").alias("t")),
+                                    lambda c: F.struct(c["h"].alias("key"), c["t"].alias("value"))))
+    number = lambda v: F.when(~F.isnan(v.try_cast("double")), v.try_cast("double"))
+    cell = lambda *names: F.coalesce(*[F.try_element_at("_row", F.lit(n)) for n in names])
+    x = x.withColumn("_row", row)
+    return x.groupBy("file", "time_s").agg(F.avg(number(cell("%util", "util"))).alias("util_pct"), F.avg(number(cell("await"))).alias("await_ms"))
 
 
 def net_sum(value: Column) -> Column:
@@ -112,6 +136,28 @@ def net_sum(value: Column) -> Column:
     return F.when(F.size(nums) >= 2, F.aggregate(nums, F.lit(0.0), lambda a, v: a + v))
 
 
+def interface_sum(value: Column) -> Column:
+    """Received plus sent (the third and fourth token) of a row that begins
+    with a clock time."""
+    t = tokens(value)
+    both = F.try_element_at(t, F.lit(3)).try_cast("double") + F.try_element_at(t, F.lit(4)).try_cast("double")
+    return F.when(F.element_at(t, 1).rlike(r"^\d{1,2}:\d{2}:\d{2}"), both)
+
+
+def parse_net(lines: DataFrame, chunk: Column, interfaces: bool = False) -> DataFrame:
+    """(file, time_s, sum_kBs): of a counter log, or of an interface table whose
+    rows follow an 'IFACE ... rxkB/s ... txkB/s' header."""
+    if interfaces:
+        t = tokens(F.col("value"))
+        header = F.array_contains(t, "IFACE") & F.array_contains(t, "rxkB/s") & F.array_contains(t, "txkB/s")
+        x = carry_forward(lines.withColumn("_hdr", F.when(header, True)), ["file"], "line_no", "_hdr", chunk, "_seen")
+        x = x.where(F.col("_seen") & ~header).withColumn("sum_kBs", interface_sum(F.col("value")))
+    else:
+        x = lines.withColumn("sum_kBs", net_sum(F.col("value")))
+    x = running_sum(x.where("sum_kBs is not null"), ["file"], ["line_no"], F.lit(1).cast("bigint"), chunk, "_n")
+    return x.select("file", (F.col("_n") - 1).cast("bigint").alias("time_s"), "sum_kBs")
+
+
 def link_throughput(rx: Column, tx: Column) -> Column:
     return (F.coalesce(rx, F.lit(0.0)) + F.coalesce(tx, F.lit(0.0))) / 1024.0
 
@@ -159,8 +205,10 @@ def render_log_line(ts: Column, file: Column, level: Column, event: Column, fiel
 def parse_log_line(line: Column) -> Column:
     """Inverse: struct(ts, file, level, kv map)."""
     parts = F.split(line, r"\|")
-    # both delimiters are regular expressions
-    kv = F.str_to_map(F.array_join(F.slice(parts, 4, 1000), "|"), F.lit(r"\|"), F.lit("="))
+    fields = F.slice(parts, F.lit(4), F.greatest(F.size(parts) - 3, F.lit(0)))
+    kv = map_last_wins(F.transform(fields, lambda f: F.struct(
+        F.substring_index(f, "=", 1).alias("key"),
+        F.when(F.instr(f, "=") > 0, F.regexp_replace(f, "^[^=]*=", "")).alias("value"))))
     return F.struct(parts[0].alias("ts"), parts[1].alias("file"), parts[2].alias("level"), kv.alias("kv"))
 
 
@@ -209,26 +257,3 @@ def rule_rate(level: Column, event: Column, rules: list[tuple[str | None, str |
             cond = cond & (event == ev)
         expr = F.when(cond, F.lit(float(rate))) if expr is None else expr.when(cond, F.lit(float(rate)))
     return (expr.otherwise(F.lit(float(default))) if expr is not None else F.lit(float(default)))
-
-
-def burst_limit(df: DataFrame, keys: list[str], t: str, burst: int, interval: float) -> DataFrame:
-    """Per key, accept an event unless ``burst`` accepted events lie within
-    ``interval`` before it (rejected events do not count).  Inherently
-    sequential per key, so each key is one pandas group."""
-    from pyspark.sql.types import BooleanType, StructField, StructType
-    schema = StructType(list(df.schema.fields) + [StructField("accepted", BooleanType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t, kind="mergesort")
-        acc, window = [], []
-        for now in pdf[t].astype(float):
-            window = [w for w in window if now - w <= interval]
-            ok = len(window) < burst
-            if ok:
-                window.append(now)
-            acc.append(ok)
-        pdf = pdf.copy()
-        pdf["accepted"] = acc
-        return pdf
-
-    return df.groupBy(*keys).applyInPandas(run, schema)

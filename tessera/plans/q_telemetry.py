@@ -14,7 +14,8 @@ from tessera.operators import telemetry as TL
 from tessera.plans.common import r6
 from tessera.plans.registry import register
 from tessera.plans.sqlbits import u_sql
-from tessera.session import table
+from tessera.session import scratch_path, table
+from tessera.sources.text import read_lines
 
 _EPOCH = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
 
@@ -27,6 +28,18 @@ def _chunk():
     return F.floor(F.col("line_no") / (1 << 20))
 
 
+def _lines():
+    """Chunks of lines that were read from files (numbered by input split)."""
+    return F.shiftright("line_no", 16)
+
+
+def _logged(lines, name):
+    """The lines as log files, one each, read back."""
+    path = scratch_path(lines.sparkSession, name)
+    lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "value").write.partitionBy("file").text(path)
+    return read_lines(lines.sparkSession, path).withColumn("file", F.regexp_extract("file", "file=([^/]+)", 1))
+
+
 def _headers(e, header, every=1000, stride=2):
     files = e.select(F.col("event_type").alias("file")).distinct()
     h0 = files.select("file", F.lit(-1).cast("bigint").alias("line_no"), F.lit(header).alias("value"))
@@ -38,21 +51,21 @@ def _headers(e, header, every=1000, stride=2):
 # ------------------------------------------------------------ start time
 @register("parse_start_time", """
 WITH f AS (SELECT event_type, min(ts) AS t FROM events GROUP BY 1)
-SELECT event_type AS file, CASE WHEN event_type = 'click' THEN NULL
-  WHEN event_type = 'error' THEN floor(epoch(t)) - 8 * 3600 ELSE floor(epoch(t)) END::DOUBLE AS start_epoch FROM f""")
+SELECT event_type AS file, CASE event_type WHEN 'click' THEN NULL WHEN 'error' THEN floor(epoch(t)) - 8 * 3600
+  WHEN 'view' THEN floor(epoch(t)) + 0.25 ELSE floor(epoch(t)) END::DOUBLE AS start_epoch FROM f""")
 def _start(spark, sf_dir):
+    """No time, an offset, a fraction without a zone, and 'Z'."""
     e = _ev(spark, sf_dir)
     f = e.groupBy(F.col("event_type").alias("file")).agg(F.min("ts").alias("t"))
     iso = F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss")
-    line = (F.when(F.col("file") == "click", F.lit("Monitor started at not-a-time"))
-            .when(F.col("file") == "error", F.concat(F.lit("Monitor started at "), iso, F.lit("+08:00")))
-            .otherwise(F.concat(F.lit("Monitor started at "), iso, F.lit("Z"))))
-    p = TL.parse_start_time(f.select("file", line.alias("value")))
-    return p.select("file", F.col("start_epoch").cast("double").alias("start_epoch"))
+    at = (F.when(F.col("file") == "click", F.lit("not-a-time")).when(F.col("file") == "error", F.concat(iso, F.lit("+08:00")))
+          .when(F.col("file") == "view", F.concat(iso, F.lit(".250"))).otherwise(F.concat(iso, F.lit("Z"))))
+    lines = f.select("file", F.lit(0).alias("line_no"), F.concat(F.lit("Monitor started at "), at).alias("value"))
+    return TL.parse_start_time(_logged(lines, "start"))
 
 
 # ------------------------------------------------------------- gpu dmon
-_DMON_HEADER = "# gpu pwr gtemp sm mem mclk pclk"
+_DMON_HEADER = "  # GPU pwr temp sm mem mclk pclk"
 
 
 def _dmon_lines(e):
@@ -67,15 +80,22 @@ def _dmon_lines(e):
     return _headers(e, _DMON_HEADER).unionByName(data)
 
 
-@register("parse_header_driven", """
-SELECT event_type AS file, event_id * 2 + 1 AS line_no, user_id % 4 AS gpu, value AS pwr_W,
+_GPU_TICK_SQL = """f AS (SELECT file, arg_min(gpu, line_no) AS first_gpu FROM p GROUP BY 1),
+t AS (SELECT p.*, sum(CASE WHEN gpu = first_gpu THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY line_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS tick FROM p JOIN f USING (file))"""
+
+
+@register("parse_header_driven", f"""
+WITH p AS (SELECT event_type AS file, event_id AS line_no, user_id % 4 AS gpu, value AS pwr_W,
        CAST(user_id % 90 AS DOUBLE) AS temp_C, CAST(user_id % 100 AS DOUBLE) AS sm_pct,
        CASE WHEN event_type = 'click' THEN NULL ELSE CAST(event_id % 100 AS DOUBLE) END AS mem_pct,
-       5001.0 AS mclk_MHz, CAST(user_id + 1500 AS DOUBLE) AS pclk_MHz
-FROM events WHERE value >= 1 AND value <= 95""")
+       5001.0 AS mclk_MHz, CAST(user_id + 1500 AS DOUBLE) AS pclk_MHz FROM events WHERE value >= 1 AND value <= 95),
+{_GPU_TICK_SQL}
+SELECT file, CAST(tick AS DOUBLE) AS time_s, gpu, pwr_W, temp_C, sm_pct, mem_pct, mclk_MHz, pclk_MHz FROM t""")
 def _dmon(spark, sf_dir):
-    lines = _dmon_lines(_ev(spark, sf_dir))
-    return TL.parse_header_driven(lines, TL.DMON_RENAME, "gpu", ("gpu",), _chunk())
+    lines = _logged(_dmon_lines(_ev(spark, sf_dir)), "dmon")
+    d = TL.first_key_ticks(TL.parse_header_driven(lines, TL.DMON_RENAME, "gpu", _lines()), "gpu", _lines())
+    return d.withColumn("time_s", F.col("tick") * 1.0).drop("line_no", "tick")
 
 
 _PMON_HEADER = "# gpu pid type sm mem enc dec fb command"
@@ -84,30 +104,30 @@ _PMON_HEADER = "# gpu pid type sm mem enc dec fb command"
 @register("parse_pmon", """
 WITH p AS (SELECT event_type AS file, event_id * 2 + 1 AS line_no, user_id % 4 AS gpu,
                   CASE WHEN event_type = 'view' THEN NULL ELSE CAST(user_id % 100 AS DOUBLE) END AS sm,
-                  CAST(floor(value) AS DOUBLE) AS fb FROM events WHERE value <= 95),
+                  CASE WHEN event_type <> 'error' THEN CAST(floor(value) AS DOUBLE) END AS fb FROM events WHERE value <= 95),
 f AS (SELECT file, arg_min(gpu, line_no) AS first_gpu FROM p GROUP BY 1),
 t AS (SELECT p.*, sum(CASE WHEN gpu = first_gpu THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY line_no
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS tick FROM p JOIN f USING (file))
 SELECT file, CAST(tick AS BIGINT) AS tick, gpu, round(coalesce(sum(fb), 0), 6) AS fb_mem_MB,
-       round(coalesce(sum(sm), 0), 6) AS sm_pct, count(*) AS proc_count FROM t GROUP BY 1, 2, 3""")
+       round(coalesce(sum(sm), 0), 6) AS sm_pct, count(fb) AS proc_count FROM t GROUP BY 1, 2, 3""")
 def _pmon(spark, sf_dir):
     e = _ev(spark, sf_dir)
     gpu = F.when(F.col("value") > 95, F.lit("x")).otherwise(F.pmod("user_id", F.lit(4)).cast("string"))
     sm = F.when(F.col("event_type") == "view", F.lit("-")).otherwise(F.pmod("user_id", F.lit(100)).cast("string"))
     row = F.concat_ws(" ", gpu, F.col("event_id").cast("string"), F.lit("C"), sm, F.lit("-"), F.lit("-"), F.lit("-"),
-                      F.floor("value").cast("string"), F.lit("python"))
+                      F.when(F.col("event_type") == "error", F.lit("-")).otherwise(F.floor("value").cast("string")), F.lit("python"))
     data = e.select(F.col("event_type").alias("file"), (F.col("event_id") * 2 + 1).alias("line_no"), row.alias("value"))
     lines = _headers(e, _PMON_HEADER).unionByName(data)
-    p = TL.parse_header_driven(lines, {"gpu": "gpu", "pid": "pid", "sm": "sm", "fb": "fb"}, "gpu", ("gpu", "pid"), _chunk())
-    t = TL.first_key_ticks(p, "gpu", _chunk())
+    p = TL.parse_header_driven(_logged(lines, "pmon"), {"sm": "sm", "fb": "fb"}, "gpu", _lines(), need=("pid",))
+    t = TL.first_key_ticks(p, "gpu", _lines())
     g = t.groupBy("file", "tick", "gpu").agg(F.coalesce(F.sum("fb"), F.lit(0.0)).alias("fb_mem_MB"),
                                              F.coalesce(F.sum("sm"), F.lit(0.0)).alias("sm_pct"),
-                                             F.count(F.lit(1)).alias("proc_count"))
+                                             F.count("fb").alias("proc_count"))
     return g.select("file", "tick", "gpu", r6("fb_mem_MB").alias("fb_mem_MB"), r6("sm_pct").alias("sm_pct"), "proc_count")
 
 
 # --------------------------------------------------------------- vmstat
-_VM_HEADER = " r  b   swpd   free   buff  cache   si   so    bi    bo   in   cs us sy id wa st"
+_VM_HEADER = " r  b   swpd   free   buff  cache   si   so    bi    bo   in   cs us sy ID wa st"
 
 
 def _vm_lines(e):
@@ -117,7 +137,7 @@ def _vm_lines(e):
     hdr = files.select("file", F.lit(-1).cast("bigint").alias("line_no"), F.lit(_VM_HEADER).alias("value"))
     us = F.pmod("user_id", F.lit(40))
     nums = [F.pmod("user_id", F.lit(5)), F.lit(0), F.lit(0), F.col("user_id") * 100, F.lit(1), F.lit(2), F.lit(0), F.lit(0),
-            F.pmod("event_id", F.lit(50)), F.lit(3), F.lit(100), F.lit(200), us, F.lit(5), F.lit(95) - us, F.lit(0), F.lit(0)]
+            F.pmod("event_id", F.lit(50)), F.lit(3), F.lit(100), F.lit(200), us, F.lit(5), F.lit(95) - us, F.lit(0), F.lit("1e1")]
     row = F.concat_ws(" ", *[n.cast("string") for n in nums])
     row = F.when((F.col("event_type") == "error") & (F.col("value") > 90), F.concat(row, F.lit(" x"))).otherwise(row)
     data = e.select(F.col("event_type").alias("file"), F.col("event_id").alias("line_no"), row.alias("value"))
@@ -131,14 +151,14 @@ _VM_SQL = """(SELECT event_type AS file, event_id, CAST(row_number() OVER (PARTI
 
 @register("parse_vmstat", f"SELECT file, sample, us, sy, id FROM {_VM_SQL} v")
 def _vmstat(spark, sf_dir):
-    v = TL.parse_numeric_table(_vm_lines(_ev(spark, sf_dir)), r"^\s*r\s+b\s", _chunk())
+    v = TL.parse_numeric_table(_logged(_vm_lines(_ev(spark, sf_dir)), "vmstat"), TL.vmstat_header(), _lines())
     return v.select("file", "sample", F.col("row")["us"].alias("us"), F.col("row")["sy"].alias("sy"),
                     F.col("row")["id"].alias("id"))
 
 
 @register("cpu_usage", f"SELECT file, sample, 100.0 - id AS cpu_pct FROM {_VM_SQL} v")
 def _cpu(spark, sf_dir):
-    v = TL.parse_numeric_table(_vm_lines(_ev(spark, sf_dir)), r"^\s*r\s+b\s", _chunk())
+    v = TL.parse_numeric_table(_logged(_vm_lines(_ev(spark, sf_dir)), "vmstat"), TL.vmstat_header(), _lines())
     return v.select("file", "sample", TL.cpu_usage(F.col("row")["id"]).alias("cpu_pct"))
 
 
@@ -147,37 +167,45 @@ def _cpu(spark, sf_dir):
 WITH d AS (SELECT event_type AS file, event_id, value, user_id FROM events),
 t AS (SELECT *, count(*) FILTER (WHERE event_id % 10 = 0) OVER (PARTITION BY file ORDER BY event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tick FROM d)
-SELECT file, CAST(tick AS BIGINT) AS tick, round(avg(value) + 1e-9, 4) AS util_pct, round(avg(user_id / 10.0) + 1e-9, 4) AS await_ms FROM t GROUP BY 1, 2""")
+SELECT file, CAST(tick AS BIGINT) AS time_s, round(avg(value) + 1e-9, 4) AS util_pct,
+  round(avg(CASE WHEN user_id % 7 > 0 THEN user_id / 10.0 END) + 1e-9, 4) AS await_ms FROM t GROUP BY 1, 2""")
 def _iostat(spark, sf_dir):
+    """Dates and clock times before ticks, repeated headers, cells without a number."""
     e = _ev(spark, sf_dir)
     files = e.select(F.col("event_type").alias("file")).distinct()
-    first_ts = files.select("file", F.lit(-3).cast("bigint").alias("line_no"), F.lit("2024-01-01T00:00:00").alias("value"))
-    first_hdr = files.select("file", F.lit(-2).cast("bigint").alias("line_no"),
-                             F.lit("Device r/s w/s r_await w_await aqu-sz %util").alias("value"))
-    tick = e.where(F.pmod("event_id", F.lit(10)) == 0)
-    ts_lines = tick.select(F.col("event_type").alias("file"), (F.col("event_id") * 3).alias("line_no"),
-                           F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("value"))
-    hdr_lines = tick.select(F.col("event_type").alias("file"), (F.col("event_id") * 3 + 1).alias("line_no"),
-                            F.lit("Device r/s w/s r_await w_await aqu-sz %util").alias("value"))
-    dev = e.select(F.col("event_type").alias("file"), (F.col("event_id") * 3 + 2).alias("line_no"),
-                   F.concat_ws(" ", F.lit("sda"), F.lit("1.0"), F.lit("2.0"), (F.col("user_id") / 10.0).cast("string"),
-                               F.lit("0.5"), F.lit("0.1"), F.format_string("%.2f", "value")).alias("value"))
-    lines = first_ts.unionByName(first_hdr).unionByName(ts_lines).unionByName(hdr_lines).unionByName(dev)
-    r = TL.parse_iostat(lines, _chunk())
+    header = F.lit("Device r/s w/s await aqu-sz %util")
+    line = lambda df, at, value: df.select("file", F.lit(at).cast("bigint").alias("line_no") if isinstance(at, int) else at.alias("line_no"), value.alias("value"))
+    named = e.withColumn("file", F.col("event_type"))
+    tick = named.where(F.pmod("event_id", F.lit(10)) == 0)
+    stamp = F.when(F.pmod("event_id", F.lit(20)) == 0, F.lit("Mon 1 2024")).otherwise(F.date_format("ts", "HH:mm:ss"))
+    wait = F.when(F.pmod("user_id", F.lit(7)) > 0, (F.col("user_id") / 10.0).cast("string")).otherwise("-")
+    row = F.concat_ws(" ", F.lit("sda"), F.lit("1.0"), F.lit("2.0"), wait, F.lit("0.1"), F.format_string("%.2f", "value"))
+    lines = line(files, -3, F.lit("12:00:00")).unionByName(line(files, -2, header)).unionByName(line(files, -1, F.lit(""))) \
+        .unionByName(line(tick, F.col("event_id") * 3, stamp)).unionByName(line(tick, F.col("event_id") * 3 + 1, header)) \
+        .unionByName(line(named, F.col("event_id") * 3 + 2, row))
+    r = TL.parse_iostat(_logged(lines, "iostat"), _lines())
     # means of 1- and 2-decimal values can sit exactly on a rounding tie: nudge, then round
-    return r.select("file", F.col("tick").cast("bigint").alias("tick"), F.round(F.col("util_pct") + 1e-9, 4).alias("util_pct"),
+    return r.select("file", F.col("time_s").cast("bigint").alias("time_s"), F.round(F.col("util_pct") + 1e-9, 4).alias("util_pct"),
                     F.round(F.col("await_ms") + 1e-9, 4).alias("await_ms"))
 
 
 # ---------------------------------------------------------------- network
 @register("parse_net_sum", """
-SELECT event_id AS line_no, round(value + user_id, 6) AS sum_kBs FROM events WHERE event_type <> 'view'""")
+WITH x AS (SELECT event_type AS file, event_id, round(value + user_id, 6) AS sum_kBs FROM events WHERE NOT (event_type <> 'view' AND value < 5))
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY event_id) - 1 AS BIGINT) AS time_s, sum_kBs FROM x""")
 def _net(spark, sf_dir):
+    """Counter logs, and of views an interface table, where only two of the numbers count."""
     e = _ev(spark, sf_dir)
-    line = F.when(F.col("event_type") == "view", F.concat_ws(" ", F.lit("lo"), F.col("user_id").cast("string"), F.lit("kb"))) \
+    plain = F.when(F.col("value") < 5, F.concat_ws(" ", F.lit("lo"), F.col("user_id").cast("string"), F.lit("kb"))) \
         .otherwise(F.concat_ws(" ", F.lit("eth0"), F.format_string("%.2f", "value"), F.col("user_id").cast("string"), F.lit("kb")))
-    x = e.select(F.col("event_id").alias("line_no"), TL.net_sum(line).alias("sum_kBs")).where(F.col("sum_kBs").isNotNull())
-    return x.select("line_no", r6("sum_kBs").alias("sum_kBs"))
+    table_row = F.concat_ws(" ", F.lit("12:00:01"), F.lit("eth0"), F.format_string("%.2f", "value"), F.col("user_id").cast("string"), F.lit("3.5 4.5 0 0"))
+    kinds = e.select(F.col("event_type").alias("file"), F.col("event_id").alias("line_no"),
+                     F.when(F.col("event_type") == "view", table_row).otherwise(plain).alias("value"))
+    head = spark.createDataFrame([("view", -2, "12:00:00 lo 9 9 9 9"), ("view", -1, "12:00:00 IFACE rxpck/s rxkB/s txkB/s x x x")], kinds.schema)
+    lines = _logged(head.unionByName(kinds), "net")
+    view = F.col("file") == "view"
+    x = TL.parse_net(lines.where(view), _lines(), interfaces=True).unionByName(TL.parse_net(lines.where(~view), _lines()))
+    return x.select("file", "time_s", r6("sum_kBs").alias("sum_kBs"))
 
 
 @register("link_throughput", """
@@ -331,10 +359,3 @@ def _sample_rule(spark, sf_dir):
     e = _ev(spark, sf_dir)
     rate = TL.rule_rate(_level_col(), F.col("event_type"), _RULES, 0.1)
     return e.where(uniform("sample", "event_id") < rate).select("event_id", "event_type")
-
-
-@register("burst_limit")
-def _burst(spark, sf_dir):
-    e = _ev(spark, sf_dir).select("event_id", _level_col().alias("level"), F.col("event_type").alias("event"),
-                                  F.expr(_EPOCH).cast("double").alias("t"))
-    return TL.burst_limit(e, ["level", "event"], "t", 5, 3600.0).select("event_id", "level", "event", "accepted")
