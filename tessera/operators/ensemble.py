@@ -10,8 +10,7 @@ so that scoring every member of every row needs no shuffle at all.
 from __future__ import annotations
 
 import hashlib
-import itertools
-import random
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,39 +18,55 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import permute, rotate_back
 
-PATTERN_METHODS = ("none", "shift", "random", "latin")
 MAX_FEATURES_FOR_LATIN = 4000
 
 
-def _perm(n: int, seed) -> list[int]:
-    return sorted(range(n), key=lambda i: hashlib.md5(f"{seed}|{i}".encode()).hexdigest())
+def _by_hash(items, seed) -> list:
+    """The items in a seeded order that doesn't depend on any generator's state."""
+    return sorted(items, key=lambda i: hashlib.md5(f"{seed}|{i}".encode()).hexdigest())
+
+
+def _identity(n: int, members: int, seed) -> list[list[int]]:
+    return [list(range(n))]
+
+
+def _rotations(n: int, members: int, seed) -> list[list[int]]:
+    return [[(j - turn) % n for j in range(n)] for turn in range(n)]
+
+
+def _scattered(n: int, members: int, seed) -> list[list[int]]:
+    """Distinct permutations while all can be numbered, else one of each seed."""
+    if n > 5:
+        return [_by_hash(range(n), f"{seed}:{m}") for m in range(members)]
+    patterns = []
+    for code in _by_hash(range(math.factorial(n)), seed)[:members]:
+        left, pattern = list(range(n)), []
+        for size in range(n, 0, -1):  # the code's digits in the factorial base pick what is left
+            code, digit = divmod(code, size)
+            pattern.append(left.pop(digit))
+        patterns.append(pattern)
+    return patterns
+
+
+def _latin_rows(n: int, members: int, seed) -> list[list[int]]:
+    rows, columns, symbols = (_by_hash(range(n), f"{seed}:{part}") for part in "rcs")
+    return [[symbols[(r + c) % n] for c in columns] for r in rows]
+
+
+_PATTERNS = {"none": _identity, "shift": _rotations, "random": _scattered, "latin": _latin_rows}
+PATTERN_METHODS = tuple(_PATTERNS)
 
 
 def feature_patterns(n_features: int, n_estimators: int, method: str = "latin", seed: int = 0) -> list[list[int]]:
-    """Column permutations for the views.
-
-    none (or one estimator): identity.  shift: every rotation.  random: for
-    <=5 columns a sample of all permutations, else random permutations.
-    latin (<=4000 columns, else random): rows of a Latin square made from the
-    cyclic square with seeded row, column and symbol permutations -- only the
-    rows that are needed are built."""
-    idx = list(range(n_features))
-    if method not in PATTERN_METHODS:
-        raise ValueError(f"Unknown method: {method}. Use 'shift', 'random', 'latin', or 'none'.")
-    if method == "latin" and n_features > MAX_FEATURES_FOR_LATIN:
-        method = "random"
-    rng = random.Random(seed)
-    if method == "none" or n_estimators == 1:
-        return [idx]
-    if method == "shift":
-        return [idx[-i:] + idx[:-i] if i else list(idx) for i in range(n_features)]
-    if method == "random":
-        if n_features <= 5:
-            perms = [list(p) for p in itertools.permutations(idx)]
-            return rng.sample(perms, min(n_estimators, len(perms)))
-        return [rng.sample(idx, n_features) for _ in range(n_estimators)]
-    rows, cols, syms = _perm(n_features, f"{seed}:r"), _perm(n_features, f"{seed}:c"), _perm(n_features, f"{seed}:s")
-    return [[syms[(rows[r] + cols[j]) % n_features] for j in range(n_features)] for r in range(n_features)]
+    """Column permutations for the views: none, every rotation, random ones, or
+    the rows of a Latin square whose rows, columns and symbols are permuted
+    (random beyond ``MAX_FEATURES_FOR_LATIN`` columns).  A single view is the
+    identity."""
+    if method not in _PATTERNS:
+        raise ValueError(f"feature pattern method {method!r} is none of {', '.join(PATTERN_METHODS)}")
+    wide = method == "latin" and n_features > MAX_FEATURES_FOR_LATIN
+    make = _identity if n_estimators == 1 else _scattered if wide else _PATTERNS[method]
+    return make(n_features, n_estimators, seed)
 
 
 @dataclass
@@ -64,21 +79,14 @@ class ViewConfig:
 
 def ensemble_configs(patterns: list[list[int]], n_classes: int, norm_methods: list[str], n_estimators: int,
                      class_shift: bool = True, seed: int = 0) -> list[ViewConfig]:
-    """pattern x shift, shuffled by seed, x normaliser, cut to n_estimators;
-    members numbered grouped by normaliser in first-seen order (a stable
-    order, unlike a set)."""
-    rng = random.Random(seed)
-    shifts = rng.sample(range(n_classes), n_classes) if class_shift and n_estimators > 1 else [0]
-    ps = list(itertools.product(range(len(patterns)), shifts))
-    rng.shuffle(ps)
-    cfg = list(itertools.product(ps, norm_methods))[:n_estimators]
-    order = list(dict.fromkeys(n for _, n in cfg))
-    out = []
-    for norm in order:
-        for (p, s), n in cfg:
-            if n == norm:
-                out.append(ViewConfig(len(out), norm, list(patterns[p]), s))
-    return out
+    """``n_estimators`` views: pairs of pattern and class shift in a seeded
+    order, each under every normaliser in turn; members are numbered by
+    normaliser, so that those that share one stand together."""
+    shifts = range(n_classes) if class_shift and n_estimators > 1 else (0,)
+    pairs = _by_hash([(p, s) for p in range(len(patterns)) for s in shifts], f"{seed}:views")
+    slots = [(k % len(norm_methods), pairs[k // len(norm_methods)]) for k in range(min(n_estimators, len(pairs) * len(norm_methods)))]
+    return [ViewConfig(member, norm_methods[norm], list(patterns[p]), s)
+            for member, (norm, (p, s)) in enumerate(sorted(slots, key=lambda slot: slot[0]))]
 
 
 def configs_column(configs: list[ViewConfig]) -> Column:
