@@ -194,14 +194,3 @@ def _shard(spark, sf_dir):
     path = scratch_path(spark, "batches")
     FS.save_batches(_batches(spark, sf_dir), path)
     return FS.shard(spark.read.parquet(path), world=3, rank=1, start=1).select("batch_id", "conv_id", "turn")
-
-
-@register("snapshot_retention", """
-WITH s AS (SELECT 'ckpt/step-' || CAST(o_orderkey AS VARCHAR) || '.ckpt' AS name, o_orderkey AS step FROM orders),
-n AS (SELECT step FROM s WHERE step % 1000 <> 0 ORDER BY step DESC LIMIT 5)
-SELECT name, step, CASE WHEN step % 1000 = 0 THEN 'keep_permanent' WHEN step IN (SELECT step FROM n) THEN 'keep_recent'
-  ELSE 'delete' END AS action FROM s""")
-def _retention(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    listing = o.select(F.concat(F.lit("ckpt/step-"), F.col("o_orderkey").cast("string"), F.lit(".ckpt")).alias("name"))
-    return FS.retention_plan(listing, "name", keep=5, permanent_every=1000)

@@ -93,20 +93,6 @@ def _stream_rate(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@register("stream_ledger")
-def _stream_ledger(spark, sf_dir):
-    s, _ = _events_stream(spark, sf_dir)
-    op = (F.when(F.col("event_type") == "view", "put").when(F.col("event_type") == "click", "lease")
-          .when(F.col("event_type") == "purchase", "ack").when(F.col("event_type") == "error", "nack").otherwise("extend"))
-    x = s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour").select(
-        F.concat(F.lit("t"), F.pmod("user_id", F.lit(50)).cast("string")).alias("task_id"), op.alias("op"),
-        (F.expr(_EPOCH_US) / 1e6).alias("t"), "ts")
-    r = ST.ledger_state_stream(x, 3600.0, 600.0, 400)
-    out = scratch_path(spark, "stream-ledger")
-    ST.to_files(r, out, scratch_path(spark, "ckpt-ledger"))
-    return spark.read.parquet(out)
-
-
 @register("stream_burst_limit")
 def _stream_burst(spark, sf_dir):
     s, _ = _events_stream(spark, sf_dir)
@@ -138,12 +124,3 @@ def _stream_clean(spark, sf_dir):
     out = scratch_path(spark, "consume-out")
     ST.to_files(s.select("event_id", "event_type"), out, scratch_path(spark, "ckpt-consume"))
     return spark.read.parquet(out)
-
-
-@register("stream_seal_drain", "SELECT count(*) AS n_rows, true AS drained FROM events")
-def _stream_seal(spark, sf_dir):
-    s, _ = _events_stream(spark, sf_dir, max_files=1)
-    out = scratch_path(spark, "seal-out")
-    q = ST.to_files(s.select("event_id"), out, scratch_path(spark, "ckpt-seal"))
-    drained = not q.isActive
-    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(drained).alias("drained"))

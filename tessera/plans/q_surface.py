@@ -106,24 +106,6 @@ def _udaf(spark, sf_dir):
     return M.fingerprint(table(spark, sf_dir, "documents"), ["doc_id", "source"], by=["lang"])
 
 
-@register("hooks")
-def _hooks(spark, sf_dir):
-    """Start / progress / terminate hooks through a StreamingQueryListener."""
-    e = table(spark, sf_dir, "events")
-    src = ST.land(e, "hooks-in", 4, order="event_id")
-    c = ST.ProgressCollector()
-    spark.streams.addListener(c.listener)
-    try:
-        s = ST.file_stream(spark, src, e.schema, max_files=1)
-        ST.to_files(s.select("event_id"), scratch_path(spark, "hooks-out"), scratch_path(spark, "ckpt-hooks"))
-        time.sleep(2.0)                                    # listener events are delivered asynchronously
-    finally:
-        spark.streams.removeListener(c.listener)
-    rows = [r for r in c.rows if r[0] == "progress"]
-    return spark.createDataFrame(rows or [("progress", "", -1, 0)], "kind string, query string, batch bigint, input_rows bigint") \
-        .groupBy("kind").agg(F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"))
-
-
 @register("sink_adapter", "SELECT event_id, event_type FROM events")
 def _sink_adapter(spark, sf_dir):
     e = table(spark, sf_dir, "events")

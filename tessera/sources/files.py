@@ -38,13 +38,33 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv", header: bool =
 
 def read_named_csv(spark: SparkSession, path: str, required: list[str], sep: str = ",",
                    encoding: str = "utf-8") -> DataFrame:
-    """Header CSV; unreadable files are skipped, a missing required column is fatal."""
-    df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-          .option("ignoreCorruptFiles", True).option("mode", "PERMISSIVE").csv(path))
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing required columns {missing}; found {df.columns}")
-    return df
+    """Header CSV, each file read by its own header (files may order their
+    columns differently); unreadable files are skipped, a file without a
+    required column is fatal.  Rows keep the path of their file (``file``).
+
+    The headers are gathered first: one row per distinct header line, so the
+    files are read in as many scans as there are header lines."""
+    lines = spark.read.option("encoding", encoding).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(path)
+    first = lines.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"), "value") \
+        .where("at = 0").groupBy("f").agg(F.first("value").alias("header"))
+    kinds = [r["header"] for r in first.select("header").distinct().orderBy("header").collect()]
+    frames = []
+    for header in kinds:
+        names = [c.strip().strip('"') for c in header.split(sep)]
+        missing = [c for c in required if c not in names]
+        if missing:
+            raise ValueError(f"missing required columns {missing}; found {names}")
+        paths = [r["f"] for r in first.where(F.col("header") == header).select("f").collect()] if len(kinds) > 1 else [path]
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+        r = spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding) \
+            .option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).option("mode", "PERMISSIVE")
+        frames.append(r.csv(paths).withColumn("file", F.col("_metadata.file_path")))
+    if not frames:
+        raise FileNotFoundError(f"no readable file with a header in {path}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -89,8 +109,9 @@ def pair_datasets(listing: DataFrame, train: str = "train", test: str = "test")
                        F.regexp_extract("path", rf"^(.*)/({train}|{test})\.csv(/.*)?$", 2).alias("kind")).where("dataset <> ''")
     tr = p.where(F.col("kind") == train).select("dataset").distinct()
     te = p.where(F.col("kind") == test).select("dataset").distinct().withColumn("has_test", F.lit(True))
-    out = tr.join(te, "dataset", "left").select("dataset", F.coalesce("has_test", F.lit(False)).alias("has_test"))
-    return out
+    if tr.isEmpty():
+        raise FileNotFoundError(f"no dataset folder holds a {train} file")
+    return tr.join(te, "dataset", "left").select("dataset", F.coalesce("has_test", F.lit(False)).alias("has_test"))
 
 
 def inventory(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -114,7 +135,7 @@ def write_csv_union(frames: list[DataFrame], path: str) -> None:
 
 
 def write_meta(meta: DataFrame, path: str) -> None:
-    meta.coalesce(1).write.json(path)
+    meta.write.json(path)
 
 
 def write_predictions(df: DataFrame, path: str, id_col: str = "id", pred: str = "prediction") -> None:
@@ -138,16 +159,3 @@ def load_batches(spark: SparkSession, path: str, start: int = 0, max_batches: in
 def shard(df: DataFrame, world: int, rank: int, start: int = 0, batch: str = "batch_id") -> DataFrame:
     """Rank r of w reads batches start + r, start + r + w, ..."""
     return df.where((F.col(batch) >= start) & (F.pmod(F.col(batch) - start, F.lit(world)) == rank))
-
-
-def retention_plan(listing: DataFrame, name: str, keep: int, permanent_every: int) -> DataFrame:
-    """Numeric suffix = step; steps divisible by ``permanent_every`` are kept;
-    of the others the newest ``keep`` are kept (top-k, no global window), the
-    rest are marked for deletion.  A plan only: nothing is deleted."""
-    x = listing.withColumn("step", F.regexp_extract(F.col(name), r"(\d+)(?!.*\d)", 1).try_cast("bigint")) \
-               .where(F.col("step").isNotNull())
-    perm = F.pmod(F.col("step"), F.lit(permanent_every)) == 0
-    newest = x.where(~perm).orderBy(F.col("step").desc()).limit(keep).select("step").withColumn("_new", F.lit(True))
-    j = x.join(newest, "step", "left")
-    action = F.when(perm, "keep_permanent").when(F.col("_new"), "keep_recent").otherwise("delete")
-    return j.select(name, "step", action.alias("action"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from typing import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tessera.session import scratch_path
 
 
-def drain(query, timeout_s: float = 600.0):
-    """Wait for an availableNow query; surface its failure."""
-    query.awaitTermination(timeout_s)
+def drain(query):
+    """Wait until an availableNow query has taken everything; surface its failure."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
@@ -66,6 +67,12 @@ def land(df: DataFrame, name: str, n_files: int = 8, fmt: str = "parquet", order
 
 
 # --------------------------------------------------------------- stateful
+def _in_order(pdfs: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
+    """All rows of a key in this micro-batch, sorted; a micro-batch is bounded
+    by its files, and the Arrow chunks of a key come in no order."""
+    return pd.concat(list(pdfs)).sort_values(list(by), kind="stable")
+
+
 def counter_rate_state(stream: DataFrame, keys: list[str], order: str, t: str, value: str) -> DataFrame:
     """Rate from the last sample per key kept between micro-batches:
     (value - prev)/dt/1024, negative diff -> 0, dt floored at 1e-6, the first
@@ -73,62 +80,22 @@ def counter_rate_state(stream: DataFrame, keys: list[str], order: str, t: str, v
     out_schema = f"{', '.join(f'{k} ' + stream.schema[k].dataType.simpleString() for k in keys)}, {order} bigint, rate double"
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        prev = state.get if state.exists else None
-        rows = []
-        for pdf in pdfs:
-            for _, r in pdf.sort_values(order).iterrows():
-                rate = None
-                if prev is not None:
-                    rate = max(r[value] - prev[1], 0.0) / max(r[t] - prev[0], 1e-6) / 1024.0
-                prev = (float(r[t]), float(r[value]))
-                rows.append((*key, int(r[order]), rate))
-        if prev is not None:
-            state.update(prev)
-        yield pd.DataFrame(rows, columns=[*keys, order, "rate"])
+        rows = _in_order(pdfs, order)
+        at, v = rows[t].astype(float).to_numpy(), rows[value].astype(float).to_numpy()
+        first = state.get if state.exists else (float("nan"), float("nan"))
+        dt, dv = np.diff(at, prepend=first[0]), np.diff(v, prepend=first[1])
+        rate = np.maximum(dv, 0.0) / np.maximum(dt, 1e-6) / 1024.0
+        state.update((float(at[-1]), float(v[-1])))
+        out = pd.DataFrame({order: rows[order].astype("int64").to_numpy(), "rate": rate})
+        out["rate"] = out["rate"].astype(object).where(out["rate"].notna(), None)
+        for k, x in zip(keys, key):
+            out[k] = x
+        yield out[[*keys, order, "rate"]]
 
     return stream.groupBy(*keys).applyInPandasWithState(
         fn, out_schema, "t double, v double", "append", GroupStateTimeout.NoTimeout)
 
 
-def ledger_state_stream(stream: DataFrame, ttl_s: float, delay_s: float, max_attempts: int) -> DataFrame:
-    """Per task: fold put/lease/ack/nack/extend events as they arrive;
-    the state holds (put seen, last op, last t, attempts, acked).  An
-    event-time timeout fires when a lease would expire so the task turns
-    visible again without new events."""
-    out_schema = "task_id string, state string, attempts bigint, t double"
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            put, op, last_t, att, acked = state.get
-            state.update((put, "expired", last_t, att, acked))
-            yield pd.DataFrame([(key[0], "visible", att, last_t)], columns=["task_id", "state", "attempts", "t"])
-            return
-        put, op, last_t, att, acked = state.get if state.exists else (False, None, 0.0, 0, False)
-        for pdf in pdfs:
-            for _, r in pdf.sort_values("t").iterrows():
-                put = put or r["op"] == "put"
-                att += int(r["op"] == "lease")
-                acked = acked or r["op"] == "ack"
-                op, last_t = r["op"], float(r["t"])
-        if not put:
-            return
-        if acked or att >= max_attempts:
-            s = "acked"
-        elif op in ("lease", "extend"):
-            s = "leased"
-            state.setTimeoutTimestamp(int((last_t + ttl_s + delay_s) * 1000))
-        elif op == "nack":
-            s = "delayed"
-        else:
-            s = "visible"
-        state.update((put, op, last_t, att, acked))
-        yield pd.DataFrame([(key[0], s, att, last_t)], columns=["task_id", "state", "attempts", "t"])
-
-    return stream.groupBy("task_id").applyInPandasWithState(
-        fn, out_schema, "put boolean, op string, t double, attempts bigint, acked boolean", "append",
-        GroupStateTimeout.EventTimeTimeout)
-
-
 def burst_limit_stream(stream: DataFrame, keys: list[str], t: str, burst: int, interval: float,
                        id_col: str) -> DataFrame:
     """Burst limit over a stream: the state keeps at most ``burst`` accepted
@@ -137,15 +104,13 @@ def burst_limit_stream(stream: DataFrame, keys: list[str], t: str, burst: int, i
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         window = list(state.get[0]) if state.exists else []
-        rows = []
-        for pdf in pdfs:
-            for _, r in pdf.sort_values([t, id_col]).iterrows():
-                now = float(r[t])
-                window = [w for w in window if now - w <= interval]
-                ok = len(window) < burst
-                if ok:
-                    window.append(now)
-                rows.append((*key, int(r[id_col]), ok))
+        rows, batch = [], _in_order(pdfs, t, id_col)
+        for now, i in zip(batch[t].astype(float).tolist(), batch[id_col].tolist()):
+            window = [w for w in window if now - w <= interval]
+            ok = len(window) < burst
+            if ok:
+                window.append(now)
+            rows.append((*key, int(i), ok))
         state.update((window,))
         yield pd.DataFrame(rows, columns=[*keys, id_col, "accepted"])
 
@@ -153,33 +118,6 @@ def burst_limit_stream(stream: DataFrame, keys: list[str], t: str, burst: int, i
         fn, out_schema, "times array<double>", "append", GroupStateTimeout.NoTimeout)
 
 
-class ProgressCollector:
-    """A StreamingQueryListener that keeps per-batch progress numbers (the
-    reference's start/success/stop hooks)."""
-
-    def __init__(self):
-        from pyspark.sql.streaming import StreamingQueryListener
-
-        collector = self
-        self.rows: list[tuple] = []
-
-        class _L(StreamingQueryListener):
-            def onQueryStarted(self, event):
-                collector.rows.append(("started", str(event.id), -1, 0))
-
-            def onQueryProgress(self, event):
-                p = event.progress
-                collector.rows.append(("progress", str(p.id), int(p.batchId), int(p.numInputRows)))
-
-            def onQueryIdle(self, event):
-                collector.rows.append(("idle", str(event.id), -1, 0))
-
-            def onQueryTerminated(self, event):
-                collector.rows.append(("terminated", str(event.id), -1, 0))
-
-        self.listener = _L()
-
-
 def foreach_batch_sink(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str):
     """Any callable as a sink (the reference's sink adapter)."""
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -187,4 +125,4 @@ def foreach_batch_sink(stream: DataFrame, sink: Callable[[DataFrame, int], None]
 
 
 __all__ = ["drain", "to_files", "to_table_snapshot", "file_stream", "land", "counter_rate_state",
-           "ledger_state_stream", "burst_limit_stream", "ProgressCollector", "foreach_batch_sink", "F"]
+           "burst_limit_stream", "foreach_batch_sink", "F"]
