@@ -18,11 +18,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import uniform
 from tessera.functions.numeric import clip, probit, soft_clip
+from tessera.session import stored
 
 # Fixed values that define the reference's transforms.
 SCALE_EPS = 1e-6          # added to the population std by the standard scaler
@@ -32,7 +33,6 @@ OUTLIER_THRESHOLD = 4.0   # two-stage outlier bounds: mean +- 4 std
 IQR_NORMAL = 1.3489795003921634   # norm.ppf(0.75) - norm.ppf(0.25)
 QUANTILE_BOUND = 1e-7     # output clip of the normal quantile transform
 NORMALIZERS = ("none", "power", "quantile", "quantile_rtdl", "robust")
-PERSIST_FIT_ROWS = 5_000_000   # contexts up to this size are cached across fit passes
 
 
 def _agg_row(df: DataFrame, exprs: dict[str, Column]) -> dict:
@@ -280,53 +280,56 @@ def yeo_johnson(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-# Fixed grid of the lambda search: a coarse pass then a fine pass around the best.
-YJ_COARSE = [round(-4.0 + 0.1 * i, 4) for i in range(81)]
-YJ_FINE_STEP, YJ_FINE_HALF = 0.005, 20
+# The lambda search: points of a pass, its first interval, and the last pass's step.
+YJ_POINTS, YJ_FIRST, YJ_STEP = 17, (-4.0, 4.0), 2e-4
 
 
 @dataclass
 class YeoJohnson:
-    """Per-column lambda by maximum likelihood on a fixed two-pass grid, then
-    standardise (population std, zero std -> 1)."""
+    """Per-column lambda by maximum likelihood, then standardise (population
+    std, zero std -> 1).
+
+    One aggregate a pass gives the likelihood of ``YJ_POINTS`` lambdas of every
+    column.  While the best is at an end of its interval the next one reaches
+    twice as far beyond it; else it is the two steps around the best."""
     cols: list[str]
     lam: dict = field(default_factory=dict)
     mean: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
 
-    def _long(self, df: DataFrame) -> DataFrame:
-        """(feature, value, count): the likelihood only needs each distinct
-        value once with its multiplicity (partial aggregation map-side)."""
-        pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("x"))
-                          for i, c in enumerate(self.cols)])
-        long = df.select(F.inline(pairs)).where(F.col("x").isNotNull())
-        return long.groupBy("f", "x").agg(F.count(F.lit(1)).cast("double").alias("c"))
-
-    def _search(self, long: DataFrame, grids: dict[int, list[float]]) -> dict[int, float]:
-        g = F.create_map(*[v for f, lams in grids.items()
-                           for v in (F.lit(f), F.array(*[F.lit(float(x)) for x in lams]))])
-        exp = long.select("f", "x", "c", F.explode(F.element_at(g, F.col("f"))).alias("lam"))
-        y = yeo_johnson(F.col("x"), F.col("lam"))
-        c = F.col("c")
-        ll = exp.groupBy("f", "lam").agg(
-            F.sum(c).alias("n"), F.sum(c * y).alias("s1"), F.sum(c * y * y).alias("s2"),
-            F.sum(c * F.signum("x") * F.log1p(F.abs("x"))).alias("s"))
-        var = F.col("s2") / F.col("n") - (F.col("s1") / F.col("n")) * (F.col("s1") / F.col("n"))
-        ll = ll.select("f", "lam", (F.col("n") * -0.5 * F.log(var) + (F.col("lam") - 1.0) * F.col("s")).alias("ll"))
-        best = ll.where(F.col("ll").isNotNull() & ~F.isnan("ll")).groupBy("f").agg(
-            F.max_by("lam", F.struct(F.col("ll"), -F.col("lam"))).alias("lam")).collect()
-        return {r["f"]: r["lam"] for r in best}
+    def _likelihoods(self, df: DataFrame, grids: dict[str, list[float]]) -> dict[str, list[float]]:
+        exprs = {}
+        for i, (c, lams) in enumerate(grids.items()):
+            x = F.col(c).cast("double")
+            exprs[f"n{i}"], exprs[f"s{i}"] = F.count(x), F.sum(F.signum(x) * F.log1p(F.abs(x)))
+            exprs |= {f"v{i}_{k}": F.var_pop(yeo_johnson(x, F.lit(lam))) for k, lam in enumerate(lams)}
+        r = _agg_row(df, exprs)
+
+        def likelihood(i, k, lam):
+            n, s, v = r[f"n{i}"], r[f"s{i}"], r[f"v{i}_{k}"]
+            if not n or v is None or not math.isfinite(v) or v <= 0:
+                return float("-inf")
+            return -0.5 * n * math.log(v) + (lam - 1.0) * s
+
+        return {c: [likelihood(i, k, lam) for k, lam in enumerate(lams)] for i, (c, lams) in enumerate(grids.items())}
 
     def fit(self, df: DataFrame) -> "YeoJohnson":
-        long = self._long(df).cache()
-        try:
-            coarse = self._search(long, {i: YJ_COARSE for i in range(len(self.cols))})
-            fine = {i: [round(coarse.get(i, 1.0) + YJ_FINE_STEP * k, 6) for k in range(-YJ_FINE_HALF, YJ_FINE_HALF + 1)]
-                    for i in range(len(self.cols))}
-            best = self._search(long, fine)
-        finally:
-            long.unpersist()
-        self.lam = {c: best.get(i, 1.0) for i, c in enumerate(self.cols)}
+        interval = {c: YJ_FIRST for c in self.cols}
+        while interval:
+            grids = {c: [round(lo + (hi - lo) * k / (YJ_POINTS - 1), 9) for k in range(YJ_POINTS)] for c, (lo, hi) in interval.items()}
+            found, interval = self._likelihoods(df, grids), {}
+            for c, ll in found.items():
+                k, lams = ll.index(max(ll)), grids[c]
+                step = lams[1] - lams[0]
+                self.lam[c] = round(lams[k], 6) if math.isfinite(ll[k]) else 1.0
+                if not math.isfinite(ll[k]):
+                    continue  # constant or empty: no likelihood
+                if k == 0:
+                    interval[c] = (lams[0] - 2 * (lams[-1] - lams[0]), lams[1])
+                elif k == len(lams) - 1:
+                    interval[c] = (lams[-2], lams[-1] + 2 * (lams[-1] - lams[0]))
+                elif step > YJ_STEP:
+                    interval[c] = (lams[k - 1], lams[k + 1])
         exprs = {}
         for i, c in enumerate(self.cols):
             y = yeo_johnson(F.col(c), F.lit(self.lam[c]))
@@ -364,63 +367,58 @@ def _segments(q: list[float], refs: list[float]) -> list[tuple]:
     return out
 
 
+def _numbers(values: list) -> Column:
+    """A literal array of doubles (folded once by the optimiser)."""
+    return F.split(F.lit(",".join("NaN" if v is None else repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
 @dataclass
 class QuantileNormal:
-    """Empirical CDF from n_quantiles exact quantiles, then the normal quantile
-    function, output clipped at probit(1e-7) / probit(1 - 1e-7).
+    """Empirical CDF from n_quantiles exact quantiles of all rows, then the
+    normal quantile function, output clipped at probit(1e-7) / probit(1 - 1e-7).
 
     The segment of each value is found by binary search (ML ``Bucketizer``
-    over the distinct quantiles, JVM-side) and its interpolation line comes
-    from a broadcast equi-join with the segment table (<= n_quantiles rows)."""
+    over the distinct quantiles, JVM-side); its interpolation line comes from
+    literal arrays, so a transform is one projection without a join."""
     cols: list[str]
     n_quantiles: int = 1000
-    subsample: int = 10_000
-    seed: int = 0
     quantiles: dict = field(default_factory=dict)
     refs: list = field(default_factory=list)
 
     def fit(self, df: DataFrame, noisy: dict[str, Column] | None = None) -> "QuantileNormal":
+        from tessera.operators.ordering import exact_quantiles
         n = df.count()
         nq = max(1, min(self.n_quantiles, n))
         self.refs = [i / (nq - 1) for i in range(nq)] if nq > 1 else [0.0]
-        probs = F.array(*[F.lit(p) for p in self.refs])
-        src = df.select(*[(noisy or {}).get(c, F.col(c)).alias(c) for c in self.cols])
-        if n > self.subsample:
-            # quantiles are estimated on a bounded, seeded sample (as the reference's
-            # transformer does); a hash top-k, independent of partitioning
-            key = [F.col(c) for c in self.cols]
-            src = src.withColumn("_u", uniform(f"qs{self.seed}", *key)).orderBy("_u", *self.cols) \
-                     .limit(self.subsample).drop("_u")
-        exprs = {f"q{i}": F.percentile(c, probs) for i, c in enumerate(self.cols)}
-        r = _agg_row(src, exprs)
-        self.quantiles = {c: sorted(r[f"q{i}"]) for i, c in enumerate(self.cols)}
+        pairs = F.array(*[F.struct(F.lit(i).alias("f"), (noisy or {}).get(c, F.col(c)).cast("double").alias("x"))
+                          for i, c in enumerate(self.cols)])
+        got = {r["f"]: sorted(r["q"]) for r in exact_quantiles(df.select(F.inline(pairs)), "x", self.refs, ["f"]).collect()}
+        self.quantiles = {c: got.get(i) for i, c in enumerate(self.cols)}
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.feature import Bucketizer
-        spark = df.sparkSession
         lo_cap = probit(F.lit(QUANTILE_BOUND - 2.220446049250313e-16))
         hi_cap = probit(F.lit(1 - (QUANTILE_BOUND - 2.220446049250313e-16)))
         x = df
         for i, c in enumerate(self.cols):
             q = self.quantiles[c]
+            if not q:  # nothing but missing values in the context
+                x = x.withColumn(c, F.lit(None).cast("double"))
+                continue
             seg = _segments(q, self.refs)
-            splits = [float("-inf")] + [s[1] for s in seg] + [float("inf")]
             b = f"_qb{i}"
-            x = Bucketizer(splits=splits, inputCol=c, outputCol=b, handleInvalid="keep").transform(x)
-            table = spark.createDataFrame(
-                [(float(s[0] + 1), s[1], s[2], s[3], s[4], s[5]) for s in seg],
-                f"{b} double, _u{i} double, _un{i} double, _rf{i} double, _rl{i} double, _rfn{i} double")
-            x = x.join(F.broadcast(table), b, "left")
-            v = F.col(c)
-            line = F.col(f"_rl{i}") + (v - F.col(f"_u{i}")) * (F.col(f"_rfn{i}") - F.col(f"_rl{i}")) \
-                / (F.col(f"_un{i}") - F.col(f"_u{i}"))
-            p = F.when(v == F.col(f"_u{i}"), (F.col(f"_rf{i}") + F.col(f"_rl{i}")) * 0.5).otherwise(line)
+            x = x.withColumn(c, F.col(c).cast("double"))
+            x = Bucketizer(splits=[float("-inf")] + [s[1] for s in seg] + [float("inf")], inputCol=c, outputCol=b,
+                           handleInvalid="keep").transform(x)
+            at = lambda k: F.try_element_at(_numbers([s[k] for s in seg]), F.greatest(F.col(b).cast("int"), F.lit(1)))  # noqa: B023, E731
+            v, here, following, first, last, next_first = F.col(c), at(1), at(2), at(3), at(4), at(5)
+            line = last + (v - here) * (next_first - last) / (following - here)
+            p = F.when(v == here, (first + last) * 0.5).otherwise(line)
             p = F.when(v - QUANTILE_BOUND < F.lit(q[0]), 0.0).when(v + QUANTILE_BOUND > F.lit(q[-1]), 1.0).otherwise(p)
             x = x.withColumn(f"_p{i}", p)
             z = probit(F.least(F.greatest(F.col(f"_p{i}"), F.lit(QUANTILE_BOUND)), F.lit(1 - QUANTILE_BOUND)))
-            x = x.withColumn(c, F.when(v.isNull(), None).otherwise(F.least(F.greatest(z, lo_cap), hi_cap)))
-            x = x.drop(b, f"_u{i}", f"_un{i}", f"_rf{i}", f"_rl{i}", f"_rfn{i}", f"_p{i}")
+            x = x.withColumn(c, F.when(v.isNull() | F.isnan(v), None).otherwise(F.least(F.greatest(z, lo_cap), hi_cap))).drop(b, f"_p{i}")
         return x
 
 
@@ -453,7 +451,7 @@ class QuantileRtdl:
             for i, c in enumerate(self.cols):
                 sigma = self.noise / max(stds[f"s{i}"] or 0.0, self.noise)
                 noisy[c] = F.col(c) + F.lit(sigma) * normal_draw(f"{self.seed}:{c}", *self.key)
-        self.qn = QuantileNormal(self.cols, nq, seed=self.seed).fit(df, noisy)
+        self.qn = QuantileNormal(self.cols, nq).fit(df, noisy)
         t = self.qn.transform(df)
         exprs = {}
         for i, c in enumerate(self.cols):
@@ -484,17 +482,7 @@ class Preprocess:
     def fit(self, df: DataFrame) -> "Preprocess":
         if self.method not in NORMALIZERS:
             raise ValueError(f"Unknown normalization method: {self.method}")
-        # several fit passes read the context: cache it when it is bounded
-        bounded = df.limit(PERSIST_FIT_ROWS + 1).count() <= PERSIST_FIT_ROWS
-        if bounded:
-            df = df.select(*dict.fromkeys([*self.cols, *self.key])).persist()
-        try:
-            return self._fit(df)
-        finally:
-            if bounded:
-                df.unpersist()
-
-    def _fit(self, df: DataFrame) -> "Preprocess":
+        df = df.select(*dict.fromkeys([*self.cols, *self.key]))  # several passes: callers may pass a persisted frame
         self.scaler = StandardScaleClip(self.cols).fit(df)
         x = self.scaler.transform(df)
         self.norm = None
@@ -526,6 +514,20 @@ class Preprocess:
 
 
 # ----------------------------------------------------------- encode/impute
+def ranked_categories(vals: DataFrame) -> DataFrame:
+    """0-based ``code`` of each distinct (column, category) in binary string
+    order: range partitions of the whole string, ranked inside and offset by
+    the sizes of the ranges before (a table of one row a column and range).
+    Stored between, so both steps see the same ranges."""
+    parts = stored(vals.repartitionByRange("column", "category").withColumn("_part", F.spark_partition_id()), "categories")
+    sizes = parts.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("column", "_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("column", "_part").orderBy("category")) - 1
+    return parts.withColumn("_local", local).join(sizes, ["column", "_part"]) \
+        .select("column", "category", (F.col("_before") + F.col("_local")).cast("bigint").alias("code"))
+
+
 @dataclass
 class OrdinalEncode:
     """Categories sorted ascending (binary string order), 0-based; unseen and
@@ -537,13 +539,7 @@ class OrdinalEncode:
     def fit(self, df: DataFrame) -> "OrdinalEncode":
         vals = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category"))
                                             for c in self.cols]))).where(F.col("category").isNotNull()).distinct()
-        # rank of each distinct category in binary string order; the first
-        # character's code point is monotone in that order, so it buckets a
-        # high-cardinality column over many tasks
-        from tessera.operators.ordering import exact_rank
-        r = exact_rank(vals, ["column"], "category", [], out="_r",
-                       bucket=F.ascii(F.substring("category", 1, 1)))
-        self.dictionary = r.withColumn("code", (F.col("_r") - 1).cast("bigint")).drop("_r")
+        self.dictionary = ranked_categories(vals)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

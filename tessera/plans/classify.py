@@ -22,7 +22,6 @@ from tessera.plans.registry import register
 from tessera.plans.sqlbits import LI_KEY_SQL, digest_sql, soft_clip_sql, u_sql
 
 N_ESTIMATORS = 8
-PERSIST_CONTEXT_ROWS = 5_000_000
 
 
 class ClassifierModel:
@@ -35,22 +34,16 @@ class ClassifierModel:
 
 
 def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS) -> ClassifierModel:
-    """Fits read only the context rows.  A bounded context (the usual case:
-    the reference caps it at thousands of rows) is persisted across the fit
-    passes; an unbounded one is re-read by each pass instead of cached."""
-    bounded = context.limit(PERSIST_CONTEXT_ROWS + 1).count() <= PERSIST_CONTEXT_ROWS
-    if bounded:
-        context = context.persist()
+    """Fits read only the context rows, in several passes; callers may pass a
+    persisted frame."""
     dictionary = TG.label_dictionary(context, "l_returnflag").cache()
     n_classes = dictionary.count()
-    TG.check_class_limit(n_classes)
+    TG.check_class_limit(n_classes, grouping=False)
     cx = TG.label_encode(context, "l_returnflag", dictionary, "y")
     scaler = StandardScaleClip(LI_FEATURES).fit(cx)
     cx = scaler.transform(cx)
     clipper = OutlierSoftClip(LI_FEATURES).fit(cx)
     centres = S.class_means(clipper.transform(cx), LI_FEATURES, "y")
-    if bounded:
-        context.unpersist()
     pats = feature_patterns(len(LI_FEATURES), n_estimators, "latin", seed=0)
     cfg = ensemble_configs(pats, n_classes, ["none"], n_estimators, class_shift=True, seed=0)
     return ClassifierModel(dictionary, n_classes, scaler, clipper, centres, cfg)

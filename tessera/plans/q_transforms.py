@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import transforms as TR
 from tessera.plans.common import LI_FEATURES, li_key, lineitem, r6, with_role
 from tessera.plans.registry import register
-from tessera.plans.sqlbits import LI_KEY_SQL, digest_sql, soft_clip_sql, u_sql
+from tessera.plans.sqlbits import LI_KEY_SQL, digest_sql, probit_sql, soft_clip_sql, u_sql
 from tessera.session import table
 
 _ROLE = f"{u_sql('role', *LI_KEY_SQL)} < 0.3"
@@ -110,7 +110,7 @@ def _std_nan(spark, sf_dir):
 
 # --------------------------------------------------------------- clippers
 _SOFT_T = 1.5
-_SOFT_COLS = ["l_quantity", "l_extendedprice"]
+_SOFT_COLS = LI_FEATURES
 
 
 def _soft_sql():
@@ -159,7 +159,7 @@ def _hard(spark, sf_dir):
 
 
 # ------------------------------------------------------------ normalisers
-_YJ_COLS = ["l_quantity", "l_discount", "l_tax"]
+_YJ_COLS = LI_FEATURES
 
 
 def _yj_sql(x, lam):
@@ -167,49 +167,93 @@ def _yj_sql(x, lam):
             f"ELSE (CASE WHEN abs({lam} - 2.0) < 1e-12 THEN -ln(1 - {x}) ELSE -(pow(-{x} + 1.0, 2.0 - {lam}) - 1.0) / (2.0 - {lam}) END) END")
 
 
+def _yj_levels(steps=(0.5, 0.0625, 0.0078125, 0.0009765625, 0.0001220703125)):
+    """The lambda of each feature of lng (f, x): 17 points a level, first over
+    [-4, 4], then over the two steps around the best."""
+    best = lambda level: f"""(SELECT f, arg_max(lam, ll) AS lam FROM (
+  SELECT f, lam, -0.5 * count(*) * ln(var_pop({_yj_sql('x', 'lam')})) + (lam - 1.0) * sum(sign(x) * ln(1 + abs(x))) AS ll
+  FROM lng JOIN grid{level} USING (f) GROUP BY f, lam) q GROUP BY f)"""
+    out = ["grid0 AS (SELECT f, round(-4.0 + 0.5 * k, 9) AS lam FROM (SELECT DISTINCT f FROM lng) a, range(17) r(k))", f"best0 AS {best(0)}"]
+    for n, (wide, _) in enumerate(zip(steps, steps[1:]), 1):
+        out += [f"grid{n} AS (SELECT f, round(round(lam - {wide!r}, 9) + (round(lam + {wide!r}, 9) - round(lam - {wide!r}, 9)) * k / 16, 9) AS lam "
+                f"FROM best{n - 1}, range(17) r(k))", f"best{n} AS {best(n)}"]
+    return ",\n".join(out), f"best{len(steps) - 1}"
+
+
 def _yj_oracle():
     longs = " UNION ALL ".join(f"SELECT {i} AS f, {c} AS x FROM x WHERE is_ctx AND {c} IS NOT NULL"
                                for i, c in enumerate(_YJ_COLS))
-    ll = lambda grid: f"""(SELECT f, lam, -0.5 * count(*) * ln(var_pop({_yj_sql('x', 'lam')}))
-                   + (lam - 1.0) * sum(sign(x) * ln(1 + abs(x))) AS ll FROM lng JOIN {grid} USING (f) GROUP BY f, lam)"""
-    pick = lambda t: f"(SELECT f, arg_max(lam, ll) AS lam FROM {t} q WHERE ll IS NOT NULL GROUP BY f)"
-    lamcase = lambda i: f"(SELECT lam FROM fine_best WHERE f = {i})"
-    stats = ", ".join(f"avg({_yj_sql(c, lamcase(i))}) m{i}, stddev_pop({_yj_sql(c, lamcase(i))}) s{i}"
-                      for i, c in enumerate(_YJ_COLS))
-    outs = ", ".join(f"round(({_yj_sql(c, lamcase(i))} - m{i}) / CASE WHEN s{i} = 0 THEN 1.0 ELSE s{i} END, 6) AS {c}"
+    levels, last = _yj_levels()
+    lam = ", ".join(f"round(max(lam) FILTER (f = {i}), 6) AS l{i}" for i in range(len(_YJ_COLS)))
+    stats = ", ".join(f"avg({_yj_sql(c, f'l{i}')}) m{i}, stddev_pop({_yj_sql(c, f'l{i}')}) s{i}" for i, c in enumerate(_YJ_COLS))
+    outs = ", ".join(f"round(({_yj_sql(c, f'l{i}')} - m{i}) / CASE WHEN s{i} = 0 THEN 1.0 ELSE s{i} END, 6) AS {c}"
                      for i, c in enumerate(_YJ_COLS))
     return f"""WITH x AS {_li_sql(', '.join(_YJ_COLS))},
 lng AS ({longs}),
-coarse AS (SELECT f, round(-4.0 + 0.1 * i, 4) AS lam FROM (SELECT DISTINCT f FROM lng) a, range(81) r(i)),
-coarse_best AS {pick(ll('coarse'))},
-fine AS (SELECT f, round(lam + 0.005 * k, 6) AS lam FROM coarse_best, range(-20, 21) r(k)),
-fine_best AS {pick(ll('fine'))},
-st AS (SELECT {stats} FROM x WHERE is_ctx)
-SELECT row_id, {outs} FROM x, st"""
+{levels},
+lams AS (SELECT {lam} FROM {last}),
+st AS (SELECT {stats} FROM x, lams WHERE is_ctx)
+SELECT row_id, {outs} FROM x, lams, st"""
+
+
+def _context(li):
+    """The labelled rows, persisted by the caller of a fit of several passes."""
+    return li.where("role = 'context'").select("row_id", *LI_FEATURES).persist()
 
 
 @register("power_yeo_johnson", _yj_oracle())
 def _yj(spark, sf_dir):
     li = _li(spark, sf_dir)
-    y = TR.YeoJohnson(_YJ_COLS).fit(li.where("role = 'context'"))
+    ctx = _context(li)
+    y = TR.YeoJohnson(_YJ_COLS).fit(ctx)
+    ctx.unpersist()
     return _out(y.transform(li), _YJ_COLS)
 
 
-@register("quantile_normal")
+def _quantile_sql(nq, scaled=False):
+    """Normal quantile transform of each feature: exact quantiles at i / (nq - 1)
+    of the context, interpolated from both sides, then probit."""
+    eps, b = 2.220446049250313e-16, 1e-7
+    ctes, cols, joins = [], [], []
+    for i, c in enumerate(LI_FEATURES):
+        ctes.append(f"""s{i} AS (SELECT list({c} ORDER BY {c}) AS l, count({c}) AS n, {nq} AS nq FROM x WHERE is_ctx AND {c} IS NOT NULL),
+k{i} AS (SELECT CASE WHEN l[CAST(floor(pos) AS BIGINT) + 1] = l[CAST(ceil(pos) AS BIGINT) + 1] THEN l[CAST(floor(pos) AS BIGINT) + 1]
+    ELSE (ceil(pos) - pos) * l[CAST(floor(pos) AS BIGINT) + 1] + (pos - floor(pos)) * l[CAST(ceil(pos) AS BIGINT) + 1] END AS v, r
+  FROM (SELECT l, k / CAST(nq - 1 AS DOUBLE) AS r, k / CAST(nq - 1 AS DOUBLE) * (n - 1) AS pos FROM (SELECT l, n, nq, unnest(range(nq)) AS k FROM s{i}) a) b),
+g{i} AS (SELECT v, rf, rl, lead(v) OVER (ORDER BY v) AS vn, lead(rf) OVER (ORDER BY v) AS rfn
+  FROM (SELECT v, min(r) AS rf, max(r) AS rl FROM k{i} GROUP BY v) a),
+e{i} AS (SELECT min(v) AS lo, max(v) AS hi FROM k{i}),
+p{i} AS (SELECT x.row_id, x.is_ctx, CASE WHEN {c} - {b} < lo THEN 0.0 WHEN {c} + {b} > hi THEN 1.0 WHEN {c} = g.v THEN (rf + rl) * 0.5
+    ELSE rl + ({c} - g.v) * (rfn - rl) / (vn - g.v) END AS p
+  FROM x CROSS JOIN e{i} ASOF LEFT JOIN g{i} g ON x.{c} >= g.v),
+z{i} AS (SELECT row_id, is_ctx, least(greatest({probit_sql(f'least(greatest(p, {b}), {1 - b!r})')},
+    {probit_sql(f'{b - eps!r}')}), {probit_sql(f'{1 - (b - eps)!r}')}) AS z FROM p{i}),
+t{i} AS (SELECT avg(z) AS m, stddev_pop(z) AS s FROM z{i} WHERE is_ctx)""")
+        cols.append(f"round((z{i}.z - t{i}.m) / CASE WHEN t{i}.s = 0 THEN 1.0 ELSE t{i}.s END, 6) AS {c}" if scaled else f"round(z{i}.z, 6) AS {c}")
+        joins.append(f"JOIN z{i} USING (row_id)" + (f" CROSS JOIN t{i}" if scaled else ""))
+    return f"""WITH x AS {_li_sql(', '.join(LI_FEATURES))}, {', '.join(ctes)}
+SELECT x.row_id, {', '.join(cols)} FROM x {' '.join(joins)}"""
+
+
+@register("quantile_normal", _quantile_sql("least(1000, count(*))"))
 def _qn(spark, sf_dir):
     li = _li(spark, sf_dir)
-    q = TR.QuantileNormal(LI_FEATURES).fit(li.where("role = 'context'"))
+    ctx = _context(li)
+    q = TR.QuantileNormal(LI_FEATURES).fit(ctx)
+    ctx.unpersist()
     return _out(q.transform(li), LI_FEATURES)
 
 
-@register("quantile_rtdl")
+@register("quantile_rtdl", _quantile_sql("greatest(least(count(*) // 30, 1000), 10)", scaled=True))
 def _qr(spark, sf_dir):
     li = _li(spark, sf_dir)
-    q = TR.QuantileRtdl(LI_FEATURES, ["row_id"], seed=0).fit(li.where("role = 'context'"))
+    ctx = _context(li)
+    q = TR.QuantileRtdl(LI_FEATURES, ["row_id"], noise=0.0).fit(ctx)
+    ctx.unpersist()
     return _out(q.transform(li), LI_FEATURES)
 
 
-_RB_COLS = ["l_quantity", "l_extendedprice"]
+_RB_COLS = LI_FEATURES
 
 
 def _robust_sql(src_cols: str, cols, wrap_src: str | None = None):
@@ -249,7 +293,9 @@ SELECT row_id, {v} FROM z, s2"""
 @register("preprocess_pipeline", _pipeline_sql())
 def _pipeline(spark, sf_dir):
     li = _li(spark, sf_dir)
-    p = TR.Preprocess(_RB_COLS, "robust").fit(li.where("role = 'context'"))
+    ctx = _context(li)
+    p = TR.Preprocess(_RB_COLS, "robust").fit(ctx)
+    ctx.unpersist()
     return _out(p.transform(li), _RB_COLS)
 
 

@@ -31,6 +31,24 @@ def clip_sql(x: str, lo, hi) -> str:
     return f"least(greatest({x}, {lo}), {hi})"
 
 
+def probit_sql(p: str) -> str:
+    """Twin of functions.numeric.probit."""
+    from tessera.functions import numeric as N
+
+    def poly(coefs, x):
+        out = f"{coefs[0]!r}::DOUBLE"
+        for c in coefs[1:]:
+            out = f"({out} * {x} + {c!r}::DOUBLE)"
+        return out
+
+    p = f"CAST({p} AS DOUBLE)"
+    q, lo, hi = f"({p} - 0.5)", f"sqrt(-2.0 * ln({p}))", f"sqrt(-2.0 * ln(1.0 - {p}))"
+    tail = lambda x: f"{poly(N._C, x)} / ({poly(N._D, x)} * {x} + 1.0)"
+    r = f"({q} * {q})"
+    return (f"CASE WHEN {p} < {N._P_LOW} THEN {tail(lo)} WHEN {p} > {1 - N._P_LOW} THEN -({tail(hi)}) "
+            f"ELSE {poly(N._A, r)} * {q} / ({poly(N._B, r)} * {r} + 1.0) END")
+
+
 def soft_clip_sql(x: str, lo: str, hi: str) -> str:
     a = f"greatest({x}, ({lo}) - ln(1 + abs({x})))"
     return f"least({a}, ({hi}) + ln(1 + abs({a})))"
