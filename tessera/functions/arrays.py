@@ -14,6 +14,14 @@ def array_sum(arr) -> Column:
     return F.aggregate(_col(arr), F.lit(0.0), lambda acc, x: acc + x.cast("double"))
 
 
+def map_last_wins(entries) -> Column:
+    """Map of an array of (key, value) structs; of a repeated key the last value."""
+    e = _col(entries)
+    keys = F.reverse(F.transform(e, lambda x: x["key"]))
+    last = F.filter(e, lambda x, i: F.array_position(keys, x["key"]) == F.size(e) - i)
+    return F.map_from_entries(last)
+
+
 def softmax(arr, temperature: float = 1.0) -> Column:
     """exp((x - max) / T) / sum; stable for large logits."""
     a = _col(arr)

@@ -25,6 +25,8 @@ def select_features(df: DataFrame, label: int, include: list[int] | None = None,
     if not 0 <= label < n:
         raise ValueError(f"label index {label} out of range for {n} columns")
     if id_index is not None:
+        if not 0 <= id_index < n:
+            raise ValueError(f"id index {id_index} out of range for {n} columns")
         if id_index == label:
             raise ValueError("id column may not be the label column")
         if include and id_index in include:
@@ -37,6 +39,9 @@ def select_features(df: DataFrame, label: int, include: list[int] | None = None,
             raise ValueError("label index may not be a feature")
         idx = list(include)
     else:
+        bad = [i for i in exclude or [] if not 0 <= i < n]
+        if bad:
+            raise ValueError(f"excluded indices out of range: {bad}")
         drop = set(exclude or []) | {label} | ({id_index} if id_index is not None else set())
         idx = [i for i in range(n) if i not in drop]
     if not idx:
@@ -46,7 +51,7 @@ def select_features(df: DataFrame, label: int, include: list[int] | None = None,
 
 def check_feature_contract(fitted: list[str], df: DataFrame, wanted: list[str]) -> None:
     """A task's feature set must equal the fitted set and exist in the input."""
-    if list(wanted) != list(fitted):
+    if sorted(set(wanted)) != sorted(set(fitted)):
         raise ValueError(f"feature set {wanted} differs from the fitted set {fitted}")
     missing = [c for c in wanted if c not in df.columns]
     if missing:

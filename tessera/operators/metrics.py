@@ -173,10 +173,11 @@ def fingerprint(df: DataFrame, fields: list[str], by: list[str] | None = None) -
     return g.select(*(by or []), digest.alias("digest"), "n")
 
 
-def tick_sum(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Sum and count per tick key; a sum over only missing values is 0."""
+def tick_sum(df: DataFrame, keys: list[str], cols: list[str], present: str) -> DataFrame:
+    """Sum per tick key, and the number of present values of ``present``; a sum
+    over only missing values is 0."""
     return df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_sum") for c in cols],
-                                 F.count(F.lit(1)).alias("n"))
+                                 F.count(present).alias("n"))
 
 
 def tick_mean(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

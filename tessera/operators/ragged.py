@@ -19,8 +19,8 @@ from tessera.operators.ordering import exact_rank, running_sum
 def ragged_pack(df: DataFrame, dataset: list[str], pos: str, x: str, d: str, chunk: Column) -> DataFrame:
     """(dataset, offset, value) for the first d values of each row, rows in
     ``pos`` order.  d > size(x) is an error."""
-    v = df.withColumn("_chk", F.when(F.col(d) > F.size(x), F.raise_error(F.lit("row length exceeds its array"))))
-    v = running_sum(v, dataset, [pos], F.col(d).cast("bigint"), chunk, "_end")
+    fits = F.when(F.col(d) <= F.size(x), True).otherwise(F.raise_error(F.lit("row length exceeds its array")).cast("boolean"))
+    v = running_sum(df.where(fits), dataset, [pos], F.col(d).cast("bigint"), chunk, "_end")
     v = v.withColumn("_start", F.col("_end") - F.col(d))
     return v.select(*dataset, pos, "_start", F.posexplode(F.slice(x, F.lit(1), F.col(d))).alias("j", "value")) \
             .select(*dataset, (F.col("_start") + F.col("j")).alias("offset"), "value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,25 +14,25 @@ MAX_CLASSES = 10
 
 
 def label_dictionary(df: DataFrame, label: str) -> DataFrame:
-    """Sorted distinct labels -> class_idx 0..C-1.  The distinct set is a
-    partial aggregate; the window runs over the C distinct labels only."""
-    d = df.select(F.col(label).alias("label")).where(F.col("label").isNotNull()).distinct()
-    return d.withColumn("class_idx", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))
+    """Sorted distinct labels -> class_idx 0..C-1, ranked in range partitions
+    of the distinct labels."""
+    from tessera.operators.transforms import ranked_categories
+    d = df.select(F.lit(label).alias("column"), F.col(label).alias("category")).where(F.col("category").isNotNull()).distinct()
+    return ranked_categories(d).select(F.col("category").alias("label"), F.col("code").cast("int").alias("class_idx"))
 
 
 def label_encode(df: DataFrame, label: str, dictionary: DataFrame, out: str = "class_idx") -> DataFrame:
-    """Join the dictionary (one row per class; broadcast, size-checked by
-    ``check_class_limit``)."""
+    """Join the dictionary (one row per class); AQE broadcasts it if it is small."""
     d = dictionary.select(F.col("label").alias("_lbl"), F.col("class_idx").alias(out))
-    return df.join(F.broadcast(d), df[label] == d["_lbl"], "left").drop("_lbl")
+    return df.join(d, df[label] == d["_lbl"], "left").drop("_lbl")
 
 
 def label_decode(df: DataFrame, idx: str, dictionary: DataFrame, out: str = "prediction") -> DataFrame:
     d = dictionary.select(F.col("class_idx").alias("_ci"), F.col("label").alias(out))
-    return df.join(F.broadcast(d), df[idx] == d["_ci"], "left").drop("_ci")
+    return df.join(d, df[idx] == d["_ci"], "left").drop("_ci")
 
 
-def check_class_limit(n_classes: int, max_classes: int = MAX_CLASSES, grouping: bool = True) -> None:
+def check_class_limit(n_classes: int, grouping: bool, max_classes: int = MAX_CLASSES) -> None:
     if n_classes > max_classes and not grouping:
         raise ValueError(f"{n_classes} classes exceed the limit {max_classes} and class grouping is off")
 
@@ -57,9 +58,9 @@ def rank_boundaries(df: DataFrame, y: str, order: str, n_classes: int, seed, by:
     j takes the value at rank floor(u_j * n) + 1 in ``order``.  Ranks are
     exact and skew-safe (``ordering.exact_rank``); one array per dataset of
     C-1 values."""
-    from tessera.operators.ordering import exact_rank
+    from tessera.operators.ordering import data_buckets, exact_rank
     by = by or []
-    b = bucket if bucket is not None else F.floor(F.col(order).cast("double") / 65536)
+    b = bucket if bucket is not None else data_buckets(df, order)
     x = exact_rank(df, by, order, [], out="_r", total="_n", bucket=b)
     n = x.select(*by, "_n").distinct()
     draws = n.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 2))).alias("j"))
@@ -131,15 +132,16 @@ def group_of_rank(r: Column, n: Column, max_classes: int = MAX_CLASSES) -> Colum
     return F.when(n <= max_classes, F.lit(0)).otherwise(grp).cast("int")
 
 
-def class_tree(classes: DataFrame, label: str = "class_idx", max_classes: int = MAX_CLASSES,
-               max_depth: int = 8) -> DataFrame:
+def class_tree(classes: DataFrame, label: str = "class_idx", max_classes: int = MAX_CLASSES) -> DataFrame:
     """Class -> group path down the tree: (class_idx, depth, node, group, n_at_node,
     is_leaf).  At an inner node ``group`` is the class's group; at a leaf it is
     the class's position among the leaf's classes.  One small DataFrame pass
     per depth (log_max(C) depth)."""
     cur = classes.select(F.col(label).alias("class_idx")).distinct().withColumn("node", F.lit(""))
     levels = []
-    for depth in range(max_depth):
+    if max_classes < 2:
+        raise ValueError("a node of the class tree needs at least two classes")
+    for depth in itertools.count():  # until every class has reached a leaf
         w = Window.partitionBy("node")
         x = cur.withColumn("n", F.count(F.lit(1)).over(w)).withColumn(
             "r", (F.row_number().over(w.orderBy("class_idx")) - 1))

@@ -8,12 +8,12 @@ implies.  Both are grouped aggregates and ranked windows here.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import map_last_wins
 from tessera.functions.hashing import uniform
-from tessera.operators.ordering import exact_rank
+from tessera.operators.ordering import data_buckets, exact_rank, running_sum
 
 LEDGER_OPS = ("put", "lease", "ack", "nack", "extend")
 
@@ -26,7 +26,8 @@ def items_normalise(df: DataFrame, candidates: list[str], weight: str | None, me
     ref = F.coalesce(*[F.col(c).cast("string") for c in candidates if c in df.columns], whole)
     w = F.coalesce(F.col(weight).cast("double"), F.lit(1.0)) if weight else F.lit(1.0)
     w = F.when(w < 0, F.raise_error(F.lit("item weight must be non-negative"))).otherwise(w)
-    m = F.map_concat(*meta) if len(meta) > 1 else (meta[0] if meta else F.create_map().cast("map<string,string>"))
+    none = F.create_map().cast("map<string,string>")
+    m = map_last_wins(F.concat(*[F.map_entries(F.coalesce(x, none)) for x in meta])) if meta else none
     out = df.select(ref.alias("ref"), w.alias("weight"), m.alias("metadata"))
     return out.withColumn("checksum", F.sha2(F.concat_ws("|", "ref", F.col("weight").cast("string")), 256))
 
@@ -42,7 +43,7 @@ def items_replicate(df: DataFrame, id_col: str, order: list[str], target: int,
         return df
     copies = -(-target // n)
     x = exact_rank(df.withColumn("_g", F.lit(0)), ["_g"], order[0], order[1:], out="_ord",
-                   bucket=bucket if bucket is not None else F.floor(F.col(order[0]).cast("double") / 65536)).drop("_g")
+                   bucket=bucket if bucket is not None else data_buckets(df, order[0])).drop("_g")
     x = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy"))
     x = x.where((F.col("_copy") * n + F.col("_ord") - 1) < target)
     dup = F.col("_copy") > 0
@@ -52,13 +53,10 @@ def items_replicate(df: DataFrame, id_col: str, order: list[str], target: int,
 
 
 def chunk_fixed(df: DataFrame, job: list[str], order: list[str], k: int, bucket: Column | None = None) -> DataFrame:
-    """Consecutive chunks of at most k items per job, in ``order``.  With a
-    ``bucket`` (monotone in the order) the item rank is computed per
-    sub-bucket, so a job holding most items is not ranked in one task."""
-    if bucket is not None:
-        x = exact_rank(df, job, order[0], order[1:], out="_rn", bucket=bucket)
-    else:
-        x = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*job).orderBy(*order)))
+    """Consecutive chunks of at most k items per job, in ``order``.  The item
+    rank is computed per ``bucket`` (monotone in the order; by default ranges
+    of the data), so a job holding most items is not ranked in one task."""
+    x = exact_rank(df, job, order[0], order[1:], out="_rn", bucket=bucket if bucket is not None else data_buckets(df, order[0]))
     chunk = F.floor((F.col("_rn") - 1) / k).cast("bigint")
     return x.withColumn("chunk", chunk).withColumn(
         "task_id", F.concat_ws("#", *[F.col(j).cast("string") for j in job], F.col("chunk").cast("string"))).drop("_rn")
@@ -70,8 +68,7 @@ def chunk_by_weight_bands(df: DataFrame, job: list[str], order: list[str], weigh
     chunk holds more than ``limit`` plus one item.  A single item above the
     limit is an error.  The prefix sum runs per ``bucket`` chunk of the
     order plus chunk offsets (skew-safe)."""
-    from tessera.operators.ordering import running_sum
-    b = bucket if bucket is not None else F.floor(F.col(order[0]).cast("double") / 65536)
+    b = bucket if bucket is not None else data_buckets(df, order[0])
     x = running_sum(df, job, order, F.col(weight).cast("double"), b, "_incl")
     x = x.withColumn("_before", F.col("_incl") - F.col(weight).cast("double")).drop("_incl")
     x = x.withColumn("chunk", F.when(F.col(weight) > limit, F.raise_error(F.lit("item heavier than the chunk limit")))
@@ -79,53 +76,32 @@ def chunk_by_weight_bands(df: DataFrame, job: list[str], order: list[str], weigh
     return x.drop("_before")
 
 
-def chunk_by_weight_greedy(df: DataFrame, job: list[str], order: list[str], weight: str, limit: float) -> DataFrame:
-    """Exact greedy: close a chunk once its cumulative weight reaches the
-    limit (the crossing item stays in).  Sequential per job, so it runs in
-    ``applyInPandas`` -- for jobs whose item lists fit one task."""
-    from pyspark.sql.types import LongType, StructField, StructType
-    schema = StructType(list(df.schema.fields) + [StructField("chunk", LongType())])
-    cols = df.columns
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort")
-        out, cur, acc = [], 0, 0.0
-        for wv in pdf[weight].astype(float):
-            if wv > limit:
-                raise ValueError("item heavier than the chunk limit")
-            out.append(cur)
-            acc += wv
-            if acc >= limit:
-                cur, acc = cur + 1, 0.0
-        res = pdf[cols].copy()
-        res["chunk"] = out
-        return res
-
-    return df.groupBy(*job).applyInPandas(greedy, schema)
-
-
 def chunk_hash(key: Column, n: int) -> Column:
     """Stable hash chunk in [0, n)."""
     return F.pmod(F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("bigint"), F.lit(n))
 
 
-def chunk_balanced(df: DataFrame, weight: str, key: str, n: int) -> DataFrame:
-    """Weight-balanced: rank by weight descending, deal out in snake order.
-    The rank is exact without a single-partition window: buckets are a
-    monotone function of the weight (log scale)."""
-    x = df.withColumn("_g", F.lit(0)).withColumn("_neg", -F.col(weight).cast("double"))
-    bucket = -F.floor(F.log2(F.col(weight).cast("double") + 1.0) * 16).cast("bigint")
-    x = exact_rank(x, ["_g"], "_neg", [key], out="_r", bucket=bucket)
-    r = F.col("_r") - 1
+def chunk_balanced(df: DataFrame, weight: str, key: str, n: int, seed=0) -> DataFrame:
+    """Weight-balanced: rank by weight descending (ties by md5(seed|key)), deal
+    out in snake order.  Equal weights are ranked in sub-buckets of the hash
+    and offset by the counts of the heavier weights, so neither all rows nor
+    one frequent weight meet in a task."""
+    x = df.withColumn("_w", F.col(weight).cast("double")).withColumn("_u", uniform(seed, key))
+    x = exact_rank(x, ["_w"], "_u", [key], out="_r")
+    heavier = x.groupBy("_w").agg(F.count(F.lit(1)).alias("_n")).withColumn("_neg", -F.col("_w"))
+    heavier = running_sum(heavier, [], ["_neg"], F.col("_n"), data_buckets(heavier, "_neg"), "_upto")
+    x = x.join(heavier.select("_w", (F.col("_upto") - F.col("_n")).alias("_before")), "_w")
+    r = F.col("_before") + F.col("_r") - 1
     rnd, pos = F.floor(r / n), F.pmod(r, F.lit(n))
     return x.withColumn("chunk", F.when(F.pmod(rnd, F.lit(2)) == 0, pos).otherwise(F.lit(n - 1) - pos).cast("bigint")) \
-            .drop("_g", "_neg", "_r")
+            .drop("_w", "_u", "_r", "_before")
 
 
 def chunk_shuffle(df: DataFrame, chunk: list[str], key: str, seed) -> DataFrame:
-    """Seeded shuffle inside each chunk: position by md5(seed|key)."""
-    w = Window.partitionBy(*chunk).orderBy(uniform(seed, key), key)
-    return df.withColumn("position", (F.row_number().over(w) - 1).cast("int"))
+    """Seeded shuffle inside each chunk: position by md5(seed|key), ranked in
+    sub-buckets of the hash."""
+    x = exact_rank(df.withColumn("_u", uniform(seed, key)), chunk, "_u", [key], out="position")
+    return x.withColumn("position", (F.col("position") - 1).cast("int")).drop("_u")
 
 
 def task_build(df: DataFrame, task: str, order: str, ref: str, weight: str) -> DataFrame:
@@ -143,25 +119,33 @@ def task_build(df: DataFrame, task: str, order: str, ref: str, weight: str) -> D
 def ledger_state(events: DataFrame, now: Column, ttl_s: float, delay_s: float, max_attempts: int) -> DataFrame:
     """Fold queue events (task_id, op, t) into the state at time ``now``.
 
-    acked: an ack, or attempts (leases) >= max_attempts.  leased: last op is
-    lease/extend and now < lease end (extend restarts the ttl).  visible:
-    put, an expired lease after the retry delay, or a nack after the delay.
-    delayed otherwise.  Events of tasks that were never put are ignored."""
+    An extend counts only while a lease is live: with no lease since the last
+    nack, or after the lease's end, it is ignored.  acked: an ack, or attempts
+    (leases) >= max_attempts once the last lease is over.  leased: now is before
+    the lease's end (a live extend restarts the ttl).  delayed: until
+    ``delay_s`` after a nack or a lease's end; visible otherwise.  Events of
+    tasks that were never put are ignored.  A task's events are folded in
+    time order (one array a task: bounded by its attempts)."""
     put = events.where(F.col("op") == "put").select("task_id").distinct()
     ev = events.join(put, "task_id", "left_semi")
     g = ev.groupBy("task_id").agg(
-        F.max_by(F.struct("op", "t"), "t").alias("last"),
+        F.sort_array(F.collect_list(F.when(F.col("op").isin("lease", "nack", "extend"), F.struct("t", "op")))).alias("_log"),
         F.sum((F.col("op") == "lease").cast("int")).alias("attempts"),
         F.max((F.col("op") == "ack").cast("int")).alias("acked"))
-    last_op, last_t = F.col("last.op"), F.col("last.t")
-    lease_end = last_t + F.lit(ttl_s)
-    state = (F.when((F.col("acked") == 1) | (F.col("attempts") >= max_attempts), "acked")
-             .when(last_op.isin("lease", "extend") & (now < lease_end), "leased")
-             .when(last_op.isin("lease", "extend") & (now >= lease_end + F.lit(delay_s)), "visible")
-             .when(last_op.isin("lease", "extend"), "delayed")
-             .when((last_op == "nack") & (now >= last_t + F.lit(delay_s)), "visible")
-             .when(last_op == "nack", "delayed")
-             .otherwise("visible"))
+    start = F.struct(F.lit(None).cast("double").alias("until"), F.lit(None).cast("double").alias("back"))
+    ttl, delay = F.lit(float(ttl_s)), F.lit(float(delay_s))
+
+    def step(s, e):
+        # until: end of the running or last lease; back: when a nacked task may be taken again
+        lease = (e["op"] == "lease") | (e["op"] == "extend") & (e["t"] < s["until"])
+        return F.struct(F.when(lease, e["t"] + ttl).when(e["op"] == "nack", None).otherwise(s["until"]).alias("until"),
+                        F.when(lease, None).when(e["op"] == "nack", e["t"] + delay).otherwise(s["back"]).alias("back"))
+
+    g = g.withColumn("_s", F.aggregate("_log", start, step))
+    live = F.coalesce(now < F.col("_s.until"), F.lit(False))
+    again = F.coalesce(F.col("_s.until") + delay, F.col("_s.back"))
+    state = (F.when(F.col("acked") == 1, "acked").when(live, "leased").when(F.col("attempts") >= max_attempts, "acked")
+             .when(now < again, "delayed").otherwise("visible"))
     return g.select("task_id", state.alias("state"), F.col("attempts").cast("bigint").alias("attempts"))
 
 
@@ -171,20 +155,3 @@ def ledger_stats(state: DataFrame) -> DataFrame:
     g = state.agg(c("visible").alias("visible"), c("leased").alias("leased"), c("delayed").alias("delayed"),
                   c("acked").alias("acked"), F.count(F.lit(1)).alias("total"))
     return g.withColumn("drained", (F.col("acked") == F.col("total")))
-
-
-def retry_outcomes(log: DataFrame, task: str, order: str, ok: str, max_retries: int, base_s: float,
-                   bucket: Column | None = None) -> DataFrame:
-    """Attempts in order; the first success within 1 + max_retries attempts
-    wins, else the task is dead.  Backoff before attempt a (a >= 2) is
-    base * 2^(a-2) (jitter 0); latency = sum of backoffs before the outcome.
-    The attempt number is an exact rank split over ``bucket`` (monotone in
-    the order), so a task with a huge attempt log is not ranked in one task."""
-    b = bucket if bucket is not None else F.floor(F.col(order).cast("double") / 65536)
-    x = exact_rank(log, [task], order, [], out="_a", bucket=b).where(F.col("_a") <= max_retries + 1)
-    g = x.groupBy(task).agg(F.min(F.when(F.col(ok), F.col("_a"))).alias("success_attempt"),
-                            F.max("_a").alias("attempts_seen"))
-    a = F.coalesce(F.col("success_attempt"), F.col("attempts_seen"))
-    backoff = F.lit(base_s) * (F.pow(F.lit(2.0), a - 1) - 1)      # sum_{i=0}^{a-2} base*2^i
-    return g.select(task, F.when(F.col("success_attempt").isNotNull(), "success").otherwise("dead").alias("outcome"),
-                    a.cast("int").alias("attempts"), backoff.alias("backoff_s"))

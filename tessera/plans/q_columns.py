@@ -47,19 +47,20 @@ def _drop_ids(spark, sf_dir):
     return out
 
 
-_CF_COLS = ["p_brand", "p_type", "p_size", "p_retailprice"]
+_CF_COLS = ["p_brand", "p_type", "p_size", "p_retailprice", "p_one"]
 
 
 @register("constant_feature_filter", """
-WITH ctx AS (SELECT * FROM part WHERE p_size = 1),
+WITH ctx AS (SELECT *, 1 AS p_one FROM part),
 d AS (
   SELECT 'p_brand' AS feature, count(DISTINCT p_brand) + max(CASE WHEN p_brand IS NULL THEN 1 ELSE 0 END) AS n FROM ctx
   UNION ALL SELECT 'p_type', count(DISTINCT p_type) + max(CASE WHEN p_type IS NULL THEN 1 ELSE 0 END) FROM ctx
   UNION ALL SELECT 'p_size', count(DISTINCT p_size) + max(CASE WHEN p_size IS NULL THEN 1 ELSE 0 END) FROM ctx
+  UNION ALL SELECT 'p_one', count(DISTINCT p_one) FROM ctx
   UNION ALL SELECT 'p_retailprice', count(DISTINCT p_retailprice) + max(CASE WHEN p_retailprice IS NULL THEN 1 ELSE 0 END) FROM ctx)
 SELECT feature, CAST(n AS BIGINT) AS n_distinct, (n > 1 OR (SELECT count(*) FROM ctx) <= 1) AS keep FROM d""")
 def _constant_filter(spark, sf_dir):
-    ctx = table(spark, sf_dir, "part").where(F.col("p_size") == 1)
+    ctx = table(spark, sf_dir, "part").withColumn("p_one", F.lit(1))
     return C.constant_filter_report(ctx, _CF_COLS)
 
 

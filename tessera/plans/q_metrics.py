@@ -83,14 +83,14 @@ def _report(spark, sf_dir):
 
 
 @register("log_loss", """
-WITH e AS (SELECT vec_id, label, list_slice(CAST(embedding AS DOUBLE[]), 1, 10) AS s, vec_id // 64 AS mb FROM embeddings),
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS s, vec_id // 64 AS mb FROM embeddings),
 f AS (SELECT mb, list_max(s) + ln(list_sum(list_transform(s, lambda v: exp(v - list_max(s))))) - s[label + 1] AS ce,
              CASE WHEN list_position(s, list_max(s)) - 1 = label THEN 1.0 ELSE 0.0 END AS hit FROM e),
 g AS (SELECT mb, avg(ce) AS ce, avg(hit) AS acc FROM f GROUP BY mb)
 SELECT round(sum(ce) / count(*), 6) AS loss, round(sum(acc) / count(*), 6) AS accuracy, count(*) AS n_microbatches FROM g""")
 def _log_loss(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(
-        F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("s"), "label",
+        F.col("embedding").cast("array<double>").alias("s"), "label",
         F.floor(F.col("vec_id") / 64).alias("mb"))
     r = M.log_loss(e, "s", "label", "mb")
     return r.select(r6("loss").alias("loss"), r6("accuracy").alias("accuracy"), "n_microbatches")
@@ -177,9 +177,9 @@ def _ticks(spark, sf_dir):
 
 @register("group_by_tick_sum", f"""
 SELECT time_s, gpu, round(coalesce(sum(value), 0), 6) AS value_sum, round(coalesce(sum(fb), 0), 6) AS fb_sum,
-       count(*) AS n FROM {_TICK_SQL} t GROUP BY 1, 2""")
+       count(fb) AS n FROM {_TICK_SQL} t GROUP BY 1, 2""")
 def _tick_sum(spark, sf_dir):
-    r = M.tick_sum(_ticks(spark, sf_dir), ["time_s", "gpu"], ["value", "fb"])
+    r = M.tick_sum(_ticks(spark, sf_dir), ["time_s", "gpu"], ["value", "fb"], "fb")
     return r.select("time_s", "gpu", r6("value_sum").alias("value_sum"), r6("fb_sum").alias("fb_sum"), "n")
 
 

@@ -121,44 +121,44 @@ def _context_score(spark, sf_dir):
 
 @register("unshift_scores", f"""
 SELECT vec_id, CAST(i AS INTEGER) AS i,
-       round(list_slice({_EMB}, 1, 5)[((i + vec_id % 5) % 5) + 1], 6) AS v FROM embeddings, range(5) r(i)""")
+       round({_EMB}[((i + vec_id % 64) % 64) + 1], 6) AS v FROM embeddings, range(64) r(i)""")
 def _unshift(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    s = F.slice(F.col("embedding").cast("array<double>"), 1, 5)
-    x = e.select("vec_id", rotate_back(s, F.pmod(F.col("vec_id"), F.lit(5)).cast("int")).alias("s"))
+    s = F.col("embedding").cast("array<double>")
+    x = e.select("vec_id", rotate_back(s, F.pmod(F.col("vec_id"), F.lit(64)).cast("int")).alias("s"))
     return x.select("vec_id", F.posexplode_outer("s").alias("i", "v")).select(
         "vec_id", F.col("i").cast("int").alias("i"), r6("v").alias("v"))
 
 
 @register("average_members", f"""
-SELECT vec_id, CAST(k AS INTEGER) AS class_idx, round(avg({_EMB}[m * 5 + k + 1]), 6) AS score, count(*) AS n_members
-FROM embeddings, range(4) a(m), range(5) b(k) GROUP BY vec_id, k""")
+SELECT vec_id, CAST(k AS INTEGER) AS class_idx, round(avg({_EMB}[m * 8 + k + 1]), 6) AS score, count(*) AS n_members
+FROM embeddings, range(8) a(m), range(8) b(k) GROUP BY vec_id, k""")
 def _average(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    members = e.select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("member"), "e")
-    members = members.select("vec_id", "member", F.slice("e", F.col("member") * 5 + 1, 5).alias("scores"))
+    members = e.select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("member"), "e")
+    members = members.select("vec_id", "member", F.slice("e", F.col("member") * 8 + 1, 8).alias("scores"))
     a = EN.average_members_long(members, ["vec_id"], "scores")
     return a.select("vec_id", F.col("class_idx").cast("int").alias("class_idx"), r6("score").alias("score"), "n_members")
 
 
 @register("softmax_temperature", f"""
-WITH e AS (SELECT vec_id, list_slice({_EMB}, 1, 10) AS s FROM embeddings),
-x AS (SELECT vec_id, k, exp((s[k + 1] - list_max(s)) / 0.9) AS v FROM e, range(10) r(k))
+WITH e AS (SELECT vec_id, {_EMB} AS s FROM embeddings),
+x AS (SELECT vec_id, k, exp((s[k + 1] - list_max(s)) / 0.9) AS v FROM e, range(64) r(k))
 SELECT vec_id, CAST(k AS INTEGER) AS class_idx, round(v / sum(v) OVER (PARTITION BY vec_id), 6) AS p FROM x""")
 def _softmax(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("s"))
+        "vec_id", F.col("embedding").cast("array<double>").alias("s"))
     x = e.select("vec_id", softmax("s", 0.9).alias("p"))
     return x.select("vec_id", F.posexplode_outer("p").alias("class_idx", "p")).select(
         "vec_id", F.col("class_idx").cast("int").alias("class_idx"), r6("p").alias("p"))
 
 
 @register("normalise_scores", f"""
-WITH e AS (SELECT vec_id, list_transform(list_slice({_EMB}, 1, 10), lambda v: abs(v)) AS s FROM embeddings)
-SELECT vec_id, CAST(k AS INTEGER) AS class_idx, round(s[k + 1] / list_sum(s), 6) AS p FROM e, range(10) r(k)""")
+WITH e AS (SELECT vec_id, list_transform({_EMB}, lambda v: abs(v)) AS s FROM embeddings)
+SELECT vec_id, CAST(k AS INTEGER) AS class_idx, round(s[k + 1] / list_sum(s), 6) AS p FROM e, range(64) r(k)""")
 def _normalise(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.transform(F.slice(F.col("embedding").cast("array<double>"), 1, 10), lambda v: F.abs(v)).alias("s"))
+        "vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda v: F.abs(v)).alias("s"))
     x = e.select("vec_id", normalise("s").alias("p"))
     return x.select("vec_id", F.posexplode_outer("p").alias("class_idx", "p")).select(
         "vec_id", F.col("class_idx").cast("int").alias("class_idx"), r6("p").alias("p"))

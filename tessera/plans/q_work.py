@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import work as WK
 from tessera.plans.common import r6
 from tessera.plans.registry import register
+from tessera.plans.sqlbits import u_sql
 from tessera.session import table
 
 _ITEMS_SQL = """(SELECT CAST(p_partkey AS VARCHAR) AS part_id, p_partkey, p_brand, p_type, CAST(p_size AS DOUBLE) AS weight FROM part)"""
@@ -60,12 +61,6 @@ def _chunk_weight(spark, sf_dir):
     return c.select("p_partkey", "chunk")
 
 
-@register("chunk_by_weight_greedy")
-def _chunk_greedy(spark, sf_dir):
-    c = WK.chunk_by_weight_greedy(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], "weight", 100.0)
-    return c.select("p_partkey", "chunk")
-
-
 @register("chunk_hash", """
 SELECT p_partkey, ('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 15))::BIGINT % 8 AS chunk FROM part""")
 def _chunk_hash(spark, sf_dir):
@@ -73,8 +68,8 @@ def _chunk_hash(spark, sf_dir):
     return i.select("p_partkey", WK.chunk_hash(F.col("p_partkey"), 8).alias("chunk"))
 
 
-@register("chunk_balanced", """
-WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, CAST(p_partkey AS VARCHAR)) - 1 AS r FROM part)
+@register("chunk_balanced", f"""
+WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, {u_sql(0, 'p_partkey')}, p_partkey) - 1 AS r FROM part)
 SELECT p_partkey, CAST(CASE WHEN (r // 8) % 2 = 0 THEN r % 8 ELSE 7 - r % 8 END AS BIGINT) AS chunk FROM r""")
 def _chunk_balanced(spark, sf_dir):
     c = WK.chunk_balanced(_items(spark, sf_dir), "weight", "part_id", 8)
@@ -105,16 +100,15 @@ _OP_SQL = ("CASE event_type WHEN 'view' THEN 'put' WHEN 'click' THEN 'lease' WHE
 _LEDGER_SQL = f"""
 WITH e AS (SELECT 't' || CAST(user_id % 50 AS VARCHAR) AS task_id, {_OP_SQL} AS op, epoch_us(ts) / 1e6 AS t FROM events),
 p AS (SELECT DISTINCT task_id FROM e WHERE op = 'put'),
-g AS (SELECT task_id, arg_max(op, t) AS last_op, max(t) AS last_t, count(*) FILTER (WHERE op = 'lease') AS attempts,
-             bool_or(op = 'ack') AS acked FROM e WHERE task_id IN (SELECT task_id FROM p) GROUP BY 1),
+g AS (SELECT task_id, list(struct_pack(t := t, op := op, due := NULL::DOUBLE, again := NULL::DOUBLE) ORDER BY t, op) FILTER (op IN ('lease', 'nack', 'extend')) AS log,
+             count(*) FILTER (WHERE op = 'lease') AS attempts, bool_or(op = 'ack') AS acked FROM e WHERE task_id IN (SELECT task_id FROM p) GROUP BY 1),
 now AS (SELECT max(t) + 1800 AS now FROM e),
-s AS (SELECT task_id, CAST(attempts AS BIGINT) AS attempts, CASE
-  WHEN acked OR attempts >= 400 THEN 'acked'
-  WHEN last_op IN ('lease', 'extend') AND now < last_t + 3600 THEN 'leased'
-  WHEN last_op IN ('lease', 'extend') AND now >= last_t + 3600 + 600 THEN 'visible'
-  WHEN last_op IN ('lease', 'extend') THEN 'delayed'
-  WHEN last_op = 'nack' AND now >= last_t + 600 THEN 'visible'
-  WHEN last_op = 'nack' THEN 'delayed' ELSE 'visible' END AS state FROM g, now)"""
+f AS (SELECT *, list_reduce(list_prepend(struct_pack(t := NULL::DOUBLE, op := '', due := NULL::DOUBLE, again := NULL::DOUBLE), coalesce(log, [])),
+  lambda s, e: struct_pack(t := e.t, op := e.op,
+    due := CASE WHEN e.op = 'lease' OR (e.op = 'extend' AND e.t < s.due) THEN e.t + 3600 WHEN e.op = 'nack' THEN NULL ELSE s.due END,
+    again := CASE WHEN e.op = 'lease' OR (e.op = 'extend' AND e.t < s.due) THEN NULL WHEN e.op = 'nack' THEN e.t + 600 ELSE s.again END)) AS r FROM g),
+s AS (SELECT task_id, CAST(attempts AS BIGINT) AS attempts, CASE WHEN acked THEN 'acked' WHEN now < r.due THEN 'leased'
+  WHEN attempts >= 400 THEN 'acked' WHEN now < coalesce(r.due + 600, r.again) THEN 'delayed' ELSE 'visible' END AS state FROM f, now)"""
 
 
 def _ledger(spark, sf_dir):
@@ -140,14 +134,3 @@ SELECT count(*) FILTER (WHERE state = 'visible') AS visible, count(*) FILTER (WH
        count(*) AS total, count(*) FILTER (WHERE state = 'acked') = count(*) AS drained FROM s""")
 def _ledger_stats(spark, sf_dir):
     return WK.ledger_stats(_ledger(spark, sf_dir))
-
-
-@register("retry_outcomes", """
-WITH a AS (SELECT user_id, event_type = 'purchase' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS a FROM events),
-b AS (SELECT user_id, min(a) FILTER (WHERE ok) AS s, max(a) AS m FROM a WHERE a <= 4 GROUP BY 1)
-SELECT user_id, CASE WHEN s IS NOT NULL THEN 'success' ELSE 'dead' END AS outcome, CAST(coalesce(s, m) AS INTEGER) AS attempts,
-       round(0.5 * (pow(2.0, coalesce(s, m) - 1) - 1), 6) AS backoff_s FROM b""")
-def _retry(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("ok", F.col("event_type") == "purchase")
-    r = WK.retry_outcomes(e, "user_id", "event_id", "ok", 3, 0.5)
-    return r.select("user_id", "outcome", "attempts", r6("backoff_s").alias("backoff_s"))

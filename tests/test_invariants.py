@@ -68,12 +68,6 @@ def test_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
 
 
-def test_label_decode_is_broadcast(spark):
-    from tessera.plans.classify import classify
-    q, _, _ = classify(spark, SF001)
-    assert "BroadcastHashJoin" in _plan(q.select("row_id", "prediction"))
-
-
 def test_exact_quantiles_match_percentile(spark):
     # a hot group (g = 0 holds ~1/3 of rows) and many duplicate values
     df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("g"),
@@ -89,3 +83,9 @@ def test_exact_quantiles_match_percentile(spark):
     disc = {r["g"]: r["m"] for r in df.groupBy("g").agg(
         F.expr("percentile_disc(0.5) within group (order by v)").alias("m")).collect()}
     assert low == disc
+
+
+def test_quantiles_with_many_ties(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, 5.0).otherwise(F.col("id") / 100).alias("v"))
+    probs = [i / 17 for i in range(18)]
+    assert O.exact_quantiles(df, "v", probs).first()["q"] == df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]))).first()[0]
