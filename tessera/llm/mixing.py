@@ -19,7 +19,8 @@ what is left; one further document, the closest in size, fills the last gap.
 A document's size is its number of words (null or empty text: 0; such
 documents are never taken).  Rows that repeat doc_id, source and text are
 taken alike.  Null doc_ids and sources are values like others.  An empty table
-gives no rows.  The table of sources (one row each) passes through the driver.
+gives no rows.  The table of sources, of at most ``MOST_SOURCES`` rows, passes
+through the driver.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ SHARD_WORDS = 1 << 20
 MOST_BLOCKS = 1 << 28
 #: Ranges of the random order in which a source's running sums are taken.
 RANGES = 1 << 12
+#: Sources, at most: tables of a row a source are broadcast, so no task gets all rows of one.
+MOST_SOURCES = 100_000
 SEED = 20
 
 
@@ -133,6 +136,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
         F.xxhash64(text_of(text_col)).alias("text_hash"),
         F.regexp_count(text_of(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")), "mix-rows")
     table = source_table(rows)
+    if len(table) > MOST_SOURCES:
+        raise ValueError(f"{len(table)} sources; a mix has at most {MOST_SOURCES}")
     schema = "source string, at int, source_size long, target double, whole int, rest double"
     sources = spark.createDataFrame([tuple(r.values()) for r in table], schema) if table else spark.createDataFrame([], schema)
     total = sum(r["source_size"] for r in table)
@@ -141,7 +146,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
 
     known = sources.withColumnRenamed("source", "name")
     units = rows.groupBy("doc_id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("times")) \
-        .join(known, same(F.col("source"), F.col("name"))).drop("name") \
+        .join(F.broadcast(known), same(F.col("source"), F.col("name"))).drop("name") \
         .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text_hash")) \
         .withColumn("range", F.shiftrightunsigned("order", 64 - (RANGES.bit_length() - 1))) \
         .withColumn("unit", F.monotonically_increasing_id())
@@ -158,7 +163,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
     laid = stored(laid.withColumn("end", F.col("start") + words), "mix-laid")
     reached = laid.groupBy("at").agg(F.coalesce(F.max(F.when(F.col("end") <= F.col("rest"), F.col("end"))), F.lit(0)).alias("reached"))
     gap = F.col("rest") - F.col("reached")
-    closest = laid.join(reached, "at").where((F.col("end") > F.col("rest")) & (words < 2 * gap)).groupBy("at") \
+    closest = laid.join(F.broadcast(reached), "at").where((F.col("end") > F.col("rest")) & (words < 2 * gap)).groupBy("at") \
         .agg(F.min(F.struct(F.abs(words - gap).alias("off"), "order", "doc_id", "text_hash", "unit")).alias("best")) \
         .select(F.col("best.unit").alias("unit"), F.lit(True).alias("closest"))
     more = ((F.col("end") <= F.col("rest")) | F.col("closest").isNotNull()).cast("int")
