@@ -14,10 +14,12 @@ bound on the overlap are applied while they meet.  A token so frequent that its
 be long is dealt to pairs of blocks.
 
 What meets must also pass a bound on the overlap from two 128-bit bitmaps of the
-tokens, and is verified on the full sets in two steps.  First each set meets,
-of each list, the earlier one whose bitmap differs least.  Only the lists of
-sets that this hasn't settled are formed again, and those sets verified with
-all the others there.  So groups of many similar lines never emit their pairs.
+tokens, and is verified on the full sets in steps.  First each set meets, of
+each list, the earlier one whose bitmap differs least; then, if that was an
+unlikely match, all the others there.  Only for sets that both leave open are
+lists formed again.  So groups of many similar lines never emit their pairs.
+Lists name a set by 64 bits: two sets of one name could hide a match, never
+make one.
 
 Null or empty texts have no lines with tokens; a line without tokens is never
 removed nor matched.  Lines at the same number of rows that repeat a doc_id with
@@ -45,6 +47,10 @@ CELLS = 1 << 20
 BITS = 1 << 24
 #: Sets of a token's list in one block.
 BLOCK = 1 << 15
+#: Pairs of entries of one list compared at once (a longer list is compared alone).
+PAIRS = 4_000_000
+#: Sets that a task remembers having sent.
+SEEN = 200_000
 #: Bytes of text handled at once (a longer line is handled alone).
 CHUNK = 1 << 21
 
@@ -248,7 +254,7 @@ def prefix_entries(docs: DataFrame, classes: np.ndarray, lists: DataFrame | None
             ids = [-1 << 63 if i is None else i for i in ids]
             place = zip([ids[d] for d in lines.doc.tolist()], number.tolist())
             chosen = []
-            if len(seen) > 1_000_000:
+            if len(seen) > SEEN:
                 seen.clear()
             for k, (key, at) in enumerate(zip(zip(lines.d1.tolist(), lines.d2.tolist()), place)):
                 if (before := seen.get(key)) is None or at < before:
@@ -284,8 +290,8 @@ def prefix_entries(docs: DataFrame, classes: np.ndarray, lists: DataFrame | None
     return entries if lists is None else entries.join(lists.select("list").distinct(), "list", "left_semi")
 
 
-def meet(lists, d1, doc, number, packed, low, high) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(later, earlier, differing bits): entries of one list that pass the
+def meet(lists, d1, doc, number, packed, low, high) -> tuple[np.ndarray, ...]:
+    """(later, earlier, differing bits, differing tokens allowed): entries of one list that pass the
     filters.  The entries are sorted by list and, within it, by size and set;
     the first of a pair needs the token in its indexing prefix."""
     low, high = low.view(U), high.view(U)
@@ -304,12 +310,12 @@ def meet(lists, d1, doc, number, packed, low, high) -> tuple[np.ndarray, np.ndar
         x, y, need = i[ok], j[ok], need[ok]
         differing = np.bitwise_count(low[x] ^ low[y]).astype(np.int64) + np.bitwise_count(high[x] ^ high[y])
         ok = differing <= size[x] + size[y] - 2 * need
-        out.append((x[ok], y[ok], differing[ok]))
+        out.append((x[ok], y[ok], differing[ok], (size[x] + size[y] - 2 * need)[ok]))
     if not out:
-        return (np.zeros(0, np.int64),) * 3
-    x, y, differing = (np.concatenate(c) for c in zip(*out))
+        return (np.zeros(0, np.int64),) * 4
+    x, y, differing, allowed = (np.concatenate(c) for c in zip(*out))
     swap = (doc[x] > doc[y]) | (doc[x] == doc[y]) & ((number[x] > number[y]) | (number[x] == number[y]) & (d1[x] > d1[y]))
-    return np.where(swap, x, y), np.where(swap, y, x), differing
+    return np.where(swap, x, y), np.where(swap, y, x), differing, allowed
 
 
 def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_000) -> DataFrame:
@@ -320,7 +326,7 @@ def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = arrow_schema(struct)
 
-        def whole(cols: list[np.ndarray]) -> pa.RecordBatch:
+        def whole(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key, d1, doc, number, packed = cols[:5]
             which = np.cumsum(np.r_[True, key[1:] != key[:-1]])
             o = np.lexsort((d1, packed >> 32, which))
@@ -328,7 +334,14 @@ def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_
             if repeated.any():  # of a set that several tasks have sent, the earliest entry
                 o = np.lexsort((number, doc, d1, packed >> 32, which))
                 o = o[np.r_[True, (d1[o[1:]] != d1[o[:-1]]) | (which[o[1:]] != which[o[:-1]])]]
-            return _batch(out, work(which[o], *(c[o] for c in cols)))
+            # a few lists at a time, by how many pairs they can have
+            starts = np.flatnonzero(np.r_[True, which[o[1:]] != which[o[:-1]]])
+            pairs = np.cumsum(np.diff(np.r_[starts, len(o)]).astype(np.int64) ** 2)
+            for part in np.unique(pairs // PAIRS):
+                held = np.flatnonzero(pairs // PAIRS == part)
+                end = starts[held[-1] + 1] if held[-1] + 1 < len(starts) else len(o)
+                now = o[starts[held[0]]:end]
+                yield _batch(out, work(which[now], *(c[now] for c in cols)))
 
         held: list[list[np.ndarray]] = []
         n = 0
@@ -340,36 +353,45 @@ def _lists(entries: DataFrame, work: Callable, schema: str, together: int = 200_
                 last = np.flatnonzero(cols[0] != cols[0][-1])
                 cut = int(last[-1]) + 1 if len(last) else 0  # the last list may go on
                 if cut:
-                    yield whole([c[:cut] for c in cols])
+                    yield from whole([c[:cut] for c in cols])
                 held, n = [[c[cut:] for c in cols]], len(cols[0]) - cut
         if n:
-            yield whole([np.concatenate(c) for c in zip(*held)])
+            yield from whole([np.concatenate(c) for c in zip(*held)])
 
     return dealt.mapInArrow(run, struct)
 
 
 def closest(entries: DataFrame) -> DataFrame:
-    """list, d1, best, more: of each list, each set's earlier one with the
-    least differing bitmap, and whether there are others.  Sets that are only
-    an earlier one come with null best."""
+    """list, d1, best, others, more: of each list, each set's earlier one with
+    the least differing bitmap.  The others there come along if the bitmap
+    makes that one an unlikely match; else ``more`` tells whether there are
+    any.  Sets that are only an earlier one come with null best."""
     def work(which, key, d1, doc, number, packed, low, high):
-        later, earlier, differing = meet(which, d1, doc, number, packed, low, high)
+        later, earlier, differing, allowed = meet(which, d1, doc, number, packed, low, high)
         order = np.argsort((later << 8) | differing, kind="stable")
-        later, earlier = later[order], earlier[order]
-        first = np.flatnonzero(np.r_[True, later[1:] != later[:-1]]) if len(later) else np.zeros(0, np.int64)
-        more = np.diff(np.r_[first, len(later)]) > 1
-        others = np.setdiff1d(d1[earlier], d1[later[first]])
-        best = pa.concat_arrays([pa.array(d1[earlier[first]], pa.int64()), pa.nulls(len(others), pa.int64())])
-        return [np.r_[key[later[first]], np.zeros(len(others), np.int64)], np.r_[d1[later[first]], others], best,
-                np.r_[more, np.zeros(len(others), bool)]]
-
-    return _lists(entries, work, "list long, d1 long, best long, more boolean")
+        later, earlier, differing, allowed = (x[order] for x in (later, earlier, differing, allowed))
+        new = np.ones(len(later), bool)
+        new[1:] = later[1:] != later[:-1]
+        first = np.flatnonzero(new)
+        count = np.diff(np.r_[first, len(later)])
+        # differing tokens that so many differing bits stand for
+        expected = -64 * np.log(np.maximum(1 - differing[first] / 64, 1e-9))
+        unlikely = expected > 0.4 * allowed[first]
+        sent = np.where(unlikely, count - 1, 0)
+        alone = np.setdiff1d(d1[earlier], d1[later[first]])
+        none = np.zeros(len(alone), np.int64)
+        others = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.r_[sent, none])].astype(np.int32)),
+                                          pa.array(d1[earlier[~new & np.repeat(unlikely, count)]], pa.int64()))
+        best = pa.concat_arrays([pa.array(d1[earlier[first]], pa.int64()), pa.nulls(len(alone), pa.int64())])
+        return [np.r_[key[later[first]], none], np.r_[d1[later[first]], alone], best, others, np.r_[(count > 1) & ~unlikely, none > 0]]
+
+    return _lists(entries, work, "list long, d1 long, best long, others array<bigint>, more boolean")
 
 
 def all_earlier(entries: DataFrame) -> DataFrame:
     """d1, best: every earlier set that meets a set marked ``open``."""
     def work(which, key, d1, doc, number, packed, low, high, open_):
-        later, earlier, _ = meet(which, d1, doc, number, packed, low, high)
+        later, earlier, *_ = meet(which, d1, doc, number, packed, low, high)
         held = open_[later].astype(bool)
         both = np.unique(np.stack([d1[later[held]], d1[earlier[held]]]), axis=1)
         return [both[0], both[1]]
@@ -390,7 +412,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 return None
             hit = np.flatnonzero(in_bitmap(bits, lines.d1))
             rows = []
-            if len(sent) > 1_000_000:
+            if len(sent) > SEEN:
                 sent.clear()
             for k in hit.tolist():
                 key = (int(lines.d1[k].astype(np.int64)), int(lines.d2[k].astype(np.int64)))
@@ -430,12 +452,17 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = stored(token_sets(src, met.select("d1")), "line-sets")
     tried = met.where("best is not null").select("d1", "best").distinct()
     first = stored(_settled(tried, sets), "line-settled")
-    undecided = stored(met.where("more").join(first.select("d1").distinct(), "d1", "left_anti").select("list", "d1"), "line-open")
-    entries = prefix_entries(src, classes, undecided).join(
-        undecided.select("d1", F.lit(True).alias("open")).distinct(), "d1", "left").select(
-        "list", "d1", "doc_id", "number", "packed", "low", "high", F.coalesce("open", F.lit(False)).alias("open"))
-    more = _settled(all_earlier(entries).distinct().join(tried, ["d1", "best"], "left_anti"), sets)
-    gone = first.unionByName(more).distinct().withColumn("similar", F.lit(True))
+    open_ = met.where("best is not null").join(first.select("d1").distinct(), "d1", "left_anti")
+    given = open_.where(F.size("others") > 0).groupBy("d1").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("best"))
+    second = stored(_settled(given.select("d1", F.explode("best").alias("best")).join(tried, ["d1", "best"], "left_anti"), sets), "line-settled")
+    gone = first.unionByName(second)
+    undecided = stored(open_.where("more").join(second.select("d1").distinct(), "d1", "left_anti").select("list", "d1"), "line-open")
+    if not undecided.isEmpty():  # form their lists again
+        entries = prefix_entries(src, classes, undecided).join(
+            undecided.select("d1", F.lit(True).alias("open")).distinct(), "d1", "left").select(
+            "list", "d1", "doc_id", "number", "packed", "low", "high", F.coalesce("open", F.lit(False)).alias("open"))
+        gone = gone.unionByName(_settled(all_earlier(entries).distinct().join(tried, ["d1", "best"], "left_anti"), sets))
+    gone = gone.distinct().withColumn("similar", F.lit(True))
 
     place = F.struct("doc_id", "number")
     firsts = lines.groupBy("d1", "d2").agg(F.min(place).alias("first"))
