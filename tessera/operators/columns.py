@@ -112,6 +112,15 @@ def constant_filter_fit(df: DataFrame, cols: list[str], threshold: int = 1) -> d
     return {"_rows": r["_rows"], **{c: r[f"d{i}"] for i, c in enumerate(cols)}}
 
 
+def varying_columns(df: DataFrame, cols: list[str]) -> list[str]:
+    """The columns with more than one value (missing is a value too), from one
+    aggregate of least, greatest and missing; all of them for a single row."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), *[x.alias(f"{k}{i}") for i, c in enumerate(cols) for k, x in (
+        ("a", F.min(c)), ("b", F.max(c)), ("z", F.count(c)))]).first()
+    kept = [c for i, c in enumerate(cols) if r[f"a{i}"] != r[f"b{i}"] or 0 < r[f"z{i}"] < r["n"]]
+    return kept if r["n"] > 1 else list(cols)
+
+
 def constant_filter_report(df: DataFrame, cols: list[str], threshold: int = 1) -> DataFrame:
     """Lazy form: one row per column (feature, n_distinct, keep)."""
     n = F.count(F.lit(1))

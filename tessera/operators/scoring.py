@@ -94,6 +94,22 @@ def with_member_logits(df: DataFrame, features: list[str], label: str, ctx_filte
     return x.drop(*stage.keys(), *[f"_ul{c.member}" for c in configs])
 
 
+def with_ensemble_logits(df: DataFrame, features: dict[str, list[str]], configs: list[ViewConfig], n_classes: int,
+                         centres: dict[str, dict], out: str = "logits") -> DataFrame:
+    """Class-mean logits averaged over the members.  A distance to a centre
+    depends neither on the order of the features nor, once the class shift is
+    undone, on the shift; so the distinct views are the normalisers, each scored
+    once and weighted by its members."""
+    weight = {n: sum(c.norm == n for c in configs) / len(configs) for n in features}
+    used = [n for n in features if weight[n]]
+    none = [float("nan")]
+    x = df.withColumns({f"_lg_{n}": class_mean_logits([F.col(f) for f in features[n]], [
+        centres[n].get((k,), none * len(features[n])) for k in range(n_classes)]) for n in used})
+    total = F.array(*[sum((F.col(f"_lg_{n}")[k] * F.lit(weight[n]) for n in used[1:]), F.col(f"_lg_{used[0]}")[k] * F.lit(weight[used[0]]))
+                      for k in range(n_classes)])
+    return x.withColumn(out, total).drop(*[f"_lg_{n}" for n in used])
+
+
 def with_proba(df: DataFrame, logits: str, out: str = "proba", average_logits: bool = True,
                temperature: float = SOFTMAX_TEMPERATURE) -> DataFrame:
     """softmax with temperature when averaging logits, then row-normalise."""
@@ -110,13 +126,6 @@ def with_proba(df: DataFrame, logits: str, out: str = "proba", average_logits: b
     return x.drop(*[c for c in ("_mx", "_e", "_es", "_sm", "_ns") if c in x.columns])
 
 
-def predict_proba_col(avg_logits: Column, average_logits: bool = True,
-                      temperature: float = SOFTMAX_TEMPERATURE) -> Column:
-    """Column form for small inputs (a column reference)."""
-    p = softmax(avg_logits, temperature) if average_logits else avg_logits
-    return normalise(p)
-
-
 def predict_index(proba: Column) -> Column:
     return argmax(proba)
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -280,6 +282,16 @@ def yeo_johnson(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
+def _yeo_johnson_np(x: np.ndarray, lam: np.ndarray) -> np.ndarray:
+    """Of a column of values and a row of lambdas."""
+    with np.errstate(all="ignore"):
+        up, down = np.maximum(x, 0.0), np.maximum(-x, 0.0)
+        pos = np.where(np.abs(lam) < 1e-12, np.log1p(up), ((up + 1.0) ** lam - 1.0) / np.where(lam == 0, 1.0, lam))
+        two = 2.0 - lam
+        neg = np.where(np.abs(two) < 1e-12, -np.log1p(down), -((down + 1.0) ** two - 1.0) / np.where(two == 0, 1.0, two))
+        return np.where(x >= 0, pos, neg)
+
+
 # The lambda search: points of a pass, its first interval, and the last pass's step.
 YJ_POINTS, YJ_FIRST, YJ_STEP = 17, (-4.0, 4.0), 2e-4
 
@@ -289,35 +301,56 @@ class YeoJohnson:
     """Per-column lambda by maximum likelihood, then standardise (population
     std, zero std -> 1).
 
-    One aggregate a pass gives the likelihood of ``YJ_POINTS`` lambdas of every
-    column.  While the best is at an end of its interval the next one reaches
+    One pass over the rows gives the likelihood of ``YJ_POINTS`` lambdas of
+    every column.  While the best is at an end of its interval the next one reaches
     twice as far beyond it; else it is the two steps around the best."""
     cols: list[str]
     lam: dict = field(default_factory=dict)
     mean: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
 
-    def _likelihoods(self, df: DataFrame, grids: dict[str, list[float]]) -> dict[str, list[float]]:
-        exprs = {}
-        for i, (c, lams) in enumerate(grids.items()):
-            x = F.col(c).cast("double")
-            exprs[f"n{i}"], exprs[f"s{i}"] = F.count(x), F.sum(F.signum(x) * F.log1p(F.abs(x)))
-            exprs |= {f"v{i}_{k}": F.var_pop(yeo_johnson(x, F.lit(lam))) for k, lam in enumerate(lams)}
-        r = _agg_row(df, exprs)
-
-        def likelihood(i, k, lam):
-            n, s, v = r[f"n{i}"], r[f"s{i}"], r[f"v{i}_{k}"]
-            if not n or v is None or not math.isfinite(v) or v <= 0:
-                return float("-inf")
-            return -0.5 * n * math.log(v) + (lam - 1.0) * s
-
-        return {c: [likelihood(i, k, lam) for k, lam in enumerate(lams)] for i, (c, lams) in enumerate(grids.items())}
+    def _likelihoods(self, df: DataFrame, grids: dict[str, list[float]], centre: dict[str, float]) -> dict[str, list[float]]:
+        """One pass: each task sums its rows' transformed values, less that of
+        the mean (so that the variance doesn't cancel), for every lambda."""
+        cols, lams = list(grids), [np.array(g) for g in grids.values()]
+        shift = [_yeo_johnson_np(np.array([[centre[c] or 0.0]]), lam)[0] for c, lam in zip(cols, lams)]
+        schema = pa.schema([("i", pa.int32()), ("k", pa.int32()), *((c, pa.float64()) for c in ("n", "s", "y", "yy"))])
+
+        def sums(batches):
+            total = np.zeros((len(cols), YJ_POINTS, 4))
+            for b in batches:
+                for i, lam in enumerate(lams):
+                    x = b.column(i).drop_null().to_numpy(zero_copy_only=False)
+                    x = x[~np.isnan(x)]
+                    for at in range(0, len(x), 8192):
+                        v = x[at:at + 8192, None]
+                        with np.errstate(all="ignore"):
+                            y = _yeo_johnson_np(v, lam) - shift[i]
+                            total[i, :, 0] += len(v)
+                            total[i, :, 1] += (np.sign(v) * np.log1p(np.abs(v))).sum()
+                            total[i, :, 2] += y.sum(axis=0)
+                            total[i, :, 3] += (y * y).sum(axis=0)
+            at = np.indices((len(cols), YJ_POINTS)).reshape(2, -1)
+            flat = total.reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()),
+                                              *(pa.array(flat[:, j]) for j in range(4))], schema=schema)
+
+        parts = df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(sums, "i int, k int, n double, s double, y double, yy double")
+        out = {c: [float("-inf")] * YJ_POINTS for c in cols}
+        for r in parts.groupBy("i", "k").agg(*[F.sum(c).alias(c) for c in ("n", "s", "y", "yy")]).collect():
+            if r["n"]:
+                var = r["yy"] / r["n"] - (r["y"] / r["n"]) ** 2
+                if math.isfinite(var) and var > 0:
+                    c = cols[r["i"]]
+                    out[c][r["k"]] = -0.5 * r["n"] * math.log(var) + (grids[c][r["k"]] - 1.0) * r["s"]
+        return out
 
     def fit(self, df: DataFrame) -> "YeoJohnson":
         interval = {c: YJ_FIRST for c in self.cols}
+        centre = _agg_row(df, {c: F.avg(F.col(c).cast("double")) for c in self.cols})
         while interval:
             grids = {c: [round(lo + (hi - lo) * k / (YJ_POINTS - 1), 9) for k in range(YJ_POINTS)] for c, (lo, hi) in interval.items()}
-            found, interval = self._likelihoods(df, grids), {}
+            found, interval = self._likelihoods(df, grids, centre), {}
             for c, ll in found.items():
                 k, lams = ll.index(max(ll)), grids[c]
                 step = lams[1] - lams[0]
@@ -524,8 +557,9 @@ def ranked_categories(vals: DataFrame) -> DataFrame:
     w = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("column", "_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
     local = F.row_number().over(Window.partitionBy("column", "_part").orderBy("category")) - 1
-    return parts.withColumn("_local", local).join(sizes, ["column", "_part"]) \
+    codes = parts.withColumn("_local", local).join(sizes, ["column", "_part"]) \
         .select("column", "category", (F.col("_before") + F.col("_local")).cast("bigint").alias("code"))
+    return stored(codes, "dictionary")  # of known size, so joins (a stream's too) choose by it
 
 
 @dataclass
@@ -535,6 +569,7 @@ class OrdinalEncode:
     joined; AQE broadcasts it only when it is under the broadcast threshold."""
     cols: list[str]
     dictionary: DataFrame | None = None
+    fitted: list[str] | None = None   # the names in the dictionary, if others
 
     def fit(self, df: DataFrame) -> "OrdinalEncode":
         vals = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category"))
@@ -544,8 +579,8 @@ class OrdinalEncode:
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
-        for c in self.cols:
-            d = self.dictionary.where(F.col("column") == c).select(
+        for c, name in zip(self.cols, self.fitted or self.cols):
+            d = self.dictionary.where(F.col("column") == name).select(
                 F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
             out = out.join(d, out[c].cast("string") == d[f"_cat_{c}"], "left")
             out = out.withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(-1).cast("bigint"))).drop(f"_cat_{c}", f"_code_{c}")
@@ -608,9 +643,20 @@ class ToNumerical:
     def features(self) -> list[str]:
         return self.kinds["categorical"] + self.imputer.kept
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def with_inputs(self, names: dict[str, str]) -> "ToNumerical":
+        """The same fit, for a frame that holds the columns under other names."""
+        new = ToNumerical([names.get(c, c) for c in self.exclude])
+        new.kinds = {k: [names.get(c, c) for c in v] for k, v in self.kinds.items()}
+        new.encoder = None if self.encoder is None else OrdinalEncode([names.get(c, c) for c in self.encoder.cols], self.encoder.dictionary, self.encoder.cols)
+        new.imputer = MeanImpute([names.get(c, c) for c in self.imputer.cols], {names.get(c, c): v for c, v in self.imputer.mean.items()})
+        return new
+
+    def transform_columns(self, df: DataFrame) -> DataFrame:
         out = self.encoder.transform(df) if self.encoder else df
-        out = self.imputer.transform(out)
+        return self.imputer.transform(out)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = self.transform_columns(df)
         keep = [c for c in out.columns if c in self.exclude]
         return out.select(*keep, *[F.col(c).cast("double").alias(c) for c in self.features])
 

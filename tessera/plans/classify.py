@@ -1,10 +1,13 @@
-"""Flagship: classify lineitem return flags from four numeric columns.
+"""Flagship: classify lineitem return flags from a categorical and four
+numeric columns.
 
-label dictionary -> standard scale/clip -> outlier soft clip (both fitted on
-context rows only) -> class-mean scorer fused over the ensemble members ->
+label dictionary -> ordinal codes and imputed numbers -> constant columns out
+-> one preprocessing a normaliser (standard scale, none or power, outlier soft
+clip), all fitted on context rows only -> ensemble views -> class-mean scores,
+once per distinct view -> class shift undone, members averaged ->
 softmax(T=0.9) -> normalise -> argmax -> decode -> accuracy on query rows.
-Physical plan: two small fit aggregates, one centre aggregate, then a single
-narrow projection over the scan (no shuffle of the row data).
+Physical plan: small fit aggregates, then projections over the scan and joins
+with dictionaries (no shuffle of the row data while those are small).
 """
 
 from __future__ import annotations
@@ -12,95 +15,142 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import columns as C
 from tessera.operators import metrics as M
 from tessera.operators import scoring as S
 from tessera.operators import targets as TG
 from tessera.operators.ensemble import ensemble_configs, feature_patterns
-from tessera.operators.transforms import OutlierSoftClip, StandardScaleClip
+from tessera.operators.transforms import Preprocess, ToNumerical, nan_to_null
 from tessera.plans.common import LI_FEATURES, li_key, lineitem, r6, with_role
 from tessera.plans.registry import register
 from tessera.plans.sqlbits import LI_KEY_SQL, digest_sql, soft_clip_sql, u_sql
 
 N_ESTIMATORS = 8
+FEATURES = ["l_linestatus", *LI_FEATURES]
+LABEL = "l_returnflag"
+NORMS = ("none", "power")
 
 
 class ClassifierModel:
-    """Everything fitted on the context: dictionary, scaler, clipper, class
-    centres and the member configurations (all bounded by classes x features)."""
+    """Everything fitted on the context: dictionary, encoder, kept features,
+    one preprocessing and the class centres of each normaliser, and the member
+    configurations (all bounded by classes x features)."""
 
-    def __init__(self, dictionary, n_classes, scaler, clipper, centres, configs):
-        self.dictionary, self.n_classes = dictionary, n_classes
-        self.scaler, self.clipper, self.centres, self.configs = scaler, clipper, centres, configs
+    def __init__(self, features, dictionary, n_classes, numeric, kept, steps, centres, configs):
+        self.features, self.dictionary, self.n_classes = features, dictionary, n_classes
+        self.numeric, self.kept, self.steps, self.centres, self.configs = numeric, kept, steps, centres, configs
 
 
-def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS) -> ClassifierModel:
+def _under(cols: list[str], norm: str) -> list[str]:
+    return [f"{c}__{norm}" for c in cols]
+
+
+def _views(df: DataFrame, kept: list[str], norm: str) -> DataFrame:
+    return df.withColumns({v: F.col(c) for c, v in zip(kept, _under(kept, norm))})
+
+
+def _ingest(rows: DataFrame, features: list[str]) -> DataFrame:
+    """NaN is missing, whatever the file format said."""
+    return nan_to_null(rows, [c for c, t in rows.dtypes if c in features and t in ("double", "float")])
+
+
+def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS, features: list[str] | None = None) -> ClassifierModel:
     """Fits read only the context rows, in several passes; callers may pass a
     persisted frame."""
-    dictionary = TG.label_dictionary(context, "l_returnflag").cache()
+    features = features or FEATURES
+    C.check_feature_contract(features, context, features)
+    context = _ingest(context.select(*features, LABEL), features)
+    dictionary = TG.label_dictionary(context, LABEL)
     n_classes = dictionary.count()
     TG.check_class_limit(n_classes, grouping=False)
-    cx = TG.label_encode(context, "l_returnflag", dictionary, "y")
-    scaler = StandardScaleClip(LI_FEATURES).fit(cx)
-    cx = scaler.transform(cx)
-    clipper = OutlierSoftClip(LI_FEATURES).fit(cx)
-    centres = S.class_means(clipper.transform(cx), LI_FEATURES, "y")
-    pats = feature_patterns(len(LI_FEATURES), n_estimators, "latin", seed=0)
-    cfg = ensemble_configs(pats, n_classes, ["none"], n_estimators, class_shift=True, seed=0)
-    return ClassifierModel(dictionary, n_classes, scaler, clipper, centres, cfg)
+    numeric = ToNumerical([LABEL]).fit(context)
+    x = TG.label_encode(numeric.transform(context), LABEL, dictionary, "y")
+    kept = C.varying_columns(x, numeric.features)
+    steps, centres = {}, {}
+    for norm in NORMS:
+        views = _under(kept, norm)
+        v = _views(x, kept, norm).select(*views, "y")
+        steps[norm] = Preprocess(views, norm).fit(v)
+        centres[norm] = S.class_means(steps[norm].transform(v), views, "y")
+    patterns = feature_patterns(len(kept), n_estimators, "latin", seed=0)
+    configs = ensemble_configs(patterns, n_classes, list(NORMS), n_estimators, class_shift=True, seed=0)
+    return ClassifierModel(features, dictionary, n_classes, numeric, kept, steps, centres, configs)
 
 
 def apply_classifier(rows: DataFrame, m: ClassifierModel) -> DataFrame:
-    """Pure projections plus two broadcast joins with the C-row dictionary;
-    works on batch and streaming frames alike."""
-    x = m.clipper.transform(m.scaler.transform(TG.label_encode(rows, "l_returnflag", m.dictionary, "y")))
-    q = S.with_member_logits(x, LI_FEATURES, "y", None, m.configs, m.n_classes, "logits", centres=m.centres)
-    q = S.with_proba(q, "logits", "proba")
-    q = q.withColumn("pred_idx", S.predict_index(F.col("proba")))
+    """Projections and joins with small dictionaries; works on batch and
+    streaming frames alike, with or without the label column.  The columns of
+    ``rows`` stay as they are."""
+    C.check_feature_contract(m.features, rows, m.features)
+    inner = {c: f"__in_{c}" for c in m.features}
+    x = rows.withColumns({v: F.col(c) for c, v in inner.items()})
+    x = _ingest(x, list(inner.values()))
+    x = m.numeric.with_inputs(inner).transform_columns(x)
+    made = list(inner.values())
+    for norm in NORMS:
+        views = _under(m.kept, norm)
+        x = x.withColumns({v: F.col(inner[c]) for c, v in zip(m.kept, views)})
+        x = m.steps[norm].transform(x)
+        made += views
+    x = S.with_ensemble_logits(x, {n: _under(m.kept, n) for n in NORMS}, m.configs, m.n_classes, m.centres, "logits")
+    q = S.with_proba(x.drop(*made), "logits", "proba").withColumn("pred_idx", S.predict_index(F.col("proba")))
     return TG.label_decode(q, "pred_idx", m.dictionary, "prediction")
 
 
 def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS):
-    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *LI_FEATURES, "l_returnflag", "role")
-    ctx = F.col("role") == "context"
-    m = fit_classifier(li.where(ctx), n_estimators)
-    return apply_classifier(li.where(~ctx), m), m.dictionary, m.n_classes
-
-
-_BASE_SQL = f"""
-WITH base AS (
-  SELECT {digest_sql(*LI_KEY_SQL)} AS row_id,
-         l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2, l_tax AS f3, l_returnflag AS y,
-         {u_sql('role', *LI_KEY_SQL)} < 0.3 AS is_ctx
-  FROM lineitem),
+    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *FEATURES, LABEL, "role")
+    context = li.where("role = 'context'").select(*FEATURES, LABEL).persist()
+    m = fit_classifier(context, n_estimators)
+    context.unpersist()
+    return apply_classifier(li.where("role = 'query'"), m), m.dictionary, m.n_classes
+
+
+_N = range(len(FEATURES))
+
+
+def _clipped_sql(src: str, out: str) -> str:
+    """Two-stage outlier bounds of f0.. over the context rows of src, then the soft clip."""
+    a, b = f"{out}_a", f"{out}_b"
+    one = ", ".join(f"avg(f{i}) a{i}, greatest(stddev_samp(f{i}), 1e-6) b{i}" for i in _N)
+    inside = [f"CASE WHEN f{i} BETWEEN a{i} - 4 * b{i} AND a{i} + 4 * b{i} THEN f{i} END" for i in _N]
+    two = ", ".join(f"avg({x}) a{i}, greatest(stddev_samp({x}), 1e-6) b{i}" for i, x in zip(_N, inside))
+    clip = ", ".join(f"{soft_clip_sql(f'f{i}', f'(a{i} - 4 * b{i})', f'(a{i} + 4 * b{i})')} AS f{i}" for i in _N)
+    return (f"{a} AS (SELECT {one} FROM {src} WHERE is_ctx),\n{b} AS (SELECT {two} FROM {src}, {a} WHERE is_ctx),\n"
+            f"{out} AS (SELECT row_id, y, is_ctx, {clip} FROM {src}, {b})")
+
+
+def _logits_sql(src: str, out: str) -> str:
+    means = ", ".join(f"avg(f{i}) c{i}" for i in _N)
+    far = " + ".join(f"(f{i} - c{i}) * (f{i} - c{i})" for i in _N)
+    return (f"{out}_m AS (SELECT d.class_idx, {means} FROM {src} JOIN dict d USING (y) WHERE is_ctx GROUP BY d.class_idx),\n"
+            f"{out} AS (SELECT q.row_id, q.y, m.class_idx, -sqrt({far}) AS logit FROM {src} q, {out}_m m WHERE NOT q.is_ctx)")
+
+
+def _base_sql() -> str:
+    from tessera.plans.q_transforms import _yj_levels, _yj_sql
+    levels, last = _yj_levels()
+    fill = ", ".join(f"coalesce(raw.{c}, m{i}) AS f{i + 1}" for i, c in enumerate(LI_FEATURES))
+    return f"""
+WITH raw AS (SELECT {digest_sql(*LI_KEY_SQL)} AS row_id, l_linestatus, {", ".join(LI_FEATURES)}, l_returnflag AS y,
+         {u_sql('role', *LI_KEY_SQL)} < 0.3 AS is_ctx FROM lineitem),
+code AS (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT l_linestatus AS v FROM raw WHERE is_ctx AND l_linestatus IS NOT NULL) t),
+fill AS (SELECT {", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(LI_FEATURES))} FROM raw WHERE is_ctx),
+base AS (SELECT row_id, y, is_ctx, CAST(coalesce(code, -1) AS DOUBLE) AS f0, {fill} FROM raw LEFT JOIN code ON raw.l_linestatus = code.v, fill),
 dict AS (SELECT y, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS class_idx
          FROM (SELECT DISTINCT y FROM base WHERE is_ctx AND y IS NOT NULL) t),
-p1 AS (SELECT avg(f0) m0, stddev_pop(f0) + 1e-6 s0, avg(f1) m1, stddev_pop(f1) + 1e-6 s1,
-              avg(f2) m2, stddev_pop(f2) + 1e-6 s2, avg(f3) m3, stddev_pop(f3) + 1e-6 s3 FROM base WHERE is_ctx),
-sc AS (SELECT row_id, y, is_ctx,
-              least(greatest((f0 - m0) / s0, -100), 100) f0, least(greatest((f1 - m1) / s1, -100), 100) f1,
-              least(greatest((f2 - m2) / s2, -100), 100) f2, least(greatest((f3 - m3) / s3, -100), 100) f3
-       FROM base, p1),
-st1 AS (SELECT avg(f0) a0, greatest(stddev_samp(f0), 1e-6) b0, avg(f1) a1, greatest(stddev_samp(f1), 1e-6) b1,
-               avg(f2) a2, greatest(stddev_samp(f2), 1e-6) b2, avg(f3) a3, greatest(stddev_samp(f3), 1e-6) b3
-        FROM sc WHERE is_ctx),
-st2 AS (SELECT avg(CASE WHEN f0 BETWEEN a0 - 4 * b0 AND a0 + 4 * b0 THEN f0 END) a0,
-               greatest(stddev_samp(CASE WHEN f0 BETWEEN a0 - 4 * b0 AND a0 + 4 * b0 THEN f0 END), 1e-6) b0,
-               avg(CASE WHEN f1 BETWEEN a1 - 4 * b1 AND a1 + 4 * b1 THEN f1 END) a1,
-               greatest(stddev_samp(CASE WHEN f1 BETWEEN a1 - 4 * b1 AND a1 + 4 * b1 THEN f1 END), 1e-6) b1,
-               avg(CASE WHEN f2 BETWEEN a2 - 4 * b2 AND a2 + 4 * b2 THEN f2 END) a2,
-               greatest(stddev_samp(CASE WHEN f2 BETWEEN a2 - 4 * b2 AND a2 + 4 * b2 THEN f2 END), 1e-6) b2,
-               avg(CASE WHEN f3 BETWEEN a3 - 4 * b3 AND a3 + 4 * b3 THEN f3 END) a3,
-               greatest(stddev_samp(CASE WHEN f3 BETWEEN a3 - 4 * b3 AND a3 + 4 * b3 THEN f3 END), 1e-6) b3
-        FROM sc, st1 WHERE is_ctx),
-bnd AS (SELECT a0 - 4 * b0 lo0, a0 + 4 * b0 hi0, a1 - 4 * b1 lo1, a1 + 4 * b1 hi1,
-               a2 - 4 * b2 lo2, a2 + 4 * b2 hi2, a3 - 4 * b3 lo3, a3 + 4 * b3 hi3 FROM st2),
-cl AS (SELECT row_id, y, is_ctx, {soft_clip_sql('f0', 'lo0', 'hi0')} f0, {soft_clip_sql('f1', 'lo1', 'hi1')} f1,
-              {soft_clip_sql('f2', 'lo2', 'hi2')} f2, {soft_clip_sql('f3', 'lo3', 'hi3')} f3 FROM sc, bnd),
-cm AS (SELECT d.class_idx, avg(f0) c0, avg(f1) c1, avg(f2) c2, avg(f3) c3
-       FROM cl JOIN dict d USING (y) WHERE is_ctx GROUP BY d.class_idx),
-lg AS (SELECT q.row_id, q.y, cm.class_idx,
-              -sqrt((f0 - c0) * (f0 - c0) + (f1 - c1) * (f1 - c1) + (f2 - c2) * (f2 - c2) + (f3 - c3) * (f3 - c3)) AS logit
-       FROM cl q, cm WHERE NOT q.is_ctx),
+p1 AS (SELECT {", ".join(f"avg(f{i}) m{i}, stddev_pop(f{i}) + 1e-6 s{i}" for i in _N)} FROM base WHERE is_ctx),
+sc AS (SELECT row_id, y, is_ctx, {", ".join(f"least(greatest((f{i} - m{i}) / s{i}, -100), 100) AS f{i}" for i in _N)} FROM base, p1),
+lng AS ({" UNION ALL ".join(f"SELECT {i} AS f, f{i} AS x FROM sc WHERE is_ctx" for i in _N)}),
+{levels},
+lams AS (SELECT {", ".join(f"round(max(lam) FILTER (f = {i}), 6) AS l{i}" for i in _N)} FROM {last}),
+ys AS (SELECT row_id, y, is_ctx, {", ".join(f"{_yj_sql(f'f{i}', f'l{i}')} AS f{i}" for i in _N)} FROM sc, lams),
+yst AS (SELECT {", ".join(f"avg(f{i}) m{i}, stddev_pop(f{i}) s{i}" for i in _N)} FROM ys WHERE is_ctx),
+pw AS (SELECT row_id, y, is_ctx, {", ".join(f"(f{i} - m{i}) / CASE WHEN s{i} = 0 THEN 1.0 ELSE s{i} END AS f{i}" for i in _N)} FROM ys, yst),
+{_clipped_sql("sc", "cn")},
+{_clipped_sql("pw", "cp")},
+{_logits_sql("cn", "ln_")},
+{_logits_sql("cp", "lp_")},
+lg AS (SELECT row_id, n.y, class_idx, (n.logit + p.logit) / 2 AS logit FROM ln_ n JOIN lp_ p USING (row_id, class_idx)),
 sm AS (SELECT row_id, y, class_idx, exp((logit - max(logit) OVER (PARTITION BY row_id)) / 0.9) AS e FROM lg),
 pr AS (SELECT row_id, y, class_idx, e / sum(e) OVER (PARTITION BY row_id) AS p FROM sm),
 pr2 AS (SELECT row_id, y, class_idx, p / sum(p) OVER (PARTITION BY row_id) AS p FROM pr),
@@ -110,6 +160,9 @@ pred AS (SELECT am.row_id, am.y AS l_returnflag, am.pred_idx, d.y AS prediction
 """
 
 
+_BASE_SQL = _base_sql()
+
+
 def _accuracy(spark, sf_dir):
     q, _, _ = classify(spark, sf_dir)
     a = M.accuracy(q, "prediction", "l_returnflag")

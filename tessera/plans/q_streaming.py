@@ -19,8 +19,8 @@ _EPOCH_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
 
 def _scored_stream(spark, sf_dir):
     """Fit once on the context (batch), score query files as they land."""
-    from tessera.plans.classify import apply_classifier, fit_classifier
-    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *LI_FEATURES, "l_returnflag", "role")
+    from tessera.plans.classify import FEATURES, apply_classifier, fit_classifier
+    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *FEATURES, "l_returnflag", "role")
     model = fit_classifier(li.where("role = 'context'"))
     src = ST.land(li.where("role = 'query'").drop("role"), "stream-in", 8, "csv")
     stream = ST.file_stream(spark, src, li.drop("role").schema, "csv", max_files=4)

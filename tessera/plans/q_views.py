@@ -10,7 +10,8 @@ from tessera.operators import ensemble as EN
 from tessera.operators import scoring as S
 from tessera.operators import targets as TG
 from tessera.operators.ordering import sample_k
-from tessera.plans.common import r6
+from tessera.plans.classify import _BASE_SQL as _CLS_SQL
+from tessera.plans.common import li_key, lineitem, r6, with_role
 from tessera.plans.registry import register
 from tessera.plans.sqlbits import u_sql
 from tessera.session import table
@@ -210,11 +211,21 @@ def _chain(spark, sf_dir):
                          r6(F.col("p") / F.col("p_group")).alias("p_given_group"), r6("p_group").alias("p_group"))
 
 
-@register("format_predictions")
+@register("format_predictions", _CLS_SQL + """
+SELECT row_id AS id, prediction, x.l_quantity AS col_1, d.y AS label, round(p, 6) AS p
+FROM pr2 JOIN pred USING (row_id) JOIN dict d USING (class_idx) JOIN raw x USING (row_id)""")
 def _format(spark, sf_dir):
-    from tessera.plans.classify import classify
-    q, d, _ = classify(spark, sf_dir)
-    labels = [r["label"] for r in d.orderBy("class_idx").collect()]   # C labels
-    rounded = F.transform("proba", lambda v: F.round(v, 6))
-    return q.select(F.col("row_id").alias("id"), "prediction",
-                    S.format_probabilities(labels, rounded).alias("probabilities"))
+    """The service's rows (prediction, probabilities as JSON, id, passed-through
+    columns), of unlabelled input; the JSON is parsed again to compare it."""
+    from tessera.operators.columns import passthrough
+    from tessera.plans.classify import FEATURES, apply_classifier, fit_classifier
+    li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *FEATURES, "l_returnflag", "role")
+    m = fit_classifier(li.where("role = 'context'"))
+    rows = li.where("role = 'query'").drop("l_returnflag", "role").withColumnRenamed("row_id", "id")
+    labels = [r["label"] for r in m.dictionary.orderBy("class_idx").collect()]   # C labels
+    q = apply_classifier(rows, m)
+    extra = passthrough(rows.select(*FEATURES), [1])
+    out = q.select("prediction", S.format_probabilities(labels, F.col("proba")).alias("probabilities"), "id", *extra)
+    assert out.columns == ["prediction", "probabilities", "id", "col_1"]
+    p = F.from_json("probabilities", "map<string,double>")
+    return out.select("id", "prediction", "col_1", F.explode(p).alias("label", "p")).withColumn("p", r6("p"))
