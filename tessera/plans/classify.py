@@ -36,8 +36,8 @@ class ClassifierModel:
     one preprocessing and the class centres of each normaliser, and the member
     configurations (all bounded by classes x features)."""
 
-    def __init__(self, features, dictionary, n_classes, numeric, kept, steps, centres, configs):
-        self.features, self.dictionary, self.n_classes = features, dictionary, n_classes
+    def __init__(self, features, dictionary, labels, n_classes, numeric, kept, steps, centres, configs):
+        self.features, self.dictionary, self.labels, self.n_classes = features, dictionary, labels, n_classes
         self.numeric, self.kept, self.steps, self.centres, self.configs = numeric, kept, steps, centres, configs
 
 
@@ -63,6 +63,7 @@ def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS, feature
     dictionary = TG.label_dictionary(context, LABEL)
     n_classes = dictionary.count()
     TG.check_class_limit(n_classes, grouping=False)
+    labels = [r["label"] for r in dictionary.orderBy("class_idx").collect()]
     numeric = ToNumerical([LABEL]).fit(context)
     x = TG.label_encode(numeric.transform(context), LABEL, dictionary, "y")
     kept = C.varying_columns(x, numeric.features)
@@ -74,7 +75,7 @@ def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS, feature
         centres[norm] = S.class_means(steps[norm].transform(v), views, "y")
     patterns = feature_patterns(len(kept), n_estimators, "latin", seed=0)
     configs = ensemble_configs(patterns, n_classes, list(NORMS), n_estimators, class_shift=True, seed=0)
-    return ClassifierModel(features, dictionary, n_classes, numeric, kept, steps, centres, configs)
+    return ClassifierModel(features, dictionary, labels, n_classes, numeric, kept, steps, centres, configs)
 
 
 def apply_classifier(rows: DataFrame, m: ClassifierModel) -> DataFrame:
@@ -94,7 +95,8 @@ def apply_classifier(rows: DataFrame, m: ClassifierModel) -> DataFrame:
         made += views
     x = S.with_ensemble_logits(x, {n: _under(m.kept, n) for n in NORMS}, m.configs, m.n_classes, m.centres, "logits")
     q = S.with_proba(x.drop(*made), "logits", "proba").withColumn("pred_idx", S.predict_index(F.col("proba")))
-    return TG.label_decode(q, "pred_idx", m.dictionary, "prediction")
+    # at most MAX_CLASSES labels, as checked: a literal array, no join over the long projection
+    return q.withColumn("prediction", F.element_at(F.array(*[F.lit(x) for x in m.labels]), F.col("pred_idx") + 1))
 
 
 def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS):
@@ -203,8 +205,8 @@ def _score_class_mean(spark, sf_dir):
 
 @register("join_label_decode", _BASE_SQL + "SELECT pred_idx, prediction, count(*) AS n FROM pred GROUP BY ALL")
 def _decode(spark, sf_dir):
-    q, _, _ = classify(spark, sf_dir)
-    return q.groupBy("pred_idx", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    q, d, _ = classify(spark, sf_dir)
+    return TG.label_decode(q.groupBy("pred_idx").agg(F.count(F.lit(1)).alias("n")), "pred_idx", d, "prediction")
 
 
 @register("label_encode", _BASE_SQL + "SELECT y AS label, class_idx FROM dict")
