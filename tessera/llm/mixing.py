@@ -13,8 +13,9 @@ disjoint.  Rows are then shuffled within their shard.
 Sources by code point, null last, weigh ``WEIGHTS`` in turn and share the
 whole size; no target exceeds ``MOST`` times its source, and what is over is
 shared by weight among the others.  A document is taken whole: as often as the
-target holds the source, and once more along the random order while it fits
-what is left; one further document, the closest in size, fills the last gap.
+target holds the source, and once more, along the random order, if it fits what
+is left then; when none fits, one further document, the closest in size, fills
+the last gap.
 
 A document's size is its number of words (null or empty text: 0; such
 documents are never taken).  Rows that repeat doc_id, source and text are
@@ -124,6 +125,42 @@ def source_table(sizes: DataFrame) -> list[dict]:
              "rest": float(t % r["n"]) if r["n"] else 0.0} for i, (r, t) in enumerate(zip(rows, targets))]
 
 
+def fill(laid: DataFrame) -> DataFrame:
+    """unit, fill_start: what the last round takes beyond the first unit that
+    overruns ``rest``.  Along the order every unit that fits what is left is
+    taken, as one pass over the units would; a stored round here goes up to the
+    next unit that overruns.  Then the closest unit is added if that brings the
+    source nearer to its target."""
+    gap = F.col("rest") - F.col("reached")
+    state = laid.groupBy("at", "rest").agg(F.coalesce(F.max(F.when(F.col("end") <= F.col("rest"), F.col("end"))), F.lit(0)).alias("reached"),
+                                           F.first("rest").alias("passed"))
+    state, left, filled = stored(state, "mix-state"), laid, []
+    while True:
+        # what was passed over overran a larger gap, so it stays out
+        left = stored(left.join(F.broadcast(state.drop("rest")), "at").where((F.col("end") > F.col("passed")) & (F.col("words") <= gap))
+                      .drop("reached", "passed"), "mix-left")
+        if left.isEmpty():
+            break
+        ranges = left.groupBy("at", "range").agg(F.sum("words").alias("n")) \
+            .select("at", "range", F.coalesce(F.sum("n").over(W.partitionBy("at").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before")) \
+            .join(F.broadcast(state), "at").where(F.col("before") < gap).select("at", "range", "before", "reached")
+        upto = F.col("before") + F.sum("words").over(W.partitionBy("at", "range").orderBy("end").rowsBetween(W.unboundedPreceding, 0))
+        took = stored(left.join(ranges, ["at", "range"]).withColumn("upto", upto).where(F.col("upto") <= gap)
+                      .select("at", "unit", "words", "end", (F.col("reached") + F.col("upto") - F.col("words")).alias("fill_start")), "mix-took")
+        filled.append(took.select("unit", "fill_start"))
+        by_source = took.groupBy("at").agg(F.sum("words").alias("n"), F.max("end").alias("last"))
+        state = stored(state.join(by_source, "at", "left").select(
+            "at", "rest", (F.col("reached") + F.coalesce("n", F.lit(0))).alias("reached"), F.coalesce(F.col("last").cast("double"), F.col("passed")).alias("passed")), "mix-state")
+    rest = laid.join(F.broadcast(state.drop("rest")), "at").where((F.col("end") > F.col("rest")) & (F.col("words") < 2 * gap))
+    for took in filled:
+        rest = rest.join(took.select("unit"), "unit", "left_anti")
+    closest = rest.groupBy("at").agg(F.min(F.struct(F.abs(F.col("words") - gap).alias("off"), "order", "doc_id", "text_hash", "unit", "reached")).alias("best")) \
+        .select(F.col("best.unit").alias("unit"), F.col("best.reached").alias("fill_start"))
+    for took in filled:
+        closest = closest.unionByName(took)
+    return stored(closest, "mix-filled")
+
+
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """(documents, mixed).  documents: doc_id, source, text_hash, size,
@@ -161,15 +198,13 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
     laid = units.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0))) \
         .join(ranges, ["at", "range"]).withColumn("start", F.col("range_start") + F.col("inside")).where("size > 0")
     laid = stored(laid.withColumn("end", F.col("start") + words), "mix-laid")
-    reached = laid.groupBy("at").agg(F.coalesce(F.max(F.when(F.col("end") <= F.col("rest"), F.col("end"))), F.lit(0)).alias("reached"))
-    gap = F.col("rest") - F.col("reached")
-    closest = laid.join(F.broadcast(reached), "at").where((F.col("end") > F.col("rest")) & (words < 2 * gap)).groupBy("at") \
-        .agg(F.min(F.struct(F.abs(words - gap).alias("off"), "order", "doc_id", "text_hash", "unit")).alias("best")) \
-        .select(F.col("best.unit").alias("unit"), F.lit(True).alias("closest"))
-    more = ((F.col("end") <= F.col("rest")) | F.col("closest").isNotNull()).cast("int")
-    copies = laid.join(closest, "unit", "left").withColumn("times_taken", F.col("whole") + more).where("times_taken > 0") \
+    filled = fill(laid.select("at", "range", "order", "doc_id", "text_hash", "unit", "end", "rest", words.alias("words")))
+    more = ((F.col("end") <= F.col("rest")) | F.col("fill_start").isNotNull()).cast("int")
+    # the last round's documents beyond the first that overran lie where they fill the line
+    begin = F.when(F.col("copy") == F.col("whole"), F.coalesce("fill_start", "start")).otherwise(F.col("start"))
+    copies = laid.join(filled, "unit", "left").withColumn("times_taken", F.col("whole") + more).where("times_taken > 0") \
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("times_taken") - 1))) \
-        .withColumn("block", F.floor((F.col("copy") * F.col("source_size") + F.col("start")) / width))
+        .withColumn("block", F.floor((F.col("copy") * F.col("source_size") + begin) / width))
     copies = stored(copies.select("unit", "doc_id", "source", "text_hash", "size", "at", "copy", "block"), "mix-copies")
     last = {r["at"]: r["n"] for r in copies.groupBy("at").agg((F.max("block") + 1).alias("n")).collect()}
     quota = tuple(int(last.get(r["at"], 0)) for r in table)

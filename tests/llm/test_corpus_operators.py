@@ -232,6 +232,34 @@ def test_mixing_odd_rows(spark, tmp_path):
     assert out.columns == df.columns and rows(out, "doc_id") == sorted([(None,), (None,), (1,), (1,), (4,)], key=repr)
 
 
+def test_last_round_passes_over_long_documents(spark, tmp_path):
+    rng = random.Random(7)
+    docs = []
+    for name in "abcdefghijkl":  # one very long document in each small source
+        for n in [rng.randint(300, 600), *(rng.randint(5, 15) for _ in range(60))]:
+            docs.append((len(docs), f"w{len(docs)} " * n, "en", name))
+    sf = tables(tmp_path, docs)
+    got = {r["doc_id"]: r for r in mixing.op5_mixing(spark, sf).collect()}
+    order = {r["doc_id"]: (r["o"] % (1 << 64)) for r in spark.read.parquet(f"{sf}/documents.parquet")
+             .select("doc_id", F.xxhash64(F.lit(mixing.SEED), "doc_id", F.xxhash64("text")).alias("o")).collect()}
+    for name in "abcdefghijkl":
+        mine = sorted((r for r in docs if r[3] == name), key=lambda r: order[r[0]])
+        source_size, target = got[mine[0][0]]["source_size"], got[mine[0][0]]["target"]
+        whole, left = int(target // source_size), target % source_size
+        want, untaken = {}, []
+        for i, *_ in mine:  # one pass: what fits what is left is taken
+            fits = got[i]["size"] <= left
+            left -= got[i]["size"] * fits
+            want[i] = got[i]["size"] * (whole + fits)
+            if not fits:
+                untaken.append((abs(got[i]["size"] - left), i))
+        closest = min((abs(got[i]["size"] - left), order[i], i) for _, i in untaken)
+        if got[closest[2]]["size"] < 2 * left:
+            want[closest[2]] += got[closest[2]]["size"]
+        assert {i: got[i]["taken"] for i in want} == want
+        assert abs(sum(want.values()) - target) <= 15 / 2 or all(r[0] not in {i for _, i in untaken} or got[r[0]]["size"] >= 300 for r in mine)
+
+
 # ---- lines
 
 @pytest.mark.parametrize("block", [1 << 15, 4], ids=["whole lists", "blocks"])
