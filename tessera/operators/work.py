@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import map_last_wins
 from tessera.functions.hashing import uniform
-from tessera.operators.ordering import data_buckets, exact_rank, running_sum
+from tessera.operators.ordering import carry_forward, chunked_lag, data_buckets, exact_rank, running_sum
+from tessera.session import stored
 
 LEDGER_OPS = ("put", "lease", "ack", "nack", "extend")
 
@@ -116,7 +117,8 @@ def task_build(df: DataFrame, task: str, order: str, ref: str, weight: str) -> D
                     F.sha2(F.array_join(refs, "|"), 256).alias("checksum"))
 
 
-def ledger_state(events: DataFrame, now: Column, ttl_s: float, delay_s: float, max_attempts: int) -> DataFrame:
+def ledger_state(events: DataFrame, now: Column, ttl_s: float, delay_s: float, max_attempts: int,
+                 bucket: Column | None = None) -> DataFrame:
     """Fold queue events (task_id, op, t) into the state at time ``now``.
 
     An extend counts only while a lease is live: with no lease since the last
@@ -124,24 +126,28 @@ def ledger_state(events: DataFrame, now: Column, ttl_s: float, delay_s: float, m
     (leases) >= max_attempts once the last lease is over.  leased: now is before
     the lease's end (a live extend restarts the ttl).  delayed: until
     ``delay_s`` after a nack or a lease's end; visible otherwise.  Events of
-    tasks that were never put are ignored.  A task's events are folded in
-    time order (one array a task: bounded by its attempts)."""
-    put = events.where(F.col("op") == "put").select("task_id").distinct()
-    ev = events.join(put, "task_id", "left_semi")
-    g = ev.groupBy("task_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("op").isin("lease", "nack", "extend"), F.struct("t", "op")))).alias("_log"),
+    tasks that were never put are ignored.  An extend is live if, going back
+    over events less than the ttl apart, a lease comes before a nack; that is
+    carried along per ``bucket`` (monotone in t; by default ranges of the data),
+    so a task with most events is not folded in one row or task."""
+    g = events.where("task_id is not null").groupBy("task_id").agg(
+        F.max((F.col("op") == "put").cast("int")).alias("_put"),
         F.sum((F.col("op") == "lease").cast("int")).alias("attempts"),
-        F.max((F.col("op") == "ack").cast("int")).alias("acked"))
-    start = F.struct(F.lit(None).cast("double").alias("until"), F.lit(None).cast("double").alias("back"))
+        F.max((F.col("op") == "ack").cast("int")).alias("acked")).where("_put = 1").drop("_put")
     ttl, delay = F.lit(float(ttl_s)), F.lit(float(delay_s))
-
-    def step(s, e):
-        # until: end of the running or last lease; back: when a nacked task may be taken again
-        lease = (e["op"] == "lease") | (e["op"] == "extend") & (e["t"] < s["until"])
-        return F.struct(F.when(lease, e["t"] + ttl).when(e["op"] == "nack", None).otherwise(s["until"]).alias("until"),
-                        F.when(lease, None).when(e["op"] == "nack", e["t"] + delay).otherwise(s["back"]).alias("back"))
-
-    g = g.withColumn("_s", F.aggregate("_log", start, step))
+    # repeats change nothing; without them (t, op) orders a task's events
+    log = events.where(F.col("op").isin("lease", "nack", "extend") & F.col("task_id").isNotNull() & F.col("t").isNotNull())
+    log = stored(log.select("task_id", "t", "op").distinct().withColumn("_o", F.struct("t", "op")), "ledger-log")
+    b = bucket if bucket is not None else data_buckets(log, "t")
+    log = chunked_lag(log, ["task_id"], "_o", "t", b, "_before")
+    marker = F.when(F.col("op") == "lease", True).when(F.col("op") == "nack", False) \
+        .when(F.coalesce(F.col("t") < F.col("_before") + ttl, F.lit(False)), None).otherwise(False)
+    log = carry_forward(stored(log.withColumn("_mark", marker), "ledger-marks"), ["task_id"], "_o", "_mark", b, "_live")
+    last = log.where((F.col("op") == "nack") | F.col("_live")).groupBy("task_id").agg(F.max("_o").alias("_e"))
+    # until: end of the running or last lease; back: when a nacked task may be taken again
+    nack = F.col("_e.op") == "nack"
+    g = g.join(last, "task_id", "left").withColumn("_s", F.struct(
+        F.when(~nack, F.col("_e.t") + ttl).alias("until"), F.when(nack, F.col("_e.t") + delay).alias("back")))
     live = F.coalesce(now < F.col("_s.until"), F.lit(False))
     again = F.coalesce(F.col("_s.until") + delay, F.col("_s.back"))
     state = (F.when(F.col("acked") == 1, "acked").when(live, "leased").when(F.col("attempts") >= max_attempts, "acked")

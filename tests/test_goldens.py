@@ -1,6 +1,7 @@
 """Hand goldens (FIXTURES 8) and small brute-force checks."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -274,6 +275,31 @@ def test_extend_without_a_lease_is_ignored(spark):
     assert got == {"a": "visible", "b": "visible", "c": "leased"}
 
 
+def test_ledger_of_long_tasks_against_a_fold(spark):
+    rng = random.Random(3)
+    ops = ["put", "lease", "nack", "extend", "extend", "extend"]
+    ev = [(f"t{rng.randrange(12)}", rng.choice(ops), float(rng.randrange(150))) for _ in range(900)] + [("u", "lease", 1.0), (None, "put", 1.0)]
+    ev += [(f"v{k}", o, float(t)) for k in range(40) for o, t in [("put", 0), *((rng.choice(ops[1:]), rng.randrange(60)) for _ in range(rng.randrange(12)))]]
+    want, now, ttl, delay = {}, 152.0, 6.0, 30.0
+    for task in {t for t, op, _ in ev if op == "put" and t}:
+        until = back = None
+        for t, op in sorted((t, op) for k, op, t in ev if k == task and op != "put"):
+            if op == "lease" or op == "extend" and until is not None and t < until:
+                until, back = t + ttl, None
+            elif op == "nack":
+                until, back = None, t + delay
+        again = until + delay if until is not None else back
+        want[task] = ("leased" if until is not None and now < until else "delayed" if again is not None and now < again else "visible",
+                      sum(k == task and op == "lease" for k, op, _ in ev))
+    df = spark.createDataFrame(ev, "task_id string, op string, t double").repartition(5)
+    state = WK.ledger_state(df, F.lit(now), ttl, delay, 10_000)
+    assert {r["task_id"]: (r["state"], r["attempts"]) for r in state.collect()} == want
+    assert "collect_list" not in state._jdf.queryExecution().toString()  # no row holds a whole task
+    by_time = WK.ledger_state(df, F.lit(now), ttl, delay, 10_000, F.floor(F.col("t") / 7))
+    assert {r["task_id"]: (r["state"], r["attempts"]) for r in by_time.collect()} == want
+    assert {s for s, _ in want.values()} == {"leased", "delayed", "visible"}
+
+
 def test_every_class_reaches_a_leaf(spark):
     tree = TG.class_tree(spark.range(1000).select(F.col("id").cast("int").alias("class_idx")), max_classes=3)
     assert tree.where("is_leaf").select("class_idx").distinct().count() == 1000
