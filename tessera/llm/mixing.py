@@ -20,8 +20,9 @@ the last gap.
 A document's size is its number of words (null or empty text: 0; such
 documents are never taken).  Rows that repeat doc_id, source and text are
 taken alike.  Null doc_ids and sources are values like others.  An empty table
-gives no rows.  The table of sources, of at most ``MOST_SOURCES`` rows, passes
-through the driver.
+gives no rows.  The table of sources stays in Spark, whatever their number:
+beyond ``GROUPS`` sources, several are laid end to end and drawn from as one,
+and beyond ``FEW_SOURCES`` only those with most rows are broadcast.
 """
 
 from __future__ import annotations
@@ -48,8 +49,11 @@ SHARD_WORDS = 1 << 20
 MOST_BLOCKS = 1 << 28
 #: Ranges of the random order in which a source's running sums are taken.
 RANGES = 1 << 12
-#: Sources, at most: tables of a row a source are broadcast, so no task gets all rows of one.
-MOST_SOURCES = 100_000
+#: Sources whose tables of a row a source are broadcast, so no task gets all rows of one.  Of more
+#: sources, those with over 1 / FEW_SOURCES of the rows are; the others' rows are dealt by source.
+FEW_SOURCES = 100_000
+#: Vectors of the splitting tree are as long, at most.
+GROUPS = 1 << 12
 SEED = 20
 
 
@@ -116,42 +120,80 @@ def permute(block: np.ndarray, size: int, seed: int, source: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def source_table(sizes: DataFrame) -> list[dict]:
-    """By code point, null last: index, source_size, target, and the target as
-    whole rounds of the source and a rest."""
-    rows = sizes.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()
-    targets = target_sizes([r["n"] for r in rows], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))])
-    return [{"source": r["source"], "at": i, "source_size": r["n"], "target": float(t), "whole": int(t // r["n"]) if r["n"] else 0,
-             "rest": float(t % r["n"]) if r["n"] else 0.0} for i, (r, t) in enumerate(zip(rows, targets))]
-
-
-def fill(laid: DataFrame) -> DataFrame:
+def source_table(sizes: DataFrame, most: int = MOST) -> tuple[DataFrame, int, int]:
+    """(source, at, source_size, target, whole, rest, hot), rows, words.  ``at``
+    counts the sources by code point, null last.  ``whole`` and ``rest``: the
+    target as whole rounds of the source and what is left; as ``target_sizes``,
+    from sums a round.  ``hot``: to be broadcast."""
+    by_source = sizes.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows"))
+    x = stored(by_source.orderBy(F.col("source").asc_nulls_last()).withColumn("id", F.monotonically_increasing_id())
+               .withColumn("part", F.shiftright("id", 33)), "mix-sources")
+    parts = x.groupBy("part").agg(F.count(F.lit(1)).alias("m")) \
+        .select("part", F.coalesce(F.sum("m").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    x = x.join(F.broadcast(parts), "part").withColumn("at", F.col("before") + F.col("id").bitwiseAND((1 << 33) - 1))
+    weight = F.array(*map(F.lit, WEIGHTS))[F.pmod("at", F.lit(len(WEIGHTS))).cast("int")]
+    x = stored(x.select("source", "at", "n", "rows", weight.alias("weight")), "mix-sources")
+    all_ = x.agg(F.count(F.lit(1)).alias("sources"), F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.sum("weight").alias("weight")).first()
+    total, unit, full = all_["n"] or 0, Fraction(0), F.lit(False)
+    closed = 0
+    while all_["sources"]:
+        got = x.where(full).agg(F.count(F.lit(1)).alias("sources"), F.sum("n").alias("n"), F.sum("weight").alias("weight")).first()
+        open_ = all_["weight"] - (got["weight"] or 0)
+        if not open_ or closed and got["sources"] == closed:
+            break
+        closed, unit = got["sources"], Fraction(total - most * (got["n"] or 0)) / open_
+        # unit * weight > most * n, in whole numbers; the share a weight grows, so what was full stays so
+        full = F.lit(False)
+        for w in sorted(set(WEIGHTS)):
+            full = full | (F.col("weight") == w) & (F.col("n") < F.lit(-(-unit * w // most)).cast("long"))
+        if not closed and x.where(full).isEmpty():
+            break
+    share = lambda f: F.element_at(F.create_map(*[y for w in sorted(set(WEIGHTS)) for y in (F.lit(w), f(unit * w))]), F.col("weight"))
+    down = share(lambda t: F.lit(int(t // 1)).cast("long"))
+    some = (F.col("n") > 0) & ~full
+    x = x.select("source", "at", F.col("n").alias("source_size"),
+                 F.when(full, (F.col("n") * most).cast("double")).otherwise(share(lambda t: F.lit(float(t)))).alias("target"),
+                 F.when(full & (F.col("n") > 0), most).when(some, F.floor((down - down % F.col("n")) / F.col("n"))).otherwise(0).cast("int").alias("whole"),
+                 F.when(some, down % F.col("n") + share(lambda t: F.lit(float(t % 1)))).otherwise(0.0).alias("rest"),
+                 (F.lit(all_["sources"] <= FEW_SOURCES) | (F.col("rows") * FEW_SOURCES > (all_["rows"] or 0))).alias("hot"))
+    return stored(x, "mix-sources"), all_["sources"], total
+
+
+def by_source(df: DataFrame, table: DataFrame, few: bool) -> DataFrame:
+    """Inner join on ``at``; both have ``hot``, kept once; of ``few`` sources all are."""
+    if few:
+        return df.join(F.broadcast(table.drop("hot")), "at")
+    return df.where("hot").join(F.broadcast(table.where("hot").drop("hot")), "at") \
+        .unionByName(df.where("not hot").join(table.where("not hot").drop("hot"), "at"))
+
+
+def fill(laid: DataFrame, few: bool) -> DataFrame:
     """unit, fill_start: what the last round takes beyond the first unit that
     overruns ``rest``.  Along the order every unit that fits what is left is
     taken, as one pass over the units would; a stored round here goes up to the
     next unit that overruns.  Then the closest unit is added if that brings the
     source nearer to its target."""
     gap = F.col("rest") - F.col("reached")
-    state = laid.groupBy("at", "rest").agg(F.coalesce(F.max(F.when(F.col("end") <= F.col("rest"), F.col("end"))), F.lit(0)).alias("reached"),
+    state = laid.groupBy("at", "rest", "hot").agg(F.coalesce(F.max(F.when(F.col("end") <= F.col("rest"), F.col("end"))), F.lit(0)).alias("reached"),
                                            F.first("rest").alias("passed"))
     state, left, filled = stored(state, "mix-state"), laid, []
     while True:
         # what was passed over overran a larger gap, so it stays out
-        left = stored(left.join(F.broadcast(state.drop("rest")), "at").where((F.col("end") > F.col("passed")) & (F.col("words") <= gap))
+        left = stored(by_source(left, state.drop("rest"), few).where((F.col("end") > F.col("passed")) & (F.col("words") <= gap))
                       .drop("reached", "passed"), "mix-left")
         if left.isEmpty():
             break
-        ranges = left.groupBy("at", "range").agg(F.sum("words").alias("n")) \
-            .select("at", "range", F.coalesce(F.sum("n").over(W.partitionBy("at").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before")) \
-            .join(F.broadcast(state), "at").where(F.col("before") < gap).select("at", "range", "before", "reached")
+        ranges = left.groupBy("at", "range", "hot").agg(F.sum("words").alias("n")) \
+            .select("at", "range", "hot", F.coalesce(F.sum("n").over(W.partitionBy("at").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+        ranges = by_source(ranges, state, few).where(F.col("before") < gap).select("at", "range", "before", "reached")
         upto = F.col("before") + F.sum("words").over(W.partitionBy("at", "range").orderBy("end").rowsBetween(W.unboundedPreceding, 0))
         took = stored(left.join(ranges, ["at", "range"]).withColumn("upto", upto).where(F.col("upto") <= gap)
                       .select("at", "unit", "words", "end", (F.col("reached") + F.col("upto") - F.col("words")).alias("fill_start")), "mix-took")
         filled.append(took.select("unit", "fill_start"))
-        by_source = took.groupBy("at").agg(F.sum("words").alias("n"), F.max("end").alias("last"))
-        state = stored(state.join(by_source, "at", "left").select(
-            "at", "rest", (F.col("reached") + F.coalesce("n", F.lit(0))).alias("reached"), F.coalesce(F.col("last").cast("double"), F.col("passed")).alias("passed")), "mix-state")
-    rest = laid.join(F.broadcast(state.drop("rest")), "at").where((F.col("end") > F.col("rest")) & (F.col("words") < 2 * gap))
+        sums = took.groupBy("at").agg(F.sum("words").alias("n"), F.max("end").alias("last"))
+        state = stored(state.join(sums, "at", "left").select(
+            "at", "rest", "hot", (F.col("reached") + F.coalesce("n", F.lit(0))).alias("reached"), F.coalesce(F.col("last").cast("double"), F.col("passed")).alias("passed")), "mix-state")
+    rest = by_source(laid, state.drop("rest"), few).where((F.col("end") > F.col("rest")) & (F.col("words") < 2 * gap))
     for took in filled:
         rest = rest.join(took.select("unit"), "unit", "left_anti")
     closest = rest.groupBy("at").agg(F.min(F.struct(F.abs(F.col("words") - gap).alias("off"), "order", "doc_id", "text_hash", "unit", "reached")).alias("best")) \
@@ -172,18 +214,16 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.xxhash64(text_of(text_col)).alias("text_hash"),
         F.regexp_count(text_of(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")), "mix-rows")
-    table = source_table(rows)
-    if len(table) > MOST_SOURCES:
-        raise ValueError(f"{len(table)} sources; a mix has at most {MOST_SOURCES}")
-    schema = "source string, at int, source_size long, target double, whole int, rest double"
-    sources = spark.createDataFrame([tuple(r.values()) for r in table], schema) if table else spark.createDataFrame([], schema)
-    total = sum(r["source_size"] for r in table)
+    sources, n_sources, total = source_table(rows)
     width = max(block_words, -(-total // MOST_BLOCKS), 1)
     shards = max(1, -(-total // shard_words))
 
     known = sources.withColumnRenamed("source", "name")
+    named = same(F.col("source"), F.col("name"))
+    hot = F.broadcast(known.where("hot"))
     units = rows.groupBy("doc_id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("times")) \
-        .join(F.broadcast(known), same(F.col("source"), F.col("name"))).drop("name") \
+        .transform(lambda u: u.join(hot, named) if n_sources <= FEW_SOURCES else
+                   u.join(hot, named).unionByName(u.join(hot, named, "left_anti").join(known.where("not hot"), named))).drop("name") \
         .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text_hash")) \
         .withColumn("range", F.shiftrightunsigned("order", 64 - (RANGES.bit_length() - 1))) \
         .withColumn("unit", F.monotonically_increasing_id())
@@ -198,21 +238,28 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
     laid = units.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0))) \
         .join(ranges, ["at", "range"]).withColumn("start", F.col("range_start") + F.col("inside")).where("size > 0")
     laid = stored(laid.withColumn("end", F.col("start") + words), "mix-laid")
-    filled = fill(laid.select("at", "range", "order", "doc_id", "text_hash", "unit", "end", "rest", words.alias("words")))
+    filled = fill(laid.select("at", "hot", "range", "order", "doc_id", "text_hash", "unit", "end", "rest", words.alias("words")), n_sources <= FEW_SOURCES)
     more = ((F.col("end") <= F.col("rest")) | F.col("fill_start").isNotNull()).cast("int")
     # the last round's documents beyond the first that overran lie where they fill the line
     begin = F.when(F.col("copy") == F.col("whole"), F.coalesce("fill_start", "start")).otherwise(F.col("start"))
     copies = laid.join(filled, "unit", "left").withColumn("times_taken", F.col("whole") + more).where("times_taken > 0") \
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("times_taken") - 1))) \
-        .withColumn("block", F.floor((F.col("copy") * F.col("source_size") + begin) / width))
-    copies = stored(copies.select("unit", "doc_id", "source", "text_hash", "size", "at", "copy", "block"), "mix-copies")
-    last = {r["at"]: r["n"] for r in copies.groupBy("at").agg((F.max("block") + 1).alias("n")).collect()}
-    quota = tuple(int(last.get(r["at"], 0)) for r in table)
+        .withColumn("place", F.col("copy") * F.col("source_size") + begin)
+    copies = stored(copies.select("unit", "doc_id", "source", "text_hash", "size", "at", "hot", "copy", "place"), "mix-copies")
+    # the draws are from groups of sources laid end to end, mostly of one
+    copies = copies.withColumn("group", F.pmod("at", F.lit(GROUPS)).cast("int"))
+    if n_sources > GROUPS:
+        first = copies.groupBy("group", "at", "hot").agg((F.max("place") + 1).alias("span")) \
+            .select("at", "hot", (F.sum("span").over(W.partitionBy("group").orderBy("at")) - F.col("span")).alias("first"))
+        copies = by_source(copies, stored(first, "mix-first"), n_sources <= FEW_SOURCES).withColumn("place", F.col("first") + F.col("place")).drop("first")
+    copies = copies.withColumn("block", F.floor(F.col("place") / width)).drop("place", "hot", "at")
+    last = {r["group"]: r["n"] for r in copies.groupBy("group").agg((F.max("block") + 1).alias("n")).collect()}
+    quota = tuple(int(last.get(k, 0)) for k in range(min(n_sources, GROUPS)))
     shards = min(shards, max(1, sum(quota)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, block = b.column("at").to_numpy(), b.column("block").to_numpy()
+            at, block = b.column("group").to_numpy(), b.column("block").to_numpy()
             out = np.zeros(len(block), np.int64)
             for s in np.unique(at):
                 out[at == s] = permute(block[at == s], quota[s], seed, int(s))
@@ -224,13 +271,13 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
             got = [(shard, s, o, o + n) for shard in b.column(0).to_pylist() for s, (o, n) in enumerate(share(shard)) if n]
             cols = list(zip(*got)) if got else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
-                                             names=["shard", "at", "low", "high"])
+                                             names=["shard", "group", "low", "high"])
 
     placed = copies.mapInArrow(place, T.StructType([*copies.schema, T.StructField("drawn", T.LongType())]))
-    drawn = spark.range(shards).mapInArrow(shares, "shard long, at int, low long, high long") \
-        .select("shard", "at", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("drawn"))
+    drawn = spark.range(shards).mapInArrow(shares, "shard long, group int, low long, high long") \
+        .select("shard", "group", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("drawn"))
     local = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "doc_id", "text_hash", "copy"), "doc_id", "text_hash", "copy")
-    mixed = placed.join(drawn, ["at", "drawn"]).withColumn("position", F.row_number().over(local) - 1) \
+    mixed = placed.join(drawn, ["group", "drawn"]).withColumn("position", F.row_number().over(local) - 1) \
         .select("shard", "position", "unit", "doc_id", "source", "text_hash", "size")
     by_unit = units.select("unit", F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("text_hash").alias("h"), "source_size", "target")
     told = rows.join(by_unit, same(F.col("doc_id"), F.col("i")) & same(F.col("source"), F.col("s")) & (F.col("text_hash") == F.col("h"))) \

@@ -260,6 +260,13 @@ def test_last_round_passes_over_long_documents(spark, tmp_path):
         assert abs(sum(want.values()) - target) <= 15 / 2 or all(r[0] not in {i for _, i in untaken} or got[r[0]]["size"] >= 300 for r in mine)
 
 
+def test_mixing_of_more_sources_than_are_broadcast(spark, monkeypatch):
+    plain = rows(mixing.op5_mixing(spark, SF01), "doc_id", "size", "source_size", "target", "taken")
+    for name, n in (("MOST_SOURCES", 15), ("FEW_SOURCES", 15), ("GROUPS", 4)):
+        monkeypatch.setattr(mixing, name, n, raising=False)
+    assert rows(mixing.op5_mixing(spark, SF01), "doc_id", "size", "source_size", "target", "taken") == plain
+
+
 # ---- lines
 
 @pytest.mark.parametrize("block", [1 << 15, 4], ids=["whole lists", "blocks"])
