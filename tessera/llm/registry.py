@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ["token_counts", "near_dedup", "exact_dedup", "toxicity", "mixing", "decontaminate", "pii", "token_files", "quality", "line_dedup"]
+MODULES = ["token_counts", "near_dedup", "exact_dedup", "toxicity", "mixing", "decontaminate", "pii", "token_files", "quality", "line_dedup",
+           "repair", "chat", "spelling"]
 
 
 def register(key: str, sql: str | None = None):
