@@ -29,6 +29,7 @@ are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
@@ -123,6 +124,12 @@ class Format:
         return len(self.decode(ids[~marks].tolist())) + sum(len(self.controls[i]) for i in ids[marks].tolist())
 
 
+@functools.lru_cache(maxsize=1)
+def format_of(spec: str) -> Format:
+    """One for a Python worker, whatever the number of its tasks."""
+    return Format(spec)
+
+
 # ----------------------------------------------------------------------- writing
 _FRAME = "conv_id long, part int, frame int, spread boolean, n_turns int, n_tokens int, ids binary, loss_spans array<int>"
 
@@ -167,7 +174,7 @@ def format_frames(conversations: DataFrame, tokenizer_path: str, path: str) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        form, part, out = Format(spec.value), TaskContext.get().partitionId(), arrow_schema(struct)
+        form, part, out = format_of(spec.value), TaskContext.get().partitionId(), arrow_schema(struct)
         frame = None
 
         def batch(done: list[_Frame]) -> pa.RecordBatch:
@@ -213,7 +220,7 @@ def read_frames(frames: DataFrame, tokenizer_path: str) -> DataFrame:
     columns = ["conv_id", "ids", "loss_spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form, out = Format(spec.value), arrow_schema(struct)
+        form, out = format_of(spec.value), arrow_schema(struct)
         one, conv = None, None
 
         def batch(done) -> pa.RecordBatch:
