@@ -103,26 +103,23 @@ class Format:
         a, b, c = (self.ids[x] for x in OTHER)
         return [([a], False), (of_role, False), ([b], False), (of_text, False), ([c], False)]
 
-    def turns(self, ids: np.ndarray) -> Iterator[tuple[str, str]]:
-        """(role, text) of each turn of a frame, by its reserved ids alone."""
+    def turns(self, ids: np.ndarray) -> Iterator[tuple[str, str, int]]:
+        """(role, text, code points as formatted) of each turn of a frame, by its reserved ids alone."""
         marks = np.flatnonzero(ids >= self.first).tolist()
         at, ids = 0, ids.tolist()
         closers = {self.ids[opens]: (role, self.ids[closes]) for role, (opens, closes) in ROLES.items()}
         while at < len(marks):
             opened = ids[marks[at]]
             n = 1 if opened in closers else 2
-            parts = [self.escapes.unescape(self.decode(ids[marks[at + k] + 1:marks[at + k + 1]])) for k in range(n)]
+            parts = [self.decode(ids[marks[at + k] + 1:marks[at + k + 1]]) for k in range(n)]
+            chars = sum(map(len, parts)) + sum(len(self.controls[ids[m]]) for m in marks[at:at + n + 1])
+            parts = [self.escapes.unescape(p) for p in parts]
             wanted = [closers[opened][1]] if n == 1 else [self.ids[OTHER[1]], self.ids[OTHER[2]]]
             if [ids[marks[at + k + 1]] for k in range(n)] != wanted or (n == 2 and opened != self.ids[OTHER[0]]):
                 raise ValueError("a turn does not end as it begins")
-            yield (closers[opened][0], parts[0]) if n == 1 else tuple(parts)
+            yield (closers[opened][0], parts[0], chars) if n == 1 else (*parts, chars)
             at += n + 1
 
-    def chars(self, ids: np.ndarray) -> int:
-        """Code points of the formatted text, control strings as written."""
-        marks = ids >= self.first
-        return len(self.decode(ids[~marks].tolist())) + sum(len(self.controls[i]) for i in ids[marks].tolist())
-
 
 @functools.lru_cache(maxsize=1)
 def format_of(spec: str) -> Format:
@@ -235,15 +232,15 @@ def read_frames(frames: DataFrame, tokenizer_path: str) -> DataFrame:
                         done.append((conv, one))
                     conv, one = i, {"turns": 0, "chars": 0, "formatted": 0, "ids": 0, "under": 0, "all": hashlib.sha256(), "loss": hashlib.sha256()}
                 ids = np.frombuffer(raw, form.type)
-                for role, text in form.turns(ids):
+                for role, text, chars in form.turns(ids):
                     one["turns"] += 1
+                    one["formatted"] += chars
                     one["all"].update(f"{role}\n{text}\n".encode())
                 for begin, end in zip(spans[::2], spans[1::2]):
                     text = form.escapes.unescape(form.decode(ids[begin:end].tolist()))
                     one["chars"] += len(text)
                     one["under"] += end - begin
                     one["loss"].update(text.encode())
-                one["formatted"] += form.chars(ids)
                 one["ids"] += len(ids)
             if done:
                 yield batch(done)

@@ -245,4 +245,4 @@ def test_frames_hold_reserved_ids_and_the_mask(spark, tmp_path):
     assert [form.controls[i] for i in ids.tolist() if i >= form.first] == ["[INST]", "[/INST]", "<s>", "</s>", "<|role|>", "<|text|>", "<|end|>"]
     begin, end = frame["loss_spans"]
     assert form.decode(ids[begin:end].tolist()) == "yes <\\s>" and ids[begin - 1] == form.ids["<s>"] and ids[end] == form.ids["</s>"]
-    assert form.chars(ids) == len("[INST]a <\\/s> b[/INST]<s>yes <\\s></s><|role|>tool<|text|>t<|end|>")
+    assert sum(chars for _, _, chars in form.turns(ids)) == len("[INST]a <\\/s> b[/INST]<s>yes <\\s></s><|role|>tool<|text|>t<|end|>")
