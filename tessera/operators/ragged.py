@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.columns import dataset_constant_filter
 from tessera.operators.ordering import exact_rank, running_sum
 
 
@@ -88,3 +89,10 @@ def pad_sequences(df: DataFrame, dataset: str, pos: str, value: str, length: int
     grid = df.select(dataset).distinct().select(dataset, F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias(pos))
     j = grid.join(df.select(dataset, pos, value), [dataset, pos], "left")
     return j.select(dataset, pos, F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias(value))
+
+
+def dataset_accept(df: DataFrame, repaired: DataFrame, dataset: list[str], x: str, d: str) -> DataFrame:
+    """(dataset, attempt, accepted): a dataset is kept if one of its first ``d``
+    features varies and ``repaired`` (``ordering.split_repair``) found a split."""
+    informative = dataset_constant_filter(df, dataset, x, d).groupBy(*dataset).agg(F.max(d).alias("_informative"))
+    return informative.join(repaired, dataset).select(*dataset, "attempt", ((F.col("_informative") >= 1) & F.col("accepted")).alias("accepted"))

@@ -8,12 +8,14 @@ implies.  Both are grouped aggregates and ranked windows here.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import map_last_wins
 from tessera.functions.hashing import uniform
-from tessera.operators.ordering import carry_forward, chunked_lag, data_buckets, exact_rank, running_sum
+from tessera.operators.ordering import ROWS_PER_BUCKET, carry_forward, chunked_lag, data_buckets, exact_rank, in_ranges, running_sum
 from tessera.session import stored
 
 LEDGER_OPS = ("put", "lease", "ack", "nack", "extend")
@@ -63,18 +65,57 @@ def chunk_fixed(df: DataFrame, job: list[str], order: list[str], k: int, bucket:
         "task_id", F.concat_ws("#", *[F.col(j).cast("string") for j in job], F.col("chunk").cast("string"))).drop("_rn")
 
 
-def chunk_by_weight_bands(df: DataFrame, job: list[str], order: list[str], weight: str, limit: float,
-                          bucket: Column | None = None) -> DataFrame:
-    """Prefix-sum bands: chunk = floor(weight before this item / limit).  No
-    chunk holds more than ``limit`` plus one item.  A single item above the
-    limit is an error.  The prefix sum runs per ``bucket`` chunk of the
-    order plus chunk offsets (skew-safe)."""
-    b = bucket if bucket is not None else data_buckets(df, order[0])
-    x = running_sum(df, job, order, F.col(weight).cast("double"), b, "_incl")
-    x = x.withColumn("_before", F.col("_incl") - F.col(weight).cast("double")).drop("_incl")
-    x = x.withColumn("chunk", F.when(F.col(weight) > limit, F.raise_error(F.lit("item heavier than the chunk limit")))
-                     .otherwise(F.floor(F.col("_before") / limit)).cast("bigint"))
-    return x.drop("_before")
+WEIGHT = "decimal(28,9)"
+
+
+def _next_starts(at: DataFrame, job: list[str], limit) -> DataFrame:
+    """(job, start, next): of each (job, before, start) the first start whose
+    ``before`` is at least ``limit`` more; null if there is none.  Starts and
+    wanted sums lie in one order, cut into ranges of the sums."""
+    n, top = at.agg(F.count(F.lit(1)), F.max("before")).first()
+    ranges = max(1, -(-2 * n // ROWS_PER_BUCKET))
+    width = float(top or 0) / ranges or 1.0
+    rows = at.select(*job, F.col("before").alias("_v"), F.lit(1).alias("_kind"), F.col("start").alias("_found"), F.lit(None).cast("bigint").alias("start")) \
+        .unionByName(at.select(*job, (F.col("before") + F.lit(limit).cast(WEIGHT)).alias("_v"), F.lit(0).alias("_kind"),
+                               F.lit(None).cast("bigint").alias("_found"), "start"))
+    # downwards: the last start met has the least sum that is not below the wanted one
+    rows = rows.withColumn("_o", F.struct((-F.col("_v")).alias("v"), (-F.col("_kind")).alias("k")))
+    found = carry_forward(rows, job, "_o", "_found", F.floor(-F.col("_v").cast("double") / width), "next")
+    return found.where(F.col("_kind") == 0).select(*job, "start", "next")
+
+
+def chunk_by_weight(df: DataFrame, job: list[str], order: list[str], weight: str, limit: float,
+                    bucket: Column | None = None) -> DataFrame:
+    """Per job and in ``order``, a chunk closes with the item that brings its
+    weight to ``limit``; that item stays in it.  A single item above the limit
+    is an error.
+
+    Where the chunk after one that starts at an item would start follows from
+    prefix sums alone, for every item at once.  Pointer doubling then finds the
+    starts that a job really has: after round k the first 2**k are known, and
+    pointers lead 2**k chunks on, so the number of rounds is the logarithm of the
+    largest number of chunks, and a job of any size is worked on by all tasks.
+    Weights are added as decimals (nine places), so sums are exact."""
+    w = F.when(F.col(weight) > limit, F.raise_error(F.lit("item heavier than the chunk limit"))).otherwise(F.col(weight)).cast(WEIGHT)
+    x = df.withColumn("_w", w)
+    x = in_ranges(x, job, order, "_range") if bucket is None else x.withColumn("_range", bucket)
+    x = exact_rank(x, job, order[0], order[1:], out="_rn", bucket=F.col("_range")).drop("_range")
+    x = running_sum(x, job, ["_rn"], F.col("_w"), F.floor(F.col("_rn") / ROWS_PER_BUCKET), "_incl")
+    x = stored(x.withColumn("_before", (F.col("_incl") - F.col("_w")).cast("decimal(30,9)")).drop("_incl", "_w"), "weights")
+    # items of no weight share their sum; only the first of them can start a chunk
+    at = x.groupBy(*job, F.col("_before").alias("before")).agg(F.min("_rn").alias("start"))
+    jump = stored(_next_starts(at, job, limit).where("next is not null"), "jump")
+    starts = [at.where("start = 1").select(*job, "start")]
+    while not jump.isEmpty():
+        known = functools.reduce(DataFrame.unionByName, starts)
+        more = stored(known.join(jump, [*job, "start"]).select(*job, F.col("next").alias("start")), "starts")
+        starts.append(more)
+        on = jump.select(*job, F.col("start").alias("next"), F.col("next").alias("_after"))
+        jump = stored(jump.join(on, [*job, "next"]).select(*job, "start", F.col("_after").alias("next")), "jump")
+    known = functools.reduce(DataFrame.unionByName, starts).select(*job, F.col("start").alias("_rn"), F.lit(1).alias("_starts"))
+    x = x.join(known, [*job, "_rn"], "left")
+    x = running_sum(x, job, ["_rn"], F.coalesce("_starts", F.lit(0)).cast("bigint"), F.floor(F.col("_rn") / ROWS_PER_BUCKET), "_chunk")
+    return x.withColumn("chunk", F.col("_chunk") - 1).drop("_chunk", "_starts", "_rn", "_before")
 
 
 def chunk_hash(key: Column, n: int) -> Column:

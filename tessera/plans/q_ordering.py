@@ -85,7 +85,7 @@ def _validity(spark, sf_dir):
 _REPAIR_KEY = ["l_linenumber", "l_partkey", "l_suppkey", "CAST(round(l_extendedprice * 100) AS BIGINT)"]
 
 
-@register("split_repair", f"""
+REPAIR_SQL = f"""
 WITH a AS (
   SELECT l_orderkey, l_returnflag, 0 AS attempt, l_linenumber - 1 AS p FROM lineitem
   UNION ALL
@@ -102,13 +102,21 @@ v AS (SELECT l_orderkey, attempt,
    FROM a GROUP BY 1, 2),
 best AS (SELECT l_orderkey, CAST(min(attempt) AS INTEGER) AS attempt FROM v WHERE valid GROUP BY 1)
 SELECT d.l_orderkey, coalesce(best.attempt, -1) AS attempt, best.attempt IS NOT NULL AS accepted
-FROM (SELECT DISTINCT l_orderkey FROM lineitem) d LEFT JOIN best USING (l_orderkey)""")
-def _repair(spark, sf_dir):
+FROM (SELECT DISTINCT l_orderkey FROM lineitem) d LEFT JOIN best USING (l_orderkey)"""
+
+
+def repaired_orders(spark, sf_dir):
+    """Orders as datasets: the first split of two training lines that is valid."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_returnflag", (F.col("l_linenumber") - 1).alias("pos"),
         F.col("l_linenumber").alias("k0"), F.col("l_partkey").alias("k1"), F.col("l_suppkey").alias("k2"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("k3"))
-    r = O.split_repair(li, ["l_orderkey"], "l_returnflag", "pos", 2, ["k0", "k1", "k2", "k3"], 10, 0)
+    return O.split_repair(li, ["l_orderkey"], "l_returnflag", "pos", 2, ["k0", "k1", "k2", "k3"], 10, 0)
+
+
+@register("split_repair", REPAIR_SQL)
+def _repair(spark, sf_dir):
+    r = repaired_orders(spark, sf_dir)
     return r.select("l_orderkey", F.coalesce(F.col("attempt").cast("int"), F.lit(-1)).alias("attempt"), "accepted")
 
 

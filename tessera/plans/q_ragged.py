@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import columns as C
-from tessera.operators import ordering as O
 from tessera.operators import ragged as RG
+from tessera.plans.q_ordering import REPAIR_SQL, repaired_orders
 from tessera.plans.registry import register
 from tessera.session import table
 
@@ -137,21 +137,13 @@ def _pad(spark, sf_dir):
         "conv_id", F.col("turn").cast("bigint").alias("turn"), "n_chars")
 
 
-@register("dataset_accept", """
-WITH li AS (SELECT l_orderkey, l_returnflag, l_linenumber, [l_quantity, l_discount, l_tax] AS x FROM lineitem),
-lng AS (SELECT l_orderkey, f, x[f + 1] AS v FROM li, range(3) r(f)),
+@register("dataset_accept", f"""
+WITH lng AS (SELECT l_orderkey, f, [l_quantity, l_discount, l_tax][f + 1] AS v FROM lineitem, range(3) r(f)),
 inf AS (SELECT l_orderkey, count(*) FILTER (WHERE mn < mx) AS n_inf FROM
-          (SELECT l_orderkey, f, min(v) mn, max(v) mx FROM lng GROUP BY 1, 2) t GROUP BY 1),
-v AS (SELECT l_orderkey,
-        (sum(CASE WHEN l_linenumber - 1 < 2 THEN 1 ELSE 0 END) > 0 AND sum(CASE WHEN l_linenumber - 1 < 2 THEN 1 ELSE 0 END) < count(*)
-         AND coalesce(list_sort(list_distinct(list(l_returnflag) FILTER (WHERE l_linenumber - 1 < 2))), []) =
-             coalesce(list_sort(list_distinct(list(l_returnflag) FILTER (WHERE l_linenumber - 1 >= 2))), [])
-         AND len(coalesce(list_distinct(list(l_returnflag) FILTER (WHERE l_linenumber - 1 < 2)), [])) >= 2) AS valid
-      FROM li GROUP BY 1)
-SELECT l_orderkey, n_inf >= 1 AND valid AS accepted FROM inf JOIN v USING (l_orderkey)""")
+          (SELECT l_orderkey, f, min(v) mn, max(v) mx FROM lng GROUP BY 1, 2) t GROUP BY 1)
+SELECT l_orderkey, attempt, n_inf >= 1 AND accepted AS accepted FROM inf JOIN ({REPAIR_SQL}) r USING (l_orderkey)""")
 def _accept(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     x = li.select("l_orderkey", "l_linenumber", F.array("l_quantity", "l_discount", "l_tax").alias("x"), F.lit(3).alias("d"))
-    kept = C.dataset_constant_filter(x, ["l_orderkey"], "x", "d").groupBy("l_orderkey").agg(F.max("d").alias("n_inf"))
-    valid = O.split_validity(li.withColumn("tr", F.col("l_linenumber") - 1 < 2), ["l_orderkey"], "l_returnflag", "tr", 2)
-    return kept.join(valid, "l_orderkey").select("l_orderkey", ((F.col("n_inf") >= 1) & F.col("valid")).alias("accepted"))
+    accepted = RG.dataset_accept(x, repaired_orders(spark, sf_dir), ["l_orderkey"], "x", "d")
+    return accepted.select("l_orderkey", F.coalesce(F.col("attempt").cast("int"), F.lit(-1)).alias("attempt"), "accepted")

@@ -53,11 +53,15 @@ def _chunk_fixed(spark, sf_dir):
 
 
 @register("chunk_by_weight", """
-SELECT p_partkey, CAST(floor(coalesce(sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey
-       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100.0) AS BIGINT) AS chunk FROM part""")
+WITH RECURSIVE x AS (SELECT p_partkey, p_brand, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part),
+w AS (SELECT p_partkey, p_brand, r, p_size AS held, 0 AS chunk FROM x WHERE r = 1
+      UNION ALL
+      SELECT x.p_partkey, x.p_brand, x.r, CASE WHEN w.held >= 100 THEN x.p_size ELSE w.held + x.p_size END,
+             w.chunk + CASE WHEN w.held >= 100 THEN 1 ELSE 0 END
+      FROM w JOIN x ON x.p_brand = w.p_brand AND x.r = w.r + 1)
+SELECT p_partkey, CAST(chunk AS BIGINT) AS chunk FROM w""")
 def _chunk_weight(spark, sf_dir):
-    c = WK.chunk_by_weight_bands(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], "weight", 100.0,
-                                 F.floor(F.col("p_partkey") / 1024))
+    c = WK.chunk_by_weight(_items(spark, sf_dir), ["p_brand"], ["p_partkey"], "weight", 100.0, F.floor(F.col("p_partkey") / 1024))
     return c.select("p_partkey", "chunk")
 
 

@@ -49,11 +49,29 @@ def test_binarize_median(spark):
     assert got == [0, 0, 1, 1]
 
 
-def test_chunk_by_weight_bands_bounded(spark):
-    df = spark.createDataFrame([("j", i, float(w)) for i, w in enumerate([1, 2, 3, 4, 2, 2])], "job string, pos int, w double")
-    out = WK.chunk_by_weight_bands(df, ["job"], ["pos"], "w", 5.0).groupBy("chunk").agg(F.sum("w"), F.max("w")).collect()
-    for r in out:
-        assert r[1] <= 5.0 + r[2]
+def _closed_at(weights, limit):
+    """Chunk numbers by a plain loop: a chunk closes with the item that reaches the limit."""
+    out, chunk, held = [], 0, 0
+    for w in weights:
+        if held >= limit:
+            chunk, held = chunk + 1, 0
+        out.append(chunk)
+        held += w
+    return out
+
+
+def test_chunk_by_weight_equals_a_loop(spark, monkeypatch):
+    """One job holds most items; weights of nothing, ties and fractions; several ranges."""
+    rng = random.Random(2)
+    jobs = {"a": [rng.choice([0.0, 0.1, 0.2, 1.0, 2.5]) for _ in range(3000)], "b": [0.0, 0.0, 5.0, 5.0, 0.0], "c": [5.0], "d": [0.0], "e": [1.0] * 300}
+    monkeypatch.setattr(WK, "ROWS_PER_BUCKET", 256)
+    rows = [(j, i, w) for j, ws in jobs.items() for i, w in enumerate(ws)]
+    df = spark.createDataFrame(rows, "job string, pos long, w double")
+    got = {(r["job"], r["pos"]): r["chunk"] for r in WK.chunk_by_weight(df, ["job"], ["pos"], "w", 5.0).collect()}
+    want = {(j, i): c for j, ws in jobs.items() for i, c in enumerate(_closed_at([round(w * 10) for w in ws], 50))}
+    assert got == want
+    with pytest.raises(Exception, match="heavier than"):
+        WK.chunk_by_weight(df, ["job"], ["pos"], "w", 2.0)
 
 
 def test_unshift(spark):
@@ -222,6 +240,8 @@ def _fails(df, match):
 
 def test_guards_fire(spark):
     _fails(O.sample_k(spark.range(3).toDF("x"), 10, 1, ["x"]), "fewer than 10 rows")
+    _fails(O.sample_k(spark.range(0).toDF("x"), 10, 1, ["x"]), "fewer than 10 rows")
+    assert O.sample_k(spark.range(30).toDF("x"), 10, 1, ["x"]).count() == 10
     df = spark.createDataFrame([(1, 0, [1.0, 2.0], 5)], "ds int, pos int, x array<double>, d int")
     _fails(RG.ragged_pack(df, ["ds"], "pos", "x", "d", F.lit(0)), "row length exceeds")
     wide = spark.range(1).toDF("a").withColumn("b", F.lit(1))

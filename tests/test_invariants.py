@@ -73,13 +73,13 @@ def test_exact_quantiles_match_percentile(spark):
     df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("g"),
                                   (F.col("id") % 97).cast("double").alias("v"))
     probs = [0.0, 0.2, 0.25, 0.5, 0.9, 1.0]
-    got = {r["g"]: r["q"] for r in O.exact_quantiles(df, "v", probs, ["g"], sketch=16).collect()}
+    got = {r["g"]: r["q"] for r in O.exact_quantiles(df, "v", probs, ["g"]).collect()}
     want = {r["g"]: r["q"] for r in df.groupBy("g").agg(
         F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
     assert got.keys() == want.keys()
     for k in got:
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], want[k]))
-    low = {r["g"]: r["q"][0] for r in O.exact_quantiles(df, "v", [0.5], ["g"], method="lower", sketch=16).collect()}
+    low = {r["g"]: r["q"][0] for r in O.exact_quantiles(df, "v", [0.5], ["g"], method="lower").collect()}
     disc = {r["g"]: r["m"] for r in df.groupBy("g").agg(
         F.expr("percentile_disc(0.5) within group (order by v)").alias("m")).collect()}
     assert low == disc
