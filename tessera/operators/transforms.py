@@ -301,56 +301,64 @@ class YeoJohnson:
     """Per-column lambda by maximum likelihood, then standardise (population
     std, zero std -> 1).
 
-    One pass over the rows gives the likelihood of ``YJ_POINTS`` lambdas of
-    every column.  While the best is at an end of its interval the next one reaches
+    The rows are read once, into the counts of each column's distinct values;
+    one pass over those gives the likelihood of ``YJ_POINTS`` lambdas of every
+    column.  While the best is at an end of its interval the next one reaches
     twice as far beyond it; else it is the two steps around the best."""
     cols: list[str]
     lam: dict = field(default_factory=dict)
     mean: dict = field(default_factory=dict)
     scale: dict = field(default_factory=dict)
 
-    def _likelihoods(self, df: DataFrame, grids: dict[str, list[float]], centre: dict[str, float]) -> dict[str, list[float]]:
-        """One pass: each task sums its rows' transformed values, less that of
-        the mean (so that the variance doesn't cancel), for every lambda."""
-        cols, lams = list(grids), [np.array(g) for g in grids.values()]
-        shift = [_yeo_johnson_np(np.array([[centre[c] or 0.0]]), lam)[0] for c, lam in zip(cols, lams)]
+    def _counts(self, df: DataFrame) -> DataFrame:
+        """(i, v, c): column number, value, rows."""
+        pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(self.cols)])
+        long = df.select(F.inline(pairs)).where(F.col("v").isNotNull() & ~F.isnan("v"))
+        return stored(long.groupBy("i", "v").agg(F.count(F.lit(1)).cast("double").alias("c")), "value-counts")
+
+    def _likelihoods(self, counts: DataFrame, grids: dict[str, list[float]], centre: dict[str, float]) -> dict[str, list[float]]:
+        """One pass: each task sums its values' transforms, less that of the
+        mean (so that the variance doesn't cancel), for every lambda."""
+        at = {self.cols.index(c): np.array(g) for c, g in grids.items()}
+        shift = {i: _yeo_johnson_np(np.array([[centre[self.cols[i]] or 0.0]]), lam)[0] for i, lam in at.items()}
         schema = pa.schema([("i", pa.int32()), ("k", pa.int32()), *((c, pa.float64()) for c in ("n", "s", "y", "yy"))])
 
         def sums(batches):
-            total = np.zeros((len(cols), YJ_POINTS, 4))
+            total = {i: np.zeros((YJ_POINTS, 4)) for i in at}
             for b in batches:
-                for i, lam in enumerate(lams):
-                    x = b.column(i).drop_null().to_numpy(zero_copy_only=False)
-                    x = x[~np.isnan(x)]
-                    for at in range(0, len(x), 8192):
-                        v = x[at:at + 8192, None]
+                of, values, times = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+                for i, lam in at.items():
+                    x, n = values[of == i], times[of == i]
+                    for k in range(0, len(x), 8192):
+                        v, c = x[k:k + 8192, None], n[k:k + 8192, None]
                         with np.errstate(all="ignore"):
                             y = _yeo_johnson_np(v, lam) - shift[i]
-                            total[i, :, 0] += len(v)
-                            total[i, :, 1] += (np.sign(v) * np.log1p(np.abs(v))).sum()
-                            total[i, :, 2] += y.sum(axis=0)
-                            total[i, :, 3] += (y * y).sum(axis=0)
-            at = np.indices((len(cols), YJ_POINTS)).reshape(2, -1)
-            flat = total.reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()),
-                                              *(pa.array(flat[:, j]) for j in range(4))], schema=schema)
-
-        parts = df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(sums, "i int, k int, n double, s double, y double, yy double")
-        out = {c: [float("-inf")] * YJ_POINTS for c in cols}
+                            total[i][:, 0] += c.sum()
+                            total[i][:, 1] += (c * np.sign(v) * np.log1p(np.abs(v))).sum()
+                            total[i][:, 2] += (c * y).sum(axis=0)
+                            total[i][:, 3] += (c * y * y).sum(axis=0)
+            rows = [(i, k, *t.tolist()) for i, points in total.items() for k, t in enumerate(points)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+        parts = counts.where(F.col("i").isin(list(at))).mapInArrow(sums, "i int, k int, n double, s double, y double, yy double")
+        out = {c: [float("-inf")] * YJ_POINTS for c in grids}
         for r in parts.groupBy("i", "k").agg(*[F.sum(c).alias(c) for c in ("n", "s", "y", "yy")]).collect():
             if r["n"]:
                 var = r["yy"] / r["n"] - (r["y"] / r["n"]) ** 2
                 if math.isfinite(var) and var > 0:
-                    c = cols[r["i"]]
+                    c = self.cols[r["i"]]
                     out[c][r["k"]] = -0.5 * r["n"] * math.log(var) + (grids[c][r["k"]] - 1.0) * r["s"]
         return out
 
     def fit(self, df: DataFrame) -> "YeoJohnson":
         interval = {c: YJ_FIRST for c in self.cols}
-        centre = _agg_row(df, {c: F.avg(F.col(c).cast("double")) for c in self.cols})
+        counts = self._counts(df)
+        centre = dict.fromkeys(self.cols)
+        for r in counts.groupBy("i").agg((F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("m")).collect():  # one row a column
+            centre[self.cols[r["i"]]] = r["m"]
         while interval:
             grids = {c: [round(lo + (hi - lo) * k / (YJ_POINTS - 1), 9) for k in range(YJ_POINTS)] for c, (lo, hi) in interval.items()}
-            found, interval = self._likelihoods(df, grids, centre), {}
+            found, interval = self._likelihoods(counts, grids, centre), {}
             for c, ll in found.items():
                 k, lams = ll.index(max(ll)), grids[c]
                 step = lams[1] - lams[0]
@@ -515,9 +523,9 @@ class Preprocess:
     def fit(self, df: DataFrame) -> "Preprocess":
         if self.method not in NORMALIZERS:
             raise ValueError(f"Unknown normalization method: {self.method}")
-        df = df.select(*dict.fromkeys([*self.cols, *self.key]))  # several passes: callers may pass a persisted frame
+        df = df.select(*dict.fromkeys([*self.cols, *self.key]))
         self.scaler = StandardScaleClip(self.cols).fit(df)
-        x = self.scaler.transform(df)
+        x = scaled = self.scaler.transform(df).persist()  # read by every later pass
         self.norm = None
         if self.method != "none":
             mm = _agg_row(x, {**{f"a{i}": F.min(c) for i, c in enumerate(self.cols)},
@@ -532,6 +540,7 @@ class Preprocess:
             }[self.method]().fit(x)
             x = self.norm.transform(x)
         self.clipper = OutlierSoftClip(self.cols).fit(x)
+        scaled.unpersist()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

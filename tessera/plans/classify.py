@@ -24,6 +24,7 @@ from tessera.operators.transforms import Preprocess, ToNumerical, nan_to_null
 from tessera.plans.common import LI_FEATURES, li_key, lineitem, r6, with_role
 from tessera.plans.registry import register
 from tessera.plans.sqlbits import LI_KEY_SQL, digest_sql, soft_clip_sql, u_sql
+from tessera.session import table
 
 N_ESTIMATORS = 8
 FEATURES = ["l_linestatus", *LI_FEATURES]
@@ -55,17 +56,17 @@ def _ingest(rows: DataFrame, features: list[str]) -> DataFrame:
 
 
 def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS, features: list[str] | None = None) -> ClassifierModel:
-    """Fits read only the context rows, in several passes; callers may pass a
-    persisted frame."""
+    """Fits read only the context rows: once from the source, then in passes
+    over the persisted encoded rows."""
     features = features or FEATURES
     C.check_feature_contract(features, context, features)
-    context = _ingest(context.select(*features, LABEL), features)
+    context = _ingest(context.select(*features, LABEL), features).persist()
     dictionary = TG.label_dictionary(context, LABEL)
     n_classes = dictionary.count()
     TG.check_class_limit(n_classes, grouping=False)
     labels = [r["label"] for r in dictionary.orderBy("class_idx").collect()]
     numeric = ToNumerical([LABEL]).fit(context)
-    x = TG.label_encode(numeric.transform(context), LABEL, dictionary, "y")
+    x = TG.label_encode(numeric.transform(context), LABEL, dictionary, "y").persist()
     kept = C.varying_columns(x, numeric.features)
     steps, centres = {}, {}
     for norm in NORMS:
@@ -73,6 +74,8 @@ def fit_classifier(context: DataFrame, n_estimators: int = N_ESTIMATORS, feature
         v = _views(x, kept, norm).select(*views, "y")
         steps[norm] = Preprocess(views, norm).fit(v)
         centres[norm] = S.class_means(steps[norm].transform(v), views, "y")
+    x.unpersist()
+    context.unpersist()
     patterns = feature_patterns(len(kept), n_estimators, "latin", seed=0)
     configs = ensemble_configs(patterns, n_classes, list(NORMS), n_estimators, class_shift=True, seed=0)
     return ClassifierModel(features, dictionary, labels, n_classes, numeric, kept, steps, centres, configs)
@@ -101,9 +104,7 @@ def apply_classifier(rows: DataFrame, m: ClassifierModel) -> DataFrame:
 
 def classify(spark: SparkSession, sf_dir: str, n_estimators: int = N_ESTIMATORS):
     li = with_role(lineitem(spark, sf_dir), li_key()).select("row_id", *FEATURES, LABEL, "role")
-    context = li.where("role = 'context'").select(*FEATURES, LABEL).persist()
-    m = fit_classifier(context, n_estimators)
-    context.unpersist()
+    m = fit_classifier(li.where("role = 'context'"), n_estimators)
     return apply_classifier(li.where("role = 'query'"), m), m.dictionary, m.n_classes
 
 
@@ -203,16 +204,30 @@ def _score_class_mean(spark, sf_dir):
         "row_id", F.col("class_idx").cast("int").alias("class_idx"), r6("logit").alias("logit"))
 
 
-@register("join_label_decode", _BASE_SQL + "SELECT pred_idx, prediction, count(*) AS n FROM pred GROUP BY ALL")
+_DICT_SQL = f"""
+WITH raw AS (SELECT l_returnflag AS y, {u_sql('role', *LI_KEY_SQL)} < 0.3 AS is_ctx FROM lineitem),
+dict AS (SELECT y, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS class_idx
+         FROM (SELECT DISTINCT y FROM raw WHERE is_ctx AND y IS NOT NULL) t)
+"""
+
+
+def _dictionary(spark, sf_dir):
+    """All rows and the label dictionary of the context rows."""
+    li = with_role(table(spark, sf_dir, "lineitem"), li_key()).select(LABEL, "role")
+    return li, TG.label_dictionary(li.where("role = 'context'"), LABEL)
+
+
+@register("join_label_decode", _DICT_SQL + """
+SELECT class_idx, d.y AS label, count(*) AS n FROM raw LEFT JOIN dict d USING (y) GROUP BY ALL""")
 def _decode(spark, sf_dir):
-    q, d, _ = classify(spark, sf_dir)
-    return TG.label_decode(q.groupBy("pred_idx").agg(F.count(F.lit(1)).alias("n")), "pred_idx", d, "prediction")
+    li, d = _dictionary(spark, sf_dir)
+    coded = TG.label_encode(li, LABEL, d).groupBy("class_idx").agg(F.count(F.lit(1)).alias("n"))
+    return TG.label_decode(coded, "class_idx", d, "label")
 
 
-@register("label_encode", _BASE_SQL + "SELECT y AS label, class_idx FROM dict")
+@register("label_encode", _DICT_SQL + "SELECT y AS label, class_idx FROM dict")
 def _label_encode(spark, sf_dir):
-    _, d, _ = classify(spark, sf_dir)
-    return d
+    return _dictionary(spark, sf_dir)[1]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

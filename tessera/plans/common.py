@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import digest, uniform
-from tessera.session import table
+from tessera.session import spread, table
 
 LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CONTEXT_FRACTION = 0.3
@@ -20,7 +20,7 @@ def li_key() -> list[Column]:
 
 def lineitem(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
     """lineitem with a collision-safe ``row_id`` (md5 of its natural key)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     out = li.withColumn("row_id", digest(*li_key()))
     return out.select("row_id", *(cols or li.columns))
 

@@ -70,6 +70,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A frame read in fewer partitions than there are cores, dealt over all of
+    them; any other stays as it is.  A file of one row group is one task, and
+    so would be all that follows without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
