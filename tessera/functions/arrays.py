@@ -31,6 +31,14 @@ def softmax(arr, temperature: float = 1.0) -> Column:
     return F.transform(e, lambda x: x / s)
 
 
+def log_softmax(arr, temperature: float = 1.0) -> Column:
+    """(x - max) / T - ln(sum(exp((x - max) / T))); finite where softmax underflows."""
+    a = _col(arr)
+    t = F.lit(float(temperature))
+    z = F.transform(a, lambda x: (x - F.array_max(a)) / t)
+    return F.transform(z, lambda x: x - F.log(array_sum(F.transform(z, lambda y: F.exp(y)))))
+
+
 def normalise(arr) -> Column:
     a = _col(arr)
     s = array_sum(a)

@@ -43,9 +43,10 @@ def probit(p) -> Column:
 
 
 def clip(x, lo, hi) -> Column:
+    """x within [lo, hi]; missing stays missing (greatest and least skip nulls)."""
     x = F.col(x) if isinstance(x, str) else x
-    return F.least(F.greatest(x, F.lit(lo) if not isinstance(lo, Column) else lo),
-                   F.lit(hi) if not isinstance(hi, Column) else hi)
+    lo, hi = (v if isinstance(v, Column) else F.lit(v) for v in (lo, hi))
+    return F.when(x.isNotNull(), F.least(F.greatest(x, lo), hi))
 
 
 def soft_clip(x, lo, hi) -> Column:

@@ -9,6 +9,7 @@ so that scoring every member of every row needs no shuffle at all.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from dataclasses import dataclass
@@ -106,6 +107,28 @@ def expand_views(df: DataFrame, x: str, y: str | None, configs: list[ViewConfig]
     return v
 
 
+def normalised_views(df: DataFrame, features: list[str], y: str | None, configs: list[ViewConfig], n_classes: int,
+                     fitted: dict) -> DataFrame:
+    """Every row once per member, as the member sees it: ``x`` holds the
+    features preprocessed by the member's normaliser (``fitted``: one fitted
+    preprocessing each, of columns ``<feature>__<normaliser>``) in the order
+    of its pattern, ``y`` the label under its shift.  Preprocessing runs once a row
+    and normaliser, before the rows multiply; there is no join or union."""
+    made, x = [], df
+    for norm, steps in fitted.items():
+        names = [f"{f}__{norm}" for f in features]
+        x = steps.transform(x.withColumns({n: F.col(f).cast("double") for f, n in zip(features, names)}))
+        made += names
+    x = x.withColumns({f"_x_{norm}": F.array(*[F.col(f"{f}__{norm}") for f in features]) for norm in fitted}).drop(*made)
+    v = x.select("*", F.inline(configs_column(configs)))
+    seen = functools.reduce(lambda w, norm: w.when(F.col("norm") == norm, F.col(f"_x_{norm}")), list(fitted)[1:],
+                            F.when(F.col("norm") == list(fitted)[0], F.col(f"_x_{list(fitted)[0]}")))
+    v = v.withColumn("x", permute(seen, "pattern")).drop(*[f"_x_{n}" for n in fitted])
+    if y is not None:
+        v = v.withColumn(y, F.pmod(F.col(y) + F.col("shift"), F.lit(n_classes)))
+    return v
+
+
 def unshift(scores: Column, shift: Column) -> Column:
     return rotate_back(scores, shift)
 

@@ -9,13 +9,14 @@ weights are not available):
   features), and scoring is a pure projection: fused over all ensemble
   members, it needs no shuffle and no Python.
 * kernel vote -- attention without weights: a softmax over negative scaled
-  squared distances to the (capped) context rows, summed per context label.
-  It runs in ``mapInPandas`` over Arrow batches of query rows with the capped
-  context broadcast; the cap (a hash top-k sample) is what bounds the
-  broadcast.
-
-Any ``scorer(ctx_X, ctx_y, n_classes, X) -> (n, C) array`` plugs into
-``context_score`` the same way.
+  squared distances to all context rows, summed per context label.
+
+Context and queries may both be of any size: ``block_scores`` deals queries
+into groups and context rows into slices, scores each group against each slice
+in one place, and merges what the slices say.  A scorer for it is any object
+with ``width``, ``partial`` and ``finish`` (see ``KernelVote``).  Scorers that
+need their whole context at once plug into ``context_score``, whose context is
+broadcast and must stay below a stated cap.
 """
 
 from __future__ import annotations
@@ -23,16 +24,19 @@ from __future__ import annotations
 from typing import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.arrays import argmax, normalise, softmax
+from tessera.functions.arrays import argmax, array_sum, log_softmax
 from tessera.operators.ensemble import ViewConfig, average_arrays, unshift
+from tessera.session import stored
 
 SOFTMAX_TEMPERATURE = 0.9   # fixed value: the classifier's default temperature
-DEFAULT_CONTEXT_CAP = 4000  # fixed value: default context row cap
 MAX_BROADCAST_CELLS = 50_000_000
+#: Queries of a group, and context rows of a slice.
+QUERY_GROUP, CONTEXT_SLICE = 1 << 15, 1 << 16
 
 
 # ------------------------------------------------------------ class means
@@ -131,26 +135,119 @@ def predict_index(proba: Column) -> Column:
 
 
 # --------------------------------------------------------- kernel scorer
-def kernel_scorer(ctx_x: np.ndarray, ctx_y: np.ndarray, n_classes: int, x: np.ndarray,
-                  temperature: float = 1.0, block: int = 2048) -> np.ndarray:
+class KernelVote:
     """Softmax-weighted vote of context labels by negative squared distance
-    (scaled by the feature count); vectorised in blocks of query rows."""
-    d = max(x.shape[1], 1)
-    onehot = np.zeros((len(ctx_y), n_classes))
-    onehot[np.arange(len(ctx_y)), ctx_y.astype(int)] = 1.0
-    c2 = (ctx_x * ctx_x).sum(axis=1)
-    out = np.empty((len(x), n_classes))
-    for s in range(0, len(x), block):
-        q = x[s:s + block]
-        d2 = (q * q).sum(axis=1)[:, None] - 2.0 * q @ ctx_x.T + c2[None, :]
-        logit = -np.maximum(d2, 0.0) / (d * temperature)
-        logit -= logit.max(axis=1, keepdims=True)
-        w = np.exp(logit)
-        w /= w.sum(axis=1, keepdims=True)
-        out[s:s + block] = w @ onehot
-    return out
+    (scaled by the feature count).
+
+    What some context rows say of a query is (m, s): the sums s of exp(logit - m)
+    by class.  Two such pairs merge into one, so context rows may come in any pieces."""
+
+    def __init__(self, n_classes: int, temperature: float = 1.0):
+        self.width, self.temperature = n_classes, temperature
+
+    def partial(self, cx: np.ndarray, cy: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d2 = (x * x).sum(axis=1)[:, None] - 2.0 * x @ cx.T + (cx * cx).sum(axis=1)[None, :]
+        logit = -np.maximum(d2, 0.0) / (max(x.shape[1], 1) * self.temperature)
+        m = logit.max(axis=1)
+        onehot = np.zeros((len(cy), self.width))
+        onehot[np.arange(len(cy)), cy.astype(int)] = 1.0
+        return m, np.exp(logit - m[:, None]) @ onehot
+
+    @staticmethod
+    def finish(s: Column) -> Column:
+        total = F.nullif(array_sum(s), F.lit(0.0))
+        return F.transform(s, lambda v: v / total)
+
+
+def merge_partials(m: np.ndarray, s: np.ndarray, m2: np.ndarray, s2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    top = np.maximum(m, m2)
+    with np.errstate(invalid="ignore"):
+        a, b = np.where(m == top, 1.0, np.exp(m - top)), np.where(m2 == top, 1.0, np.exp(m2 - top))
+    return top, s * a[:, None] + s2 * b[:, None]
 
 
+def _matrix(column: pa.Array, d: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), d)
+
+
+def block_scores(query: DataFrame, ctx: DataFrame, keys: list[str], x: str, y: str, scorer, by: list[str] | None = None,
+                 out: str = "scores", group: int = QUERY_GROUP, piece: int = CONTEXT_SLICE) -> DataFrame:
+    """(by, keys, out): each query scored against all context rows (of its ``by``).
+
+    Queries are dealt by hash into groups, context rows into slices; a pair
+    of a group and a slice is worked on in one place, which holds the group and
+    streams the slice past it in Arrow batches.  Each pair gives one (m, s) a
+    query, and those of its slices (as many as there are slices) are merged.  No
+    side is broadcast, collected or capped.  ``x``: arrays of one length; keys
+    are unique.  Without context rows all scores are null."""
+    by = by or []
+    groups = max(1, -(-query.count() // group))
+    pieces = max(1, -(-ctx.count() // piece))
+    cell = [*by, "_g", "_s"]
+    q = query.select(*by, F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("_g"),
+                     F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("_s"), F.lit(0).alias("_kind"),
+                     F.col(x).cast("array<double>").alias("_x"), F.lit(None).cast("int").alias("_y"), *[k for k in keys if k not in by])
+    c = ctx.select(*by, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"),
+                   F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(pieces)).cast("int").alias("_s"), F.lit(1).alias("_kind"),
+                   F.col(x).cast("array<double>").alias("_x"), F.col(y).cast("int").alias("_y"))
+    own = [k for k in keys if k not in by]
+    both = q.unionByName(c, allowMissingColumns=True)
+    dealt = both.repartition(*cell).sortWithinPartitions(*cell, "_kind").select(*cell, "_kind", "_x", "_y", *own)
+    schema = T.StructType([both.schema[k] for k in [*by, *own]] + [T.StructField("_m", T.DoubleType()), T.StructField("_v", T.ArrayType(T.DoubleType()))])
+    width, at = scorer.width, len(by)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow = to_arrow_schema(schema)
+        cell_of, held, xs, m, v = None, [], [], None, None
+
+        def closed():
+            if not held:
+                return None
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            n = rows.num_rows
+            top = pa.nulls(n, pa.float64()) if m is None else pa.array(m)  # a slice without rows says nothing
+            sums = np.zeros((n, width)) if v is None else v
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width), pa.int32()), pa.array(sums.ravel()))
+            return pa.RecordBatch.from_arrays([*rows.columns, top, lists], schema=arrow)
+
+        for b in batches:
+            marks = list(zip(*(b.column(i).to_pylist() for i in range(at + 3))))
+            edges = [0, *(k for k in range(1, len(marks)) if marks[k] != marks[k - 1]), len(marks)]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                *now, kind = marks[lo]
+                if now != cell_of:
+                    if (done := closed()) is not None:
+                        yield done
+                    cell_of, held, xs, m, v = now, [], [], None, None
+                part = b.slice(lo, hi - lo)
+                d = len(part.column(at + 3)[0])
+                if kind == 0:
+                    held.append(part.select([*range(at), *range(at + 5, part.num_columns)]))
+                    xs.append(_matrix(part.column(at + 3), d))
+                    continue
+                if not held:
+                    continue
+                xs = [np.concatenate(xs)] if len(xs) > 1 else xs
+                cx, cy = _matrix(part.column(at + 3), d), part.column(at + 4).to_numpy(zero_copy_only=False)
+                pieces_ = [scorer.partial(cx, cy, xs[0][k:k + 1024]) for k in range(0, len(xs[0]), 1024)]
+                m2, v2 = np.concatenate([p[0] for p in pieces_]), np.concatenate([p[1] for p in pieces_])
+                m, v = (m2, v2) if m is None else merge_partials(m, v, m2, v2)
+        if (done := closed()) is not None:
+            yield done
+
+    said = dealt.mapInArrow(run, schema)
+    merged = said.groupBy(*by, *own).agg(F.collect_list(F.struct("_m", "_v")).alias("_l")) \
+        .withColumn("_top", F.array_max(F.col("_l")["_m"]))
+    none = F.array_repeat(F.lit(0.0), F.lit(width))
+    total = F.aggregate("_l", none, lambda acc, e: F.zip_with(
+        acc, e["_v"], lambda a, b: a + b * F.coalesce(F.exp(e["_m"] - F.col("_top")), F.lit(0.0))))
+    return merged.withColumn("_t", total).select(*by, *own, scorer.finish(F.col("_t")).alias(out))
+
+
+# ------------------------------------------------------- whole-context scorers
 def collect_context(ctx: DataFrame, x: str, y: str, cap: int) -> tuple[np.ndarray, np.ndarray]:
     """Bring the capped context to the driver for broadcast: at most ``cap``
     rows (callers pass a hash top-k sample), size checked before collect."""
@@ -165,8 +262,9 @@ def collect_context(ctx: DataFrame, x: str, y: str, cap: int) -> tuple[np.ndarra
 
 
 def context_score(query: DataFrame, keys: list[str], x: str, ctx_x: np.ndarray, ctx_y: np.ndarray, n_classes: int,
-                  scorer: Callable[..., np.ndarray] = kernel_scorer, out: str = "scores") -> DataFrame:
-    """Score query rows against the broadcast context in Arrow batches."""
+                  scorer: Callable[..., np.ndarray], out: str = "scores") -> DataFrame:
+    """Score query rows against the broadcast context in Arrow batches:
+    ``scorer(ctx_X, ctx_y, n_classes, X) -> (n, C) array``."""
     sc = query.sparkSession.sparkContext
     bx, by_ = sc.broadcast(ctx_x), sc.broadcast(ctx_y)
     key_fields = [query.schema[k] for k in keys]
@@ -187,23 +285,66 @@ def context_score(query: DataFrame, keys: list[str], x: str, ctx_x: np.ndarray,
 
 
 # ----------------------------------------------------------- hierarchical
-def hierarchical_proba(feats: list[Column], tree_rows: list, centres_by_node: dict, n_classes: int,
-                       temperature: float = SOFTMAX_TEMPERATURE) -> Column:
-    """P(class) = prod over the path of P(group at node); at each node the
-    groups are scored by the class-mean scorer with softmax(T)."""
-    probs = {}
-    for node, centres in centres_by_node.items():
-        probs[node] = softmax(class_mean_logits(feats, centres), temperature)
-    out = []
-    for c in range(n_classes):
-        p = None
-        for (cls, depth, node, group) in tree_rows:
-            if cls != c:
-                continue
-            term = F.element_at(probs[node], group + 1)
-            p = term if p is None else p * term
-        out.append(p if p is not None else F.lit(0.0))
-    return F.array(*out)
+EPSILON = 1e-6   # fixed value: added to a probability before its logarithm
+
+
+class ClassTreeModel:
+    """Many classes through a tree of nodes with few outcomes each, as tables:
+
+    * ``paths`` (class_idx, node_id, group): a row a class and node on its way,
+    * ``centres`` (node_id, groups): a row a node, its outcomes with their
+      class-mean centres (at most as many as a node may have).
+
+    Both grow with the number of classes, not of rows.  A plan that uses them
+    is the same for any number of classes."""
+
+    def __init__(self, dictionary: DataFrame, paths: DataFrame, centres: DataFrame, n_nodes: int, features: list[str]):
+        self.dictionary, self.paths, self.centres, self.n_nodes, self.features = dictionary, paths, centres, n_nodes, features
+
+
+def fit_class_tree(context: DataFrame, features: list[str], label: str, max_classes: int | None = None) -> ClassTreeModel:
+    from tessera.operators import targets as TG
+    dictionary = TG.label_dictionary(context, label)
+    tree = TG.class_tree(dictionary, max_classes=max_classes or TG.MAX_CLASSES)
+    nodes = stored(TG.label_dictionary(tree, "node").select(F.col("label").alias("node"), F.col("class_idx").alias("node_id")), "tree-nodes")
+    paths = stored(tree.join(nodes, "node").select("class_idx", "node_id", "group"), "tree-paths")
+    x = TG.label_encode(context.select(label, *features), label, dictionary).where(F.col("class_idx").isNotNull())
+    # sums by class first, so that the rows meet no node
+    sums = x.groupBy("class_idx").agg(*[F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(features)],
+                                      *[F.count(c).alias(f"n{i}") for i, c in enumerate(features)])
+    at = sums.join(paths, "class_idx").groupBy("node_id", "group").agg(
+        F.array(*[F.sum(f"s{i}") / F.sum(f"n{i}") for i in range(len(features))]).alias("centre"))
+    centres = at.groupBy("node_id").agg(F.sort_array(F.collect_list(F.struct("group", "centre"))).alias("groups"))
+    return ClassTreeModel(dictionary, paths, stored(centres, "tree-centres"), nodes.count(), features)
+
+
+def node_scores(rows: DataFrame, key: list[str], model: ClassTreeModel, temperature: float = SOFTMAX_TEMPERATURE) -> DataFrame:
+    """(key, node_id, group, log_p): log-softmax over the outcomes of every node,
+    by negative distance to their centres."""
+    x = rows.select(*key, F.array(*[F.col(c).cast("double") for c in model.features]).alias("_x"),
+                    F.explode(F.sequence(F.lit(0), F.lit(model.n_nodes - 1))).alias("node_id"))
+    far = lambda g: -F.sqrt(array_sum(F.zip_with("_x", g["centre"], lambda a, b: (a - b) * (a - b))))
+    x = x.join(model.centres, "node_id").withColumn("_l", F.transform("groups", far))
+    x = x.withColumn("_l", log_softmax("_l", temperature))
+    return x.select(*key, "node_id", F.inline(F.arrays_zip(F.col("groups")["group"].alias("group"), F.col("_l").alias("log_p"))))
+
+
+def chain_rule(scores: DataFrame, key: list[str], model: ClassTreeModel) -> DataFrame:
+    """(key, class_idx, p): the product of the outcomes' probabilities on the
+    way to each class, as the exponential of a grouped sum of logarithms."""
+    on_the_way = scores.join(model.paths, ["node_id", "group"])
+    return on_the_way.groupBy(*key, "class_idx").agg(F.exp(F.sum("log_p")).alias("p"))
+
+
+def tree_logits(p: DataFrame, temperature: float = SOFTMAX_TEMPERATURE) -> DataFrame:
+    """T * ln(p + 1e-6), which takes the place of logits."""
+    return p.withColumn("score", F.lit(temperature) * F.log(F.col("p") + EPSILON))
+
+
+def best_class(p: DataFrame, key: list[str]) -> DataFrame:
+    """(key, class_idx, p) of the likeliest class, of equal ones the lowest."""
+    return p.groupBy(*key).agg(F.min(F.struct((-F.col("p")).alias("m"), "class_idx")).alias("b")) \
+        .select(*key, "b.class_idx", (-F.col("b.m")).alias("p"))
 
 
 def format_probabilities(labels: list[str], proba: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import uniform
+from tessera.session import stored
 
 MAX_CLASSES = 10
 
@@ -69,6 +70,92 @@ def rank_boundaries(df: DataFrame, y: str, order: str, n_classes: int, seed, by:
     return bnd.groupBy(*by).agg(F.collect_list("b").alias("boundaries"))
 
 
+def column_boundaries(df: DataFrame, by: list[str], columns: dict[str, int], key: list[str], seed) -> DataFrame:
+    """(by, column, boundaries): of every dataset and column at once, k - 1 of
+    its values drawn with replacement (k: the categories of that column), in
+    ascending order; a column without values has none.
+
+    One long-form pass: the values of all columns are ranked by hash, in
+    sub-buckets where a dataset is large, and draw j takes the value at a
+    hashed rank.  ``key`` names a row."""
+    from tessera.operators.ordering import exact_rank
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k - 1).alias("_draws"), F.col(c).cast("double").alias("_v")) for c, k in columns.items()])
+    long = df.select(*by, *key, F.inline(pairs)).where("_v IS NOT NULL").withColumn("_u", uniform(seed, "column", *key))
+    x = stored(exact_rank(long, [*by, "column"], "_u", key, out="_r", total="_n").select(*by, "column", "_draws", "_v", "_r", "_n"), "ranked")
+    draws = x.where("_r = 1 AND _draws > 0").select(*by, "column", "_n", F.explode(F.sequence(F.lit(0), F.col("_draws") - 1)).alias("j"))
+    draws = draws.select(*by, "column", (F.floor(uniform(f"{seed}:draw", *by, "column", "j") * F.col("_n")) + 1).cast("bigint").alias("_r"))
+    return draws.join(x.select(*by, "column", "_r", "_v"), [*by, "column", "_r"]).groupBy(*by, "column") \
+        .agg(F.sort_array(F.collect_list("_v")).alias("boundaries"))
+
+
+def num_to_cat(df: DataFrame, by: list[str], columns: dict[str, int], key: list[str], seed,
+               orders: dict[str, list[int]] | None = None) -> DataFrame:
+    """``columns`` (name -> number of categories) turned into categories 0..k-1:
+    the number of the dataset's boundaries below the value.  ``orders`` may
+    rename the categories of a column.  Missing values stay missing; the other
+    columns stay as they are."""
+    bad = {c: k for c, k in columns.items() if k < 2}
+    if bad:
+        raise ValueError(f"a categorical column needs at least two categories: {bad}")
+    if not columns:
+        return df
+    found = column_boundaries(df, by, columns, key, seed)
+    per_dataset = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("column", "boundaries"))).alias("_edges"))
+    x = df.join(per_dataset, by, "left")
+    cats = {}
+    for c in columns:
+        n = count_below(F.col(c).cast("double"), F.col("_edges")[c])
+        n = permute_classes(n, orders[c]) if orders and c in orders else n
+        cats[c] = F.when(F.col(c).isNotNull(), n.cast("double"))
+    return x.withColumns(cats).drop("_edges")
+
+
+def permute_present(df: DataFrame, by: list[str], cls: str, seed) -> DataFrame:
+    """Classes renumbered 0.. within their dataset, in a seeded order of those
+    that are present; a dataset of a single class stays as it is."""
+    present = df.select(*by, cls).where(F.col(cls).isNotNull()).distinct()
+    w = Window.partitionBy(*by)   # one row a class: bounded by the number of classes
+    names = present.withColumn("_u", uniform(seed, *by, cls)) \
+        .withColumn("_to", F.when(F.count(F.lit(1)).over(w) == 1, F.col(cls)).otherwise(F.row_number().over(w.orderBy("_u", cls)) - 1)).drop("_u")
+    return df.join(names, [*by, cls], "left").withColumn(cls, F.col("_to").cast("int")).drop("_to")
+
+
+def regression_to_class(df: DataFrame, by: list[str], features: list[str], y: str, key: list[str], n_classes: int,
+                        categories: dict[str, int] | None = None, pattern: list[int] | None = None, max_features: int | None = None,
+                        mode: str = "rank", balanced: bool = False, boundaries: list[float] | None = None, permute: bool = True,
+                        seed="r2c") -> DataFrame:
+    """A regression dataset (per ``by``) as a classification dataset: chosen
+    features become categories, features are prepared into the array ``x``, the
+    target is scaled and assigned to classes.
+
+    * ``n_classes`` 0: the scaled target stays a number; 1: an error,
+    * 2 and ``balanced``: above the dataset's lower median or not,
+    * ``mode`` rank: boundaries drawn from the dataset's targets; value: the
+      given ``boundaries`` (n_classes - 1 numbers on the scaled target).
+
+    Classes are then renumbered in a seeded order unless ``permute`` is off."""
+    from tessera.operators.transforms import StandardScaleNan, feature_prepare
+    if n_classes < 0 or n_classes == 1:
+        raise ValueError(f"{n_classes} classes can't be assigned")
+    if mode not in ("rank", "value") or mode == "value" and n_classes and len(boundaries or ()) != n_classes - 1:
+        raise ValueError(f"mode {mode!r} with boundaries {boundaries!r}")
+    x = num_to_cat(df.select(*dict.fromkeys([*by, *key, *features, y])), by, categories or {}, key, f"{seed}:features")
+    x = feature_prepare(x, features, by, pattern or list(range(len(features))), max_features or len(features))
+    x = StandardScaleNan([y], by).fit(x).transform(x)
+    if n_classes == 0:
+        return x
+    x = stored(x, "prepared")   # read for the boundaries and again for the classes
+    if n_classes == 2 and balanced:
+        x = binarize_median(x, y, by, out="_cls")
+    elif mode == "value":
+        x = x.withColumn("_cls", count_below(F.col(y), boundaries))
+    else:
+        edges = column_boundaries(x, by, {y: n_classes}, key, f"{seed}:target").drop("column")
+        x = x.join(edges, by, "left").withColumn("_cls", F.when(F.col(y).isNotNull(), count_below(F.col(y), F.col("boundaries")))).drop("boundaries")
+    x = permute_present(x, by, "_cls", f"{seed}:classes") if permute else x
+    return x.drop(y).withColumnRenamed("_cls", y)
+
+
 def permutation_map(n: int, seed) -> list[int]:
     """A seeded permutation of range(n) (small: one entry per class)."""
     import hashlib

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from tessera.functions.hashing import uniform
 from tessera.operators import scoring as S
 from tessera.operators import work as WK
-from tessera.operators.ordering import sample_k
+from tessera.plans.common import r6
 from tessera.plans.registry import register
+from tessera.plans.sqlbits import u_sql
 from tessera.session import scratch_path, table
 from tessera.streaming import operators as ST
 
@@ -43,23 +44,36 @@ def _task_handler(spark, sf_dir):
                         "task_id string, n_items long, scaled_weight double, status string", {"factor": 2.0})
 
 
-def nearest_centroid(ctx_x: np.ndarray, ctx_y: np.ndarray, n_classes: int, x: np.ndarray) -> np.ndarray:
-    """A user scorer: negative distance to each class centroid of the context."""
-    cent = np.stack([ctx_x[ctx_y == c].mean(axis=0) if (ctx_y == c).any() else np.full(ctx_x.shape[1], np.inf)
-                     for c in range(n_classes)])
-    d = ((x[:, None, :] - cent[None, :, :]) ** 2).sum(axis=2)
-    return -np.sqrt(d)
+class MeanSimilarity:
+    """A user's scorer for ``scoring.block_scores``: the mean dot product with
+    the context rows of each class.  Sums and counts by class are all it needs."""
 
+    def __init__(self, n_classes: int):
+        self.n_classes, self.width = n_classes, 2 * n_classes
 
-@register("udf_scorer")
+    def partial(self, cx: np.ndarray, cy: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        onehot = np.eye(self.n_classes)[cy.astype(int)]
+        counts = np.broadcast_to(onehot.sum(axis=0), (len(x), self.n_classes))
+        return np.zeros(len(x)), np.concatenate([x @ (cx.T @ onehot), counts], axis=1)
+
+    def finish(self, s):
+        n = self.n_classes
+        return F.zip_with(F.slice(s, 1, n), F.slice(s, n + 1, n), lambda a, b: a / F.nullif(b, F.lit(0.0)))
+
+
+@register("udf_scorer", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label, {u_sql('ctx', 'vec_id')} < 0.5 AS is_ctx FROM embeddings),
+c AS (SELECT label, i, avg(x[i + 1]) AS m FROM e, range(64) r(i) WHERE is_ctx GROUP BY ALL),
+cc AS (SELECT label, list(m ORDER BY i) AS c FROM c GROUP BY label)
+SELECT vec_id, CAST(label AS INTEGER) AS class_idx, round(list_sum(list_transform(list_zip(x, c), lambda p: p[1] * p[2])), 6) AS score
+FROM (SELECT vec_id, x FROM e WHERE NOT is_ctx) q, cc""")
 def _udf_scorer(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("x"), "label",
         (uniform("ctx", "vec_id") < 0.5).alias("is_ctx"))
-    ctx = sample_k(e.where("is_ctx"), 4000, "cap", ["vec_id"], strict=False)
-    cx, cy = S.collect_context(ctx, "x", "label", 4000)
-    s = S.context_score(e.where(~F.col("is_ctx")), ["vec_id"], "x", cx, cy, 10, scorer=nearest_centroid)
-    return s.select("vec_id", S.predict_index(F.col("scores")).alias("pred"))
+    s = S.block_scores(e.where(~F.col("is_ctx")), e.where("is_ctx"), ["vec_id"], "x", "label", MeanSimilarity(10))
+    return s.select("vec_id", F.posexplode("scores").alias("class_idx", "score")).where("score IS NOT NULL").select(
+        "vec_id", F.col("class_idx").cast("int").alias("class_idx"), r6("score").alias("score"))
 
 
 @F.pandas_udf(T.StringType())

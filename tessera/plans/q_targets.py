@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import targets as TG
 from tessera.operators.transforms import StandardScaleNan
+from tessera.plans.q_transforms import prepare_ctes
 from tessera.plans.registry import register
 from tessera.plans.sqlbits import u_sql
 from tessera.session import table
@@ -95,40 +96,93 @@ def _shift(spark, sf_dir):
     return c.select("o_orderkey", TG.shift_classes(F.col("cls"), 3, _N_CLASSES).cast("int").alias("cls"))
 
 
-def _chosen_columns(cols, seed, cat_prob=1.0):
-    """Driver-side seeded choice of the columns to bin and their category counts."""
-    rng = random.Random(seed)
-    col_prob = rng.random() if rng.random() < cat_prob else 0.0
-    out = {}
-    for c in cols:
-        if rng.random() < col_prob:
-            out[c] = min(max(round(rng.gammavariate(1, 10)), 2), 10)
-    return out
+# ------------------------------------------------- regression as classification
+_R2C_FEATURES = ["f0", "f1", "f2", "f3"]
+_R2C_CATEGORIES = {"f1": 4, "f3": 6}     # of the four features, two become categories
+_R2C_SQL = """SELECT o_orderkey AS id, o_orderpriority AS ds, CAST(o_custkey AS DOUBLE) AS f0, CAST(o_orderkey AS DOUBLE) AS f1,
+       CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS f2,
+       CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_custkey % 97 AS DOUBLE) END AS f3, o_totalprice AS y FROM orders"""
 
 
-@register("num_to_cat")
+def _r2c_rows(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("ds"), F.col("o_custkey").cast("double").alias("f0"),
+                    F.col("o_orderkey").cast("double").alias("f1"),
+                    F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("double").alias("f2"),
+                    F.when(F.col("o_orderkey") % 5 > 0, (F.col("o_custkey") % 97).cast("double")).alias("f3"), F.col("o_totalprice").alias("y"))
+
+
+def _boundaries_ctes(name: str, src: str, columns: dict[str, int], seed: str) -> str:
+    """<name>(ds, col, b): the drawn boundaries of every dataset and column of src."""
+    long = " UNION ALL ".join(f"SELECT ds, id, '{c}' AS col, {k} AS k, {c} AS v FROM {src}" for c, k in columns.items())
+    return f"""{name}_r AS (SELECT ds, col, k, v, row_number() OVER (PARTITION BY ds, col ORDER BY {u_sql(seed, 'col', 'id')}, id) AS r,
+         count(*) OVER (PARTITION BY ds, col) AS n FROM ({long}) t WHERE v IS NOT NULL),
+{name}_d AS (SELECT ds, col, CAST(floor({u_sql(seed + ':draw', 'ds', 'col', 'j')} * n) + 1 AS BIGINT) AS r
+         FROM (SELECT DISTINCT ds, col, k, n FROM {name}_r) t, range(16) j(j) WHERE j < k - 1),
+{name} AS (SELECT ds, col, list(v) AS b FROM {name}_d JOIN {name}_r USING (ds, col, r) GROUP BY ALL)"""
+
+
+def _categories_ctes(seed: str) -> str:
+    """x: the rows, chosen features as categories."""
+    cats = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN CAST(len(list_filter(b_{c}.b, lambda e: {c} > e)) AS DOUBLE) END AS {c}" if c in _R2C_CATEGORIES else c
+                     for c in _R2C_FEATURES)
+    joins = " ".join(f"LEFT JOIN n2c b_{c} ON b_{c}.ds = raw.ds AND b_{c}.col = '{c}'" for c in _R2C_CATEGORIES)
+    return f"""raw AS ({_R2C_SQL}),
+{_boundaries_ctes("n2c", "raw", _R2C_CATEGORIES, seed)},
+x AS (SELECT raw.id, raw.ds, {cats}, y FROM raw {joins})"""
+
+
+@register("num_to_cat", f"WITH {_categories_ctes('n2c')} SELECT id, f0, f1, f2, f3 FROM x")
 def _num_to_cat(spark, sf_dir):
-    """Seeded columns binned into 2..10 categories by per-dataset rank boundaries."""
-    o = _orders(spark, sf_dir)
-    chosen = _chosen_columns(["o_totalprice"], seed=5) or {"o_totalprice": 3}
-    out = o
-    for c, k in chosen.items():
-        bnd = _rank_boundaries(o, c, ["o_orderpriority"], k, f"n2c:{c}").withColumnRenamed("boundaries", f"_b_{c}")
-        out = out.join(bnd, "o_orderpriority").withColumn(
-            c, TG.count_below(F.col(c), F.col(f"_b_{c}")).cast("double")).drop(f"_b_{c}")
-    return out.select("o_orderkey", *chosen.keys(), "o_custkey")
+    """Two of four columns of every dataset in categories, by boundaries drawn from its values."""
+    return TG.num_to_cat(_r2c_rows(spark, sf_dir), ["ds"], _R2C_CATEGORIES, ["id"], "n2c").select("id", *_R2C_FEATURES)
+
+
+_R2C_PATTERN = [2, 0, 3, 1]
 
 
-@register("regression_to_class")
+def _r2c_sql(classes: str) -> str:
+    sd = "CASE WHEN count(*) > 1 THEN stddev_samp(y) ELSE stddev_pop(y) END"
+    x = ", ".join(f"round(arr[{i + 1}], 6) AS x{i}" for i in range(5))
+    return f"""WITH {_categories_ctes('r2c:features')},
+{prepare_ctes(_R2C_FEATURES, _R2C_PATTERN, 5, "ds", "id")},
+py AS (SELECT ds, avg(y) m, greatest({sd}, 1e-6) s FROM raw GROUP BY 1),
+ys AS (SELECT id, ds, least(greatest((y - m) / s, -100), 100) AS y FROM raw JOIN py USING (ds)),
+{classes}
+SELECT id, {x}, c.y FROM a JOIN c USING (id)"""
+
+
+_PERMUTED = f"""pr AS (SELECT ds, cls, CASE WHEN count(*) OVER (PARTITION BY ds) = 1 THEN cls
+          ELSE row_number() OVER (PARTITION BY ds ORDER BY {u_sql('r2c:classes', 'ds', 'cls')}, cls) - 1 END AS y FROM (SELECT DISTINCT ds, cls FROM k) t),
+c AS (SELECT id, CAST(pr.y AS INTEGER) AS y FROM k JOIN pr USING (ds, cls))"""
+
+
+def _r2c(spark, sf_dir, **how):
+    x = TG.regression_to_class(_r2c_rows(spark, sf_dir), ["ds"], _R2C_FEATURES, "y", ["id"], categories=_R2C_CATEGORIES,
+                               pattern=_R2C_PATTERN, max_features=5, **how)
+    return x.select("id", *[F.round(F.col("x")[i], 6).alias(f"x{i}") for i in range(5)], "y")
+
+
+@register("regression_to_class", _r2c_sql(f"""{_boundaries_ctes("yb", "ys", {"y": 5}, "r2c:target")},
+k AS (SELECT id, ds, CAST(len(list_filter(b, lambda e: y > e)) AS INTEGER) AS cls FROM ys JOIN yb USING (ds)),
+{_PERMUTED}"""))
 def _reg2cls(spark, sf_dir):
-    """num_to_cat -> feature_prepare -> scale y -> classes -> permute (seeded)."""
-    from tessera.operators.transforms import feature_prepare
-    o = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
-    x = feature_prepare(o, ["l_quantity", "l_discount", "l_tax"], ["l_suppkey"], [1, 2, 0], 5)
-    y = StandardScaleNan(["l_extendedprice"], ["l_suppkey"]).fit(x).transform(x)
-    cls = TG.count_below(F.col("l_extendedprice"), _VB)
-    return y.select("l_orderkey", "l_linenumber", "x", TG.permute_classes(cls, _PERM).cast("int").alias("y"))
+    """Categories, preparation, scaled target, classes by drawn boundaries, renumbered."""
+    return _r2c(spark, sf_dir, n_classes=5)
+
+
+@register("regression_to_class_balanced", _r2c_sql(f"""md AS (SELECT ds, quantile_disc(y, 0.5) AS med FROM ys GROUP BY 1),
+k AS (SELECT id, ds, CAST(y > med AS INTEGER) AS cls FROM ys JOIN md USING (ds)),
+{_PERMUTED}"""))
+def _reg2cls_balanced(spark, sf_dir):
+    """Two classes of equal size: above the dataset's lower median or not."""
+    return _r2c(spark, sf_dir, n_classes=2, balanced=True)
+
+
+@register("regression_keep_target", _r2c_sql("c AS (SELECT id, round(y, 6) AS y FROM ys)"))
+def _reg_keep(spark, sf_dir):
+    """No classes: the scaled target stays a number."""
+    return _r2c(spark, sf_dir, n_classes=0).withColumn("y", F.round("y", 6))
 
 
 @register("quantile_bins_right_closed", """

@@ -351,27 +351,31 @@ _FP_COLS = ["o_totalprice", "o_custkey_d", "o_orderkey_d"]
 _FP_PATTERN = [2, 0, 1]
 
 
-def _fp_sql():
+def prepare_ctes(cols, pattern, width: int, by: str, key: str) -> str:
+    """From x(key, by, cols): a(key, arr), hard clip, scale, permute, share, pad."""
     t = 4.0
-    cols = _FP_COLS
     def sd(e):
         s = f"CASE WHEN count(*) > 1 THEN stddev_samp({e}) ELSE stddev_pop({e}) END"
         return f"CASE WHEN {s} IS NULL THEN NULL ELSE greatest({s}, 1e-6) END"
     s1 = ", ".join(f"avg({c}) a_{c}, {sd(c)} b_{c}" for c in cols)
     inb = {c: f"CASE WHEN {c} >= a_{c} - b_{c} * {t} AND {c} <= a_{c} + b_{c} * {t} THEN {c} END" for c in cols}
     s2 = ", ".join(f"coalesce(avg({inb[c]}), first(a_{c})) m_{c}, coalesce({sd(inb[c])}, 0.0) d_{c}" for c in cols)
-    hc = ", ".join(f"least(greatest({c}, coalesce(m_{c} - d_{c} * {t}, '-inf'::DOUBLE)), coalesce(m_{c} + d_{c} * {t}, 'inf'::DOUBLE)) AS {c}"
-                   for c in cols)
+    hc = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, coalesce(m_{c} - d_{c} * {t}, '-inf'::DOUBLE)), "
+                   f"coalesce(m_{c} + d_{c} * {t}, 'inf'::DOUBLE)) END AS {c}" for c in cols)
     s3 = ", ".join(f"avg({c}) n_{c}, {sd(c)} e_{c}" for c in cols)
-    sc = [f"least(greatest(({c} - n_{c}) / e_{c}, -100), 100)" for c in cols]
-    arr = "[" + ", ".join(f"{sc[i]} / (3.0 / 5.0)" for i in _FP_PATTERN) + ", 0.0, 0.0]"
+    sc = [f"CASE WHEN {c} IS NOT NULL THEN least(greatest(({c} - n_{c}) / e_{c}, -100), 100) END" for c in cols]
+    arr = "[" + ", ".join([*(f"{sc[i]} / ({len(cols)}.0 / {width}.0)" for i in pattern), *["0.0"] * (width - len(cols))]) + "]"
+    return f"""s1 AS (SELECT {by}, {s1} FROM x GROUP BY 1),
+s2 AS (SELECT {by}, {s2} FROM x JOIN s1 USING ({by}) GROUP BY 1),
+h AS (SELECT {key}, {by}, {hc} FROM x JOIN s2 USING ({by})),
+s3 AS (SELECT {by}, {s3} FROM h GROUP BY 1),
+a AS (SELECT {key}, {arr} AS arr FROM h JOIN s3 USING ({by}))"""
+
+
+def _fp_sql():
     return f"""WITH x AS (SELECT o_orderkey, o_orderpriority, o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey_d,
                    CAST(o_orderkey AS DOUBLE) AS o_orderkey_d FROM orders),
-s1 AS (SELECT o_orderpriority, {s1} FROM x GROUP BY 1),
-s2 AS (SELECT o_orderpriority, {s2} FROM x JOIN s1 USING (o_orderpriority) GROUP BY 1),
-h AS (SELECT o_orderkey, o_orderpriority, {hc} FROM x JOIN s2 USING (o_orderpriority)),
-s3 AS (SELECT o_orderpriority, {s3} FROM h GROUP BY 1),
-a AS (SELECT o_orderkey, {arr} AS arr FROM h JOIN s3 USING (o_orderpriority))
+{prepare_ctes(_FP_COLS, _FP_PATTERN, 5, "o_orderpriority", "o_orderkey")}
 SELECT o_orderkey, CAST(f AS INTEGER) AS f, round(arr[f + 1], 6) AS v FROM a, range(5) r(f)"""
 
 

@@ -105,17 +105,39 @@ def test_softmax_sums_to_one(spark):
         assert abs(sum(r["p"]) - 1.0) < 1e-12
 
 
-def test_kernel_scorer_brute_force():
+def _votes(cx, cy, x, n):
+    logit = -((x[:, None, :] - cx[None, :, :]) ** 2).sum(axis=2) / cx.shape[1]
+    w = np.exp(logit - logit.max(axis=1, keepdims=True))
+    w /= w.sum(axis=1, keepdims=True)
+    return np.stack([w[:, cy == k].sum(axis=1) for k in range(n)], axis=1)
+
+
+def test_block_scores_equal_brute_force_at_any_size(spark):
+    """20 000 context rows in slices, queries in groups; far queries, whose weights underflow; no cap."""
     rng = np.random.default_rng(0)
-    cx, cy, x = rng.normal(size=(40, 5)), rng.integers(0, 3, 40), rng.normal(size=(7, 5))
-    got = S.kernel_scorer(cx, cy, 3, x, block=3)
-    for i in range(len(x)):
-        logit = np.array([-((x[i] - c) ** 2).sum() / 5 for c in cx])
-        w = np.exp(logit - logit.max())
-        w /= w.sum()
-        want = np.array([w[cy == k].sum() for k in range(3)])
-        assert np.allclose(got[i], want, atol=1e-10)
-    assert np.allclose(got.sum(axis=1), 1.0)
+    cx, cy, x = rng.normal(size=(20_000, 5)), rng.integers(0, 3, 20_000), rng.normal(size=(150, 5)) * rng.choice([1.0, 60.0], size=(150, 1))
+    ctx = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(cx, cy)], "x array<double>, y int").repartition(6)
+    query = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    want = _votes(cx, cy, x, 3)
+    for group, piece in ((40, 3000), (1 << 15, 1 << 16)):
+        got = S.block_scores(query, ctx, ["id"], "x", "y", S.KernelVote(3), group=group, piece=piece).orderBy("id").collect()
+        assert [r["id"] for r in got] == list(range(150))
+        assert np.allclose(np.array([r["scores"] for r in got]), want, atol=1e-9)
+    few = S.block_scores(query, ctx.limit(3), ["id"], "x", "y", S.KernelVote(3), group=40, piece=1).collect()
+    assert len(few) == 150 and all(abs(sum(r["scores"]) - 1) < 1e-9 for r in few)
+    none = S.block_scores(query, ctx.where("y > 9"), ["id"], "x", "y", S.KernelVote(3)).collect()
+    assert len(none) == 150 and all(r["scores"] == [None] * 3 for r in none)
+    assert "Broadcast" not in S.block_scores(query, ctx, ["id"], "x", "y", S.KernelVote(3))._jdf.queryExecution().toString()
+
+
+def test_whole_context_scorer(spark):
+    ctx = spark.createDataFrame([([0.0], 0), ([9.0], 1)], "x array<double>, y int")
+    cx, cy = S.collect_context(ctx, "x", "y", 10)
+    nearest = lambda cx, cy, n, x: -np.abs(x - np.array([cx[cy == k].mean() for k in range(n)])[None, :])
+    got = S.context_score(spark.createDataFrame([(1, [2.0]), (2, [8.0])], "id long, x array<double>"), ["id"], "x", cx, cy, 2, nearest).collect()
+    assert {r["id"]: int(np.argmax(r["scores"])) for r in got} == {1: 0, 2: 1}
+    with pytest.raises(ValueError, match="above its cap"):
+        S.collect_context(ctx, "x", "y", 1)
 
 
 def _np_quantile_normal(train, x):
@@ -225,12 +247,55 @@ def test_yeo_johnson_lambda_is_the_likelihood_maximum(spark):
     assert abs(yj.lam["x"] - best) <= 0.006, (yj.lam["x"], best)
 
 
-def test_hierarchical_probabilities_sum_to_one(spark):
-    from tests.conftest import SF001
-    from tessera.plans.q_views import _hier
-    q, _ = _hier(spark, SF001)
-    sums = [sum(r["proba"]) for r in q.select("proba").limit(200).collect()]
-    assert sums and all(abs(s - 1.0) < 1e-9 for s in sums)
+def test_class_tree_probabilities_and_plan_size(spark):
+    """Sums of one, the class of a row's own centre first; the plan does not grow with the classes."""
+    sizes = set()
+    for n in (25, 101):
+        rows = spark.range(n * 4).select((F.col("id") % n).alias("label"), (F.col("id") % n * 10.0 + F.col("id") % 3 * 0.01).alias("a"),
+                                         (F.col("id") % n * -7.0).alias("b"), "id")
+        m = S.fit_class_tree(rows, ["a", "b"], "label")
+        p = S.chain_rule(S.node_scores(rows, ["id"], m), ["id"], m)
+        assert all(abs(r[0] - 1.0) < 1e-9 for r in p.groupBy("id").agg(F.sum("p")).select("sum(p)").collect())
+        best = TG.label_decode(S.best_class(p, ["id"]), "class_idx", m.dictionary, "label").select("id", "label").collect()
+        own = sum(r["label"] == r["id"] % n for r in best)
+        assert own >= 0.8 * 4 * n, (n, own)   # inner nodes see the means of their groups
+        sizes.add(len(S.tree_logits(p)._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+    assert len(sizes) == 1
+
+
+def test_regression_to_class_edges(spark):
+    df = spark.createDataFrame([(d, i, float(i % 7) if i % 4 else None, float(v)) for d, n in (("a", 40), ("b", 1), ("c", 30))
+                                for i in range(n) for v in [i if d != "c" else 5.0]], "d string, id long, f double, y double")
+    for bad in ({"n_classes": 1}, {"n_classes": -2}, {"n_classes": 3, "mode": "other"}, {"n_classes": 3, "mode": "value", "boundaries": [0.0]}):
+        with pytest.raises(ValueError):
+            TG.regression_to_class(df, ["d"], ["f"], "y", ["id"], **bad)
+    with pytest.raises(ValueError, match="two categories"):
+        TG.num_to_cat(df, ["d"], {"f": 1}, ["id"], 0)
+    got = TG.regression_to_class(df, ["d"], ["f"], "y", ["id"], 4, categories={"f": 3}, max_features=2)
+    rows = {(r["d"], r["id"]): r for r in got.collect()}
+    assert len(rows) == 71 and all(0 <= r["y"] < 4 and r["x"][1] == 0.0 for r in rows.values())
+    assert len({r["y"] for k, r in rows.items() if k[0] == "c"}) == 1 and all(rows["a", i]["x"][0] is None for i in range(0, 40, 4))
+    half = TG.regression_to_class(df, ["d"], ["f"], "y", ["id"], 2, balanced=True, permute=False)
+    assert {(r["d"], r["y"]): r["count"] for r in half.groupBy("d", "y").count().collect()} == {("a", 0): 20, ("a", 1): 20, ("b", 0): 1, ("c", 0): 30}
+    value = TG.regression_to_class(df, ["d"], ["f"], "y", ["id"], 3, mode="value", boundaries=[-0.5, 0.5], permute=False)
+    assert {r["y"] for r in value.where("d = 'a'").collect()} == {0, 1, 2}
+
+
+def test_split_repair_reads_invalid_datasets_only(spark, monkeypatch):
+    rows = [(d, i, "x" if (i % 2 if d < 5 else i < 4) else "y") for d in range(10) for i in range(8)]
+    df = spark.createDataFrame(rows, "d int, i int, label string")
+    seen, kept = [], O.split_validity
+
+    def watched(x, *a, **k):
+        seen.append({r["d"] for r in x.select("d").distinct().collect()})
+        return kept(x, *a, **k)
+
+    monkeypatch.setattr(O, "split_validity", watched)
+    got = {r["d"]: r["attempt"] for r in O.split_repair(df, ["d"], "label", "i", 4, ["i"]).collect()}
+    assert seen[0] == set(range(10)) and seen[1] == set(range(5, 10)) and all(b <= a for a, b in zip(seen, seen[1:]))
+    assert all(got[d] == 0 for d in range(5)) and all(got[d] > 0 for d in range(5, 10))
+    one = O.split_repair(df.withColumn("label", F.lit("x")), ["d"], "label", "i", 4, ["i"], n_attempts=2).collect()
+    assert len(one) == 10 and not any(r["accepted"] for r in one)
 
 
 def _fails(df, match):
