@@ -42,6 +42,14 @@ def accuracy(df: DataFrame, pred: str, true: str, by: list[str] | None = None, d
                         .otherwise(F.col("correct") / F.col("n")))
 
 
+def accuracy_per_file(df: DataFrame, files: DataFrame, pred: str, true: str, file: str = "file") -> DataFrame:
+    """file, n, correct, accuracy of every file of a listing (``path``): one
+    without rows has n = 0 and no accuracy."""
+    found = accuracy(df, pred, true, by=[file])
+    return files.select(F.col("path").alias(file)).join(found, file, "left").select(
+        file, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("correct", F.lit(0)).alias("correct"), "accuracy")
+
+
 def per_class_counts(df: DataFrame, pred: str, true: str) -> DataFrame:
     """label, tp, fp, fn, support over labels in truth U prediction."""
     t = df.groupBy(F.col(true).alias("label")).agg(

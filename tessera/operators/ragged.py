@@ -77,6 +77,15 @@ def microbatch_validate(df: DataFrame, mb: list[str], seq_len: str, train_size:
     return g.withColumn("valid", (F.col("n_seq_len") == 1) & (F.col("n_train_size") == 1))
 
 
+def microbatch_sizes(df: DataFrame, mb: list[str], seq_len: str, train_size: str) -> DataFrame:
+    """(mb, seq_len, train_size): what the datasets of each micro-batch share.
+    Datasets of one micro-batch that differ are an error."""
+    g = df.groupBy(*mb).agg(F.min(seq_len).alias(seq_len), F.max(seq_len).alias("_l"), F.min(train_size).alias(train_size), F.max(train_size).alias("_t"))
+    shared = lambda c, top, what: F.when(F.col(c).eqNullSafe(F.col(top)), F.col(c)).otherwise(F.raise_error(F.concat(
+        F.lit("micro-batch ["), F.concat_ws(", ", *[F.col(k).cast("string") for k in mb]), F.lit(f"]: datasets of different {what}"))))
+    return g.select(*mb, shared(seq_len, "_l", "sequence length").alias(seq_len), shared(train_size, "_t", "training size").alias(train_size))
+
+
 def microbatch_align(df: DataFrame, mb: list[str], pos: str, seq_len: str, x: str, d: str) -> DataFrame:
     """Rows cut to the micro-batch seq_len (its minimum), features to its max d."""
     g = df.groupBy(*mb).agg(F.min(seq_len).alias("_L"), F.max(d).alias("_D"))

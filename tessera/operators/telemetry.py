@@ -8,8 +8,10 @@ chunk of lines so one huge file never collapses into one task.
 
 from __future__ import annotations
 
+import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.arrays import map_last_wins
 from tessera.operators.ordering import carry_forward, chunked_lag, running_sum
@@ -22,6 +24,7 @@ SECRET_PATTERNS = ("password", "secret", "token", "key", "credential", "pwd")
 MASK = "***"
 SUMMARY_MAX_TEXT = 16384
 SUMMARY_MAX_ITEMS = 16
+SUMMARY_SAMPLE, SUMMARY_MAX_KEYS, SUMMARY_HEAD_BYTES = 5, 8, 32   # fixed values
 # Byte multipliers of the link-status units.
 UNIT_SCALE = {"b": 1, "kb": 1024, "mb": 1024 ** 2, "gb": 1024 ** 3, "bytes": 1}
 # Fixed value: "Tx: 123.4 MB" style counter pattern.
@@ -234,6 +237,60 @@ def summarise_list(arr: Column) -> Column:
                   F.struct(F.lit("list").alias("_type"), F.size(arr).alias("size"), F.slice(arr, 1, 5).alias("sample")))
 
 
+def _json_text(text: Column) -> Column:
+    """The text as a JSON string, quotes included."""
+    one = F.to_json(F.array(text))
+    return F.substring(one, F.lit(2), F.length(one) - 2)
+
+
+def _json_list(items: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+
+
+def summarise(value: Column, kind: T.DataType, sets: tuple[str, ...] = (), path: str = "") -> Column:
+    """JSON text that is safe to log, of a value of any (nested) type:
+
+    * a list of more than 16 items: its type, size and first 5 items,
+    * a map or struct of more than 16 entries: type, size and first 8 keys,
+    * an array named in ``sets`` (dotted path) is a set: type, size and the
+      8 least values,
+    * bytes: type, size and the first 32 as hex,
+    * other text is cut at 16384 characters, with the number cut off.
+
+    Items, values and fields are summarised in turn.  The types are walked once,
+    when the expression is built; it holds no Python."""
+    inner = lambda c, t, name="": summarise(c, t, sets, f"{path}.{name}".strip("."))
+    counted = lambda name, size, rest: F.concat(F.lit(f'{{"_type":"{name}","size":'), size.cast("string"), F.lit(","), rest, F.lit("}"))
+    if isinstance(kind, T.ArrayType):
+        item = lambda x: inner(x, kind.elementType)
+        if path in sets:
+            least = F.slice(F.sort_array(F.array_distinct(value)), 1, SUMMARY_MAX_KEYS)
+            out = counted("set", F.size(F.array_distinct(value)), F.concat(F.lit('"values":'), _json_list(F.transform(least, item))))
+        else:
+            many = counted("list", F.size(value), F.concat(F.lit('"sample":'), _json_list(F.transform(F.slice(value, 1, SUMMARY_SAMPLE), item))))
+            out = F.when(F.size(value) > SUMMARY_MAX_ITEMS, many).otherwise(_json_list(F.transform(value, item)))
+    elif isinstance(kind, T.MapType):
+        keys = F.transform(F.map_keys(value), lambda k: _json_text(k.cast("string")))
+        many = counted("dict", F.size(value), F.concat(F.lit('"keys":'), _json_list(F.slice(keys, 1, SUMMARY_MAX_KEYS))))
+        entries = F.transform(F.map_entries(value), lambda e: F.concat(_json_text(e["key"].cast("string")), F.lit(":"), inner(e["value"], kind.valueType)))
+        out = F.when(F.size(value) > SUMMARY_MAX_ITEMS, many).otherwise(F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")))
+    elif isinstance(kind, T.StructType):
+        names = [f.name for f in kind]
+        if len(names) > SUMMARY_MAX_ITEMS:
+            out = counted("dict", F.lit(len(names)), F.lit('"keys":' + json.dumps(names[:SUMMARY_MAX_KEYS], ensure_ascii=False, separators=(",", ":"))))
+        else:
+            fields = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), inner(value[f.name], f.dataType, f.name)) for f in kind]
+            out = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    elif isinstance(kind, T.BinaryType):
+        head = F.lower(F.hex(F.substring(value, 1, SUMMARY_HEAD_BYTES)))
+        out = counted("bytes", F.octet_length(value), F.concat(F.lit('"head":"'), head, F.lit('"')))
+    elif isinstance(kind, (T.NumericType, T.BooleanType)):
+        out = value.cast("string")
+    else:
+        out = _json_text(summarise_text(value.cast("string")))
+    return F.coalesce(out, F.lit("null"))
+
+
 def level_rank(level: Column) -> Column:
     expr = None
     for k, v in LEVELS.items():

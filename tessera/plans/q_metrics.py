@@ -10,6 +10,7 @@ from tessera.operators.ordering import stratified_kfold
 from tessera.plans.common import r6
 from tessera.plans.registry import register
 from tessera.plans.sqlbits import u_sql
+from tessera.sources.files import list_files
 from tessera.session import scratch_path, table
 
 _DOCS_SQL = """(SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic,
@@ -40,19 +41,22 @@ prf2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision
 
 
 @register("accuracy_per_file", f"""
-SELECT lang, count(*) AS n, CAST(sum(CASE WHEN CAST(pred_quality AS VARCHAR) = CAST(quality AS VARCHAR) THEN 1 ELSE 0 END) AS BIGINT) AS correct,
-       round(sum(CASE WHEN CAST(pred_quality AS VARCHAR) = CAST(quality AS VARCHAR) THEN 1 ELSE 0 END) / count(*), 6) AS accuracy
-FROM {_DOCS_SQL} x GROUP BY lang""")
+WITH f AS (SELECT CASE WHEN lang IS NULL THEN 'none' ELSE lang END || '-' || k AS file, k, lang FROM (SELECT DISTINCT lang FROM {_DOCS_SQL} x), range(4) r(k)),
+m AS (SELECT lang || '-' || doc_id % 3 AS file, CASE WHEN CAST(pred_quality AS VARCHAR) = CAST(quality AS VARCHAR) THEN 1 ELSE 0 END AS ok FROM {_DOCS_SQL} x)
+SELECT file, count(ok) AS n, CAST(coalesce(sum(ok), 0) AS BIGINT) AS correct, round(sum(ok) / count(ok), 6) AS accuracy
+FROM f LEFT JOIN m USING (file) GROUP BY file""")
 def _acc_per_file(spark, sf_dir):
+    """Four result files a language, the last without rows; they are listed, read and joined."""
     path = scratch_path(spark, "pred-csv")
-    d = _docs(spark, sf_dir)
-    d.select("lang", "doc_id", "pred_quality", "quality").repartition("lang") \
-        .write.partitionBy("lang").option("header", True).csv(path)
-    back = spark.read.option("header", True).csv(path).select(
-        "*", F.col("_metadata.file_path").alias("file"))
-    a = M.accuracy(back, "pred_quality", "quality", by=["file"])
-    return a.select(F.regexp_extract("file", r"lang=([^/]+)/", 1).alias("lang"), "n", "correct",
-                    r6("accuracy").alias("accuracy"))
+    d = _docs(spark, sf_dir).select(F.concat_ws("-", "lang", (F.col("doc_id") % 3).cast("string")).alias("name"), "lang", "doc_id", "pred_quality", "quality")
+    d.write.partitionBy("name").option("header", True).csv(path)
+    for r in d.select("lang").distinct().collect():   # one row a language
+        d.where("false").select("doc_id", "pred_quality", "quality").coalesce(1).write.option("header", True).csv(f"{path}/name={r['lang']}-3")
+    back = spark.read.schema("lang string, doc_id long, pred_quality string, quality string").option("header", True).csv(path)
+    folder = lambda c: F.regexp_extract(c, r"name=([^/]+)/", 1)
+    files = list_files(spark, path, "*.csv").select(folder("path").alias("path")).distinct()
+    a = M.accuracy_per_file(back.withColumn("file", folder(F.col("_metadata.file_path"))), files, "pred_quality", "quality")
+    return a.select("file", "n", "correct", r6("accuracy").alias("accuracy"))
 
 
 @register("balanced_accuracy", "WITH " + _per_class_sql("pred_quality", "quality").strip() + """

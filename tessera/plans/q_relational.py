@@ -66,7 +66,7 @@ def _class_group(spark, sf_dir):
     d = TG.label_dictionary(p, "p_brand")
     root = TG.class_tree(d).where("depth = 0").select("class_idx", F.col("group").cast("int").alias("grp"))
     m = d.join(root, "class_idx").select(F.col("label").alias("p_brand"), "grp")
-    return p.join(F.broadcast(m), "p_brand").select("p_partkey", "grp")
+    return p.join(m, "p_brand").select("p_partkey", "grp")
 
 
 from tessera.plans.classify import _BASE_SQL as _CLS_SQL  # noqa: E402

@@ -37,9 +37,8 @@ def _csv_named(spark, sf_dir):
 
 @register("scan_parquet", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def _parquet(spark, sf_dir):
-    path = scratch_path(spark, "pq")
-    table(spark, sf_dir, "customer").write.parquet(path)
-    return FS.read_table(spark, path, "pq")
+    return FS.read_table(spark, f"{sf_dir.rstrip('/')}/customer.parquet", "pq").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 _EV_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
@@ -103,11 +102,15 @@ def _dataset_tree(spark, sf_dir):
     return root
 
 
-@register("list_files_recursive")
+@register("list_files_recursive", """
+SELECT 'p' || substr(o_orderpriority, 1, 1) || '/' || k AS folder, true AS has_bytes, true AS is_csv
+FROM orders, (VALUES ('train.csv'), ('test.csv')) f(k) WHERE k = 'train.csv' OR substr(o_orderpriority, 1, 1) IN ('1', '3', '5') GROUP BY 1""")
 def _list_files(spark, sf_dir):
+    """Folders below the root that hold listed files (their own names and sizes are the writer's)."""
     root = _dataset_tree(spark, sf_dir)
     lst = FS.list_by_extension(spark, root, "csv")
-    return lst.select(F.regexp_replace("path", "^.*/datasets-[0-9a-f]+/", "").alias("relative_path"), "length")
+    folder = F.regexp_extract("path", "^.*/datasets-[0-9a-f]+/(.*)/[^/]+$", 1)
+    return lst.groupBy(folder.alias("folder")).agg((F.min("length") > 0).alias("has_bytes"), F.bool_and(F.lower("path").endswith(".csv")).alias("is_csv"))
 
 
 @register("pair_train_test", """
@@ -124,34 +127,44 @@ SELECT l_returnflag AS flag, count(*) AS rows, count(*) AS weight FROM lineitem
 def _inventory(spark, sf_dir):
     path = scratch_path(spark, "inv")
     li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_quantity")
-    li.repartition("l_returnflag").write.partitionBy("l_returnflag").option("header", True).csv(path)
-    inv = FS.inventory(spark, path)
-    return inv.select(F.regexp_extract("path", r"l_returnflag=([^/]+)/", 1).alias("flag"), "rows", "weight")
+    # a flag holds a third of the rows: several files each
+    li.repartitionByRange("l_returnflag", "l_orderkey").write.partitionBy("l_returnflag").option("header", True).csv(path)
+    inv = FS.inventory(spark, path).withColumn("flag", F.regexp_extract("path", r"l_returnflag=([^/]+)/", 1))
+    return inv.groupBy("flag").agg(F.sum("rows").alias("rows"), F.sum("weight").alias("weight"))
 
 
-@register("sink_csv_union_schema", """
-SELECT CAST(event_id AS VARCHAR) AS event_id, NULL::VARCHAR AS user_id, CAST(value AS VARCHAR) AS value FROM events WHERE event_type = 'click'
-UNION ALL SELECT CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), NULL::VARCHAR FROM events WHERE event_type = 'view'""")
+#: What the records of each type of event hold.
+_RECORDS = {"click": ["event_id", "value"], "view": ["event_id", "user_id"], "purchase": ["event_id", "user_id", "value"],
+            "signup": ["event_id", "user_id", "props"], "error": ["event_id", "props"]}
+_RECORD_COLUMNS = ["event_id", "props", "user_id", "value"]
+
+
+@register("sink_csv_union_schema", " UNION ALL ".join(
+    "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in cols else f"NULL::VARCHAR AS {c}" for c in _RECORD_COLUMNS)
+    + f" FROM events WHERE event_type = '{kind}'" for kind, cols in _RECORDS.items()))
 def _csv_union(spark, sf_dir):
     path = scratch_path(spark, "union-csv")
     e = table(spark, sf_dir, "events")
-    FS.write_csv_union([e.where("event_type = 'click'").select("event_id", "value"),
-                        e.where("event_type = 'view'").select("event_id", "user_id")], path)
-    back = spark.read.option("header", True).csv(path)
-    assert back.columns == ["event_id", "user_id", "value"], back.columns
-    return back      # text as written: blanks read back as missing
+    FS.write_csv_union([e.where(F.col("event_type") == kind).select(*cols) for kind, cols in _RECORDS.items()], path)
+    # text as written: blanks read back as missing, sorted names in the header
+    return spark.read.schema(", ".join(f"{c} string" for c in _RECORD_COLUMNS)).option("header", True).option("enforceSchema", False) \
+        .option("escape", '"').option("quote", '"').csv(path)
 
 
 @register("sink_json_meta", """
-SELECT lang, count(*) AS n_rows, 5 AS n_cols, count(DISTINCT source) AS n_sources, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY 1""")
+SELECT lang, count(*) AS n_rows, 5 AS n_cols, count(DISTINCT source) AS n_sources, CAST(sum(n_chars) AS BIGINT) AS n_chars,
+       '[{"name":"doc_id","type":"bigint","description":"number of the document"},{"name":"text","type":"string"},{"name":"lang","type":"string"},'
+       || '{"name":"source","type":"string"},{"name":"n_chars","type":"bigint","description":"code points of the text"}]' AS columns
+FROM documents GROUP BY 1""")
 def _json_meta(spark, sf_dir):
     path = scratch_path(spark, "meta")
-    d = table(spark, sf_dir, "documents")
-    meta = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(5).alias("n_cols"),
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    described = FS.column_descriptor(d, {"doc_id": "number of the document", "n_chars": "code points of the text"})
+    meta = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(d.columns)).alias("n_cols"),
                                  F.count_distinct("source").alias("n_sources"), F.sum("n_chars").alias("n_chars"))
-    FS.write_meta(meta, path)
-    schema = "lang string, n_rows bigint, n_cols int, n_sources bigint, n_chars bigint"
-    return spark.read.schema(schema).json(path)
+    FS.write_meta(meta.withColumn("columns", described), path)
+    schema = "lang string, n_rows bigint, n_cols int, n_sources bigint, n_chars bigint, columns array<struct<name:string,type:string,description:string>>"
+    return spark.read.schema(schema).json(path).withColumn("columns", F.to_json("columns"))
 
 
 from tessera.plans.classify import _BASE_SQL as _CLS_SQL  # noqa: E402
@@ -172,7 +185,8 @@ def _batches(spark, sf_dir):
                     F.array(F.length("text").cast("float"), F.col("turn").cast("float")).alias("x"))
 
 
-@register("batch_store_write")
+@register("batch_store_write", """
+SELECT CAST(conv_id // 10 AS INTEGER) AS batch_id, count(*) AS rows, 2 * count(*) AS values FROM conversations GROUP BY 1""")
 def _store_write(spark, sf_dir):
     path = scratch_path(spark, "batches")
     FS.save_batches(_batches(spark, sf_dir), path)
@@ -181,11 +195,13 @@ def _store_write(spark, sf_dir):
 
 
 @register("batch_store_read", """
-SELECT CAST(conv_id // 10 AS INTEGER) AS batch_id, conv_id, turn FROM conversations WHERE conv_id // 10 >= 2 AND conv_id // 10 < 5""")
+SELECT CAST(conv_id // 10 AS INTEGER) * 7 AS batch_id, conv_id, turn FROM conversations
+WHERE conv_id // 10 IN (SELECT DISTINCT conv_id // 10 FROM conversations WHERE conv_id // 10 * 7 >= 15 ORDER BY 1 LIMIT 3)""")
 def _store_read(spark, sf_dir):
     path = scratch_path(spark, "batches")
-    FS.save_batches(_batches(spark, sf_dir), path)
-    return FS.load_batches(spark, path, start=2, max_batches=3).select("batch_id", "conv_id", "turn")
+    # numbers with gaps: the first three batches that are there from number 15 on
+    FS.save_batches(_batches(spark, sf_dir).withColumn("batch_id", F.col("batch_id") * 7), path)
+    return FS.load_batches(spark, path, start=15, max_batches=3).select("batch_id", "conv_id", "turn")
 
 
 @register("shard_select", """

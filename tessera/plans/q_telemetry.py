@@ -323,23 +323,33 @@ def _redact(spark, sf_dir):
     return r.select("event_id", F.explode("m").alias("key", "value"))
 
 
-@register("summarise_values", """
-SELECT doc_id, CAST(length(CASE WHEN length(text) > 16384 THEN text[1:16384] || '...<truncated ' || CAST(length(text) - 16384 AS VARCHAR) || ' chars>'
-       ELSE text END) AS INTEGER) AS text_len,
-       CASE WHEN length(text) > 16384 THEN '...<truncated ' || CAST(length(text) - 16384 AS VARCHAR) || ' chars>' END AS suffix,
-       CAST(CASE WHEN len(string_split(text, ' ')) > 16 THEN len(string_split(text, ' ')) ELSE 0 END AS INTEGER) AS list_size,
-       CASE WHEN len(string_split(text, ' ')) > 16 THEN array_to_string(string_split(text, ' ')[1:5], ' ') END AS list_head
-FROM documents""")
+_CUT = "CASE WHEN length({0}) > 16384 THEN {0}[1:16384] || '...<truncated ' || CAST(length({0}) - 16384 AS VARCHAR) || ' chars>' ELSE {0} END"
+_LIST = "CASE WHEN len({0}) > 16 THEN json_object('_type', 'list', 'size', len({0}), 'sample', {0}[1:5]) ELSE to_json({0}) END"
+
+
+@register("summarise_values", f"""
+WITH d AS (SELECT doc_id, text, lang, source, list_transform(string_split(text, ' '), lambda w: {_CUT.format('w')}) AS words,
+                  list_sort(list_distinct(string_split(text, ' '))) AS tags FROM documents),
+n AS (SELECT *, list_transform(range(0, 3), lambda k: words[k * 20 + 1 : k * 20 + 20]) AS rows FROM d)
+SELECT doc_id, CAST(json_object(
+  'text', {_CUT.format('text')},
+  'words', {_LIST.format('words')},
+  'rows', list_transform(rows, lambda r: {_LIST.format('r')}),
+  'meta', json_object('lang', lang, 'source', source, 'none', NULL),
+  'wide', json_object('_type', 'dict', 'size', 20, 'keys', ['k0', 'k1', 'k2', 'k3', 'k4', 'k5', 'k6', 'k7']),
+  'tags', json_object('_type', 'set', 'size', len(tags), 'values', list_transform(tags[1:8], lambda w: {_CUT.format('w')})),
+  'raw', json_object('_type', 'bytes', 'size', octet_length(encode(text)), 'head', lower(left(hex(encode(text)), 64))),
+  'n', length(text)) AS VARCHAR) AS summary FROM n""")
 def _summarise(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    s = TL.summarise_text(F.col("text"))
+    """Nested values of every kind, as a log line would hold them."""
     words = F.split("text", " ")
-    lst = TL.summarise_list(words)
-    n = F.length("text")
-    return d.select("doc_id", F.length(s).alias("text_len"),
-                    F.when(n > TL.SUMMARY_MAX_TEXT, F.concat(F.lit("...<truncated "), (n - TL.SUMMARY_MAX_TEXT).cast("string"),
-                                                             F.lit(" chars>"))).alias("suffix"),
-                    F.coalesce(lst["size"], F.lit(0)).cast("int").alias("list_size"), F.array_join(lst["sample"], " ").alias("list_head"))
+    value = F.struct(
+        F.col("text"), words.alias("words"), F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.slice(words, k * 20 + 1, 20)).alias("rows"),
+        F.create_map(F.lit("lang"), "lang", F.lit("source"), "source", F.lit("none"), F.lit(None).cast("string")).alias("meta"),
+        F.map_from_arrays(F.array(*[F.lit(f"k{i}") for i in range(20)]), F.sequence(F.lit(0), F.lit(19))).alias("wide"),
+        words.alias("tags"), F.col("text").cast("binary").alias("raw"), F.length("text").alias("n"))
+    d = table(spark, sf_dir, "documents").select("doc_id", value.alias("v"))
+    return d.select("doc_id", TL.summarise(F.col("v"), d.schema["v"].dataType, sets=("tags",)).alias("summary"))
 
 
 @register("level_filter", f"""

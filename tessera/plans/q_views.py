@@ -288,6 +288,5 @@ def _format(spark, sf_dir):
     q = apply_classifier(rows, m)
     extra = passthrough(rows.select(*FEATURES), [1])
     out = q.select("prediction", S.format_probabilities(labels, F.col("proba")).alias("probabilities"), "id", *extra)
-    assert out.columns == ["prediction", "probabilities", "id", "col_1"]
     p = F.from_json("probabilities", "map<string,double>")
     return out.select("id", "prediction", "col_1", F.explode(p).alias("label", "p")).withColumn("p", r6("p"))

@@ -22,8 +22,9 @@ _DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
 }
+#: A local master computes in the driver; elsewhere its memory is the cluster's to set.
+_LOCAL_CONF = {"spark.driver.memory": "16g"}
 
 
 def get_spark(master: str | None = None, app: str = "tessera",
@@ -32,7 +33,7 @@ def get_spark(master: str | None = None, app: str = "tessera",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULT_CONF)
+    conf = {**_DEFAULT_CONF, **(_LOCAL_CONF if (master or "").startswith("local") else {})}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -9,7 +9,13 @@ reference gets from a temp-file rename.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+import logging
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,35 +42,48 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv", header: bool =
     return r.parquet(path)
 
 
-def read_named_csv(spark: SparkSession, path: str, required: list[str], sep: str = ",",
+def read_named_csv(spark: SparkSession, path: str, required: list[str], optional: list[str] | None = None, sep: str = ",",
                    encoding: str = "utf-8") -> DataFrame:
-    """Header CSV, each file read by its own header (files may order their
-    columns differently); unreadable files are skipped, a file without a
-    required column is fatal.  Rows keep the path of their file (``file``).
-
-    The headers are gathered first: one row per distinct header line, so the
-    files are read in as many scans as there are header lines."""
-    lines = spark.read.option("encoding", encoding).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(path)
-    first = lines.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"), "value") \
-        .where("at = 0").groupBy("f").agg(F.first("value").alias("header"))
-    kinds = [r["header"] for r in first.select("header").distinct().orderBy("header").collect()]
-    frames = []
-    for header in kinds:
-        names = [c.strip().strip('"') for c in header.split(sep)]
-        missing = [c for c in required if c not in names]
+    """Header CSV, each file read by its own header, in one pass: files may
+    order their columns differently, quote their names or hold more columns.
+    ``required`` and ``optional`` columns come back as text (an optional one
+    that a file lacks is null), with the path of the ``file``.
+
+    A file is one unit of work (its content is held by one task) and read once,
+    by Spark's own reader.  A file that can't be decoded or parsed is skipped with
+    a warning in the executor's log; one without a required column is fatal."""
+    names = [*required, *(optional or [])]
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, "file"]])
+
+    def rows_of(content: bytes, file: str) -> Iterator[list]:
+        lines = csv.reader(io.StringIO(content.decode(encoding).removeprefix("\ufeff"), newline=""), delimiter=sep, strict=True)
+        header = next(lines, None)
+        if header is None:
+            return  # an empty file has neither header nor rows
+        header = [c.strip() for c in header]
+        missing = [c for c in required if c not in header]
         if missing:
-            raise ValueError(f"missing required columns {missing}; found {names}")
-        paths = [r["f"] for r in first.where(F.col("header") == header).select("f").collect()] if len(kinds) > 1 else [path]
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-        r = spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding) \
-            .option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).option("mode", "PERMISSIVE")
-        frames.append(r.csv(paths).withColumn("file", F.col("_metadata.file_path")))
-    if not frames:
-        raise FileNotFoundError(f"no readable file with a header in {path}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+            raise LookupError(f"missing required columns {missing} in {file}; found {header}")
+        at = [header.index(c) if c in header else None for c in names]
+        for line in lines:
+            if line:
+                yield [*(line[k] if k is not None and k < len(line) and line[k] != "" else None for k in at), file]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [pa.field(c, pa.string()) for c in schema.names]
+        for b in batches:
+            for file, content in zip(b.column(0).to_pylist(), b.column(1)):
+                try:
+                    rows = list(rows_of(content.as_py(), file))
+                except (UnicodeDecodeError, csv.Error) as e:
+                    logging.getLogger(__name__).warning("skipped unreadable file %s: %s", file, e)
+                    continue
+                for k in range(0, len(rows), 10_000):
+                    cols = list(zip(*rows[k:k + 10_000]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], schema=pa.schema(fields))
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path)
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -131,28 +150,43 @@ def write_csv_union(frames: list[DataFrame], path: str) -> None:
     u = frames[0]
     for f in frames[1:]:
         u = u.unionByName(f, allowMissingColumns=True)
-    u.select(*sorted(u.columns)).write.option("header", True).csv(path)
+    u.select(*sorted(u.columns)).write.option("header", True).option("escape", '"').csv(path)   # quotes doubled, as readers expect
 
 
 def write_meta(meta: DataFrame, path: str) -> None:
     meta.write.json(path)
 
 
+def column_descriptor(df: DataFrame, descriptions: dict[str, str] | None = None) -> Column:
+    """What stands next to a result: its columns in order, their types and, where given, what they mean."""
+    known = descriptions or {}
+    unknown = set(known) - set(df.columns)
+    if unknown:
+        raise ValueError(f"descriptions of columns that are not there: {sorted(unknown)}")
+    return F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                              F.lit(known.get(f.name)).cast("string").alias("description")) for f in df.schema])
+
+
 def write_predictions(df: DataFrame, path: str, id_col: str = "id", pred: str = "prediction") -> None:
     df.select(id_col, pred).write.option("header", True).csv(path)
 
 
 def save_batches(df: DataFrame, path: str, batch: str = "batch_id") -> None:
-    """Numbered batches as partition directories (ragged arrays stay native)."""
-    df.repartition(batch).write.partitionBy(batch).parquet(path)
+    """Numbered batches as partition directories (ragged arrays stay native).
+    Batches of any size: rows are dealt in ranges, so a large one is several
+    files and small ones share a task."""
+    df.repartitionByRange(batch, *[c for c in df.columns if c != batch and df.schema[c].dataType.typeName() in ("long", "integer", "string")][:2]) \
+        .write.partitionBy(batch).parquet(path)
 
 
 def load_batches(spark: SparkSession, path: str, start: int = 0, max_batches: int | None = None,
                  batch: str = "batch_id") -> DataFrame:
-    """Batches from ``start`` on (partition pruning), at most ``max_batches``."""
+    """Batches from ``start`` on (partition pruning), at most the first
+    ``max_batches`` that are there, whatever their numbers."""
     df = spark.read.parquet(path).where(F.col(batch) >= start)
     if max_batches is not None:
-        df = df.where(F.col(batch) < start + max_batches)
+        wanted = df.select(batch).distinct().orderBy(batch).limit(max_batches)
+        df = df.join(wanted, batch, "left_semi")
     return df
 
 
