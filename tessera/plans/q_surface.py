@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -77,15 +78,19 @@ def _udf_scorer(spark, sf_dir):
 
 
 @F.pandas_udf(T.StringType())
-def normalise_text(s: pd.Series) -> pd.Series:
-    """Row transform as an Arrow-batched pandas UDF."""
-    return s.str.strip().str.lower()
+def without_accents(s: pd.Series) -> pd.Series:
+    """Row transform that no built-in function offers, over Arrow batches:
+    letters without their accents (canonical decomposition, marks dropped)."""
+    def plain(text):
+        return None if text is None else unicodedata.normalize("NFC", "".join(
+            c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn"))
+    return s.map(plain)
 
 
-@register("udf_row_transform", "SELECT doc_id, lower(trim(' ' || upper(source) || ' ')) AS source FROM documents")
+@register("udf_row_transform", "SELECT doc_id, md5(strip_accents(text)) AS plain_md5, length(strip_accents(text)) AS n_chars FROM documents")
 def _row_transform(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", normalise_text(F.concat(F.lit(" "), F.upper("source"), F.lit(" "))).alias("source"))
+    d = table(spark, sf_dir, "documents").select("doc_id", without_accents("text").alias("plain"))
+    return d.select("doc_id", F.md5("plain").alias("plain_md5"), F.length("plain").cast("long").alias("n_chars"))
 
 
 class SplitLines:
