@@ -29,8 +29,9 @@ from tessera.llm.common import same, stored, text_of
 from tessera.llm.registry import register
 from tessera.session import scratch_path
 
-#: Input of one micro-batch: what a failure repeats at most.
-BATCH_BYTES = str(1 << 40)
+#: Input of one micro-batch: what a failure repeats at most.  A larger table is
+#: several batches, each of which meets the state of those before.
+BATCH_BYTES = str(4 << 30)
 
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

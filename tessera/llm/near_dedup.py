@@ -13,8 +13,10 @@ bucket's smallest node; the confirmed links give components.  Then only
 buckets that still hold more than one component are gone through, in blocks
 of bounded size, and only across components, which loses no link between them.
 
-At the threshold, a link is missed if no band agrees: 1 - 0.75**4 to the power
-of 32, or 5 in a million; less above it.
+At the threshold, a link is missed if no band agrees (1 - 0.75**4 to the power
+of 32, or 5 in a million) or if its sketches differ in more bits than a
+candidate may have (15 in a million): 20 in a million together, 7 at a
+similarity of 0.76, less than 0.1 at 0.80.
 
 Null, empty and wordless texts have an empty set and link with nothing.
 Documents of fewer than five words have one shingle, the whole sequence.  A

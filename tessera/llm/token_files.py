@@ -93,8 +93,18 @@ def make_encoder(spec: str):
     return encode
 
 
+#: Names that Hadoop's readers give to stores which pyarrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def known_uri(path: str) -> str:
+    """``path`` as pyarrow names it; a path without a scheme stays as it is."""
+    scheme, sep, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}{sep}{rest}"
+
+
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(known_uri(path))
 
 
 class FrameWriter:
