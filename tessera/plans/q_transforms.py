@@ -101,7 +101,8 @@ p AS (SELECT l_suppkey, avg(l_quantity) mq, CASE WHEN {_nan_std_sql('l_quantity'
              avg(tax_f) mt, CASE WHEN {_nan_std_sql('tax_f')} IS NULL THEN NULL ELSE greatest({_nan_std_sql('tax_f')}, 1e-6) END st
       FROM x GROUP BY l_suppkey)
 SELECT row_id, round(least(greatest((l_quantity - mq) / sq, -100), 100), 6) AS l_quantity,
-       round(least(greatest((tax_f - mt) / st, -100), 100), 6) AS tax_f FROM x JOIN p USING (l_suppkey)""")
+       CASE WHEN (tax_f - mt) / st IS NOT NULL THEN round(least(greatest((tax_f - mt) / st, -100), 100), 6) END AS tax_f
+FROM x JOIN p USING (l_suppkey)""")
 def _std_nan(spark, sf_dir):
     li = _li(spark, sf_dir, {"tax_f": F.when(F.col("l_linestatus") == "F", F.col("l_tax"))})
     s = TR.StandardScaleNan(["l_quantity", "tax_f"], ["l_suppkey"]).fit(li)
@@ -363,7 +364,7 @@ def prepare_ctes(cols, pattern, width: int, by: str, key: str) -> str:
     hc = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, coalesce(m_{c} - d_{c} * {t}, '-inf'::DOUBLE)), "
                    f"coalesce(m_{c} + d_{c} * {t}, 'inf'::DOUBLE)) END AS {c}" for c in cols)
     s3 = ", ".join(f"avg({c}) n_{c}, {sd(c)} e_{c}" for c in cols)
-    sc = [f"CASE WHEN {c} IS NOT NULL THEN least(greatest(({c} - n_{c}) / e_{c}, -100), 100) END" for c in cols]
+    sc = [f"CASE WHEN ({c} - n_{c}) / e_{c} IS NOT NULL THEN least(greatest(({c} - n_{c}) / e_{c}, -100), 100) END" for c in cols]
     arr = "[" + ", ".join([*(f"{sc[i]} / ({len(cols)}.0 / {width}.0)" for i in pattern), *["0.0"] * (width - len(cols))]) + "]"
     return f"""s1 AS (SELECT {by}, {s1} FROM x GROUP BY 1),
 s2 AS (SELECT {by}, {s2} FROM x JOIN s1 USING ({by}) GROUP BY 1),

@@ -281,6 +281,14 @@ def test_regression_to_class_edges(spark):
     assert {r["y"] for r in value.where("d = 'a'").collect()} == {0, 1, 2}
 
 
+def test_missing_values_stay_missing_when_scaled(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0), ("b", None)], "d string, x double")
+    got = [(r["d"], r["x"]) for r in TR.StandardScaleNan(["x"], ["d"]).fit(df).transform(df).collect()]
+    assert sorted(got, key=str)[:3] == sorted([("a", -1 / 2 ** 0.5), ("a", 1 / 2 ** 0.5), ("a", None)], key=str)
+    assert [x for d, x in got if d == "b"] == [None, None]   # one known value has no deviation
+    assert sorted((r["x"] is None for r in TR.StandardScaleClip(["x"]).fit(df).transform(df).collect())) == [False] * 3 + [True] * 2
+
+
 def test_split_repair_reads_invalid_datasets_only(spark, monkeypatch):
     rows = [(d, i, "x" if (i % 2 if d < 5 else i < 4) else "y") for d in range(10) for i in range(8)]
     df = spark.createDataFrame(rows, "d int, i int, label string")
