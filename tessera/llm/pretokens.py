@@ -3,14 +3,17 @@
 The library stays the authority.  Up to U+024F the character classes of the
 split pattern are read off the library's own pre-tokenizer, character by
 character, when a task starts; a compiled standard ``re`` pattern over those
-classes then splits the text.  A text with any other character, or with the
-string of an added token, goes through the library as a whole.
+classes then splits the text.  The strings of added tokens are cut out first, as
+the library does; what lies between them and has any other character is split
+by the library's own pre-tokenizer.  So every text comes as pre-tokens, whose
+tokens can be counted or looked up one by one.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
@@ -54,8 +57,27 @@ def added_tokens(spec: str) -> list[str]:
     return [t["content"] for t in json.loads(spec).get("added_tokens", [])]
 
 
-def needs_library(spec: str, unsafe: str = "") -> re.Pattern:
-    """Finds what only the library may split: unknown characters, those in
-    ``unsafe``, added tokens."""
+def needs_library(unsafe: str = "") -> re.Pattern:
+    """Finds what only the library may split: unknown characters, those in ``unsafe``."""
     known = "".join(re.escape(chr(c)) for c in range(KNOWN) if chr(c) not in unsafe)
-    return re.compile("|".join([f"[^{known}]", *map(re.escape, added_tokens(spec))]))
+    return re.compile(f"[^{known}]")
+
+
+def cut_added(spec: str) -> Callable[[str], list[str]]:
+    """``cut(text)``: what lies between added tokens (even places) and their
+    strings (odd places).  Added tokens that also take spaces around them, or
+    whole words only, are refused."""
+    added = json.loads(spec).get("added_tokens", [])
+    if odd := [t["content"] for t in added if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]:
+        raise ValueError(f"added tokens that depend on what is around them: {odd}")
+    if not added:
+        return lambda text: [text]
+    longest_first = sorted(added_tokens(spec), key=len, reverse=True)
+    return re.compile(f"({'|'.join(map(re.escape, longest_first))})").split
+
+
+def library_split(tok: Tokenizer, text: str) -> list[str]:
+    """The pre-tokens of a text without added tokens, normalised."""
+    if tok.normalizer is not None:
+        text = tok.normalizer.normalize_str(text)
+    return [text[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(text)]

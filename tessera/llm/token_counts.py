@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm.common import documents, map_rows, text_of
-from tessera.llm.pretokens import byte_characters, classes, needs_library, of_class
+from tessera.llm.pretokens import byte_characters, classes, cut_added, library_split, needs_library, of_class
 from tessera.llm.registry import register
 
 #: Merged pre-tokens that a Python worker remembers before it starts afresh.
@@ -65,12 +65,14 @@ def make_counter(spec: str, whole: list[str]):
     letters, numbers, spaces = (of_class(found, k) for k in "LNS")
     split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
                        rf"|[{spaces}]+(?![^{spaces}])|[{spaces}]+").findall
-    costs, odd = _Costs(tok, whole), needs_library(spec).search
+    costs, cut, odd = _Costs(tok, whole), cut_added(spec), needs_library().search
 
     def count(text: str) -> int:
-        if odd(text):
-            return len(tok.encode(text, add_special_tokens=False).ids)
-        return sum(map(costs.__getitem__, split(text)))
+        parts = cut(text)
+        n = len(parts) // 2  # an added token is one token
+        for part in parts[::2]:
+            n += sum(map(costs.__getitem__, library_split(tok, part) if odd(part) else split(part)))
+        return n
 
     return count
 

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tessera.llm.common import arrow_schema, documents, small_batches, stored, text_of
-from tessera.llm.pretokens import KNOWN, byte_characters, classes, needs_library, of_class
+from tessera.llm.pretokens import KNOWN, byte_characters, classes, cut_added, library_split, needs_library, of_class
 from tessera.llm.registry import register
 from tessera.session import scratch_path
 
@@ -75,20 +75,23 @@ class _Words(dict):
 
 def make_encoder(spec: str):
     """``encode(text) -> bytes`` of little-endian uint32 ids, equal to the
-    library's ids for every text.  Pre-tokens of known characters are encoded
-    once each; other texts go through the library whole."""
+    library's ids for every text.  Pre-tokens are encoded once each."""
     tok = Tokenizer.from_str(spec)
     found = classes(tok)
     lower = tok.normalizer.normalize_str
     unsafe = "".join(c for c, k in found.items() if k != "S" and (lower(c) != c.lower() or ord(max(c.lower())) >= KNOWN))
     letters, numbers, spaces = (of_class(found, k) for k in "LNS")
     split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+").findall
-    words, odd = _Words(tok), needs_library(spec, unsafe).search
+    words, cut, odd = _Words(tok), cut_added(spec), needs_library(unsafe).search
 
     def encode(text: str) -> bytes:
-        if odd(text):
-            return np.array(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(words.__getitem__, split(text.lower())))
+        out = []
+        for k, part in enumerate(cut(text)):
+            if k % 2:
+                out.append(struct.pack("<I", tok.token_to_id(part)))
+            else:
+                out += map(words.__getitem__, library_split(tok, part) if odd(part) else split(part.lower()))
+        return b"".join(out)
 
     return encode
 

@@ -18,7 +18,9 @@ from tests.llm.helpers import rows, tables
 tokenizers = pytest.importorskip("public_tokenizers")
 
 PIECES = ["'s", "'T", "  ", "\n", "\t", "a", "É", "1", "²", "!", "<|endoftext|>", "\x85", "\xa0", "中", " ", "😀", "\x1c", "'ll", "'",
-          "İ", "Σ", "ſ", "ß", "é", "Ⱥ", "é", "the", " of"]
+          "İ", "Σ", "ſ", "ß", "é", "Ⱥ", "é", "the", " of", "’s", " — ", "Привет", " ΟΔΟΣ", "ｅ", "ﬁ", "한글", "e\u0301", "\u2028", "\u3000", "٣", "Ⅻ",
+          "<|startoftext|>", "<|endoftext", "\u200d", "👩\u200d👧", "\x00"]
+
 
 
 def odd_texts(n, seed):
@@ -47,6 +49,23 @@ def test_token_counts_equal_the_library():
         assert count(t) == len(tok.encode(t, add_special_tokens=False).ids), repr(t)
 
 
+def test_texts_beyond_the_known_characters_are_counted_by_pre_tokens(monkeypatch):
+    """The library's own encoding is never asked, whatever the text holds."""
+    spec = open(tokenizers.path("byte_bpe_50k.json")).read()
+    count = token_counts.make_counter(spec, token_counts.prove_whole_tokens(spec))
+    met = []
+    monkeypatch.setattr(token_counts._Costs, "__missing__", lambda self, piece: met.append(piece) or 1)
+    assert count("the “house” <|endoftext|> of Ωmega the house") >= 8
+    assert "the" not in met and " house" not in met and any("Ω" in p for p in met)
+
+
+def test_added_tokens_that_take_their_surroundings_are_refused():
+    spec = '{"added_tokens": [{"content": "<x>", "lstrip": true}]}'
+    with pytest.raises(ValueError, match="<x>"):
+        pretokens.cut_added(spec)
+    assert pretokens.cut_added('{"added_tokens": [{"content": "<x>"}, {"content": "<x>y"}]}')("a<x>yb<x>") == ["a", "<x>y", "b", "<x>", ""]
+
+
 def test_token_counts_query(spark, texts):
     tok = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
     want = [(i, len(t.encode()), n := len(tok.encode(t, add_special_tokens=False).ids), n > 512) for i, t in texts.items()]
