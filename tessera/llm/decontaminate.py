@@ -9,6 +9,12 @@ them at hand; an extension of ``WINDOW`` words or more is a hit, one that is
 shorter is dropped.  Items of fewer words than the window are matched whole,
 by the hash of all their words.
 
+An extension that long holds one of the windows around the gram, at the same
+place on both sides.  So a fingerprint carries the hashes of these windows, and
+two meet only by one of them (by the first on which they agree): of a gram that
+is common in documents and benchmark, such as a set phrase, copies with other
+neighbours are never paired.
+
 Documents send only fingerprints that pass a bitmap of the benchmark's (of
 fixed size, however large the benchmark) and so almost none when clean.
 
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, map_rows, stored, text_of
 from tessera.llm.registry import register
-from tessera.llm.shingling import WordHashes, ngrams
+from tessera.llm.shingling import MULTIPLIERS, WordHashes, mix, ngrams
 
 WINDOW = 10
 GRAM = 5
@@ -35,7 +41,7 @@ GRAM = 5
 BITS = 1 << 24
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_PRINTS = "array<struct<h:bigint,size:int,at:int,start:int,words:array<string>>>"
+_PRINTS = "array<struct<h:bigint,size:int,at:int,start:int,words:array<string>,near:array<bigint>>>"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -53,9 +59,20 @@ def winnow(grams: np.ndarray, span: int) -> np.ndarray:
     return np.flatnonzero(kept)
 
 
-def _fingerprint(words: list[bytes], hashes: np.ndarray, at: int, h: int, size: int, around: int) -> dict:
+def _fingerprint(words: list[bytes], at: int, h: np.uint64, size: int, around: int, near: list[int | None] | None = None) -> dict:
     a, b = max(0, at - around), min(len(words), at + size + around)
-    return {"h": int(np.int64(h.astype(np.int64))), "size": size, "at": at, "start": a, "words": [w.decode() for w in words[a:b]]}
+    h = int(h.astype(np.int64))
+    return {"h": h, "size": size, "at": at, "start": a, "words": [w.decode() for w in words[a:b]], "near": [h] if near is None else near}
+
+
+def windows_around(grams: np.ndarray, at: np.ndarray, span: int) -> list[list[int | None]]:
+    """For each gram of ``at``, the hashes of the windows of ``span`` grams that
+    hold it, by its place in them (from 0; None beyond the text)."""
+    start = at[:, None] - np.arange(span)
+    inside = (start >= 0) & (start + span <= len(grams))
+    start = np.where(inside, start, 0)
+    both = mix(grams[start] * MULTIPLIERS[0] + grams[np.where(inside, start + span - 1, 0)] * MULTIPLIERS[1]).view(np.int64)
+    return [[h if ok else None for h, ok in zip(*row)] for row in zip(both.tolist(), inside.tolist())]
 
 
 def fingerprints(words: list[bytes], memo: WordHashes, sizes: list[int] | None = None, passes=None,
@@ -66,16 +83,17 @@ def fingerprints(words: list[bytes], memo: WordHashes, sizes: list[int] | None =
     hashes, out = memo.of(words), []
     if sizes is None and len(words) < window:
         h = ngrams(hashes, len(words))
-        return [_fingerprint(words, hashes, 0, h[0], len(words), 0)] if len(words) else []
+        return [_fingerprint(words, 0, h[0], len(words), 0)] if len(words) else []
     if len(words) >= window:
         grams = ngrams(hashes, gram)
         kept = winnow(grams, window - gram + 1)
         kept = kept if passes is None else kept[passes(grams[kept])]
-        out += [_fingerprint(words, hashes, int(i), grams[i], gram, window - gram) for i in kept]
+        near = windows_around(grams, kept, window - gram + 1)
+        out += [_fingerprint(words, int(i), grams[i], gram, window - gram, x) for i, x in zip(kept, near)]
     for n in sizes or ():
         grams = ngrams(hashes, n)
         kept = np.arange(len(grams)) if passes is None else np.flatnonzero(passes(grams))
-        out += [_fingerprint(words, hashes, int(i), grams[i], n, 0) for i in kept]
+        out += [_fingerprint(words, int(i), grams[i], n, 0) for i in kept]
     return out
 
 
@@ -104,10 +122,10 @@ def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     src = benchmark.select(F.col(id_col).cast("string").alias("item"), text_of(text_col).alias("text"))
     prints = map_rows(src, make, f"item string, prints {_PRINTS}")
     prints = stored(prints.select("item", F.explode("prints").alias("p"))
-                    .select("item", "p.h", "p.size", (F.col("p.at") - F.col("p.start")).alias("inner"), "p.words"), "benchmark-prints")
-    key = ["h", "size", "inner", "words"]
-    contexts = stored(prints.select(*key).distinct().withColumn("ctx", F.monotonically_increasing_id()), "benchmark-contexts")
-    members = prints.join(contexts, key).select("ctx", "item").where(F.col("item").isNotNull()).distinct()
+                    .select("item", "p.h", "p.size", (F.col("p.at") - F.col("p.start")).alias("inner"), "p.words", "p.near"), "benchmark-prints")
+    key = ["h", "size", "inner", "words"]  # ``near`` follows from these
+    contexts = stored(prints.select(*key, "near").distinct().withColumn("ctx", F.monotonically_increasing_id()), "benchmark-contexts")
+    members = prints.drop("near").join(contexts, key).select("ctx", "item").where(F.col("item").isNotNull()).distinct()
     # a short item's fingerprint has no words around it: its size is that of its words
     short = [r[0] for r in prints.where(F.size("words") < WINDOW).where(F.size("words") == F.col("size")).select("size").distinct().collect()]
     bit = F.pmod("h", F.lit(BITS)).cast("long")
@@ -119,6 +137,16 @@ def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     return contexts, members, sorted(short), bitmap
 
 
+def meeting(sent: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Pairs of document and benchmark fingerprints that agree on a window
+    around them, each once."""
+    a = sent.select("row", "h", "size", "at", "start", F.col("words").alias("a"), F.col("near").alias("a_near"), F.posexplode("near").alias("turn", "window"))
+    b = contexts.select("ctx", "h", "size", "inner", F.col("words").alias("b"), F.col("near").alias("b_near"), F.posexplode("near").alias("turn", "window"))
+    first = F.array_position(F.zip_with("a_near", "b_near", lambda x, y: x == y), True) - 1
+    return a.where("window is not null").join(b, ["h", "size", "turn", "window"]).where(first == F.col("turn")) \
+        .select("row", "ctx", "size", "at", "start", "inner", "a", "b")
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_words, spans (array of start, stop: hit words,
@@ -143,10 +171,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     rows = map_rows(src, make, f"doc_id long, text_hash string, n_words long, prints {_PRINTS}")
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "document-prints")
 
-    sent = rows.select("row", F.explode("prints").alias("p")).select(
-        "row", "p.h", "p.size", "p.at", "p.start", F.col("p.words").alias("a"))
-    pairs = sent.join(contexts.withColumnRenamed("words", "b"), ["h", "size"]) \
-        .select("row", "ctx", "size", "at", "start", "inner", "a", "b")
+    pairs = meeting(rows.select("row", F.explode("prints").alias("p")).select("row", "p.*"), contexts)
 
     def extend():
         def one(row, ctx, size, at, start, inner, a, b):

@@ -164,6 +164,30 @@ def test_winnowing_guarantee():
         assert found[0] & found[1]
 
 
+def test_a_common_gram_is_not_paired_with_all_its_copies(spark, tmp_path):
+    """A phrase of five to nine words in all documents and items, between other
+    neighbours: only fingerprints around a shared window of ten words meet."""
+    rng = random.Random(5)
+    other = lambda k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+    memo = decontaminate.WordHashes()
+    low = min((f"q{k} of these is true".split() for k in range(5000)), key=lambda w: decontaminate.ngrams(memo.of([x.encode() for x in w]), 5)[0])
+    phrase = [*low, *"or else not so".split()]  # its first gram's hash is low, so that it is kept wherever it stands
+    items = [(i, f"{other(12)} {' '.join(phrase[:rng.randint(5, 9)])} {other(12)}") for i in range(60)]
+    docs = [(i, f"{other(20)} {' '.join(phrase[:rng.randint(5, 9)])} {other(20)}") for i in range(80)]
+    docs += [(80 + i, f"{other(3)} {items[i][1]} {other(3)}") for i in range(5)]
+    sf = tables(tmp_path, docs, items)
+    assert contaminated(decontaminate.op6_decontaminate(spark, sf)) == expected_leaks(docs, items)
+
+    contexts, *_ = decontaminate.benchmark_index(spark.read.parquet(f"{sf}/benchmark.parquet"))
+    sent = [(i, *(p[k] for k in ("h", "size", "at", "start", "words", "near"))) for i, t in docs
+            for p in decontaminate.fingerprints(decontaminate.words_of(t), memo)]
+    sent = spark.createDataFrame(sent, "row long, h long, size int, at int, start int, words array<string>, near array<bigint>")
+    pairs = decontaminate.meeting(sent, contexts)
+    assert sent.join(contexts, ["h", "size"]).count() > 1000
+    assert pairs.count() == pairs.select("row", "at", "ctx").distinct().count() < 100
+    assert {r["row"] for r in pairs.collect()} == set(range(80, 85))
+
+
 def test_drop_contaminated(spark, tmp_path):
     leak = "one two three four five six seven eight nine ten"
     sf = tables(tmp_path, [(1, f"x {leak.upper()} y"), (None, leak), (3, "clean"), (4, None), (3, leak + " more")], [(7, leak), (None, "zz")])
