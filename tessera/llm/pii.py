@@ -84,6 +84,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 _TRIGGER = re.compile(r"[0-9@=]|[\[(](?:at|dot)[\])]|__")
 _WORD = re.compile(r"\S+")
 _EDGE = ".,;:!?\"'()[]{}<>"
+_AROUND = ".,;:!?\"'[]{}<> \t\n"
+#: A key, its sign and a value in quotes, of which the closing one ends the span.
+_QUOTED = re.compile(r"""\w+\s*[=:]\s*(["'])(?:(?!\1).)+(?=\1)""", re.S)
 #: Words whose identity is a feature; every other plain word looks alike.
 CUES = ("password", "passwd", "pwd", "secret", "token", "key", "api_key", "phone", "tel", "call", "mobile", "fax",
         "ssn", "passport", "id", "identity", "version", "page", "section", "year", "in", "at", "dot", "=", ":", "is")
@@ -345,6 +348,23 @@ def _stretches(text: str) -> list[list[tuple[int, int]]]:
     return runs
 
 
+def _ends(text: str, a: int, b: int) -> tuple[int, int]:
+    """Where a value in the words ``text[a:b]`` starts and ends: at the closing
+    quote if it has an opening one, without punctuation or brackets that only
+    surround it."""
+    if quoted := _QUOTED.match(text, a, b):
+        b = quoted.end()
+    close, opened = text.find(")", a, b), text.rfind("(", a, b)  # the first and the last
+    while a < b:
+        if text[a] in _AROUND or text[a] == "(" and (close < 0 or close >= b - 1):
+            a += 1
+        elif text[b - 1] in _AROUND or text[b - 1] == ")" and opened < a:
+            b -= 1
+        else:
+            break
+    return a, b
+
+
 def added_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str]]]:
     """The random field's spans in each text."""
     owner, runs = [], []
@@ -361,11 +381,7 @@ def added_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str
                 j = i + 1
                 while j < len(run) and TAGS[ts[j]] == "I" + TAGS[ts[i]][1:]:
                     j += 1
-                a, b = run[i][0], run[j - 1][1]
-                while a < b and texts[k][a] in ".,;:!?\"'[]{}<>":
-                    a += 1
-                while a < b and texts[k][b - 1] in ".,;:!?\"'[]{}<>":
-                    b -= 1
+                a, b = _ends(texts[k], run[i][0], run[j - 1][1])
                 if a < b:
                     out[k].append((a, b, TAGS[ts[i]][2:]))
                 i = j

@@ -184,6 +184,23 @@ def test_viterbi_finds_the_best_path(field):
         assert tuple(pii.viterbi([e], field.moves)[0]) == best
 
 
+@pytest.mark.parametrize("text,value", [
+    ('token = "0123abcd"###', 'token = "0123abcd'), ("pwd='a1b2';x", "pwd='a1b2"), ('key="a1" b"', 'key="a1'), ("(555-123-4567),", "555-123-4567"),
+    ("(555) 123-4567)", "(555) 123-4567)"), ("(555) 123-4567.", "(555) 123-4567"), ("555-123-4567)", "555-123-4567"), ("(555-123-4567", "555-123-4567"),
+    ("<AKIA22>", "AKIA22"), ('"', ""), ("()", ""), ("password=", "password="), ('token = "', "token ="),
+])
+def test_ends_of_a_value(text, value):
+    a, b = pii._ends(f"x {text} y", 2, 2 + len(text))
+    assert f"x {text} y"[a:b] == value
+
+
+def test_ends_of_a_very_long_value():
+    n = 1_000_000
+    for text in ("(" * n, ")" * n, "!" * n, "(" * n + ")" * n, 'key="' + "a" * n):
+        a, b = pii._ends(text, 0, len(text))
+        assert text[a:b] in ("", text)
+
+
 def test_pii_query(spark, texts):
     got = {r["doc_id"]: r for r in pii.op7_pii(spark, SF01).collect()}
     assert got.keys() == texts.keys()
