@@ -467,3 +467,12 @@ def test_feature_patterns_are_permutations():
     assert [c.norm for c in cfg] == ["none"] * 4 + ["power"] * 4 and len({(tuple(c.pattern), c.shift, c.norm) for c in cfg}) == 8
     with pytest.raises(ValueError):
         EN.feature_patterns(3, 2, "other")
+
+
+def test_join_label_decode_counts_predictions(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+    q = E.queries()
+    want = {r["prediction"]: r["n"] for r in q["predict_labels"](spark, SF001).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).collect()}
+    got = q["join_label_decode"](spark, SF001)
+    assert set(got.columns) == {"pred_idx", "prediction", "n"} and {r["prediction"]: r["n"] for r in got.collect()} == want
