@@ -476,3 +476,15 @@ def test_join_label_decode_counts_predictions(spark):
     want = {r["prediction"]: r["n"] for r in q["predict_labels"](spark, SF001).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).collect()}
     got = q["join_label_decode"](spark, SF001)
     assert set(got.columns) == {"pred_idx", "prediction", "n"} and {r["prediction"]: r["n"] for r in got.collect()} == want
+
+
+def test_block_scores_count_groups_within_a_view(spark, monkeypatch):
+    """What is moved follows the rows of a view, not of all views together."""
+    rows = [(v, i, [float(i % 5), float(i % 3)], i % 2) for v in range(8) for i in range(40)]
+    df = spark.createDataFrame(rows, "v int, id long, x array<double>, y int")
+    got = S.block_scores(df, df, ["v", "id"], "x", "y", S.KernelVote(2), by=["v"], group=40, piece=40)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "hashpartitioning" not in plan and "sequence(0, 0" in plan and got.count() == 320
+    one = S.block_scores(df, df, ["v", "id"], "x", "y", S.KernelVote(2), by=["v"], group=7, piece=9)
+    assert got.select("v", "id", F.transform("scores", lambda s: F.round(s, 9)).alias("s")).exceptAll(
+        one.select("v", "id", F.transform("scores", lambda s: F.round(s, 9)).alias("s"))).count() == 0
