@@ -488,3 +488,16 @@ def test_block_scores_count_groups_within_a_view(spark, monkeypatch):
     one = S.block_scores(df, df, ["v", "id"], "x", "y", S.KernelVote(2), by=["v"], group=7, piece=9)
     assert got.select("v", "id", F.transform("scores", lambda s: F.round(s, 9)).alias("s")).exceptAll(
         one.select("v", "id", F.transform("scores", lambda s: F.round(s, 9)).alias("s"))).count() == 0
+
+
+def test_split_repair_of_gathered_and_large_datasets_agree(spark, monkeypatch):
+    """Rows of invalid datasets are moved once, whatever the attempts; datasets too large for an array come by ranks."""
+    rows = [(d, i, "xyz"[(i * (d + 1) // 3) % (2 + d % 2)] if d % 5 else None) for d in range(40) for i in range(2 + d % 9)]
+    df = spark.createDataFrame(rows, "d int, i int, label string")
+    names, kept = [], O.stored
+    monkeypatch.setattr(O, "stored", lambda x, name: names.append(name) or kept(x, name))
+    split = lambda: sorted((r["d"], r["attempt"] or -1, r["accepted"]) for r in O.split_repair(df, ["d"], "label", "i", 3, ["i"]).collect())
+    gathered = split()
+    assert names == ["repair-judged", "repair-gathered"] and len(gathered) == 40 and any(a > 0 for _, a, _ in gathered)
+    monkeypatch.setattr(O, "GATHERED", 0)
+    assert split() == gathered
