@@ -65,7 +65,8 @@ def parse_header_driven(lines: DataFrame, rename: dict[str, str], key: str, chun
     data = data.where(keyv.rlike(r"^[+-]?\d+$"))
     to = F.create_map(*[F.lit(v) for pair in rename.items() for v in pair])
     cells = F.transform(F.arrays_zip(F.col("_header").alias("h"), F.slice("_tok", F.lit(1), F.size("_header")).alias("t")),
-                        lambda c: F.struct(F.try_element_at(to, c["h"]).alias("key"), c["t"].try_cast("double").alias("value")))
+                        lambda c: F.struct(F.try_element_at(to, c["h"]).alias("key"),
+                                           F.when(F.try_element_at(to, c["h"]).isNotNull(), c["t"].try_cast("double")).alias("value")))
     row = map_last_wins(F.filter(cells, lambda c: c["key"].isNotNull() & c["value"].isNotNull()))
     data = data.withColumn("_key", keyv.cast("bigint")).withColumn("_row", row)
     return data.select("file", "line_no", F.col("_key").alias(key),

@@ -501,3 +501,18 @@ def test_split_repair_of_gathered_and_large_datasets_agree(spark, monkeypatch):
     assert names == ["repair-judged", "repair-gathered"] and len(gathered) == 40 and any(a > 0 for _, a, _ in gathered)
     monkeypatch.setattr(O, "GATHERED", 0)
     assert split() == gathered
+
+
+def test_values_of_a_row_are_computed_once(spark):
+    """An expression inside a lambda is computed for each element: maps and softmaxes took quadratic and cubic time."""
+    from tessera.functions.arrays import log_softmax, map_last_wins, softmax
+    import time
+    entries = F.transform(F.sequence(F.lit(0), F.lit(1999)), lambda i: F.struct((i % 1990).cast("string").alias("key"), (i + F.col("id")).alias("value")))
+    scores = F.transform(F.sequence(F.lit(0), F.lit(999)), lambda i: F.sqrt(i + F.col("id").cast("double")))
+    start = time.time()
+    r = spark.range(3).select(map_last_wins(entries).alias("m"), softmax(scores, 0.5).alias("s"), log_softmax(scores, 0.5).alias("l")).collect()
+    assert time.time() - start < 40
+    z = np.sqrt(np.arange(1000) + 2.0) / 0.5
+    want = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    assert np.allclose(r[2]["s"], want) and np.allclose(r[2]["l"], np.log(want))
+    assert len(r[2]["m"]) == 1990 and r[2]["m"]["3"] == 1995 and r[2]["m"]["20"] == 22
