@@ -516,3 +516,12 @@ def test_values_of_a_row_are_computed_once(spark):
     want = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
     assert np.allclose(r[2]["s"], want) and np.allclose(r[2]["l"], np.log(want))
     assert len(r[2]["m"]) == 1990 and r[2]["m"]["3"] == 1995 and r[2]["m"]["20"] == 22
+
+
+def test_class_tree_rows_meet_without_a_shuffle_of_outcomes(spark):
+    df = spark.range(300).select("id", (F.col("id") * 37 % 31).alias("label"), (F.col("id") % 7).cast("double").alias("a"))
+    model = S.fit_class_tree(df, ["a"], "label")
+    p = S.chain_rule(S.node_scores(df, ["id"], model), ["id"], model)
+    plan = S.best_class(p, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert all(abs(r["t"] - 1) < 1e-9 for r in p.groupBy("id").agg(F.sum("p").alias("t")).collect())
