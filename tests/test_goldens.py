@@ -525,3 +525,14 @@ def test_class_tree_rows_meet_without_a_shuffle_of_outcomes(spark):
     plan = S.best_class(p, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert all(abs(r["t"] - 1) < 1e-9 for r in p.groupBy("id").agg(F.sum("p").alias("t")).collect())
+
+
+def test_long_projections_are_compiled(spark):
+    from tessera.session import compiled
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        compiled(spark)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
