@@ -95,7 +95,8 @@ def chunk_by_weight(df: DataFrame, job: list[str], order: list[str], weight: str
     starts that a job really has: after round k the first 2**k are known, and
     pointers lead 2**k chunks on, so the number of rounds is the logarithm of the
     largest number of chunks, and a job of any size is worked on by all tasks.
-    Weights are added as decimals (nine places), so sums are exact."""
+    Weights are added as decimals (nine places), so sums are exact.  Starts and
+    pointers grow with the items, so no round broadcasts them through the driver."""
     w = F.when(F.col(weight) > limit, F.raise_error(F.lit("item heavier than the chunk limit"))).otherwise(F.col(weight)).cast(WEIGHT)
     x = df.withColumn("_w", w)
     x = in_ranges(x, job, order, "_range") if bucket is None else x.withColumn("_range", bucket)
@@ -108,12 +109,12 @@ def chunk_by_weight(df: DataFrame, job: list[str], order: list[str], weight: str
     starts = [at.where("start = 1").select(*job, "start")]
     while not jump.isEmpty():
         known = functools.reduce(DataFrame.unionByName, starts)
-        more = stored(known.join(jump, [*job, "start"]).select(*job, F.col("next").alias("start")), "starts")
+        more = stored(known.join(jump.hint("merge"), [*job, "start"]).select(*job, F.col("next").alias("start")), "starts")
         starts.append(more)
         on = jump.select(*job, F.col("start").alias("next"), F.col("next").alias("_after"))
-        jump = stored(jump.join(on, [*job, "next"]).select(*job, "start", F.col("_after").alias("next")), "jump")
+        jump = stored(jump.join(on.hint("merge"), [*job, "next"]).select(*job, "start", F.col("_after").alias("next")), "jump")
     known = functools.reduce(DataFrame.unionByName, starts).select(*job, F.col("start").alias("_rn"), F.lit(1).alias("_starts"))
-    x = x.join(known, [*job, "_rn"], "left")
+    x = x.join(known.hint("merge"), [*job, "_rn"], "left")
     x = running_sum(x, job, ["_rn"], F.coalesce("_starts", F.lit(0)).cast("bigint"), F.floor(F.col("_rn") / ROWS_PER_BUCKET), "_chunk")
     return x.withColumn("chunk", F.col("_chunk") - 1).drop("_chunk", "_starts", "_rn", "_before")
 

@@ -536,3 +536,19 @@ def test_long_projections_are_compiled(spark):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     finally:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
+def test_chunk_starts_are_not_broadcast(spark, monkeypatch):
+    plans, kept = [], WK.stored
+
+    def watched(x, name):
+        if name in ("starts", "jump"):
+            plans.append((name, x._jdf.queryExecution().executedPlan().toString()))
+        return kept(x, name)
+
+    monkeypatch.setattr(WK, "stored", watched)
+    df = spark.range(60).select(F.lit("a").alias("job"), F.col("id").alias("pos"), F.lit(1.0).alias("w"))
+    got = {r["pos"]: r["chunk"] for r in WK.chunk_by_weight(df, ["job"], ["pos"], "w", 4.0).collect()}
+    assert got == {i: i // 4 for i in range(60)}
+    rounds = plans[1:]
+    assert len(rounds) > 3 and not any("Broadcast" in plan for _, plan in rounds)
