@@ -50,9 +50,9 @@ BLOCK = 1 << 15
 #: Pairs of entries of one list compared at once (a longer list is compared alone).
 PAIRS = 4_000_000
 #: Sets that a task remembers having sent.
-SEEN = 200_000
+SEEN = 100_000
 #: Bytes of text handled at once (a longer line is handled alone).
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
