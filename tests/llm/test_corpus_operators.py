@@ -313,6 +313,47 @@ def test_lines_are_split_and_hashed_alike():
     assert all(len(s) == 1 for s in same.values()) and len(same) == len({s for *_, s in want})
 
 
+def test_lists_are_formed_again(spark, tmp_path, monkeypatch):
+    """Same result if every best match passes for likely and no other is sent along."""
+    for name, n in (("LIKELY", 1e9), ("NEAREST", 0), ("HELD", 300), ("BUCKET", 100)):
+        monkeypatch.setattr(line_dedup, name, n)
+    docs = edited_documents(120, seed=8, lines=True)
+    want = [(i, n, len(gone), ",".join(map(str, gone))) for i, (n, gone) in line_removals(docs).items()]
+    got = rows(line_dedup.op10_line_dedup(spark, tables(tmp_path, docs)), "doc_id", "n_lines", "n_removed", "removed")
+    assert got == sorted(want, key=repr)
+
+
+def test_bitmaps_tell_long_lines_apart():
+    lines = line_dedup.Lines([" ".join(f"w{k}x{j}" for j in range(200)).encode() for k in range(60)])
+    low, high = lines.bitmaps()
+    differing = np.bitwise_count(low[1:] ^ low[:-1]).astype(int) + np.bitwise_count(high[1:] ^ high[:-1])
+    assert (differing <= 400 - 2 * line_dedup.least_overlap(200, 200)).mean() < 0.5
+    # and never more than the sets do
+    near = line_dedup.Lines([b" ".join(b"w%d" % j for j in range(n)) for n in range(1, 60)])
+    low, high = near.bitmaps()
+    assert all(np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j]) <= j - i for i in range(59) for j in range(i, 59))
+
+
+def test_prefix_entries_come_many_in_a_row(spark, tmp_path):
+    docs = [(i, "\n".join(" ".join(f"w{(i * 7 + j * k) % 997}" for j in range(30)) for k in range(1, 20))) for i in range(50)]
+    df = spark.read.parquet(f"{tables(tmp_path, docs)}/documents.parquet").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    _, classes = line_dedup.census(df)
+    sent = line_dedup.prefix_entries(df, classes, 16).collect()
+    found = [line_dedup.from_bucket([r["rows"]], r["width"]) for r in sent]
+    entries = sum(f.shape[1] for f in found)
+    assert len(sent) <= 16 * df.rdd.getNumPartitions() and entries > 40 * len(sent)
+    assert all((f[4] >> 32 <= 30).all() and (f[3] < 19).all() and np.isin(f[2], range(50)).all() for f in found)
+    lists = [(r["bucket"], k) for r, f in zip(sent, found) for k in f[0].tolist()]
+    assert len({k for _, k in lists}) == len(set(lists))  # a list has one bucket
+
+
+def test_first_places_of_lines(spark, tmp_path):
+    line = "one two three four five six seven eight"
+    docs = [(None, line), (-1 << 63, line), (-1, f"x\n{line}"), ((1 << 63) - 1, f"{line}\n{line} nine")]
+    got = rows(line_dedup.op10_line_dedup(spark, tables(tmp_path, docs)), "doc_id", "n_lines", "removed")
+    assert got == sorted([(None, 1, ""), (-1 << 63, 1, "0"), (-1, 2, "1"), ((1 << 63) - 1, 2, "0,1")], key=repr)
+
+
 def test_drop_lines(spark, tmp_path):
     line = "one two three four five six seven eight"
     sf = tables(tmp_path, [(1, f"{line}\nkept"), (2, f"other\n\n{line} nine\nlast"), (None, f"{line} ten"), (4, None), (5, ""), (1, f"{line}\nkept")])
