@@ -39,6 +39,8 @@ WINDOW = 10
 GRAM = 5
 #: Bits of the bitmap of benchmark fingerprints (2 MB).
 BITS = 1 << 24
+#: Bytes of the benchmark's fingerprints, a row a window, up to which they are broadcast.
+MOST_BROADCAST = 1 << 25
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _PRINTS = "array<struct<h:bigint,size:int,at:int,start:int,words:array<string>,near:array<bigint>>>"
@@ -125,7 +127,7 @@ def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str
                     .select("item", "p.h", "p.size", (F.col("p.at") - F.col("p.start")).alias("inner"), "p.words", "p.near"), "benchmark-prints")
     key = ["h", "size", "inner", "words"]  # ``near`` follows from these
     contexts = stored(prints.select(*key, "near").distinct().withColumn("ctx", F.monotonically_increasing_id()), "benchmark-contexts")
-    members = prints.drop("near").join(contexts, key).select("ctx", "item").where(F.col("item").isNotNull()).distinct()
+    members = prints.drop("near").join(contexts.hint("merge"), key).select("ctx", "item").where(F.col("item").isNotNull()).distinct()
     # a short item's fingerprint has no words around it: its size is that of its words
     short = [r[0] for r in prints.where(F.size("words") < WINDOW).where(F.size("words") == F.col("size")).select("size").distinct().collect()]
     bit = F.pmod("h", F.lit(BITS)).cast("long")
@@ -139,10 +141,14 @@ def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str
 
 def meeting(sent: DataFrame, contexts: DataFrame) -> DataFrame:
     """Pairs of document and benchmark fingerprints that agree on a window
-    around them, each once."""
+    around them, each once.  The benchmark's are broadcast by their measured size:
+    Spark's own goes by the packed file and a row a fingerprint, not a window."""
+    row = F.lit(128) + 8 * F.size("near") + 16 * F.size("words") + F.octet_length(F.array_join("words", ""))
+    size = contexts.agg(F.sum(F.size("near") * row.cast("long"))).first()[0] or 0
     a = sent.select("row", "h", "size", "at", "start", F.col("words").alias("a"), F.col("near").alias("a_near"), F.posexplode("near").alias("turn", "window"))
     b = contexts.select("ctx", "h", "size", "inner", F.col("words").alias("b"), F.col("near").alias("b_near"), F.posexplode("near").alias("turn", "window"))
     first = F.array_position(F.zip_with("a_near", "b_near", lambda x, y: x == y), True) - 1
+    b = b.where("window is not null").hint("broadcast" if size <= MOST_BROADCAST else "merge")
     return a.where("window is not null").join(b, ["h", "size", "turn", "window"]).where(first == F.col("turn")) \
         .select("row", "ctx", "size", "at", "start", "inner", "a", "b")
 

@@ -277,7 +277,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
     drawn = spark.range(shards).mapInArrow(shares, "shard long, group int, low long, high long") \
         .select("shard", "group", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("drawn"))
     local = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "doc_id", "text_hash", "copy"), "doc_id", "text_hash", "copy")
-    mixed = placed.join(drawn, ["group", "drawn"]).withColumn("position", F.row_number().over(local) - 1) \
+    # Spark takes ``drawn``, a row a block, for a row a shard, so it would broadcast it at any size
+    mixed = placed.join(drawn.hint("merge"), ["group", "drawn"]).withColumn("position", F.row_number().over(local) - 1) \
         .select("shard", "position", "unit", "doc_id", "source", "text_hash", "size")
     by_unit = units.select("unit", F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("text_hash").alias("h"), "source_size", "target")
     told = rows.join(by_unit, same(F.col("doc_id"), F.col("i")) & same(F.col("source"), F.col("s")) & (F.col("text_hash") == F.col("h"))) \

@@ -160,7 +160,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     banded = nodes.select("node", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = stored(banded.join(hubs, "key"), "near-buckets")
+    # Spark takes an exploded array for one row, so it would broadcast this many times over its bound
+    buckets = stored(banded.join(hubs.hint("merge"), "key"), "near-buckets")
 
     # the full sets of the nodes in such buckets, again from the texts
     involved = buckets.select("node").distinct().join(nodes, "node").select(

@@ -37,6 +37,25 @@ def test_near_dedup_blocks(spark, tmp_path, monkeypatch):
     assert rows(near_dedup.op2_near_dedup(spark, tables(tmp_path, docs)), "doc_id", "component_id") == sorted(want, key=repr)
 
 
+def _plans(monkeypatch, module):
+    """The plans of what a module stores, by name, as Spark makes them before it runs them."""
+    plans, kept = {}, module.stored
+
+    def watched(x, name):
+        plans.setdefault(name, []).append(x._jdf.queryExecution().executedPlan().toString())
+        return kept(x, name)
+
+    monkeypatch.setattr(module, "stored", watched)
+    return plans
+
+
+def test_exploded_bands_are_not_broadcast(spark, tmp_path, monkeypatch):
+    plans = _plans(monkeypatch, near_dedup)
+    near_dedup.near_duplicates(spark.read.parquet(f"{tables(tmp_path, edited_documents(40))}/documents.parquet"))
+    (plan,) = plans["near-buckets"]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
@@ -188,6 +207,18 @@ def test_a_common_gram_is_not_paired_with_all_its_copies(spark, tmp_path):
     assert {r["row"] for r in pairs.collect()} == set(range(80, 85))
 
 
+def test_benchmark_is_broadcast_by_its_measured_size(spark, tmp_path, monkeypatch):
+    docs, items = [(i, f"a{i} b c d e f g h i j k l{i}") for i in range(30)], [(i, f"z a{i} b c d e f g h i j") for i in range(20)]
+    sf = tables(tmp_path, docs, items)
+    want = expected_leaks(docs, items)
+    for most, join in ((decontaminate.MOST_BROADCAST, "BroadcastHashJoin"), (1000, "SortMergeJoin")):
+        monkeypatch.setattr(decontaminate, "MOST_BROADCAST", most)
+        plans = _plans(monkeypatch, decontaminate)
+        assert contaminated(decontaminate.op6_decontaminate(spark, sf)) == want
+        (plan,) = plans["contamination"]
+        assert [x for x in ("BroadcastHashJoin", "SortMergeJoin") if x in plan] == [join]
+
+
 def test_drop_contaminated(spark, tmp_path):
     leak = "one two three four five six seven eight nine ten"
     sf = tables(tmp_path, [(1, f"x {leak.upper()} y"), (None, leak), (3, "clean"), (4, None), (3, leak + " more")], [(7, leak), (None, "zz")])
@@ -203,6 +234,12 @@ def test_targets():
     assert mixing.target_sizes([], []) == [] and mixing.target_sizes([0, 0], [5, 2]) == [0, 0]
 
 
+def test_drawn_blocks_are_not_broadcast(spark, tmp_path):
+    _, mixed = mixing.mix(spark.read.parquet(f"{tables(tmp_path, [(i, 'w ' * i) for i in range(40)])}/documents.parquet"))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_permutation_and_tree():
     for n in (1, 2, 3, 5, 17, 1000, 4097):
         assert sorted(mixing.permute(np.arange(n), n, 3, 1).tolist()) == list(range(n))
