@@ -163,7 +163,8 @@ def _context_score(spark, sf_dir):
     """Every member scores all query rows of its view against all its context
     rows; class shifts are undone and the members averaged."""
     v = stored(_views(spark, sf_dir).select("p_partkey", "is_ctx", "member", "shift", "x", "y"), "views")
-    s = S.block_scores(v.where("NOT is_ctx"), v.where("is_ctx"), ["member", "shift", "p_partkey"], "x", "y", S.KernelVote(_N_TYPES), by=["member", "shift"])
+    s = S.block_scores(v.where("NOT is_ctx"), v.where("is_ctx"), ["member", "shift", "p_partkey"], "x", "y", S.KernelVote(_N_TYPES), by=["member", "shift"],
+                       piece=1 << 20)  # three features: a slice of few bytes, whose sums by box are made once a group
     a = EN.average_members_long(s.withColumn("scores", EN.unshift(F.col("scores"), F.col("shift"))), ["p_partkey"], "scores")
     return a.select("p_partkey", F.col("class_idx").cast("int").alias("class_idx"), r6("score").alias("score"), "n_members")
 

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -130,6 +131,62 @@ def test_block_scores_equal_brute_force_at_any_size(spark):
     assert "Broadcast" not in S.block_scores(query, ctx, ["id"], "x", "y", S.KernelVote(3))._jdf.queryExecution().toString()
 
 
+def test_kernel_votes_by_box_equal_all_pairs(monkeypatch):
+    """Rows that lie close together are summed by box; far, sparse and missing ones pair by pair."""
+    rng, pairs = np.random.default_rng(2), []
+    compared = S.KernelVote._pairs
+    monkeypatch.setattr(S.KernelVote, "_pairs", lambda self, cx, cy, x: (pairs.append(len(cx) * len(x)), compared(self, cx, cy, x))[1])
+    made = {"even": lambda n: rng.uniform(-1.7, 1.7, (n, 3)), "heaps": lambda n: rng.uniform(0, 0.4, (n, 2)) + rng.choice([0.0, 30.0, 5000.0], (n, 1)),
+            "one value": lambda n: np.full((n, 3), 7.0), "long tails": lambda n: rng.standard_t(2, (n, 1)), "four": lambda n: rng.uniform(0, 1.2, (n, 4))}
+    for name, make in made.items():
+        for classes, temperature in ((3, 1.0), (3, 0.2)):
+            cx, x, vote = make(9000), make(3000), S.KernelVote(classes, temperature)
+            cy = rng.integers(0, classes, len(cx))
+            cy[cx[:, 0] < np.quantile(cx[:, 0], 0.1)] = 0  # classes that a box lacks
+            del pairs[:]
+            m, s = vote.partial(cx, cy, x)
+            if temperature == 1.0:
+                assert sum(pairs) < 0.2 * len(cx) * len(x), name
+            want = _votes(cx / temperature ** 0.5, cy, x[:200] / temperature ** 0.5, classes)
+            assert np.isfinite(m).all() and np.allclose(s[:200] / s[:200].sum(axis=1, keepdims=True), want, rtol=0, atol=1e-9 if name == "heaps" else 1e-11)
+    cx, cy, x = made["even"](9000), rng.integers(0, 3, 9000), made["even"](3000)
+    x[5, 1], x[9] = np.nan, 1e300
+    with np.errstate(all="ignore"):
+        for near in (cx, np.r_[cx, [[0.0, np.nan, 1.0]]]):
+            labels = np.r_[cy, 0][:len(near)]
+            m, s = S.KernelVote(3).partial(near, labels, x)
+            m0, s0 = S.KernelVote(3)._all_pairs(near, labels, x)
+            assert np.allclose(s / s.sum(axis=1, keepdims=True), s0 / s0.sum(axis=1, keepdims=True), rtol=0, atol=1e-12, equal_nan=True)
+
+
+def test_box_sums_in_small_portions(monkeypatch):
+    rng = np.random.default_rng(3)
+    cx, cy, x = rng.uniform(-2, 2, (8000, 3)), rng.integers(0, 4, 8000), rng.uniform(-2, 2, (3000, 3))
+    whole = S.KernelVote(4).partial(cx, cy, x)
+    for names in ({"SUMS": 3000, "ROWS": 50}, {"QUERY_BOXES": 3, "ROWS": 7}):
+        with monkeypatch.context() as patched:
+            for k, v in names.items():
+                patched.setattr(S.boxes, k, v)
+            m, s = S.KernelVote(4).partial(cx, cy, x)
+        assert np.allclose(s * np.exp(m - whole[0])[:, None], whole[1], rtol=1e-11)
+
+
+def test_block_scores_of_many_rows_in_few_features(spark):
+    """Views with their own rows, in slices that meet in one query; 3 x 10**8 pairs."""
+    rng = np.random.default_rng(4)
+    cx, cy, cv = rng.uniform(-1.5, 1.5, (60_000, 3)), rng.integers(0, 3, 60_000), rng.integers(0, 2, 60_000)
+    x, xv = rng.uniform(-1.5, 1.5, (10_000, 3)), rng.integers(0, 2, 10_000)
+    frame = lambda **c: spark.createDataFrame(pd.DataFrame(c))
+    ctx = frame(view=cv, x=list(cx), y=cy.astype(np.int32)).repartition(3)
+    query = frame(view=xv, id=np.arange(len(x)), x=list(x))
+    got = S.block_scores(query, ctx, ["view", "id"], "x", "y", S.KernelVote(3), by=["view"], group=3000, piece=20_000).orderBy("id").toPandas()
+    assert got["id"].tolist() == list(range(len(x))) and got["view"].tolist() == xv.tolist()
+    some = rng.choice(len(x), 100, replace=False)
+    for v in (0, 1):
+        here = some[xv[some] == v]
+        assert np.allclose(np.stack(got["scores"].to_numpy()[here]), _votes(cx[cv == v], cy[cv == v], x[here], 3), rtol=0, atol=1e-11)
+
+
 def test_whole_context_scorer(spark):
     ctx = spark.createDataFrame([([0.0], 0), ([9.0], 1)], "x array<double>, y int")
     cx, cy = S.collect_context(ctx, "x", "y", 10)
